@@ -144,7 +144,7 @@ def to_date_cell(c: Column, in_type: DataType, as_of: Column,
     text = as_text(c, in_type)
     tries = [F.try_to_date(text)]
     for fmt in formats:
-        one = F.try_to_date(text, F.lit(fmt))
+        one = F.try_to_date(text, fmt)
         tries.append(_century_fix(one, as_of) if _two_digit_year(fmt) else one)
     fallback = F.coalesce(*tries)
     return (

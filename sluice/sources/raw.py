@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 TEXT_FORMATS = ("csv", "json", "text")
@@ -61,5 +63,12 @@ def _reads_path(df: DataFrame, path: str) -> bool:
     ``inputFiles`` answers from the file index the planner already built
     (no job); a JDBC-sourced frame has none.
     """
-    norm = path.rstrip("/").split("://", 1)[-1]
-    return any(f.split("://", 1)[-1].startswith(norm + "/") for f in df.inputFiles())
+    norm = _bare(path).rstrip("/") + "/"
+    return any(_bare(f).startswith(norm) for f in df.inputFiles())
+
+
+def _bare(path: str) -> str:
+    """Path without its scheme, with one leading slash (file:/x, file:///x, /x alike)."""
+    if re.match(r"^[A-Za-z][\w+.-]*:", path):
+        path = path.split(":", 1)[1]
+    return "/" + path.lstrip("/")

@@ -76,6 +76,42 @@ def _century_fix(value: Column, as_of: Column) -> Column:
     ).otherwise(value)
 
 
+def pattern_guard(text: Column, fmt: str) -> Column:
+    """A cheap test every text the pattern can parse must pass.
+
+    Literal characters of the pattern must occur in the text, and text
+    fields (month names, AM/PM) need a letter. Skipping a pattern on a
+    failed guard never changes the result; it only avoids the cost of a
+    failed parse.
+    """
+    quoted, plain, inside = [], [], False
+    for ch in fmt:
+        if ch == "'":
+            inside = not inside
+        elif inside:
+            quoted.append(ch)
+        else:
+            plain.append(ch)
+    literals = sorted({ch for ch in plain if not ch.isalnum()})
+    conds = [text.contains(ch) for ch in literals]
+    conds += [F.lower(text).contains(ch.lower()) for ch in sorted(set(quoted))]
+    if "MMM" in fmt or "a" in plain:
+        conds.append(text.rlike("[A-Za-z]"))
+    if not literals and not quoted:
+        conds.append(~text.rlike("[/:,]"))
+    guard = conds[0]
+    for c in conds[1:]:
+        guard = guard & c
+    return guard
+
+
+def _try_pattern(text: Column, fmt: str, as_of: Column, parse) -> Column:
+    one = parse(text, fmt)
+    if _two_digit_year(fmt):
+        one = _century_fix(one, as_of)
+    return F.when(pattern_guard(text, fmt), one)
+
+
 def parse_timestamp_text(text: Column, as_of: Column,
                          formats: tuple[str, ...] = fixed.DATETIME_FORMATS) -> Column:
     """Text to timestamp: native ISO cast first, then each fallback pattern.
@@ -83,10 +119,9 @@ def parse_timestamp_text(text: Column, as_of: Column,
     Junk text and bare times of day give NULL. Naive text is read in the
     session time zone; text with an offset is converted.
     """
-    tries = [F.try_to_timestamp(text)]
-    for fmt in formats:
-        one = F.try_to_timestamp(text, F.lit(fmt))
-        tries.append(_century_fix(one, as_of) if _two_digit_year(fmt) else one)
+    tries = [F.try_to_timestamp(text)] + [
+        _try_pattern(text, fmt, as_of, lambda t, f: F.try_to_timestamp(t, F.lit(f))) for fmt in formats
+    ]
     return F.when(is_junk_time_text(text) | text.rlike(fixed.BARE_TIME_PATTERN), None).otherwise(
         F.coalesce(*tries)
     )
@@ -129,29 +164,45 @@ def etl_default(ts: Column, as_of: Column) -> Column:
     return F.coalesce(ts, as_of)
 
 
+def date_parse_parts(c: Column, in_type: DataType, as_of: Column,
+                     formats: tuple[str, ...] = fixed.DATETIME_FORMATS) -> tuple[Column, Column | None]:
+    """Parse any input to ``DateType``; returns ``(date, iso_flag)``.
+
+    ``iso_flag`` is None for typed input. For text it tells whether the
+    text had the ISO shape (those dates are kept even in the future, see
+    ``date_future_rule``). ISO-shaped text is parsed by the native cast, the
+    first entry of the chain; no fallback pattern can parse that shape.
+    """
+    if isinstance(in_type, DateType):
+        return c, None
+    if isinstance(in_type, (TimestampType, TimestampNTZType)):
+        return F.to_date(c), None
+    text = as_text(c, in_type)
+    tries = [F.try_to_date(text)] + [
+        _try_pattern(text, fmt, as_of, lambda t, f: F.try_to_date(t, f)) for fmt in formats
+    ]
+    parsed = F.when(~is_junk_time_text(text), F.coalesce(*tries))
+    return parsed, text.rlike(fixed.ISO_DATE_PATTERN)
+
+
+def date_future_rule(parsed: Column, iso_flag: Column | None, as_of: Column) -> Column:
+    """Dates parsed from non-ISO text that lie after the as_of date become NULL."""
+    if iso_flag is None:
+        return parsed
+    return F.when(iso_flag | (parsed <= F.to_date(as_of)), parsed)
+
+
 def to_date_cell(c: Column, in_type: DataType, as_of: Column,
                  formats: tuple[str, ...] = fixed.DATETIME_FORMATS) -> Column:
     """Any input to ``DateType``.
 
     ISO text ``yyyy-MM-dd`` is cast directly and kept even when in the future;
     other text goes through the native cast and the pattern list, and a
-    result after the as_of date is dropped.
+    result after the as_of date is dropped. (``conform`` computes the parse
+    and the rule in two projections so the parse runs once per cell.)
     """
-    if isinstance(in_type, DateType):
-        return c
-    if isinstance(in_type, (TimestampType, TimestampNTZType)):
-        return F.to_date(c)
-    text = as_text(c, in_type)
-    tries = [F.try_to_date(text)]
-    for fmt in formats:
-        one = F.try_to_date(text, fmt)
-        tries.append(_century_fix(one, as_of) if _two_digit_year(fmt) else one)
-    fallback = F.coalesce(*tries)
-    return (
-        F.when(is_junk_time_text(text), None)
-        .when(text.rlike(fixed.ISO_DATE_PATTERN), F.try_to_date(text))
-        .otherwise(F.when(fallback <= F.to_date(as_of), fallback))
-    )
+    parsed, iso = date_parse_parts(c, in_type, as_of, formats)
+    return date_future_rule(parsed, iso, as_of)
 
 
 def numeric_text(text: Column) -> Column:
@@ -169,28 +220,31 @@ def to_number_cell(c: Column, in_type: DataType, out_type: DataType) -> Column:
     if isinstance(in_type, NUMERIC_TYPES):
         return c.try_cast(out_type)
     cleaned = numeric_text(as_text(c, in_type))
-    return F.when(cleaned.rlike(fixed.NUMERIC_PATTERN), cleaned.try_cast(out_type))
+    # NULL when the text does not match (no failed cast to catch), and the
+    # cleaned text is computed once
+    return F.regexp_substr(cleaned, F.lit(fixed.NUMERIC_PATTERN)).try_cast(out_type)
+
+
+def _token_map(true_value, false_value) -> Column:
+    pairs = []
+    for tok in fixed.TRUE_TOKENS:
+        pairs += [F.lit(tok), F.lit(true_value)]
+    for tok in fixed.FALSE_TOKENS:
+        pairs += [F.lit(tok), F.lit(false_value)]
+    return F.create_map(*pairs)
 
 
 def to_boolean_cell(c: Column, in_type: DataType) -> Column:
     """true/1/yes/t and false/0/no/f in any case; everything else NULL."""
     if isinstance(in_type, BooleanType):
         return c
-    low = F.lower(as_text(c, in_type))
-    return F.when(low.isin(*fixed.TRUE_TOKENS), F.lit(True)).when(
-        low.isin(*fixed.FALSE_TOKENS), F.lit(False)
-    )
+    return F.try_element_at(_token_map(True, False), F.lower(as_text(c, in_type)))
 
 
 def boolean_text_cell(c: Column, in_type: DataType) -> Column:
     """Boolean tokens become TRUE/FALSE text; other text passes unchanged."""
     text = as_text(c, in_type)
-    low = F.lower(text)
-    return (
-        F.when(low.isin(*fixed.TRUE_TOKENS), F.lit(fixed.TRUE_TEXT))
-        .when(low.isin(*fixed.FALSE_TOKENS), F.lit(fixed.FALSE_TEXT))
-        .otherwise(text)
-    )
+    return F.coalesce(F.try_element_at(_token_map(fixed.TRUE_TEXT, fixed.FALSE_TEXT), F.lower(text)), text)
 
 
 def is_json_text(text: Column) -> Column:

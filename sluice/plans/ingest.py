@@ -24,7 +24,7 @@ from sluice.operators import conform as C
 from sluice.operators import load as L
 from sluice.plans.runlog import RunRecord, append_run_log
 from sluice.session import work_path
-from sluice.sources.raw import write_raw
+from sluice.sources.raw import spread, write_raw
 from sluice.spec import AuditSpec, TableSpec
 
 Source = Callable[[], DataFrame]
@@ -58,6 +58,8 @@ class IngestOptions:
     reject_unparseable: bool = False
     create_if_missing: bool = False
     stage: bool = False
+    spread_input: bool = True
+    min_partitions: int | None = None
     extra: dict = field(default_factory=dict)
 
     def check(self) -> None:
@@ -74,6 +76,8 @@ def ingest_table(spark: SparkSession, job: IngestJob, opts: IngestOptions, run_i
     started = datetime.now()
     spec = job.spec
     raw = job.source()
+    if opts.spread_input:
+        raw = spread(raw, opts.min_partitions)
     conformed = C.conform(
         raw, spec, opts.as_of, hash_algo=opts.hash_algo, null_token=opts.null_token,
         hash_after_clamp=opts.hash_after_clamp, with_reason=True,

@@ -72,3 +72,16 @@ def _bare(path: str) -> str:
     if re.match(r"^[A-Za-z][\w+.-]*:", path):
         path = path.split(":", 1)[1]
     return "/" + path.lstrip("/")
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition a frame that arrives in too few partitions.
+
+    A single unsplittable file or a one-task JDBC read would otherwise run
+    every later per-row step in one task. Wide inputs (the normal case for
+    large tables) are returned unchanged, so no shuffle is added there.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

@@ -190,6 +190,10 @@ LEAD_ASSIGNMENT_CLAMPED = (
 # Table names in the order they are processed.
 TABLE_ORDER = ("lead_assignment", "lead_xref", "lead")
 
+# Source tables copied by the sync, in order, and the warehouse name prefix.
+SOURCE_TABLES = ('public."leadassignment"', 'public."leadxref"', 'public."lead"')
+WAREHOUSE_PREFIX = "STG_LCR_"
+
 # --- end of fixed values -----------------------------------------------------
 
 

@@ -7,9 +7,11 @@ twice, which replaces a sleep-and-retry loop: task and stage retries are
 Spark's, and a whole-job rerun is safe.
 
 Join strategy is left to the planner: the target side grows with the
-warehouse and is never force-broadcast; AQE turns the join into a broadcast
-only after measuring a small target at runtime, and splits a batch partition
-made hot by many identical rows (skew join). Bucketing the target on its key
+warehouse and is never force-broadcast. It is broadcast only when Spark's
+size check passes (the static estimate of the pruned key column, then AQE's
+measured size, against the broadcast threshold); otherwise it is a
+sort-merge join, and AQE splits a batch partition made hot by many
+identical rows (skew join). Bucketing the target on its key
 (``Target.buckets``) removes the shuffle of the target side altogether.
 """
 
@@ -113,9 +115,9 @@ def _by_name(df: DataFrame, target_cols: list[str]) -> DataFrame:
     return df.select(*[F.col("`" + have[c.lower()] + "`").alias(c) for c in target_cols])
 
 
-def _write(df: DataFrame, target: Target, overwrite: bool) -> None:
+def _write(df: DataFrame, target: Target, overwrite: bool, current: DataFrame | None = None) -> None:
     spark = df.sparkSession
-    target_cols = read_target(spark, target).columns
+    target_cols = (current if current is not None else read_target(spark, target)).columns
     aligned = _by_name(df, target_cols)
     if target.table is not None:
         # positional insert into the table's own layout (buckets, partitions)
@@ -173,8 +175,9 @@ def incremental_insert(df: DataFrame, target: Target, key_col: str, *, dedupe: b
         create_target(spark, target, schema or df.schema, key_col)
     obs_in, obs_out = Observation(), Observation()
     batch = df.observe(obs_in, F.count(F.lit(1)).alias("n"))
-    fresh = new_rows(batch, read_target(spark, target), key_col, dedupe=dedupe)
-    _write(fresh.observe(obs_out, F.count(F.lit(1)).alias("n")), target, overwrite=False)
+    current = read_target(spark, target)  # one listing of the target per load
+    fresh = new_rows(batch, current, key_col, dedupe=dedupe)
+    _write(fresh.observe(obs_out, F.count(F.lit(1)).alias("n")), target, overwrite=False, current=current)
     return LoadResult(rows_in=int(obs_in.get.get("n", 0)), rows_written=int(obs_out.get.get("n", 0)))
 
 

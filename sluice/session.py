@@ -63,8 +63,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be set (a distributed file system path every
-    executor can reach). Only when it is unset, as in local tests, a folder
-    is made here and registered on the context.
+    executor can reach); unset there is an error. Only in local mode (tests)
+    an unset folder is made here and registered on the context.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -74,6 +74,11 @@ def checkpoint_root(spark: SparkSession) -> str:
             sc.setCheckpointDir(current)
             current = sc.getCheckpointDir() or current
     if not current:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a shared folder every executor can reach "
+                "(staged tables, stream checkpoints and work tables are written there)"
+            )
         local = tempfile.mkdtemp(prefix="sluice-ckpt-")
         sc.setCheckpointDir(local)
         current = sc.getCheckpointDir() or local

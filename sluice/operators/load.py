@@ -102,8 +102,12 @@ def create_target(spark: SparkSession, target: Target, schema: StructType, key_c
                 raise ValueError("a bucketed target needs key_col")
             writer = writer.bucketBy(target.buckets, key_col).sortBy(key_col)
         writer.mode("errorifexists").saveAsTable(target.table)
-    else:
-        writer.mode("errorifexists").save(target.path)
+        return
+    # a path may exist without a readable table in it (an empty folder):
+    # create there, but never replace an existing table
+    if target_exists(spark, target):
+        raise ValueError(f"target {target.label} already exists")
+    writer.mode("overwrite").save(target.path)
 
 
 def _by_name(df: DataFrame, target_cols: list[str]) -> DataFrame:

@@ -119,3 +119,14 @@ def test_bucketed_catalog_target(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # the bucketed target side is read without its own shuffle: one exchange (the batch)
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_create_target_in_empty_folder_but_never_over_a_table(spark):
+    import os
+    t = L.Target(path=work_path(spark, "test", "empty"))
+    os.makedirs(t.path.split(":", 1)[-1] if t.path.startswith("file:") else t.path, exist_ok=True)
+    assert not L.target_exists(spark, t)
+    L.create_target(spark, t, SPEC.schema, SPEC.key_col)
+    assert L.target_exists(spark, t)
+    with pytest.raises(ValueError, match="already exists"):
+        L.create_target(spark, t, SPEC.schema, SPEC.key_col)

@@ -75,6 +75,7 @@ class TableSpec:
     audit: AuditSpec | None = DEFAULT_AUDIT
     hash_cols: tuple[str, ...] | None = None
     time_zone: str | None = None
+    extracted_col: str | None = None
 
     def __post_init__(self) -> None:
         names = [f.name for f in self.schema.fields]
@@ -91,6 +92,8 @@ class TableSpec:
             missing = [c for c in self.audit.columns if c not in names]
             if missing:
                 raise ValueError(f"{self.name}: audit columns missing from schema: {missing}")
+        if self.extracted_col is not None and self.extracted_col not in names:
+            raise ValueError(f"{self.name}: extracted column {self.extracted_col} not in schema")
 
     @property
     def target_columns(self) -> list[str]:
@@ -98,10 +101,12 @@ class TableSpec:
 
     @property
     def derived_columns(self) -> set[str]:
-        """Columns with no source: the key and the audit columns."""
+        """Columns with no mapped source: key, audit and extraction-time columns."""
         out = {self.key_col}
         if self.audit is not None:
             out.update(self.audit.columns)
+        if self.extracted_col is not None:
+            out.add(self.extracted_col)
         return out
 
     @property
@@ -152,11 +157,15 @@ def make_spec(
     audit: AuditSpec | None = DEFAULT_AUDIT,
     hash_cols: tuple[str, ...] | None = None,
     time_zone: str | None = None,
+    extracted_col: str | None = None,
 ) -> TableSpec:
     """Build a spec from ``(source_name or None, target_name, type[, nullable])`` rows.
 
     The key column is added first and the audit columns last, so ``columns``
     holds only the source-fed columns. ``aliases`` adds extra source spellings.
+    ``extracted_col`` adds a timestamp column, before the audit columns, that
+    keeps the extraction time the sync stamped on the raw rows (the ingest
+    stamp would otherwise overwrite it).
     """
     fields = [StructField(key_col, StringType(), True)]
     mapping: dict[str, str] = {}
@@ -168,6 +177,8 @@ def make_spec(
             mapping[src.lower()] = dst
     for src, dst in (aliases or {}).items():
         mapping[src.lower()] = dst
+    if extracted_col is not None:
+        fields.append(StructField(extracted_col, TimestampType(), True))
     if audit is not None:
         fields.extend(audit.fields())
     return TableSpec(
@@ -181,4 +192,5 @@ def make_spec(
         audit=audit,
         hash_cols=hash_cols,
         time_zone=time_zone,
+        extracted_col=extracted_col,
     )

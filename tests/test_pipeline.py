@@ -97,3 +97,18 @@ def test_jdbc_name_guard():
     with pytest.raises(ValueError):
         jdbc.parse_table_name("lead; drop table x")
     assert raw.raw_path("s3://b/base/", "RAW", "db", 'public."lead_xref"') == "s3://b/base/RAW/db/lead_xref"
+
+
+def test_extraction_time_survives_the_ingest_stamp(spark):
+    from sluice.operators.conform import conform
+    from sluice.spec import make_spec
+
+    path = work_path(spark, "test", "raw_extracted")
+    P.sync_tables(spark, [P.SyncJob("orders", lambda: orders(spark), path)], audit=tpch.AUDIT,
+                  as_of="2024-01-01 00:00:00")
+    spec = make_spec("o", "K", [("o_orderkey", "ID", "decimal(38,0)")], extracted_col="EXTRACTED_AT")
+    out = conform(raw.read_raw(spark, path), spec, AS_OF).select(
+        F.col("EXTRACTED_AT").cast("string").alias("x"), F.col("ETL_CREATED_DATE").cast("string").alias("c"))
+    r = out.first()
+    assert r["x"] == "2024-01-01 00:00:00" and r["c"] == "2024-06-01 12:00:00"
+    assert spec.target_columns[-6] == "EXTRACTED_AT" and "EXTRACTED_AT" not in spec.key_inputs()

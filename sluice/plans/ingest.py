@@ -2,10 +2,12 @@
 
 One table's ingest is: conform (one collapsed projection) -> set rows that
 break the contract aside -> load by mode -> log. Per table there is one
-write job for the loaded rows, plus one for rejects when asked; with
-``stage=True`` the conformed frame is first written once to the shared
-checkpoint folder, which cuts the lineage (a lost executor re-reads staged
-files instead of re-running the source read) and lets both writes read it.
+write job for the loaded rows, plus one for rejects when a reject target is
+given. Staging (the default when there are two outputs, else ``stage=True``)
+first writes the conformed frame once to the shared checkpoint folder: the
+source is read and cleaned once, the lineage is cut (a lost executor
+re-reads staged files instead of re-running the source read), and both
+writes read the staged files.
 """
 
 from __future__ import annotations
@@ -57,7 +59,7 @@ class IngestOptions:
     dedupe: bool = False
     reject_unparseable: bool = False
     create_if_missing: bool = False
-    stage: bool = False
+    stage: bool | None = None  # None: stage when rows go to two outputs (loaded + rejects)
     spread_input: bool = True
     min_partitions: int | None = None
     extra: dict = field(default_factory=dict)
@@ -84,7 +86,8 @@ def ingest_table(spark: SparkSession, job: IngestJob, opts: IngestOptions, run_i
         reject_unparseable=opts.reject_unparseable,
     )
     C.assert_schema(conformed, spec.schema)
-    if opts.stage:
+    stage = opts.stage if opts.stage is not None else job.reject_target is not None
+    if stage:
         staged = work_path(spark, "stage", spec.name)
         conformed.write.mode("overwrite").parquet(staged)
         conformed = spark.read.parquet(staged)

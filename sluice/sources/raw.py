@@ -41,9 +41,11 @@ def read_raw(spark: SparkSession, path: str, fmt: str = "parquet", *, schema=Non
 
 
 def write_raw(df: DataFrame, path: str, fmt: str = "parquet", *, partition_by: tuple[str, ...] = (),
-              options: dict | None = None) -> None:
+              dynamic_partitions: bool = False, options: dict | None = None) -> None:
     """Overwrite the raw table; the new schema replaces the old one.
 
+    With ``partition_by`` and ``dynamic_partitions`` only the partitions
+    present in ``df`` are replaced (a daily extract rewrites its own day).
     Overwriting a path that ``df`` itself reads would delete its input while
     reading it, so that is refused: write to another path first.
     """
@@ -52,6 +54,8 @@ def write_raw(df: DataFrame, path: str, fmt: str = "parquet", *, partition_by: t
     writer = df.write.format(fmt).mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+        if dynamic_partitions:
+            writer = writer.option("partitionOverwriteMode", "dynamic")
     if options:
         writer = writer.options(**options)
     writer.save(path)

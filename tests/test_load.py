@@ -130,3 +130,31 @@ def test_create_target_in_empty_folder_but_never_over_a_table(spark):
     assert L.target_exists(spark, t)
     with pytest.raises(ValueError, match="already exists"):
         L.create_target(spark, t, SPEC.schema, SPEC.key_col)
+
+
+def test_hot_key_partition_is_split_by_aqe(spark):
+    # a third of the batch shares one key; AQE splits that shuffle partition
+    # of the batch side (left-anti allows it) instead of one task taking it all
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        hot = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.sha2(F.col("id").cast("string"), 256))
+        batch = spark.range(30000).select(hot.alias("KEY"), F.sha2(F.col("id").cast("string"), 512).alias("payload"))
+        target = spark.range(1000).select(F.sha2((F.col("id") + 10 ** 6).cast("string"), 256).alias("KEY"))
+        out = L.new_rows(batch, target, "KEY")
+        assert len(out.collect()) == 30000
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

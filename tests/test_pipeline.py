@@ -112,3 +112,14 @@ def test_extraction_time_survives_the_ingest_stamp(spark):
     r = out.first()
     assert r["x"] == "2024-01-01 00:00:00" and r["c"] == "2024-06-01 12:00:00"
     assert spec.target_columns[-6] == "EXTRACTED_AT" and "EXTRACTED_AT" not in spec.key_inputs()
+
+
+def test_dynamic_partition_overwrite(spark):
+    path = work_path(spark, "test", "raw_parts")
+    o = orders(spark).select("o_orderkey", "o_orderstatus")
+    raw.write_raw(o, path, partition_by=("o_orderstatus",))
+    raw.write_raw(o.filter("o_orderstatus = 'F'").limit(3), path, partition_by=("o_orderstatus",),
+                  dynamic_partitions=True)
+    back = raw.read_raw(spark, path)
+    assert back.filter("o_orderstatus = 'F'").count() == 3
+    assert back.filter("o_orderstatus = 'O'").count() == o.filter("o_orderstatus = 'O'").count()

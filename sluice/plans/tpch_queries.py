@@ -556,12 +556,13 @@ SQL_APPEND = f"SELECT * FROM ({ORDERS_CONFORMED_SQL}) a WHERE STATUS = 'F' UNION
 
 
 def q_historical_reload(spark, sf_dir):
+    """The target holds the F orders; a historical load replaces them with all orders."""
     target, conformed = _orders_target(spark, sf_dir, "reload")
-    L.load(conformed.filter(F.col("STATUS") == "O"), target, "STG_ORDERS_KEY", "append", historical=True)
+    L.load(conformed, target, "STG_ORDERS_KEY", "append", historical=True)
     return ntz(L.read_target(spark, target))
 
 
-SQL_RELOAD = f"SELECT * FROM ({ORDERS_CONFORMED_SQL}) a WHERE STATUS = 'O'"
+SQL_RELOAD = ORDERS_CONFORMED_SQL
 
 
 def q_raw_overwrite_roundtrip(spark, sf_dir):

@@ -122,6 +122,17 @@ def main():
     res["reconcile"] = timed(lambda: counts.reconcile(li_conf, L.read_target(spark, target),
                                                       li_spec.key_col).collect())
 
+    # 8) build + plan the 101-column lead contract (driver-side cost per table per run)
+    from sluice.specs import lead_specs
+
+    lead = lead_specs(time_zone=None)["lead"]
+    lead_raw = spark.createDataFrame([], ", ".join(f"`{src}` string" for src in lead.mapping))
+
+    def plan(df):
+        df._jdf.queryExecution().executedPlan()
+
+    res["plan_lead_conform"] = timed(lambda: plan(C.conform(lead_raw, lead, Q.AS_OF)))
+
     total = round(sum(res.values()), 4)
 
     # local comparison: the same timestamp cleaning as row UDFs + chained withColumn
@@ -148,6 +159,22 @@ def main():
     except ImportError:
         pass
 
+    # the same lead cleaning expressions applied as one withColumn per column
+    def chained():
+        df = lead_raw
+        sources = C.resolve_sources(lead_raw, lead)
+        clock = cells.as_of_col(Q.AS_OF)
+        for f in lead.data_fields:
+            src = sources.get(f.name)
+            if src is None:
+                df = df.withColumn(f.name, F.lit(None).cast(f.dataType))
+                continue
+            df = df.withColumnRenamed(src, f.name)
+            df = df.withColumn(f.name, C.clean_expr(F.col(f.name), StringType(), f, lead, clock))
+        plan(df)
+
+    baseline["plan_lead_withcolumn_chain"] = timed(chained, reps=1)
+
     print(json.dumps({
         "metric": "total_sec",
         "value": total,

@@ -153,6 +153,11 @@ def reload_table(df: DataFrame, target: Target) -> LoadResult:
     spark = df.sparkSession
     if not target_exists(spark, target):
         raise TargetMissingError(f"target {target.label} does not exist")
+    if target.path is not None:
+        from sluice.sources.raw import reads_path
+
+        if reads_path(df, target.path):
+            raise ValueError(f"refusing to overwrite {target.label}: the frame reads from it")
     obs = Observation()
     _write(df.observe(obs, F.count(F.lit(1)).alias("n")), target, overwrite=True)
     n = int(obs.get.get("n", 0))

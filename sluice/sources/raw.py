@@ -49,7 +49,7 @@ def write_raw(df: DataFrame, path: str, fmt: str = "parquet", *, partition_by: t
     Overwriting a path that ``df`` itself reads would delete its input while
     reading it, so that is refused: write to another path first.
     """
-    if _reads_path(df, path):
+    if reads_path(df, path):
         raise ValueError(f"refusing to overwrite {path}: the frame reads from it")
     writer = df.write.format(fmt).mode("overwrite")
     if partition_by:
@@ -61,7 +61,7 @@ def write_raw(df: DataFrame, path: str, fmt: str = "parquet", *, partition_by: t
     writer.save(path)
 
 
-def _reads_path(df: DataFrame, path: str) -> bool:
+def reads_path(df: DataFrame, path: str) -> bool:
     """Whether any file the frame scans lies under ``path``.
 
     ``inputFiles`` answers from the file index the planner already built

@@ -158,3 +158,10 @@ def test_hot_key_partition_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_reload_refuses_to_overwrite_its_own_input(spark):
+    t = fresh_target(spark, "k1")
+    with pytest.raises(ValueError, match="refusing"):
+        L.reload_table(L.read_target(spark, t), t)
+    assert contents(spark, t) == ["k1"]

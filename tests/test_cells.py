@@ -164,3 +164,48 @@ def test_json_matches_python_on_generated_text(spark):
 def test_junk_and_garbage_flags(spark):
     got = run(spark, ["abc", "ab1", "12", "2024-01-01"], lambda c: cells.is_junk_time_text(c))
     assert got == [True, True, True, False]
+
+
+def _py_number(s):
+    """Independent model: strip commas, trim spaces, anchored pattern, half-up to scale 0."""
+    import re
+    from decimal import ROUND_HALF_UP, Decimal as Dec
+
+    if s is None:
+        return None, None
+    cleaned = s.replace(",", "").strip(" ")
+    m = re.search(r"^-?\d+(\.\d+)?$", cleaned)
+    if not m:
+        return None, None
+    text = m.group(0)
+    from decimal import localcontext
+
+    with localcontext() as ctx:
+        ctx.prec = 80
+        dec = Dec(text).quantize(Dec(1), rounding=ROUND_HALF_UP)
+    dec = dec if len(dec.as_tuple().digits) <= 38 else None
+    return dec, float(text)
+
+
+def test_numbers_match_python_model_on_generated_text(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    alphabet = st.sampled_from(list("0123456789,.- +\n\tx5"))
+    samples = []
+
+    @settings(max_examples=500, deadline=None)
+    @given(st.text(alphabet, min_size=0, max_size=14))
+    def collect(s):
+        samples.append(s)
+
+    collect()
+    samples += ["9" * 38 + ".5", "9" * 38, "-" + "9" * 39]
+    dec = run(spark, samples, lambda c: cells.to_number_cell(c, StringType(), DecimalType(38, 0)))
+    dbl = run(spark, samples, lambda c: cells.to_number_cell(c, StringType(), DoubleType()))
+    bad = []
+    for s, d, x in zip(samples, dec, dbl):
+        ed, ex = _py_number(s)
+        if d != ed or x != ex:
+            bad.append((s, d, ed, x, ex))
+    assert not bad, bad[:10]

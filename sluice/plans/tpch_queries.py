@@ -732,7 +732,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "audit_stamp": (q_audit_stamp, SQL_AUDIT_STAMP),
     "ts_junk_to_null": (q_ts_junk_to_null, SQL_TS_JUNK),
     "ts_parse_formats": (q_ts_parse_formats, SQL_TS_FORMATS),
-    "ts_future_policy": (q_ts_future_policy, SQL_TS_FUTURE),
+    "ts_parse_future_policy": (q_ts_future_policy, SQL_TS_FUTURE),
     "clamp_future": (q_clamp_future, SQL_CLAMP),
     "date_parse": (q_date_parse, SQL_DATE),
     "decimal_clean": (q_decimal_clean, SQL_DECIMAL),

@@ -10,7 +10,6 @@ compared without a zone.
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -759,7 +758,3 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "run_log_latest": (q_run_log_latest, SQL_RUN_LOG),
     "lineitem_ingest": (q_lineitem_ingest, SQL_LINEITEM_INGEST),
 }
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

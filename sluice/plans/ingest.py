@@ -58,6 +58,7 @@ class IngestOptions:
     hash_after_clamp: bool = False
     dedupe: bool = False
     reject_unparseable: bool = False
+    lenient: bool = False
     create_if_missing: bool = False
     stage: bool | None = None  # None: stage when rows go to two outputs (loaded + rejects)
     spread_input: bool = True
@@ -83,7 +84,7 @@ def ingest_table(spark: SparkSession, job: IngestJob, opts: IngestOptions, run_i
     conformed = C.conform(
         raw, spec, opts.as_of, hash_algo=opts.hash_algo, null_token=opts.null_token,
         hash_after_clamp=opts.hash_after_clamp, with_reason=True,
-        reject_unparseable=opts.reject_unparseable,
+        reject_unparseable=opts.reject_unparseable, lenient=opts.lenient,
     )
     C.assert_schema(conformed, spec.schema)
     stage = opts.stage if opts.stage is not None else job.reject_target is not None

@@ -78,14 +78,25 @@ def _bare(path: str) -> str:
     return "/" + path.lstrip("/")
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition a frame that arrives in too few partitions.
+# A source read by fewer tasks than this is "narrow": a one-task JDBC read or a
+# handful of unsplittable files. Wider sources are already parallel and are
+# never reshuffled just to match the core count.
+NARROW_BELOW = 8
+
 
-    A single unsplittable file or a one-task JDBC read would otherwise run
-    every later per-row step in one task. Wide inputs (the normal case for
-    large tables) are returned unchanged, so no shuffle is added there.
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Redistribute a frame that arrives in too few partitions.
+
+    Without ``min_partitions`` only narrow sources (fewer than
+    ``NARROW_BELOW`` partitions, or fewer than the cores of a small session)
+    are touched, with a ``rebalance`` hint: AQE then sizes the partitions by
+    bytes, coalescing a small source and splitting a huge one. With
+    ``min_partitions`` the frame is round-robin repartitioned to that count
+    when it has fewer. Wide inputs are returned unchanged (no shuffle).
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    current = df.rdd.getNumPartitions()
+    if min_partitions is not None:
+        return df.repartition(min_partitions) if current < min_partitions else df
+    if current >= min(NARROW_BELOW, df.sparkSession.sparkContext.defaultParallelism):
         return df
-    return df.repartition(target)
+    return df.hint("rebalance")

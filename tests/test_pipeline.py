@@ -123,3 +123,13 @@ def test_dynamic_partition_overwrite(spark):
     back = raw.read_raw(spark, path)
     assert back.filter("o_orderstatus = 'F'").count() == 3
     assert back.filter("o_orderstatus = 'O'").count() == o.filter("o_orderstatus = 'O'").count()
+
+
+def test_spread_only_touches_narrow_sources(spark):
+    one = orders(spark)  # a single-row-group file: one scan task
+    assert one.rdd.getNumPartitions() == 1
+    spread_plan = raw.spread(one)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Rebalance" in spread_plan or "Repartition" in spread_plan
+    wide = one.repartition(16)
+    assert raw.spread(wide) is wide
+    assert raw.spread(one, 4).rdd.getNumPartitions() == 4

@@ -65,3 +65,29 @@ def test_lead_jobs_end_to_end(spark):
     again = P.ingest_tables(spark, jobs, opts)
     assert [r.rows_written for r in again] == [0, 0, 0]
     assert L.read_target(spark, jobs[2].target).first()["FIRST_NAME"] == "Ann"
+
+
+def test_command_line_ingest(spark):
+    import json
+    import subprocess
+    import sys
+
+    base = work_path(spark, "test", "cli_raw")
+    spark.createDataFrame([("x1", "l1")], "leadxrefguid string, legacyleadid string").write.parquet(f"{base}/leadxref")
+    out = work_path(spark, "test", "cli_wh")
+    ckpt = work_path(spark, "test", "cli_ckpt")
+    cmd = [sys.executable, "-m", "sluice", "--master", "local[2]", "--as-of", AS_OF, "ingest",
+           "--raw-base", base, "--target-base", out, "--write-mode", "incremental_insert",
+           "--create-if-missing", "--tables", "lead_xref"]
+    env = {"PYSPARK_SUBMIT_ARGS": f"--conf spark.checkpoint.dir={ckpt} pyspark-shell"}
+    import os
+
+    env = {**os.environ, **env}
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    res = subprocess.run(cmd, cwd=root, env=env, capture_output=True, text=True, timeout=300)
+    assert res.returncode == 0, res.stderr[-2000:]
+    recs = [json.loads(line) for line in res.stdout.splitlines() if line.startswith("{")]
+    assert [(r["table"], r["status"]) for r in recs] == [
+        ("lead_assignment", "skipped"), ("lead_xref", "ok"), ("lead", "skipped")]
+    assert recs[1]["rows_written"] == 1
+    assert L.read_target(spark, L.Target(path=f"{out}/STG_LCR_LEAD_XREF")).count() == 1

@@ -14,6 +14,7 @@ from datetime import datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    ArrayType,
     BooleanType,
     ByteType,
     DataType,
@@ -23,10 +24,13 @@ from pyspark.sql.types import (
     FloatType,
     IntegerType,
     LongType,
+    MapType,
     ShortType,
     StringType,
+    StructType,
     TimestampNTZType,
     TimestampType,
+    VariantType,
 )
 
 from sluice.functions import fixed
@@ -261,7 +265,13 @@ def is_json_text(text: Column) -> Column:
 
 
 def json_text_cell(c: Column, in_type: DataType) -> Column:
-    """The text itself when it is valid JSON, else NULL."""
+    """The text itself when it is valid JSON, else NULL.
+
+    Nested input (struct, map, array, variant) is already structured: it is
+    written out as JSON text rather than checked.
+    """
+    if isinstance(in_type, (StructType, MapType, ArrayType, VariantType)):
+        return F.to_json(c)
     text = as_text(c, in_type)
     return F.when(is_json_text(text), text)
 

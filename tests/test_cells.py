@@ -209,3 +209,10 @@ def test_numbers_match_python_model_on_generated_text(spark):
         if d != ed or x != ex:
             bad.append((s, d, ed, x, ex))
     assert not bad, bad[:10]
+
+
+def test_json_from_nested_input(spark):
+    df = spark.createDataFrame([(1, {"a": 1}), (2, None)], "i int, m map<string,int>")
+    got = [r["r"] for r in df.select("i", cells.json_text_cell(F.col("m"), df.schema["m"].dataType).alias("r"))
+           .orderBy("i").collect()]
+    assert got == ['{"a":1}', None]

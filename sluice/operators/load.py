@@ -110,12 +110,21 @@ def create_target(spark: SparkSession, target: Target, schema: StructType, key_c
     writer.mode("overwrite").save(target.path)
 
 
-def _by_name(df: DataFrame, target_cols: list[str]) -> DataFrame:
-    """Select the target's columns by name (any case); missing ones are an error."""
+def _by_name(df: DataFrame, target_cols: list[str], drop_extra: bool = False) -> DataFrame:
+    """Select the target's columns by name (any case).
+
+    Columns the target lacks are an error (the contract grew but the target
+    did not), unless ``drop_extra``; target columns the frame lacks are an
+    error too.
+    """
     have = {c.lower(): c for c in df.columns}
     missing = [c for c in target_cols if c.lower() not in have]
     if missing:
         raise ValueError(f"frame lacks target columns: {missing}")
+    wanted = {c.lower() for c in target_cols}
+    extra = [c for c in df.columns if c.lower() not in wanted]
+    if extra and not drop_extra:
+        raise ValueError(f"target lacks columns {extra}: add them to the target or drop them first")
     return df.select(*[F.col("`" + have[c.lower()] + "`").alias(c) for c in target_cols])
 
 

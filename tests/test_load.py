@@ -165,3 +165,12 @@ def test_reload_refuses_to_overwrite_its_own_input(spark):
     with pytest.raises(ValueError, match="refusing"):
         L.reload_table(L.read_target(spark, t), t)
     assert contents(spark, t) == ["k1"]
+
+
+def test_contract_drift_is_an_error(spark):
+    t = fresh_target(spark)
+    wider = batch(spark, "k1").withColumn("NEW_COL", F.lit(1))
+    with pytest.raises(ValueError, match="target lacks columns"):
+        L.append_table(wider, t)
+    with pytest.raises(ValueError, match="frame lacks target columns"):
+        L.append_table(batch(spark, "k1").drop("V"), t)

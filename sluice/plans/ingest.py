@@ -12,6 +12,7 @@ writes read the staged files.
 
 from __future__ import annotations
 
+import json
 import traceback
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -59,6 +60,7 @@ class IngestOptions:
     dedupe: bool = False
     reject_unparseable: bool = False
     lenient: bool = False
+    report_residue: bool = True
     create_if_missing: bool = False
     stage: bool | None = None  # None: stage when rows go to two outputs (loaded + rejects)
     spread_input: bool = True
@@ -85,6 +87,7 @@ def ingest_table(spark: SparkSession, job: IngestJob, opts: IngestOptions, run_i
         raw, spec, opts.as_of, hash_algo=opts.hash_algo, null_token=opts.null_token,
         hash_after_clamp=opts.hash_after_clamp, with_reason=True,
         reject_unparseable=opts.reject_unparseable, lenient=opts.lenient,
+        report_unparseable=opts.report_residue,
     )
     C.assert_schema(conformed, spec.schema)
     stage = opts.stage if opts.stage is not None else job.reject_target is not None
@@ -92,10 +95,15 @@ def ingest_table(spark: SparkSession, job: IngestJob, opts: IngestOptions, run_i
         staged = work_path(spark, "stage", spec.name)
         conformed.write.mode("overwrite").parquet(staged)
         conformed = spark.read.parquet(staged)
+    # counts for the run log ride on the load's own job (no extra pass)
     seen = Observation()
-    observed = conformed.observe(
-        seen, F.count(F.lit(1)).alias("n"), F.count_if(F.col(C.REASON_COL).isNotNull()).alias("r")
-    )
+    metrics = [F.count(F.lit(1)).alias("n"), F.count_if(F.col(C.REASON_COL).isNotNull()).alias("r")]
+    reported = C.UNPARSEABLE_COL in conformed.columns
+    typed = [f.name for f in spec.data_fields if reported and C.typed_target(f, spec)]
+    if typed:
+        lost = F.split(F.col(C.UNPARSEABLE_COL), ",")
+        metrics += [F.count_if(F.array_contains(lost, name)).alias(f"u{i}") for i, name in enumerate(typed)]
+    observed = conformed.observe(seen, *metrics)
     good, _ = C.split_rejects(observed)
     _, rejects = C.split_rejects(conformed)
 
@@ -113,8 +121,11 @@ def ingest_table(spark: SparkSession, job: IngestJob, opts: IngestOptions, run_i
         if not L.target_exists(spark, job.reject_target):
             L.create_target(spark, job.reject_target, rejects.schema)
         L.append_table(rejects, job.reject_target)
+    residue = {name: int(counts.get(f"u{i}", 0)) for i, name in enumerate(typed)}
+    residue = {k: v for k, v in residue.items() if v}
     return RunRecord(run_id, spec.name, "ingest", opts.mode, int(counts.get("n", 0)),
-                     res.rows_written, int(counts.get("r", 0)), started, datetime.now(), "ok")
+                     res.rows_written, int(counts.get("r", 0)), started, datetime.now(), "ok",
+                     residue=json.dumps(residue, sort_keys=True) if reported else None)
 
 
 def ingest_tables(spark: SparkSession, jobs: list[IngestJob], opts: IngestOptions, *,

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 RUN_LOG_SCHEMA = (
     "run_id string, table string, action string, mode string, rows_in long, rows_written long, "
-    "rows_rejected long, started_at timestamp, ended_at timestamp, status string, error string"
+    "rows_rejected long, started_at timestamp, ended_at timestamp, status string, error string, "
+    "residue string"
 )
 
 
@@ -27,6 +28,7 @@ class RunRecord:
     ended_at: datetime
     status: str  # "ok", "failed", "skipped"
     error: str | None = None
+    residue: str | None = None  # JSON: column -> non-blank raw cells that did not parse
 
 
 def records_frame(spark: SparkSession, records: list[RunRecord]) -> DataFrame:

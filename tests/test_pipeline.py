@@ -133,3 +133,23 @@ def test_spread_only_touches_narrow_sources(spark):
     wide = one.repartition(16)
     assert raw.spread(wide) is wide
     assert raw.spread(one, 4).rdd.getNumPartitions() == 4
+
+
+def test_run_log_residue_matches_schema_report(spark):
+    import json as _json
+
+    from sluice.operators.conform import schema_report
+    from sluice.plans.tpch_queries import dirty_lineitem
+
+    root = work_path(spark, "test", "residue")
+    spec = tpch.lineitem_spec()
+    job = P.IngestJob(spec, lambda: dirty_lineitem(spark, SF001), L.Target(path=f"{root}/t"))
+    log = f"{root}/log"
+    rec = P.ingest_tables(spark, [job], P.IngestOptions(as_of=AS_OF, create_if_missing=True), run_log=log)[0]
+    residue = _json.loads(rec.residue)
+    report = {r["column"]: r["n_unparseable"]
+              for r in schema_report(dirty_lineitem(spark, SF001), spec, AS_OF).collect() if r["n_unparseable"]}
+    assert residue == report and residue  # e.g. QUANTITY 'n/a', '+5'; SHIP_DATE 'n/a'; broken META
+    assert rec.rows_rejected == 0 and rec.rows_written == rec.rows_in  # reported, not rejected
+    logged = runlog.latest_runs(runlog.read_run_log(spark, log)).first()
+    assert _json.loads(logged["residue"]) == residue

@@ -9,6 +9,7 @@ expressions stay inside whole-stage code generation.
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 from pyspark.sql import Column
@@ -86,8 +87,13 @@ def pattern_guard(text: Column, fmt: str) -> Column:
     Literal characters of the pattern must occur in the text, and text
     fields (month names, AM/PM) need a letter. Skipping a pattern on a
     failed guard never changes the result; it only avoids the cost of a
-    failed parse.
+    failed parse. The conditions are one regular expression (a lookahead
+    each), so building the guard is a single expression.
     """
+    return text.rlike(_guard_regex(fmt))
+
+
+def _guard_regex(fmt: str) -> str:
     quoted, plain, inside = [], [], False
     for ch in fmt:
         if ch == "'":
@@ -97,16 +103,13 @@ def pattern_guard(text: Column, fmt: str) -> Column:
         else:
             plain.append(ch)
     literals = sorted({ch for ch in plain if not ch.isalnum()})
-    conds = [text.contains(ch) for ch in literals]
-    conds += [F.lower(text).contains(ch.lower()) for ch in sorted(set(quoted))]
+    ahead = [f"(?=.*{re.escape(ch)})" for ch in literals]
+    ahead += [f"(?=.*[{ch.lower()}{ch.upper()}])" for ch in sorted(set(quoted))]
     if "MMM" in fmt or "a" in plain:
-        conds.append(text.rlike("[A-Za-z]"))
+        ahead.append("(?=.*[A-Za-z])")
     if not literals and not quoted:
-        conds.append(~text.rlike("[/:,]"))
-    guard = conds[0]
-    for c in conds[1:]:
-        guard = guard & c
-    return guard
+        ahead.append("(?!.*[/:,])")
+    return "^(?s)" + "".join(ahead)
 
 
 def _try_pattern(text: Column, fmt: str, as_of: Column, parse) -> Column:

@@ -10,14 +10,17 @@ from sluice.functions import fixed
 HASH_ALGOS = ("sha256", "sha512", "sha3_512")
 
 
-def key_text(cols: list[Column], sep: str = fixed.KEY_SEPARATOR, null_token: str | None = None) -> Column:
+def key_text(cols: list[Column], sep: str = fixed.KEY_SEPARATOR, null_token: str | None = None,
+             is_text: list[bool] | None = None) -> Column:
     """Text that is hashed: every column as text, joined by ``sep``.
 
     With ``null_token=None`` NULL cells are skipped (``concat_ws``), so
     ``(NULL, a, b)`` and ``(a, NULL, b)`` give the same text; pass a token to
-    keep positions apart.
+    keep positions apart. ``is_text`` marks columns already of string type
+    (no cast needed).
     """
-    parts = [c.cast("string") for c in cols]
+    flags = is_text or [False] * len(cols)
+    parts = [c if text else c.cast("string") for c, text in zip(cols, flags)]
     if null_token is not None:
         parts = [F.coalesce(p, F.lit(null_token)) for p in parts]
     return F.concat_ws(sep, *parts)
@@ -46,6 +49,6 @@ def hash_text(text: Column, algo: str = "sha256") -> Column:
 
 
 def hash_key(cols: list[Column], algo: str = "sha256", sep: str = fixed.KEY_SEPARATOR,
-             null_token: str | None = None) -> Column:
+             null_token: str | None = None, is_text: list[bool] | None = None) -> Column:
     """Hex digest of the joined text of ``cols``."""
-    return hash_text(key_text(cols, sep, null_token), algo)
+    return hash_text(key_text(cols, sep, null_token, is_text), algo)

@@ -61,12 +61,12 @@ def as_text(c: Column, in_type: DataType | None = None) -> Column:
 
 
 def is_junk_time_text(text: Column) -> Column:
-    """Text that cannot be a time: 1-3 letters, 3 chars or fewer, or no digit."""
-    return (
-        text.rlike(fixed.LETTERS_ONLY_PATTERN)
-        | (F.length(text) <= fixed.JUNK_MAX_LENGTH)
-        | ~text.rlike(fixed.HAS_DIGIT_PATTERN)
-    )
+    """Text that cannot be a time: 1-3 letters, 3 chars or fewer, or no digit.
+
+    Letters-only text has no digit, so the first rule is implied by the last
+    and is not evaluated separately.
+    """
+    return (F.length(text) <= fixed.JUNK_MAX_LENGTH) | ~text.rlike(fixed.HAS_DIGIT_PATTERN)
 
 
 def _two_digit_year(fmt: str) -> bool:

@@ -17,7 +17,7 @@ identical rows (skew join). Bucketing the target on its key
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +41,7 @@ class Target:
     buckets: int | None = None
     partition_by: tuple[str, ...] = ()
     options: dict = field(default_factory=dict)
+    schema: StructType | None = None  # for path targets: read with it (an empty partitioned folder has none)
 
     def __post_init__(self) -> None:
         if (self.table is None) == (self.path is None):
@@ -62,7 +63,17 @@ class LoadResult:
 def read_target(spark: SparkSession, target: Target) -> DataFrame:
     if target.table is not None:
         return spark.table(target.table)
-    return spark.read.format(target.format).options(**target.options).load(target.path)
+    reader = spark.read.format(target.format).options(**target.options)
+    if target.schema is not None:
+        reader = reader.schema(target.schema)
+    return reader.load(target.path)
+
+
+def resolve_target(target: Target, schema: StructType) -> Target:
+    """A partitioned path target reads with an explicit schema once it may be empty."""
+    if target.path is not None and target.partition_by and target.schema is None:
+        return replace(target, schema=schema)
+    return target
 
 
 def target_exists(spark: SparkSession, target: Target) -> bool:
@@ -105,7 +116,7 @@ def create_target(spark: SparkSession, target: Target, schema: StructType, key_c
         return
     # a path may exist without a readable table in it (an empty folder):
     # create there, but never replace an existing table
-    if target_exists(spark, target):
+    if target_exists(spark, resolve_target(target, schema)):
         raise ValueError(f"target {target.label} already exists")
     writer.mode("overwrite").save(target.path)
 
@@ -145,6 +156,7 @@ def _write(df: DataFrame, target: Target, overwrite: bool, current: DataFrame |
 def append_table(df: DataFrame, target: Target, *, require_exists: bool = True) -> LoadResult:
     """Append every row (columns matched by name)."""
     spark = df.sparkSession
+    target = resolve_target(target, df.schema)
     if require_exists and not target_exists(spark, target):
         raise TargetMissingError(f"target {target.label} does not exist")
     obs = Observation()
@@ -160,6 +172,7 @@ def reload_table(df: DataFrame, target: Target) -> LoadResult:
     target must not be the source of ``df``: write elsewhere first.
     """
     spark = df.sparkSession
+    target = resolve_target(target, df.schema)
     if not target_exists(spark, target):
         raise TargetMissingError(f"target {target.label} does not exist")
     if target.path is not None:
@@ -187,6 +200,7 @@ def incremental_insert(df: DataFrame, target: Target, key_col: str, *, dedupe: b
                        create_if_missing: bool = False, schema: StructType | None = None) -> LoadResult:
     """Append only the rows whose key the target does not hold yet."""
     spark = df.sparkSession
+    target = resolve_target(target, schema or df.schema)
     if not target_exists(spark, target):
         if not create_if_missing:
             raise TargetMissingError(f"target {target.label} does not exist")
@@ -206,6 +220,7 @@ def load(df: DataFrame, target: Target, key_col: str, mode: str, *, historical:
         raise ValueError(f"Invalid write mode: {mode}")
     if historical and mode != "append":
         raise ValueError("a historical load replaces the target; it cannot be incremental")
+    target = resolve_target(target, df.schema)
     if create_if_missing and not target_exists(df.sparkSession, target):
         create_target(df.sparkSession, target, df.schema, key_col)
     if mode == "append":

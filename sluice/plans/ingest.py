@@ -107,20 +107,22 @@ def ingest_table(spark: SparkSession, job: IngestJob, opts: IngestOptions, run_i
     good, _ = C.split_rejects(observed)
     _, rejects = C.split_rejects(conformed)
 
-    if not L.target_exists(spark, job.target):
+    target = L.resolve_target(job.target, spec.schema)
+    if not L.target_exists(spark, target):
         if not opts.create_if_missing:
-            raise L.TargetMissingError(f"target {job.target.label} for {spec.name} does not exist")
-        L.create_target(spark, job.target, spec.schema, spec.key_col)
+            raise L.TargetMissingError(f"target {target.label} for {spec.name} does not exist")
+        L.create_target(spark, target, spec.schema, spec.key_col)
     if opts.mode == "append":
-        res = L.reload_table(good, job.target) if opts.historical else L.append_table(good, job.target)
+        res = L.reload_table(good, target) if opts.historical else L.append_table(good, target)
     else:
-        res = L.incremental_insert(good, job.target, spec.key_col, dedupe=opts.dedupe)
+        res = L.incremental_insert(good, target, spec.key_col, dedupe=opts.dedupe)
 
     counts = seen.get
     if job.reject_target is not None and counts.get("r", 0):
-        if not L.target_exists(spark, job.reject_target):
-            L.create_target(spark, job.reject_target, rejects.schema)
-        L.append_table(rejects, job.reject_target)
+        reject_target = L.resolve_target(job.reject_target, rejects.schema)
+        if not L.target_exists(spark, reject_target):
+            L.create_target(spark, reject_target, rejects.schema)
+        L.append_table(rejects, reject_target)
     residue = {name: int(counts.get(f"u{i}", 0)) for i, name in enumerate(typed)}
     residue = {k: v for k, v in residue.items() if v}
     return RunRecord(run_id, spec.name, "ingest", opts.mode, int(counts.get("n", 0)),

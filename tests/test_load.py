@@ -174,3 +174,27 @@ def test_contract_drift_is_an_error(spark):
         L.append_table(wider, t)
     with pytest.raises(ValueError, match="frame lacks target columns"):
         L.append_table(batch(spark, "k1").drop("V"), t)
+
+
+def test_partitioned_path_target_and_catalog_reload(spark):
+    spec = make_spec("p", "KEY", [("v", "V", "string"), ("d", "DAY", "string")], audit=None)
+
+    def rows(*pairs):
+        return conform(spark.createDataFrame(list(pairs), "v string, d string"), spec, AS_OF)
+
+    t = L.Target(path=work_path(spark, "test", "parts"), partition_by=("DAY",))
+    L.create_target(spark, t, spec.schema, spec.key_col)
+    L.incremental_insert(rows(("a", "d1"), ("b", "d2")), t, "KEY")
+    assert L.incremental_insert(rows(("a", "d1"), ("c", "d2")), t, "KEY").rows_written == 1
+    got = sorted((r["V"], r["DAY"]) for r in L.read_target(spark, t).collect())
+    assert got == [("a", "d1"), ("b", "d2"), ("c", "d2")]
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS sluice_test")
+    name = "sluice_test.reload_" + work_path(spark, "x").rsplit("/", 1)[-1][:8]
+    ct = L.Target(table=name, buckets=4)
+    L.create_target(spark, ct, spec.schema, spec.key_col)
+    L.append_table(rows(("a", "d1")), ct)
+    L.load(rows(("z", "d9")), ct, "KEY", "append", historical=True)
+    assert [r["V"] for r in L.read_target(spark, ct).collect()] == ["z"]
+    detail = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    assert detail.get("Num Buckets") == "4"

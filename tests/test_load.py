@@ -198,3 +198,21 @@ def test_partitioned_path_target_and_catalog_reload(spark):
     assert [r["V"] for r in L.read_target(spark, ct).collect()] == ["z"]
     detail = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
     assert detail.get("Num Buckets") == "4"
+
+
+def test_partitioned_catalog_target(spark):
+    spec = make_spec("p", "KEY", [("d", "DAY", "string"), ("v", "V", "string")], audit=None)
+
+    def rows(*pairs):
+        return conform(spark.createDataFrame(list(pairs), "d string, v string"), spec, AS_OF)
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS sluice_test")
+    name = "sluice_test.parts_" + work_path(spark, "x").rsplit("/", 1)[-1][:8]
+    t = L.Target(table=name, partition_by=("DAY",))
+    L.create_target(spark, t, spec.schema, spec.key_col)
+    L.incremental_insert(rows(("d1", "a"), ("d2", "b")), t, "KEY")
+    assert L.incremental_insert(rows(("d1", "a"), ("d2", "c")), t, "KEY").rows_written == 1
+    got = sorted((r["V"], r["DAY"]) for r in L.read_target(spark, t).collect())
+    assert got == [("a", "d1"), ("b", "d2"), ("c", "d2")]
+    L.load(rows(("d3", "z")), t, "KEY", "append", historical=True)
+    assert [(r["V"], r["DAY"]) for r in L.read_target(spark, t).collect()] == [("z", "d3")]

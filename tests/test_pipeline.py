@@ -153,3 +153,26 @@ def test_run_log_residue_matches_schema_report(spark):
     assert rec.rows_rejected == 0 and rec.rows_written == rec.rows_in  # reported, not rejected
     logged = runlog.latest_runs(runlog.read_run_log(spark, log)).first()
     assert _json.loads(logged["residue"]) == residue
+
+
+def test_json_raw_keeps_corrupt_records(spark):
+    import os
+
+    path = work_path(spark, "test", "json_raw")
+    local = path.split(":", 1)[-1] if path.startswith("file:") else path
+    os.makedirs(local, exist_ok=True)
+    with open(os.path.join(local, "part.json"), "w") as fh:
+        fh.write('{"leadguid": "g1", "age": "40"}\n{"leadguid": "g2", \n{"leadguid": "g3", "age": "x"}\n')
+    back = raw.read_raw(spark, path, "json", corrupt_col="_corrupt").cache()
+    assert back.count() == 3
+    assert back.filter("_corrupt IS NOT NULL").count() == 1
+
+
+def test_lead_sync_jobs_shape(spark):
+    from sluice.plans.lead import lead_sync_jobs, warehouse_table
+
+    jobs = lead_sync_jobs(spark, "jdbc:x://h/db", "abfss://c@a/base", "RAW", "db", partition_column="id")
+    assert [j.name for j in jobs] == ["leadassignment", "leadxref", "lead"]
+    assert [j.raw_path for j in jobs] == [f"abfss://c@a/base/RAW/db/{n}" for n in ("leadassignment", "leadxref", "lead")]
+    assert warehouse_table("lead_xref") == "STG_LCR_LEAD_XREF"
+    assert warehouse_table("lead", "stage") == "stage.STG_LCR_LEAD"

@@ -47,6 +47,8 @@ class SyncJob:
     source: Source
     raw_path: str
     raw_format: str = "parquet"
+    partition_by: tuple[str, ...] = ()
+    dynamic_partitions: bool = False  # replace only the partitions present in this extract
 
 
 @dataclass
@@ -174,7 +176,8 @@ def sync_tables(spark: SparkSession, jobs: list[SyncJob], *, audit: AuditSpec,
         try:
             obs = Observation()
             stamped = C.with_audit(job.source(), audit, as_of).observe(obs, F.count(F.lit(1)).alias("n"))
-            write_raw(stamped, job.raw_path, job.raw_format)
+            write_raw(stamped, job.raw_path, job.raw_format, partition_by=job.partition_by,
+                      dynamic_partitions=job.dynamic_partitions)
             n = int(obs.get.get("n", 0))
             return RunRecord(run_id, job.name, "sync", "overwrite", n, n, None, started, datetime.now(), "ok")
         except Exception as exc:

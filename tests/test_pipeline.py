@@ -176,3 +176,17 @@ def test_lead_sync_jobs_shape(spark):
     assert [j.raw_path for j in jobs] == [f"abfss://c@a/base/RAW/db/{n}" for n in ("leadassignment", "leadxref", "lead")]
     assert warehouse_table("lead_xref") == "STG_LCR_LEAD_XREF"
     assert warehouse_table("lead", "stage") == "stage.STG_LCR_LEAD"
+
+
+def test_sync_into_daily_partitions(spark):
+    from pyspark.sql import functions as F
+
+    path = work_path(spark, "test", "raw_daily")
+    day1 = orders(spark).limit(5).withColumn("extract_day", F.lit("2024-06-01"))
+    day2 = orders(spark).limit(3).withColumn("extract_day", F.lit("2024-06-02"))
+    for frame in (day1, day2, day2):  # re-running a day replaces only that day
+        job = P.SyncJob("orders", lambda f=frame: f, path, partition_by=("extract_day",), dynamic_partitions=True)
+        assert P.sync_tables(spark, [job], audit=tpch.AUDIT, as_of=AS_OF)[0].status == "ok"
+    counts = {str(r["extract_day"]): r["n"] for r in raw.read_raw(spark, path).groupBy("extract_day")
+              .agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert counts == {"2024-06-01": 5, "2024-06-02": 3}

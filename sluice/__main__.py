@@ -36,6 +36,8 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--db", required=True)
     s.add_argument("--partition-column", default=None, help="numeric/date column for parallel reads")
     s.add_argument("--num-partitions", type=int, default=None)
+    s.add_argument("--raw-partition-by", nargs="*", default=[], help="partition the raw tables by these columns")
+    s.add_argument("--dynamic-partitions", action="store_true", help="replace only the partitions extracted")
 
     i = sub.add_parser("ingest", help="conform raw tables and load the warehouse tables")
     i.add_argument("--raw-base", required=True, help="folder holding leadassignment/, leadxref/, lead/")
@@ -59,7 +61,9 @@ def main(argv: list[str] | None = None) -> int:
     if args.cmd == "sync":
         props = dict(kv.split("=", 1) for kv in args.jdbc_property)
         jobs = lead_sync_jobs(spark, args.jdbc_url, args.raw_base, args.stage, args.db, properties=props,
-                              partition_column=args.partition_column, num_partitions=args.num_partitions)
+                              partition_column=args.partition_column, num_partitions=args.num_partitions,
+                              raw_partition_by=tuple(args.raw_partition_by),
+                              dynamic_partitions=args.dynamic_partitions)
         records = sync_tables(spark, jobs, audit=AuditSpec(source_system=args.source_system),
                               as_of=args.as_of, run_log=args.run_log, max_parallel=args.parallel)
     else:

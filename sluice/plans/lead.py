@@ -44,9 +44,14 @@ def lead_ingest_jobs(spark: SparkSession, raw_base: str, target_for: Callable[[s
 
 def lead_sync_jobs(spark: SparkSession, url: str, raw_base: str, stage: str, db: str, *,
                    properties: dict | None = None, partition_column: str | None = None,
-                   num_partitions: int | None = None,
+                   num_partitions: int | None = None, raw_partition_by: tuple[str, ...] = (),
+                   dynamic_partitions: bool = False,
                    tables: tuple[str, ...] = SOURCE_TABLES) -> list[SyncJob]:
-    """One JDBC-to-raw job per source table (parallel read when a column is given)."""
+    """One JDBC-to-raw job per source table (parallel read when a column is given).
+
+    ``raw_partition_by`` with ``dynamic_partitions`` lands each extract in its
+    own partitions (for example an extract-day column) and replaces only those.
+    """
     jobs = []
     for table in tables:
         _, name = parse_table_name(table)
@@ -55,5 +60,7 @@ def lead_sync_jobs(spark: SparkSession, url: str, raw_base: str, stage: str, db:
             lambda t=table: read_jdbc(spark, url, t, properties=properties,
                                       partition_column=partition_column, num_partitions=num_partitions),
             raw_path(raw_base, stage, db, table),
+            partition_by=raw_partition_by,
+            dynamic_partitions=dynamic_partitions,
         ))
     return jobs

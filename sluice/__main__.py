@@ -52,12 +52,29 @@ def _parser() -> argparse.ArgumentParser:
     i.add_argument("--tables", nargs="*", default=None, help="only these tables (default: all three)")
     i.add_argument("--create-if-missing", action="store_true")
     i.add_argument("--reject-base", default=None, help="folder for rows set aside, one per table")
+
+    r = sub.add_parser("report", help="per-column contract report of raw tables (one pass each)")
+    r.add_argument("--raw-base", required=True, help="folder holding leadassignment/, leadxref/, lead/")
+    r.add_argument("--raw-format", default="parquet")
+    r.add_argument("--tables", nargs="*", default=None, help="only these tables (default: all three)")
     return p
 
 
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     spark = build_session(args.master, app_name=f"sluice-{args.cmd}", time_zone=args.time_zone)
+    if args.cmd == "report":
+        from sluice.operators.conform import schema_report
+        from sluice.specs import lead_specs
+        from sluice.sources.raw import read_raw
+
+        for name, spec in lead_specs(source_system=args.source_system, time_zone=args.time_zone).items():
+            if args.tables is not None and name not in args.tables:
+                continue
+            raw = read_raw(spark, f"{args.raw_base.rstrip('/')}/{name.replace('_', '')}", args.raw_format)
+            for row in schema_report(raw, spec, args.as_of).orderBy("ordinal").collect():
+                print(json.dumps({"table": name, **row.asDict()}))
+        return 0
     if args.cmd == "sync":
         props = dict(kv.split("=", 1) for kv in args.jdbc_property)
         jobs = lead_sync_jobs(spark, args.jdbc_url, args.raw_base, args.stage, args.db, properties=props,

@@ -91,3 +91,18 @@ def test_command_line_ingest(spark):
         ("lead_assignment", "skipped"), ("lead_xref", "ok"), ("lead", "skipped")]
     assert recs[1]["rows_written"] == 1
     assert L.read_target(spark, L.Target(path=f"{out}/STG_LCR_LEAD_XREF")).count() == 1
+
+
+def test_command_line_report(spark, capsys):
+    import json
+
+    from sluice.__main__ import main
+
+    base = work_path(spark, "test", "report_raw")
+    spark.createDataFrame([("x1", "2024-01-01", "maybe"), ("x2", "n/a", "yes")],
+                          "leadxrefguid string, leveldate string, isdeletedsource string") \
+        .write.parquet(f"{base}/leadxref")
+    assert main(["--as-of", AS_OF, "report", "--raw-base", base, "--tables", "lead_xref"]) == 0
+    rows = {r["column"]: r for r in map(json.loads, capsys.readouterr().out.splitlines())}
+    assert rows["LEVEL_DATE"]["n_present"] == 2 and rows["LEVEL_DATE"]["n_unparseable"] == 1
+    assert rows["LEAD_CODE"]["issue"] == "missing" and len(rows) == 12

@@ -190,3 +190,15 @@ def test_sync_into_daily_partitions(spark):
     counts = {str(r["extract_day"]): r["n"] for r in raw.read_raw(spark, path).groupBy("extract_day")
               .agg(F.count(F.lit(1)).alias("n")).collect()}
     assert counts == {"2024-06-01": 5, "2024-06-02": 3}
+
+
+def test_parallel_sync_with_run_log(spark):
+    root = work_path(spark, "test", "psync")
+    names = ("orders", "customer", "nation")
+    jobs = [P.SyncJob(n, lambda n=n: spark.read.parquet(f"{SF001}/{n}.parquet"), f"{root}/{n}") for n in names]
+    recs = P.sync_tables(spark, jobs, audit=tpch.AUDIT, as_of=AS_OF, run_log=f"{root}/log", max_parallel=3)
+    assert [r.table for r in recs] == list(names) and all(r.status == "ok" for r in recs)
+    for n, r in zip(names, recs):
+        assert r.rows_written == spark.read.parquet(f"{SF001}/{n}.parquet").count() == raw.read_raw(
+            spark, f"{root}/{n}").count()
+    assert runlog.read_run_log(spark, f"{root}/log").count() == 3

@@ -202,3 +202,17 @@ def test_parallel_sync_with_run_log(spark):
         assert r.rows_written == spark.read.parquet(f"{SF001}/{n}.parquet").count() == raw.read_raw(
             spark, f"{root}/{n}").count()
     assert runlog.read_run_log(spark, f"{root}/log").count() == 3
+
+
+def test_lenient_option_through_the_pipeline(spark):
+    from sluice.spec import make_spec
+
+    root = work_path(spark, "test", "lenient_pipe")
+    spec = make_spec("t", "K", [("a", "A", "timestamp")])
+    src = spark.createDataFrame([("March 10 2024",), ("2024-03-10 00:00:00",)], "a string")
+    for lenient, expect_null in ((False, 1), (True, 0)):
+        t = L.Target(path=f"{root}/{lenient}")
+        job = P.IngestJob(spec, lambda: src, t)
+        rec = P.ingest_table(spark, job, P.IngestOptions(as_of=AS_OF, create_if_missing=True, lenient=lenient))
+        assert rec.rows_written == 2
+        assert L.read_target(spark, t).filter("A IS NULL").count() == expect_null

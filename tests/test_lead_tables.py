@@ -3,6 +3,7 @@
 import datetime as dt
 
 from sluice.operators import conform as C
+from sluice.spec import AuditSpec
 from sluice.operators import load as L
 from sluice.plans import ingest as P
 from sluice.plans.lead import lead_ingest_jobs, warehouse_table
@@ -106,3 +107,33 @@ def test_command_line_report(spark, capsys):
     rows = {r["column"]: r for r in map(json.loads, capsys.readouterr().out.splitlines())}
     assert rows["LEVEL_DATE"]["n_present"] == 2 and rows["LEVEL_DATE"]["n_unparseable"] == 1
     assert rows["LEAD_CODE"]["issue"] == "missing" and len(rows) == 12
+
+
+def test_two_hop_sync_then_ingest(spark):
+    from sluice.operators.counts import reconcile
+    from sluice.plans.lead import lead_ingest_jobs, warehouse_table
+    from sluice.plans.tpch_queries import ASSIGN_EXTRACT, LEAD_EXTRACT, XREF_EXTRACT, read
+    from sluice.sources.raw import raw_path
+    from conftest import SF001
+
+    base = work_path(spark, "test", "two_hop")
+    extracts = {  # stand-ins for the three source tables (JDBC in production)
+        'public."leadassignment"': (ASSIGN_EXTRACT, "lineitem"),
+        'public."leadxref"': (XREF_EXTRACT.replace("INTERVAL 1 DAY", "INTERVAL 1 DAYS"), "orders"),
+        'public."lead"': (LEAD_EXTRACT, "customer"),
+    }
+    jobs = [P.SyncJob(t.split(".")[1].strip('"'),
+                      lambda q=q, src=src: spark.sql(q, src=read(spark, SF001, src)),
+                      raw_path(base, "RAW", "db", t)) for t, (q, src) in extracts.items()]
+    assert all(r.status == "ok" for r in P.sync_tables(spark, jobs, audit=AuditSpec(), as_of=AS_OF))
+
+    out = work_path(spark, "test", "two_hop_wh")
+    ingest = lead_ingest_jobs(spark, f"{base}/RAW/db", lambda n: L.Target(path=f"{out}/{warehouse_table(n)}"))
+    opts = P.IngestOptions(mode="incremental_insert", as_of=AS_OF, create_if_missing=True)
+    first = P.ingest_tables(spark, ingest, opts)
+    again = P.ingest_tables(spark, ingest, opts)
+    assert [r.status for r in first] == ["ok"] * 3 and [r.rows_written for r in again] == [0, 0, 0]
+    for job, rec in zip(ingest, first):
+        src = C.conform(job.source(), job.spec, AS_OF)
+        row = reconcile(src, L.read_target(spark, job.target), job.spec.key_col).first()
+        assert row["missing_in_target"] == 0 and row["target_rows"] == rec.rows_written > 0

@@ -46,6 +46,10 @@ def main():
 
     o_spec = tpch.orders_spec()
     oc = C.conform(Q.read(spark, sf_dir, "orders"), o_spec, Q.AS_OF)
+    sections.append(("Filter on a conformed column",
+                     "The predicate on STATUS is pushed through the conform projections into the "
+                     "parquet scan (PushedFilters on o_orderstatus).",
+                     explain(oc.filter(F.col("STATUS") == "F"))))
     t = L.Target(path=work_path(spark, "plans", "orders"))
     L.create_target(spark, t, o_spec.schema, o_spec.key_col)
     L.append_table(oc.filter(F.col("STATUS") == "F"), t)

@@ -7,6 +7,7 @@ from sluice.llm.exact_dedup import OP3_SQL, op3_exact_dedup
 from sluice.llm.mixing import OP10_SQL, op10_mixing
 from sluice.llm.near_vectors import op1_near_vectors
 from sluice.llm.ngram_join import op9_ngram_join
+from sluice.llm.suffix_dedup import op8_suffix_dedup
 from sluice.llm.token_counts import op6_token_counts
 
 QUERIES = {
@@ -14,6 +15,7 @@ QUERIES = {
     "op2_bpe_codec": (op2_bpe_codec, None),
     "op3_exact_dedup": (op3_exact_dedup, OP3_SQL),
     "op6_token_counts": (op6_token_counts, None),
+    "op8_suffix_dedup": (op8_suffix_dedup, None),
     "op9_ngram_join": (op9_ngram_join, None),
     "op10_mixing": (op10_mixing, OP10_SQL),
 }

@@ -7,6 +7,7 @@ from sluice.llm.exact_dedup import OP3_SQL, op3_exact_dedup
 from sluice.llm.mixing import OP10_SQL, op10_mixing
 from sluice.llm.near_vectors import op1_near_vectors
 from sluice.llm.ngram_join import op9_ngram_join
+from sluice.llm.pii_spans import op5_pii
 from sluice.llm.quality import op7_quality
 from sluice.llm.suffix_dedup import op8_suffix_dedup
 from sluice.llm.token_counts import op6_token_counts
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_bpe_codec": (op2_bpe_codec, None),
     "op3_exact_dedup": (op3_exact_dedup, OP3_SQL),
     "op4_url_filters": (op4_url_filters, None),
+    "op5_pii": (op5_pii, None),
     "op6_token_counts": (op6_token_counts, None),
     "op7_quality": (op7_quality, None),
     "op8_suffix_dedup": (op8_suffix_dedup, None),

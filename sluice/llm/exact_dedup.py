@@ -84,9 +84,12 @@ def _groups(digits: DataFrame) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row left of each group of equal texts, all columns kept."""
+    """``docs`` with one row left of each group of equal texts, all columns kept.
+
+    Of rows with one id and equal texts one stays; rows without an id all stay.
+    """
     verdict = exact_dedup(docs, id_col, text_col)
-    dropped = verdict.where(~F.col("kept")).select(F.col(id_col).alias("__gone"))
+    dropped = verdict.where(~F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).alias("__gone"))
     left = docs.join(dropped, docs[id_col].eqNullSafe(F.col("__gone")), "left_anti")
     repeated = docs.groupBy(id_col).count().where("count > 1")
     if repeated.head(1):  # the same row more than once

@@ -9,7 +9,6 @@ expressions stay inside whole-stage code generation.
 
 from __future__ import annotations
 
-import re
 from datetime import datetime
 
 from pyspark.sql import Column
@@ -34,7 +33,7 @@ from pyspark.sql.types import (
     VariantType,
 )
 
-from sluice.functions import fixed
+from sluice.functions import fixed, timetext
 
 NUMERIC_TYPES = (ByteType, ShortType, IntegerType, LongType, FloatType, DoubleType, DecimalType)
 
@@ -69,78 +68,31 @@ def is_junk_time_text(text: Column) -> Column:
     return (F.length(text) <= fixed.JUNK_MAX_LENGTH) | ~text.rlike(fixed.HAS_DIGIT_PATTERN)
 
 
-def _two_digit_year(fmt: str) -> bool:
-    return "yy" in fmt and "yyy" not in fmt
-
-
-def _century_fix(value: Column, as_of: Column) -> Column:
-    """Spark reads ``yy`` as 20yy; move years too far ahead back one century."""
-    return F.when(
-        F.year(value) >= F.year(as_of) + fixed.TWO_DIGIT_YEAR_WINDOW,
-        value - F.expr("INTERVAL 100 YEARS"),
-    ).otherwise(value)
-
-
-def pattern_guard(text: Column, fmt: str) -> Column:
-    """A cheap test every text the pattern can parse must pass.
-
-    Literal characters of the pattern must occur in the text, and text
-    fields (month names, AM/PM) need a letter. Skipping a pattern on a
-    failed guard never changes the result; it only avoids the cost of a
-    failed parse. The conditions are one regular expression (a lookahead
-    each), so building the guard is a single expression.
-    """
-    return text.rlike(_guard_regex(fmt))
-
-
-def _guard_regex(fmt: str) -> str:
-    quoted, plain, inside = [], [], False
-    for ch in fmt:
-        if ch == "'":
-            inside = not inside
-        elif inside:
-            quoted.append(ch)
-        else:
-            plain.append(ch)
-    literals = sorted({ch for ch in plain if not ch.isalnum()})
-    ahead = [f"(?=.*{re.escape(ch)})" for ch in literals]
-    ahead += [f"(?=.*[{ch.lower()}{ch.upper()}])" for ch in sorted(set(quoted))]
-    if "MMM" in fmt or "a" in plain:
-        ahead.append("(?=.*[A-Za-z])")
-    if not literals and not quoted:
-        ahead.append("(?!.*[/:,])")
-    return "^(?s)" + "".join(ahead)
-
-
-def _try_pattern(text: Column, fmt: str, as_of: Column, parse) -> Column:
-    one = parse(text, fmt)
-    if _two_digit_year(fmt):
-        one = _century_fix(one, as_of)
-    return F.when(pattern_guard(text, fmt), one)
-
-
-def parse_timestamp_text(text: Column, as_of: Column,
-                         formats: tuple[str, ...] = fixed.DATETIME_FORMATS) -> Column:
-    """Text to timestamp: native ISO cast first, then each fallback pattern.
+def parse_timestamp_text(text: Column, as_of: Column, clamp_parsed: bool = False) -> Column:
+    """Text to timestamp: the native ISO cast, then one parse of the shaped text.
 
     Junk text and bare times of day give NULL. Naive text is read in the
-    session time zone; text with an offset is converted.
+    session time zone; text with an offset is converted. ``clamp_parsed`` turns
+    future values into as_of where the native cast did not take the text.
     """
-    tries = [F.try_to_timestamp(text)] + [
-        _try_pattern(text, fmt, as_of, lambda t, f: F.try_to_timestamp(t, F.lit(f))) for fmt in formats
-    ]
-    return F.when(is_junk_time_text(text) | text.rlike(fixed.BARE_TIME_PATTERN), None).otherwise(
-        F.coalesce(*tries)
-    )
+    shaped = timetext.shaped_timestamp(text, as_of)
+    if clamp_parsed:
+        shaped = F.when(shaped > as_of, as_of).otherwise(shaped)
+    return F.when(~is_junk_time_text(text) & ~text.rlike(timetext.BARE_TIME), F.coalesce(F.try_to_timestamp(text), shaped))
 
 
-def to_timestamp_cell(c: Column, in_type: DataType, as_of: Column) -> Column:
-    """Any input to ``TimestampType`` (no range or future rule yet)."""
+def to_timestamp_cell(c: Column, in_type: DataType, as_of: Column, clamp_parsed: bool = False) -> Column:
+    """Any input to ``TimestampType`` (no range or future rule yet).
+
+    Numbers are seconds since 1970; like text, three characters or fewer are junk.
+    """
     if isinstance(in_type, TimestampType):
         return c
     if isinstance(in_type, (TimestampNTZType, DateType)):
         return c.cast(TimestampType())
-    return parse_timestamp_text(as_text(c, in_type), as_of)
+    if isinstance(in_type, NUMERIC_TYPES):
+        return F.when(F.length(c.cast(StringType())) > fixed.JUNK_MAX_LENGTH, c.try_cast(TimestampType()))
+    return parse_timestamp_text(as_text(c, in_type), as_of, clamp_parsed)
 
 
 def timestamp_in_range(ts: Column, as_of: Column) -> Column:
@@ -171,25 +123,22 @@ def etl_default(ts: Column, as_of: Column) -> Column:
     return F.coalesce(ts, as_of)
 
 
-def date_parse_parts(c: Column, in_type: DataType, as_of: Column,
-                     formats: tuple[str, ...] = fixed.DATETIME_FORMATS) -> tuple[Column, Column | None]:
+def date_parse_parts(c: Column, in_type: DataType, as_of: Column) -> tuple[Column, Column | None]:
     """Parse any input to ``DateType``; returns ``(date, iso_flag)``.
 
-    ``iso_flag`` is None for typed input. For text it tells whether the
-    text had the ISO shape (those dates are kept even in the future, see
-    ``date_future_rule``). ISO-shaped text is parsed by the native cast, the
-    first entry of the chain; no fallback pattern can parse that shape.
+    ``iso_flag`` is None for dates, which are kept as they are. For text it tells
+    whether the text had the ISO shape: those dates are kept even in the future,
+    others are not (see ``date_future_rule``). Timestamps keep the year range and
+    count as other text. ISO text takes the native cast, the rest one shaped parse.
     """
     if isinstance(in_type, DateType):
         return c, None
     if isinstance(in_type, (TimestampType, TimestampNTZType)):
-        return F.to_date(c), None
+        return F.to_date(timestamp_in_range(c, as_of)), F.lit(False)
     text = as_text(c, in_type)
-    tries = [F.try_to_date(text)] + [
-        _try_pattern(text, fmt, as_of, lambda t, f: F.try_to_date(t, f)) for fmt in formats
-    ]
-    parsed = F.when(~is_junk_time_text(text), F.coalesce(*tries))
-    return parsed, text.rlike(fixed.ISO_DATE_PATTERN)
+    iso = text.rlike(fixed.ISO_DATE_PATTERN)
+    shaped = F.when(~is_junk_time_text(text), timetext.shaped_date(text, as_of))
+    return F.when(iso, F.try_to_date(text)).otherwise(shaped), iso
 
 
 def date_future_rule(parsed: Column, iso_flag: Column | None, as_of: Column) -> Column:
@@ -199,16 +148,15 @@ def date_future_rule(parsed: Column, iso_flag: Column | None, as_of: Column) ->
     return F.when(iso_flag | (parsed <= F.to_date(as_of)), parsed)
 
 
-def to_date_cell(c: Column, in_type: DataType, as_of: Column,
-                 formats: tuple[str, ...] = fixed.DATETIME_FORMATS) -> Column:
+def to_date_cell(c: Column, in_type: DataType, as_of: Column) -> Column:
     """Any input to ``DateType``.
 
     ISO text ``yyyy-MM-dd`` is cast directly and kept even when in the future;
-    other text goes through the native cast and the pattern list, and a
-    result after the as_of date is dropped. (``conform`` computes the parse
-    and the rule in two projections so the parse runs once per cell.)
+    a date parsed from other text, or taken from a timestamp, is dropped when it
+    lies after the as_of date. (``conform`` computes the parse and the rule in
+    two projections so the parse runs once per cell.)
     """
-    parsed, iso = date_parse_parts(c, in_type, as_of, formats)
+    parsed, iso = date_parse_parts(c, in_type, as_of)
     return date_future_rule(parsed, iso, as_of)
 
 
@@ -254,17 +202,32 @@ def boolean_text_cell(c: Column, in_type: DataType) -> Column:
     return F.coalesce(F.try_element_at(_token_map(fixed.TRUE_TEXT, fixed.FALSE_TEXT), F.lower(text)), text)
 
 
+# Any number, string and nesting that fits a cell is valid JSON.
+_JSON_OPTIONS = {
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": "_bad",
+    "maxNumLen": "2147483647",
+    "maxStringLen": "2147483647",
+    "maxNestingDepth": "2147483647",
+    "allowNonNumericNumbers": "false",
+    "allowSingleQuotes": "false",
+}
+
+
 def is_json_text(text: Column) -> Column:
-    """True when the text is one complete JSON value.
+    """True when the text is one complete JSON value, of any size.
 
-    ``try_parse_json`` alone accepts trailing text after a value, so the text
-    is parsed twice, once as an object member and once as an array element:
-    trailing text breaks at least one of the two wraps. NaN and Infinity are
-    rejected (they are not JSON).
+    The reader ignores what follows a complete value, so the text is read twice,
+    once as an object member and once as an array element: trailing text breaks
+    at least one of the two wraps. Values are skipped, not built. NaN and Infinity
+    are rejected (they are not JSON).
     """
-    as_member = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
-    as_element = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    return as_member.isNotNull() & as_element.isNotNull()
+
+    def whole(before: str, after: str) -> Column:
+        wrapped = F.concat(F.lit(before), text, F.lit(after))
+        return F.from_json(wrapped, "_unused int, _bad string", _JSON_OPTIONS)["_bad"].isNull()
+
+    return whole('{"v":', "}") & whole('{"v":[', "]}")
 
 
 def json_text_cell(c: Column, in_type: DataType) -> Column:
@@ -274,7 +237,7 @@ def json_text_cell(c: Column, in_type: DataType) -> Column:
     written out as JSON text rather than checked.
     """
     if isinstance(in_type, (StructType, MapType, ArrayType, VariantType)):
-        return F.to_json(c)
+        return F.to_json(c, {"ignoreNullFields": "false"})
     text = as_text(c, in_type)
     return F.when(is_json_text(text), text)
 

@@ -14,7 +14,7 @@ LETTERS_ONLY_PATTERN = r"^[A-Za-z]{1,3}$"
 
 # Text is junk as a time when it is this short or carries no digit.
 JUNK_MAX_LENGTH = 3
-HAS_DIGIT_PATTERN = r"\d"
+HAS_DIGIT_PATTERN = r"\d"  # our spelling of "has a digit"
 
 # A date text in this shape takes the ISO path (future dates kept).
 ISO_DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
@@ -40,27 +40,4 @@ KEY_SEPARATOR = "||"
 # Zone the source system's naive times are written in.
 DEFAULT_SOURCE_ZONE = "America/New_York"
 
-# Fallback datetime patterns tried in this order after the native ISO cast.
-# Month-first before day-first; day-first only wins when the month is > 12.
-DATETIME_FORMATS = (
-    "M/d/yyyy",
-    "M/d/yyyy H:mm:ss",
-    "M/d/yyyy h:mm a",
-    "MMM d, yyyy",
-    "MMMM d, yyyy",
-    "d-MMM-yy",
-    "d-MMM-yyyy",
-    "yyyyMMdd",
-    "yyyyMMdd'T'HHmmss",
-    "yyyy-MM-dd h:mm a",
-    "d/M/yyyy",
-)
-
-# A two-digit year is read in the century that puts it less than this many
-# years after the as_of year (otherwise one century earlier).
-TWO_DIGIT_YEAR_WINDOW = 50
-
-# Text that is a bare time of day (no date part) and is not parsed.
-BARE_TIME_PATTERN = r"^T?\d{1,2}:"
-
 # --- end of fixed values -----------------------------------------------------

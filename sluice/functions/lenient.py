@@ -17,11 +17,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
-from sluice.functions import fixed
+from sluice.functions import fixed, timetext
 
 _LETTERS_ONLY = re.compile(fixed.LETTERS_ONLY_PATTERN)
 _DIGIT = re.compile(fixed.HAS_DIGIT_PATTERN)
-_BARE_TIME = re.compile(fixed.BARE_TIME_PATTERN)
+_BARE_TIME = re.compile(timetext.BARE_TIME)
 
 
 def _is_junk(s: str) -> bool:

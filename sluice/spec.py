@@ -17,7 +17,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-FUTURE_POLICIES = ("keep", "clamp", "null")
+FUTURE_POLICIES = ("keep", "clamp", "null", "clamp_parsed")
 
 
 @dataclass(frozen=True)

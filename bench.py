@@ -37,7 +37,7 @@ from sluice.specs import tpch  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
-REPS = int(os.environ.get("BENCH_REPS", "3"))
+REPS = int(os.environ.get("BENCH_REPS", "5"))
 
 
 def noop(df):
@@ -85,7 +85,7 @@ def main():
     res["conform_lineitem"] = timed(lambda: noop(C.conform(dirty, tpch.lineitem_spec(), Q.AS_OF)))
 
     # 2) multi-format timestamp parse
-    ts_text = orders.select(F.expr(Q.FORMATS_SPARK).alias("raw"))
+    ts_text = land("order_times", Q._shaped_frame(spark, SF_DIR)).select(F.col("raw"))
     res["ts_parse"] = timed(lambda: noop(ts_text.select(
         cells.timestamp_in_range(cells.to_timestamp_cell(F.col("raw"), StringType(), clock), clock))))
 
@@ -106,6 +106,17 @@ def main():
     L.append_table(conformed.filter(F.col("ORDER_KEY") % 2 == 0), half)
     res["anti_join_half_loaded"] = timed(
         lambda: noop(L.new_rows(conformed, L.read_target(spark, half), spec.key_col)))
+    # 0, 50 and 100 % loaded, broadcast and sort-merge, beside the headline numbers
+    joins = {}
+    keys = conformed.select(spec.key_col)
+    for strategy, threshold in (("sort_merge", "-1"), ("broadcast", "1g")):
+        old = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+        for k in old:
+            spark.conf.set(k, threshold)
+        for percent, loaded in ((0, keys.limit(0)), (50, L.read_target(spark, half)), (100, keys)):
+            joins[f"{strategy}_{percent}"] = timed(lambda ex=loaded: noop(L.new_rows(conformed, ex, spec.key_col)))
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
     # 6) incremental insert end to end: first load into an empty target, then a no-op re-run
     li_spec = tpch.lineitem_spec()
@@ -198,6 +209,7 @@ def main():
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": CPUS,
         "rows": {"lineitem": lineitem.count(), "orders": orders.count(), "events": events.count()},
+        "anti_joins": joins,
         "baseline_style": baseline,
         **({"skipped": skipped} if skipped else {}),
     }))

@@ -11,11 +11,13 @@ import argparse
 import json
 import sys
 
+from sluice.functions.keys import HASH_ALGOS, KEY_MODES
 from sluice.operators.load import Target
 from sluice.plans.ingest import IngestOptions, ingest_tables, sync_tables
 from sluice.plans.lead import lead_ingest_jobs, lead_sync_jobs, warehouse_table
 from sluice.session import build_session
 from sluice.spec import AuditSpec
+from sluice.specs.lead import WAREHOUSE_PREFIX
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -43,7 +45,7 @@ def _parser() -> argparse.ArgumentParser:
     i.add_argument("--raw-base", required=True, help="folder holding leadassignment/, leadxref/, lead/")
     i.add_argument("--raw-format", default="parquet")
     where = i.add_mutually_exclusive_group(required=True)
-    where.add_argument("--target-base", help="folder for path targets STG_LCR_<TABLE>")
+    where.add_argument("--target-base", help="folder for path targets <prefix><TABLE>")
     where.add_argument("--target-database", help="catalog database for table targets")
     i.add_argument("--buckets", type=int, default=None, help="bucket catalog targets on the key")
     i.add_argument("--write-mode", choices=["append", "incremental_insert"], default="append")
@@ -51,6 +53,17 @@ def _parser() -> argparse.ArgumentParser:
     i.add_argument("--on-error", choices=["stop", "continue"], default="continue")
     i.add_argument("--tables", nargs="*", default=None, help="only these tables (default: all three)")
     i.add_argument("--create-if-missing", action="store_true")
+    i.add_argument("--prefix", default=WAREHOUSE_PREFIX, help="prefix of the target tables' names")
+    i.add_argument("--hash-algo", choices=HASH_ALGOS, default=None, help="default: the key mode's own")
+    i.add_argument("--key-mode", choices=KEY_MODES, default="exact", help="compat: keys as targets loaded elsewhere hold them")
+    i.add_argument("--null-token", default=None, help="text for NULL in compat keys")
+    i.add_argument("--hash-after-clamp", action="store_true")
+    i.add_argument("--dedupe", action="store_true")
+    i.add_argument("--lenient", action="store_true", help="free-form parser for time text of no known shape")
+    i.add_argument("--reject-unparseable", action="store_true")
+    i.add_argument("--drop-rejects", action="store_true", help="count rejected rows without keeping them")
+    i.add_argument("--corrupt-col", default=None, help="csv/json: set records aside that do not fit the format")
+    i.add_argument("--rebalance", action="store_true", help="shuffle raw rows into even partitions first")
     i.add_argument("--reject-base", default=None, help="folder for rows set aside, one per table")
 
     r = sub.add_parser("report", help="per-column contract report of raw tables (one pass each)")
@@ -86,23 +99,27 @@ def main(argv: list[str] | None = None) -> int:
     else:
         if args.target_base:
             def target_for(name: str) -> Target:
-                return Target(path=f"{args.target_base.rstrip('/')}/{warehouse_table(name)}")
+                return Target(path=f"{args.target_base.rstrip('/')}/{warehouse_table(name, prefix=args.prefix)}")
         else:
             def target_for(name: str) -> Target:
-                return Target(table=warehouse_table(name, args.target_database), buckets=args.buckets)
+                return Target(table=warehouse_table(name, args.target_database, args.prefix), buckets=args.buckets)
 
         reject_for = None
         if args.reject_base:
             def reject_for(name: str) -> Target:
-                return Target(path=f"{args.reject_base.rstrip('/')}/{warehouse_table(name)}")
+                return Target(path=f"{args.reject_base.rstrip('/')}/{warehouse_table(name, prefix=args.prefix)}")
 
         jobs = lead_ingest_jobs(spark, args.raw_base, target_for, raw_format=args.raw_format,
                                 time_zone=args.time_zone, source_system=args.source_system,
-                                reject_target_for=reject_for)
+                                corrupt_col=args.corrupt_col, reject_target_for=reject_for)
         enabled = None if args.tables is None else {t: t in args.tables for t in ("lead", "lead_xref",
                                                                                     "lead_assignment")}
         opts = IngestOptions(mode=args.write_mode, historical=args.historical_load, as_of=args.as_of,
-                             create_if_missing=args.create_if_missing)
+                             create_if_missing=args.create_if_missing, hash_algo=args.hash_algo,
+                             key_mode=args.key_mode, null_token=args.null_token,
+                             hash_after_clamp=args.hash_after_clamp, dedupe=args.dedupe, lenient=args.lenient,
+                             reject_unparseable=args.reject_unparseable, drop_rejects=args.drop_rejects,
+                             rebalance=args.rebalance)
         records = ingest_tables(spark, jobs, opts, on_error=args.on_error, enabled=enabled,
                                 run_log=args.run_log, max_parallel=args.parallel)
     for r in records:

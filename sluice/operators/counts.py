@@ -25,22 +25,33 @@ def reconcile(source: DataFrame, target: DataFrame, key_col: str | None = None,
               name: str | None = None) -> DataFrame:
     """Source and target counts side by side, as one row.
 
-    With ``key_col`` also the number of source rows whose key is absent from
-    the target (a left-anti join on the key, the same shape as the load).
-    All counts come from one global aggregate over a tagged union, so no
-    join is needed to put them on one row.
+    With ``key_col`` also the number of source rows whose key is absent from the
+    target; a NULL key is absent. Both sides are read once: their keys are tagged,
+    unioned and counted per key and side (partial counts on every task, so a hot
+    key is one row a task), then the counts are added up.
     """
-    parts = [source.select(F.lit("s").alias("side")), target.select(F.lit("t").alias("side"))]
-    if key_col is not None:
-        missing = source.select(key_col).join(target.select(key_col), key_col, "left_anti")
-        parts.append(missing.select(F.lit("m").alias("side")))
-    tagged = reduce(DataFrame.unionByName, parts)
-    side = F.col("side")
-    missing_col = (F.count_if(side == "m") if key_col is not None else F.lit(None).cast("long"))
-    return tagged.agg(
-        F.count_if(side == "s").alias("source_rows"),
-        F.count_if(side == "t").alias("target_rows"),
-        missing_col.alias("missing_in_target"),
+    def side(df: DataFrame, tag: str) -> DataFrame:
+        key = F.col(key_col) if key_col is not None else F.lit(None)
+        return df.select(key.cast("string").alias("key"), F.lit(tag).alias("side"))
+
+    tagged = side(source, "s").unionByName(side(target, "t"))
+    if key_col is None:
+        per_key = tagged.groupBy("side").count().select(
+            F.when(F.col("side") == "s", F.col("count")).alias("s"),
+            F.when(F.col("side") == "t", F.col("count")).alias("t"),
+            F.lit(None).cast("long").alias("m"),
+        )
+        missing = F.lit(None).cast("long")
+    else:
+        per_key = tagged.groupBy("key").agg(
+            F.count_if(F.col("side") == "s").alias("s"), F.count_if(F.col("side") == "t").alias("t")
+        )
+        per_key = per_key.withColumn("m", F.when(F.col("key").isNull() | (F.col("t") == 0), F.col("s")))
+        missing = F.coalesce(F.sum("m"), F.lit(0))
+    return per_key.agg(
+        F.coalesce(F.sum("s"), F.lit(0)).alias("source_rows"),
+        F.coalesce(F.sum("t"), F.lit(0)).alias("target_rows"),
+        missing.alias("missing_in_target"),
     ).select(
         F.lit(name).cast("string").alias("table_name"),
         "source_rows",

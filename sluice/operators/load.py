@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.errors import AnalysisException
@@ -139,12 +139,16 @@ def _by_name(df: DataFrame, target_cols: list[str], drop_extra: bool = False) ->
     return df.select(*[F.col("`" + have[c.lower()] + "`").alias(c) for c in target_cols])
 
 
-def _write(df: DataFrame, target: Target, overwrite: bool, current: DataFrame | None = None) -> None:
+def _write(df: DataFrame, target: Target, overwrite: bool, current: DataFrame | None = None,
+           key_col: str | None = None) -> None:
     spark = df.sparkSession
     target_cols = (current if current is not None else read_target(spark, target)).columns
     aligned = _by_name(df, target_cols)
     if target.table is not None:
         # positional insert into the table's own layout (buckets, partitions)
+        if target.buckets and key_col is not None:
+            # one writer a bucket: else every task writes a file to every bucket
+            aligned = aligned.repartition(target.buckets, key_col)
         aligned.write.insertInto(target.table, overwrite=overwrite)
         return
     writer = aligned.write.format(target.format).options(**target.options)
@@ -153,6 +157,20 @@ def _write(df: DataFrame, target: Target, overwrite: bool, current: DataFrame |
     writer.mode("overwrite" if overwrite else "append").save(target.path)
 
 
+def _replace(df: DataFrame, target: Target) -> None:
+    """Overwrite the target's rows; plain files are written aside and swapped in."""
+    from sluice.sources.raw import FILE_FORMATS, replace_folder
+
+    if target.path is None or target.format not in FILE_FORMATS:
+        _write(df, target, overwrite=True)
+        return
+    current = read_target(df.sparkSession, target)
+    replace_folder(
+        df.sparkSession, target.path,
+        lambda to: _write(df, replace(target, path=to), overwrite=True, current=current),
+    )
+
+
 def append_table(df: DataFrame, target: Target, *, require_exists: bool = True) -> LoadResult:
     """Append every row (columns matched by name)."""
     spark = df.sparkSession
@@ -168,8 +186,9 @@ def append_table(df: DataFrame, target: Target, *, require_exists: bool = True)
 def reload_table(df: DataFrame, target: Target) -> LoadResult:
     """Replace the target's rows with ``df`` in one overwrite (historical load).
 
-    Catalog targets keep their definition (buckets, partitioning). A path
-    target must not be the source of ``df``: write elsewhere first.
+    Catalog targets keep their definition (buckets, partitioning). The files of a
+    path target are written aside and swapped in, so a failed load leaves the old
+    rows. A path target must not be the source of ``df``: write elsewhere first.
     """
     spark = df.sparkSession
     target = resolve_target(target, df.schema)
@@ -181,24 +200,48 @@ def reload_table(df: DataFrame, target: Target) -> LoadResult:
         if reads_path(df, target.path):
             raise ValueError(f"refusing to overwrite {target.label}: the frame reads from it")
     obs = Observation()
-    _write(df.observe(obs, F.count(F.lit(1)).alias("n")), target, overwrite=True)
+    _replace(df.observe(obs, F.count(F.lit(1)).alias("n")), target)
     n = int(obs.get.get("n", 0))
     return LoadResult(rows_in=n, rows_written=n)
 
 
-def new_rows(batch: DataFrame, existing_keys: DataFrame, key_col: str, *, dedupe: bool = False) -> DataFrame:
+def new_rows(batch: DataFrame, existing_keys: DataFrame, key_col: str, *, dedupe: bool = False,
+             order_cols: tuple[str, ...] = (), split_keys_of: DataFrame | None = None) -> DataFrame:
     """Rows of ``batch`` whose key is not among ``existing_keys``.
 
     In-batch duplicates all pass unless ``dedupe``; NULL keys always pass.
+    ``order_cols`` says which of several rows of one key ``dedupe`` keeps: the
+    first in that order. With ``split_keys_of`` (the batch itself, unobserved) its
+    distinct keys are tested against the existing ones and the new keys joined back:
+    for a target bucketed on the key, whose side of an anti-join is not shuffled,
+    so that Spark could not split a hot key's partition. The distinct keys are
+    combined map-side, and both sides of the join back are shuffled.
     """
-    if dedupe:
+    if dedupe and order_cols:
+        at = Window.partitionBy(key_col).orderBy(*[F.col(c).asc_nulls_last() for c in order_cols])
+        batch = batch.withColumn("_nth", F.row_number().over(at)).where("_nth = 1").drop("_nth")
+    elif dedupe:
         batch = batch.dropDuplicates([key_col])
-    return batch.join(existing_keys.select(key_col), on=key_col, how="left_anti")
+    existing = existing_keys.select(F.col(key_col).alias("_key"))
+    if split_keys_of is None:
+        return batch.join(existing, F.col(key_col) == F.col("_key"), "left_anti")
+    known = (
+        split_keys_of.select(F.col(key_col).alias("_key")).where("_key is not null").distinct()
+        .join(existing, "_key", "left_semi")
+        .hint("rebalance")  # leave the bucket layout, so that both sides of the join back are shuffled
+    )
+    return batch.join(known, F.col(key_col) == F.col("_key"), "left_anti")
 
 
 def incremental_insert(df: DataFrame, target: Target, key_col: str, *, dedupe: bool = False,
-                       create_if_missing: bool = False, schema: StructType | None = None) -> LoadResult:
-    """Append only the rows whose key the target does not hold yet."""
+                       create_if_missing: bool = False, schema: StructType | None = None,
+                       order_cols: tuple[str, ...] = (), partition_col: str | None = None) -> LoadResult:
+    """Append only the rows whose key the target does not hold yet.
+
+    ``partition_col`` names a partition column of the target that is a function of
+    the key's inputs, as hashed: equal keys then lie in equal partitions, and only
+    the batch's partitions of the target are read.
+    """
     spark = df.sparkSession
     target = resolve_target(target, schema or df.schema)
     if not target_exists(spark, target):
@@ -208,16 +251,21 @@ def incremental_insert(df: DataFrame, target: Target, key_col: str, *, dedupe: b
     obs_in, obs_out = Observation(), Observation()
     batch = df.observe(obs_in, F.count(F.lit(1)).alias("n"))
     current = read_target(spark, target)  # one listing of the target per load
-    fresh = new_rows(batch, current, key_col, dedupe=dedupe)
-    _write(fresh.observe(obs_out, F.count(F.lit(1)).alias("n")), target, overwrite=False, current=current)
+    existing = current
+    if partition_col is not None:
+        values = df.select(F.col(partition_col).alias("_part")).distinct()
+        existing = current.join(values, F.col(partition_col).eqNullSafe(F.col("_part")), "left_semi")
+    fresh = new_rows(batch, existing, key_col, dedupe=dedupe, order_cols=order_cols,
+                     split_keys_of=df if target.buckets else None)
+    _write(fresh.observe(obs_out, F.count(F.lit(1)).alias("n")), target, overwrite=False, current=current, key_col=key_col)
     return LoadResult(rows_in=int(obs_in.get.get("n", 0)), rows_written=int(obs_out.get.get("n", 0)))
 
 
 def load(df: DataFrame, target: Target, key_col: str, mode: str, *, historical: bool = False,
-         dedupe: bool = False, create_if_missing: bool = False) -> LoadResult:
+         dedupe: bool = False, create_if_missing: bool = False, order_cols: tuple[str, ...] = ()) -> LoadResult:
     """Dispatch on the write mode."""
     if mode not in WRITE_MODES:
-        raise ValueError(f"Invalid write mode: {mode}")
+        raise ValueError(f"unknown write mode {mode!r}; use one of {WRITE_MODES}")
     if historical and mode != "append":
         raise ValueError("a historical load replaces the target; it cannot be incremental")
     target = resolve_target(target, df.schema)
@@ -225,4 +273,4 @@ def load(df: DataFrame, target: Target, key_col: str, mode: str, *, historical:
         create_target(df.sparkSession, target, df.schema, key_col)
     if mode == "append":
         return reload_table(df, target) if historical else append_table(df, target)
-    return incremental_insert(df, target, key_col, dedupe=dedupe)
+    return incremental_insert(df, target, key_col, dedupe=dedupe, order_cols=order_cols)

@@ -27,10 +27,11 @@ from sluice.operators import conform as C
 from sluice.operators import load as L
 from sluice.plans.runlog import RunRecord, append_run_log
 from sluice.session import work_path
-from sluice.sources.raw import spread, write_raw
+from sluice.sources.raw import remove_folder, spread, write_raw
 from sluice.spec import AuditSpec, TableSpec
 
 Source = Callable[[], DataFrame]
+REJECT_KEY = "_reject_key"
 
 
 @dataclass
@@ -39,6 +40,7 @@ class IngestJob:
     source: Source
     target: L.Target
     reject_target: L.Target | None = None
+    corrupt_col: str | None = None  # column of raw records that did not fit their text format
 
 
 @dataclass
@@ -49,6 +51,7 @@ class SyncJob:
     raw_format: str = "parquet"
     partition_by: tuple[str, ...] = ()
     dynamic_partitions: bool = False  # replace only the partitions present in this extract
+    options: dict = field(default_factory=dict)  # writer options (e.g. a table format's schema replacement)
 
 
 @dataclass
@@ -56,22 +59,24 @@ class IngestOptions:
     mode: str = "incremental_insert"
     historical: bool = False
     as_of: str | datetime | Column | None = None
-    hash_algo: str = "sha256"
+    hash_algo: str | None = None  # None: the key mode's own
+    key_mode: str = "exact"
     null_token: str | None = None
     hash_after_clamp: bool = False
     dedupe: bool = False
+    order_cols: tuple[str, ...] = ()  # which row of a key dedupe keeps, where the key does not cover the row
     reject_unparseable: bool = False
+    drop_rejects: bool = False  # allow rejected rows to be counted only
     lenient: bool = False
     report_residue: bool = True
     create_if_missing: bool = False
     stage: bool | None = None  # None: stage when rows go to two outputs (loaded + rejects)
-    spread_input: bool = True
-    min_partitions: int | None = None
+    rebalance: bool = False  # shuffle the raw rows into even partitions first
     extra: dict = field(default_factory=dict)
 
     def check(self) -> None:
         if self.mode not in L.WRITE_MODES:
-            raise ValueError(f"Invalid write mode: {self.mode}")
+            raise ValueError(f"unknown write mode {self.mode!r}; use one of {L.WRITE_MODES}")
         if self.historical and self.mode != "append":
             raise ValueError("a historical load replaces the target; it cannot be incremental")
 
@@ -82,17 +87,26 @@ def ingest_table(spark: SparkSession, job: IngestJob, opts: IngestOptions, run_i
     run_id = run_id or uuid.uuid4().hex
     started = datetime.now()
     spec = job.spec
+    can_reject = opts.reject_unparseable or any(not f.nullable for f in spec.data_fields) or job.corrupt_col is not None
+    if can_reject and job.reject_target is None and not opts.drop_rejects:
+        raise ValueError(
+            f"{spec.name} can reject rows: give a reject target, or drop_rejects=True to count them only"
+        )
+    if opts.dedupe and not opts.order_cols and spec.hash_cols is not None:
+        raise ValueError(f"{spec.name}: rows of one key may differ; order_cols says which one dedupe keeps")
     raw = job.source()
-    if opts.spread_input:
-        raw = spread(raw, opts.min_partitions)
+    if opts.rebalance:
+        raw = spread(raw)
     conformed = C.conform(
-        raw, spec, opts.as_of, hash_algo=opts.hash_algo, null_token=opts.null_token,
-        hash_after_clamp=opts.hash_after_clamp, with_reason=True,
+        raw, spec, opts.as_of, hash_algo=opts.hash_algo, key_mode=opts.key_mode, null_token=opts.null_token,
+        hash_after_clamp=opts.hash_after_clamp, with_reason=True, keep_raw=job.reject_target is not None,
+        corrupt_col=job.corrupt_col,
         reject_unparseable=opts.reject_unparseable, lenient=opts.lenient,
         report_unparseable=opts.report_residue,
     )
     C.assert_schema(conformed, spec.schema)
     stage = opts.stage if opts.stage is not None else job.reject_target is not None
+    staged = None
     if stage:
         staged = work_path(spark, "stage", spec.name)
         conformed.write.mode("overwrite").parquet(staged)
@@ -117,14 +131,17 @@ def ingest_table(spark: SparkSession, job: IngestJob, opts: IngestOptions, run_i
     if opts.mode == "append":
         res = L.reload_table(good, target) if opts.historical else L.append_table(good, target)
     else:
-        res = L.incremental_insert(good, target, spec.key_col, dedupe=opts.dedupe)
+        res = L.incremental_insert(good, target, spec.key_col, dedupe=opts.dedupe, order_cols=opts.order_cols)
 
     counts = seen.get
-    if job.reject_target is not None and counts.get("r", 0):
-        reject_target = L.resolve_target(job.reject_target, rejects.schema)
-        if not L.target_exists(spark, reject_target):
-            L.create_target(spark, reject_target, rejects.schema)
-        L.append_table(rejects, reject_target)
+    if job.reject_target is not None:
+        # keyed by the raw row and its reasons, so a re-run sets nothing aside twice
+        rejects = rejects.withColumn(
+            REJECT_KEY, F.sha2(F.concat_ws("\n", F.col(C.RAW_ROW_COL), F.col(C.REASON_COL)), 256)
+        )
+        L.incremental_insert(rejects, job.reject_target, REJECT_KEY, create_if_missing=True, schema=rejects.schema)
+    if staged is not None:
+        remove_folder(spark, staged)
     residue = {name: int(counts.get(f"u{i}", 0)) for i, name in enumerate(typed)}
     residue = {k: v for k, v in residue.items() if v}
     return RunRecord(run_id, spec.name, "ingest", opts.mode, int(counts.get("n", 0)),
@@ -153,10 +170,11 @@ def ingest_tables(spark: SparkSession, jobs: list[IngestJob], opts: IngestOption
         try:
             return ingest_table(spark, job, opts, run_id)
         except Exception as exc:
+            record = RunRecord(run_id, job.spec.name, "ingest", opts.mode, None, None, None, started,
+                               datetime.now(), "failed", f"{exc}\n{traceback.format_exc()}")
             if on_error == "stop":
-                raise
-            return RunRecord(run_id, job.spec.name, "ingest", opts.mode, None, None, None, started,
-                             datetime.now(), "failed", f"{exc}\n{traceback.format_exc()}")
+                raise TableFailed(record) from exc
+            return record
 
     records = _run_all(one, jobs, max_parallel, run_log, spark)
     return records
@@ -177,7 +195,7 @@ def sync_tables(spark: SparkSession, jobs: list[SyncJob], *, audit: AuditSpec,
             obs = Observation()
             stamped = C.with_audit(job.source(), audit, as_of).observe(obs, F.count(F.lit(1)).alias("n"))
             write_raw(stamped, job.raw_path, job.raw_format, partition_by=job.partition_by,
-                      dynamic_partitions=job.dynamic_partitions)
+                      dynamic_partitions=job.dynamic_partitions, options=job.options)
             n = int(obs.get.get("n", 0))
             return RunRecord(run_id, job.name, "sync", "overwrite", n, n, None, started, datetime.now(), "ok")
         except Exception as exc:
@@ -187,18 +205,36 @@ def sync_tables(spark: SparkSession, jobs: list[SyncJob], *, audit: AuditSpec,
     return _run_all(one, jobs, max_parallel, run_log, spark)
 
 
+class TableFailed(Exception):
+    """Carries the run record of a table that stops the batch."""
+
+    def __init__(self, record: RunRecord):
+        super().__init__(record.table)
+        self.record = record
+
+
 def _run_all(fn, jobs, max_parallel, run_log, spark) -> list[RunRecord]:
+    """Run the jobs and log every record, the one of a table that stops the batch included."""
     records: list[RunRecord] = []
+    failed: TableFailed | None = None
     try:
         if max_parallel > 1:
             with ThreadPoolExecutor(max_workers=max_parallel) as pool:
-                futures = [pool.submit(fn, job) for job in jobs]
-                for fut in futures:
-                    records.append(fut.result())
+                for future in [pool.submit(fn, job) for job in jobs]:
+                    try:
+                        records.append(future.result())
+                    except TableFailed as stop:
+                        records.append(stop.record)
+                        failed = failed or stop
         else:
             for job in jobs:
                 records.append(fn(job))
+    except TableFailed as stop:
+        records.append(stop.record)
+        failed = stop
     finally:
         if run_log is not None:
             append_run_log(spark, run_log, records)
+    if failed is not None:
+        raise failed.__cause__
     return records

@@ -8,20 +8,20 @@ from pyspark.sql import SparkSession
 
 from sluice.operators.load import Target
 from sluice.plans.ingest import IngestJob, SyncJob
-from sluice.sources.jdbc import parse_table_name, read_jdbc
+from sluice.sources.jdbc import bare_name, parse_table_name, read_jdbc
 from sluice.sources.raw import raw_path, read_raw
 from sluice.specs.lead import SOURCE_TABLES, WAREHOUSE_PREFIX, lead_specs
 
 
-def warehouse_table(name: str, schema: str | None = None) -> str:
-    """``STG_LCR_<TABLE>``, optionally qualified by a database/schema."""
-    table = f"{WAREHOUSE_PREFIX}{name.upper()}"
+def warehouse_table(name: str, schema: str | None = None, prefix: str = WAREHOUSE_PREFIX) -> str:
+    """``<prefix><TABLE>``, optionally qualified by a database/schema."""
+    table = f"{prefix}{name.upper()}"
     return f"{schema}.{table}" if schema else table
 
 
 def lead_ingest_jobs(spark: SparkSession, raw_base: str, target_for: Callable[[str], Target], *,
                      raw_format: str = "parquet", time_zone: str | None = None,
-                     source_system: str = "SOURCE_SYSTEM",
+                     source_system: str = "SOURCE_SYSTEM", corrupt_col: str | None = None,
                      reject_target_for: Callable[[str], Target] | None = None) -> list[IngestJob]:
     """One job per lead table, in processing order.
 
@@ -35,9 +35,10 @@ def lead_ingest_jobs(spark: SparkSession, raw_base: str, target_for: Callable[[s
         multi = name == "lead_assignment"
         jobs.append(IngestJob(
             spec,
-            lambda p=path, m=multi: read_raw(spark, p, raw_format, multi_line=m),
+            lambda p=path, m=multi: read_raw(spark, p, raw_format, multi_line=m, corrupt_col=corrupt_col),
             target_for(name),
             reject_target_for(name) if reject_target_for else None,
+            corrupt_col,
         ))
     return jobs
 
@@ -54,7 +55,7 @@ def lead_sync_jobs(spark: SparkSession, url: str, raw_base: str, stage: str, db:
     """
     jobs = []
     for table in tables:
-        _, name = parse_table_name(table)
+        name = bare_name(parse_table_name(table)[1])
         jobs.append(SyncJob(
             name,
             lambda t=table: read_jdbc(spark, url, t, properties=properties,

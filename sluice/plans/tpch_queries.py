@@ -10,13 +10,15 @@ compared without a zone.
 
 from __future__ import annotations
 
+import hashlib
 from typing import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DoubleType, StringType, TimestampType
 
-from sluice.functions import cells, fixed
+from sluice.functions import cells
 from sluice.functions.keys import hash_key
 from sluice.operators import conform as C
 from sluice.operators import counts
@@ -25,11 +27,12 @@ from sluice.plans import ingest as P
 from sluice.plans import runlog
 from sluice.session import work_path
 from sluice.sources import raw as R
+from sluice.spec import make_spec
 from sluice.specs import tpch
 
 AS_OF = "2024-06-01 12:00:00"
 AS_OF_SQL = f"TIMESTAMP '{AS_OF}'"
-MAX_YEAR = 2024 + fixed.MAX_YEARS_AHEAD
+MAX_YEAR = 2025
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -53,60 +56,38 @@ def ntz(df: DataFrame) -> DataFrame:
 # SQL helpers for the oracle (DuckDB dialect)
 # ---------------------------------------------------------------------------
 
-# Spark datetime patterns of fixed.DATETIME_FORMATS as strptime patterns.
-STRPTIME = {
-    "M/d/yyyy": "%m/%d/%Y",
-    "M/d/yyyy H:mm:ss": "%m/%d/%Y %H:%M:%S",
-    "M/d/yyyy h:mm a": "%m/%d/%Y %I:%M %p",
-    "MMM d, yyyy": "%b %d, %Y",
-    "MMMM d, yyyy": "%B %d, %Y",
-    "d-MMM-yy": "%d-%b-%y",
-    "d-MMM-yyyy": "%d-%b-%Y",
-    "yyyyMMdd": "%Y%m%d",
-    "yyyyMMdd'T'HHmmss": "%Y%m%dT%H%M%S",
-    "yyyy-MM-dd h:mm a": "%Y-%m-%d %I:%M %p",
-    "d/M/yyyy": "%d/%m/%Y",
-}
+# Text shapes of the derived cells below, as this oracle's own strptime patterns.
+STRPTIME = ("%m/%d/%Y", "%b %d, %Y", "%B %d, %Y", "%d-%b-%y", "%Y%m%d", "%d/%m/%Y")
 
 
 def sql_junk(t: str) -> str:
-    return (f"(regexp_matches({t}, '{fixed.LETTERS_ONLY_PATTERN}') OR length({t}) <= {fixed.JUNK_MAX_LENGTH}"
-            f" OR NOT regexp_matches({t}, '{fixed.HAS_DIGIT_PATTERN}'))")
+    return f"(length({t}) <= 3 OR NOT regexp_matches({t}, '[0-9]'))"
 
 
 def sql_ts_parse(t: str) -> str:
-    tries = [f"TRY_CAST({t} AS TIMESTAMP)"] + [
-        f"try_strptime({t}, '{STRPTIME[f]}')" for f in fixed.DATETIME_FORMATS
-    ]
-    return (f"CASE WHEN {sql_junk(t)} OR regexp_matches({t}, '{fixed.BARE_TIME_PATTERN}') THEN NULL "
-            f"ELSE coalesce({', '.join(tries)}) END")
+    tries = [f"TRY_CAST({t} AS TIMESTAMP)"] + [f"try_strptime({t}, '{f}')" for f in STRPTIME]
+    return f"CASE WHEN {sql_junk(t)} THEN NULL ELSE coalesce({', '.join(tries)}) END"
 
 
 def sql_range(ts: str) -> str:
-    return f"CASE WHEN year({ts}) BETWEEN {fixed.MIN_YEAR} AND {MAX_YEAR} THEN {ts} END"
+    return f"CASE WHEN year({ts}) BETWEEN 1900 AND {MAX_YEAR} THEN {ts} END"
 
 
 def sql_date_parse_raw(t: str) -> str:
     """Date parse without the future rule."""
-    tries = [f"TRY_CAST({t} AS DATE)"] + [
-        f"CAST(try_strptime({t}, '{STRPTIME[f]}') AS DATE)" for f in fixed.DATETIME_FORMATS
-    ]
+    tries = [f"TRY_CAST({t} AS DATE)"] + [f"CAST(try_strptime({t}, '{f}') AS DATE)" for f in STRPTIME]
     return f"CASE WHEN {sql_junk(t)} THEN NULL ELSE coalesce({', '.join(tries)}) END"
 
 
 def sql_date_parse(t: str) -> str:
-    tries = [f"TRY_CAST({t} AS DATE)"] + [
-        f"CAST(try_strptime({t}, '{STRPTIME[f]}') AS DATE)" for f in fixed.DATETIME_FORMATS
-    ]
-    fb = f"coalesce({', '.join(tries)})"
-    return (f"CASE WHEN {sql_junk(t)} THEN NULL "
-            f"WHEN regexp_matches({t}, '{fixed.ISO_DATE_PATTERN}') THEN TRY_CAST({t} AS DATE) "
+    fb = sql_date_parse_raw(t)
+    return (f"CASE WHEN regexp_matches({t}, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$') THEN TRY_CAST({t} AS DATE) "
             f"ELSE (CASE WHEN {fb} <= DATE '{AS_OF[:10]}' THEN {fb} END) END")
 
 
 def sql_number(t: str, typ: str) -> str:
     cleaned = f"trim(replace({t}, ',', ''))"
-    return f"CASE WHEN regexp_matches({cleaned}, '{fixed.NUMERIC_PATTERN}') THEN TRY_CAST({cleaned} AS {typ}) END"
+    return f"CASE WHEN regexp_matches({cleaned}, '^-?[0-9]+(\\.[0-9]+)?$') THEN TRY_CAST({cleaned} AS {typ}) END"
 
 
 def sql_in(t: str, tokens: tuple[str, ...]) -> str:
@@ -114,12 +95,12 @@ def sql_in(t: str, tokens: tuple[str, ...]) -> str:
 
 
 def sql_bool(t: str) -> str:
-    return f"CASE WHEN {sql_in(t, fixed.TRUE_TOKENS)} THEN true WHEN {sql_in(t, fixed.FALSE_TOKENS)} THEN false END"
+    return f"CASE WHEN {sql_in(t, ("true", "1", "yes", "t"))} THEN true WHEN {sql_in(t, ("false", "0", "no", "f"))} THEN false END"
 
 
 def sql_bool_text(t: str) -> str:
-    return (f"CASE WHEN {sql_in(t, fixed.TRUE_TOKENS)} THEN 'TRUE' "
-            f"WHEN {sql_in(t, fixed.FALSE_TOKENS)} THEN 'FALSE' ELSE {t} END")
+    return (f"CASE WHEN {sql_in(t, ("true", "1", "yes", "t"))} THEN 'TRUE' "
+            f"WHEN {sql_in(t, ("false", "0", "no", "f"))} THEN 'FALSE' ELSE {t} END")
 
 
 def sql_audit(source_system: str = "TPCH") -> str:
@@ -128,7 +109,9 @@ def sql_audit(source_system: str = "TPCH") -> str:
 
 
 def sql_key(parts: list[str]) -> str:
-    return f"sha256(concat_ws('||', {', '.join(parts)}))"
+    """Every part with its length before it, NULL as a dash."""
+    sized = [f"coalesce(length({p}) || ':' || {p}, '-')" for p in parts]
+    return f"sha256({' || '.join(sized)})"
 
 
 # Orders through the orders contract, in SQL.
@@ -248,7 +231,7 @@ def q_conform_customer(spark, sf_dir):
 SQL_CONFORM_CUSTOMER = f"""
 SELECT {sql_key(["CAST(CAST(c_custkey AS DECIMAL(38,0)) AS VARCHAR)", "c_name",
                  "CAST(CAST(c_nationkey AS DECIMAL(38,0)) AS VARCHAR)", "CAST(c_acctbal AS VARCHAR)",
-                 "c_mktsegment"])} AS STG_CUSTOMER_KEY,
+                 "c_mktsegment", "CAST(NULL AS VARCHAR)"])} AS STG_CUSTOMER_KEY,
        CAST(c_custkey AS DECIMAL(38,0)) AS CUSTOMER_ID, c_name AS NAME,
        CAST(c_nationkey AS DECIMAL(38,0)) AS NATION_ID, c_acctbal AS BALANCE, c_mktsegment AS SEGMENT,
        CAST(NULL AS VARCHAR) AS PHONE, {sql_audit()}
@@ -281,32 +264,61 @@ SQL_TS_JUNK = f"""
 SELECT o_orderkey, raw, {sql_junk('raw')} AS is_junk, {sql_ts_parse('raw')} AS ts
 FROM (SELECT o_orderkey, {JUNK_SPARK.replace('STRING', 'VARCHAR')} AS raw FROM orders) d"""
 
-FORMATS_SPARK = ("CASE o_orderkey % 7 WHEN 0 THEN CAST(o_orderdate AS STRING) "
-                 "WHEN 1 THEN date_format(o_orderdate, 'MM/dd/yyyy') "
-                 "WHEN 2 THEN date_format(o_orderdate, 'MMM dd, yyyy') "
-                 "WHEN 3 THEN date_format(o_orderdate, 'MMMM dd, yyyy') "
-                 "WHEN 4 THEN date_format(o_orderdate, 'dd-MMM-yy') "
-                 "WHEN 5 THEN date_format(o_orderdate, 'yyyyMMdd') "
-                 "ELSE date_format(o_orderdate, 'dd/MM/yyyy') END")
-FORMATS_SQL = ("CASE o_orderkey % 7 WHEN 0 THEN CAST(o_orderdate AS VARCHAR) "
-               "WHEN 1 THEN strftime(o_orderdate, '%m/%d/%Y') "
-               "WHEN 2 THEN strftime(o_orderdate, '%b %d, %Y') "
-               "WHEN 3 THEN strftime(o_orderdate, '%B %d, %Y') "
-               "WHEN 4 THEN strftime(o_orderdate, '%d-%b-%y') "
-               "WHEN 5 THEN strftime(o_orderdate, '%Y%m%d') "
-               "ELSE strftime(o_orderdate, '%d/%m/%Y') END")
+# Shapes of time text: (Spark text, DuckDB text, value kept: whole day, minutes or seconds).
+def _shapes(col: str) -> list[tuple[str, str, str]]:
+    def both(java: str, c: str, keeps: str = "day", before: str = "", after: str = "") -> tuple[str, str, str]:
+        wrap = lambda x: f"'{before}' || {x} || '{after}'"
+        return wrap(f"date_format({col}, \"{java}\")"), wrap(f"strftime({col}, '{c}')"), keeps
+
+    return [
+        both("yyyy-MM-dd HH:mm:ss", "%Y-%m-%d %H:%M:%S", "second"), both("MM/dd/yyyy", "%m/%d/%Y"),
+        both("M/d/yyyy", "%-m/%-d/%Y"), both("MM/dd/yy", "%m/%d/%y"), both("MM/dd/yyyy HH:mm", "%m/%d/%Y %H:%M", "minute"),
+        both("MM/dd/yyyy HH:mm:ss", "%m/%d/%Y %H:%M:%S", "second"),
+        both("MM/dd/yyyy hh:mm:ss a", "%m/%d/%Y %I:%M:%S %p", "second"), both("M/d/yyyy h:mm a", "%-m/%-d/%Y %-I:%M %p", "minute"),
+        both("MM-dd-yyyy", "%m-%d-%Y"), both("MM.dd.yyyy", "%m.%d.%Y"), both("yyyy/MM/dd", "%Y/%m/%d"),
+        both("yyyy.MM.dd", "%Y.%m.%d"), both("yyyy/MM/dd HH:mm:ss", "%Y/%m/%d %H:%M:%S", "second"),
+        both("MMM dd, yyyy", "%b %d, %Y"), both("MMMM dd, yyyy", "%B %d, %Y"), both("MMM d yyyy", "%b %-d %Y"),
+        both("MMMM d, yyyy h:mm a", "%B %-d, %Y %-I:%M %p", "minute"), both("d MMMM yyyy", "%-d %B %Y"),
+        both("dd-MMM-yy", "%d-%b-%y"), both("dd-MMM-yyyy", "%d-%b-%Y"), both("dd MMM yyyy HH:mm:ss", "%d %b %Y %H:%M:%S", "second"),
+        both("EEE, dd MMM yyyy HH:mm:ss", "%a, %d %b %Y %H:%M:%S", "second"),
+        both("EEEE, MMMM d, yyyy", "%A, %B %-d, %Y"), both("yyyyMMdd", "%Y%m%d"),
+        both("yyyyMMddHHmmss", "%Y%m%d%H%M%S", "second"), both("yyyyMMdd'T'HHmmss", "%Y%m%dT%H%M%S", "second"),
+        both("yyyyMMddHHmm", "%Y%m%d%H%M", "minute"), both("yyyy-MM-dd h:mm a", "%Y-%m-%d %-I:%M %p", "minute"),
+        both("yyyy-MMM-dd", "%Y-%b-%d"), both("MMM d, yyyy", "%b %-d, %Y", "day", "", " 00:00"),
+    ]
+
+
+# A time of day for every order, so that the time part matters too.
+_TIMED_SPARK = "(o_orderdate + make_interval(0, 0, 0, 0, o_orderkey % 24, o_orderkey % 60, o_custkey % 60))"
+_TIMED_SQL = ("(o_orderdate + to_hours((o_orderkey % 24)::INTEGER) + to_minutes((o_orderkey % 60)::INTEGER)"
+              " + to_seconds(o_custkey % 60))")
+
+
+def _shaped_text(spark_side: bool) -> str:
+    shapes = _shapes("x")
+    cases = " ".join(f"WHEN {i} THEN {s[0] if spark_side else s[1]}" for i, s in enumerate(shapes))
+    return f"CASE o_orderkey % {len(shapes)} {cases} END"
+
+
+def _shaped_frame(spark, sf_dir):
+    orders = read(spark, sf_dir, "orders").withColumn("x", F.expr(_TIMED_SPARK))
+    return orders.select("o_orderkey", F.expr(_shaped_text(True)).alias("raw"))
 
 
 def q_ts_parse_formats(spark, sf_dir):
-    df = _orders_text(spark, sf_dir, FORMATS_SPARK)
+    df = _shaped_frame(spark, sf_dir)
     clock = cells.as_of_col(AS_OF)
     parsed = cells.to_timestamp_cell(F.col("raw"), StringType(), clock)
     return ntz(df.select("o_orderkey", "raw", cells.timestamp_in_range(parsed, clock).alias("ts")))
 
 
+# The expected value comes from the clean column, cut to what the shape carries.
+_KEPT = " ".join(f"WHEN {i} THEN date_trunc('{s[2]}', x)" for i, s in enumerate(_shapes("x")))
+_TIMED_ORDERS = f"(SELECT *, CAST({_TIMED_SQL} AS TIMESTAMP) AS x FROM orders)"
 SQL_TS_FORMATS = f"""
-SELECT o_orderkey, raw, {sql_range(sql_ts_parse('raw'))} AS ts
-FROM (SELECT o_orderkey, {FORMATS_SQL} AS raw FROM orders) d"""
+SELECT o_orderkey, {_shaped_text(False)} AS raw,
+       CAST(CASE o_orderkey % {len(_shapes('x'))} {_KEPT} END AS TIMESTAMP) AS ts
+FROM {_TIMED_ORDERS} o"""
 
 FUTURE_SPARK = ("CASE o_orderkey % 2 WHEN 0 THEN CAST(o_orderdate + INTERVAL 24 YEARS AS STRING) "
                 "ELSE date_format(o_orderdate + INTERVAL 24 YEARS, 'MM/dd/yyyy') END")
@@ -355,14 +367,22 @@ DATE_SQL = ("CASE o_orderkey % 5 WHEN 0 THEN strftime(o_orderdate + INTERVAL 24
 
 
 def q_date_parse(spark, sf_dir):
-    df = _orders_text(spark, sf_dir, DATE_SPARK)
+    df = _shaped_frame(spark, sf_dir).withColumn("kind", F.lit("shape")).unionByName(
+        _orders_text(spark, sf_dir, DATE_SPARK).withColumn("kind", F.lit("rule")))
     clock = cells.as_of_col(AS_OF)
-    return df.select("o_orderkey", "raw", cells.to_date_cell(F.col("raw"), StringType(), clock).alias("d"))
+    return df.select("o_orderkey", "kind", "raw", cells.to_date_cell(F.col("raw"), StringType(), clock).alias("d"))
 
 
+# ISO text is kept in the future, other future dates are not, the rest is the clean column.
 SQL_DATE = f"""
-SELECT o_orderkey, raw, {sql_date_parse('raw')} AS d
-FROM (SELECT o_orderkey, {DATE_SQL} AS raw FROM orders) x"""
+SELECT o_orderkey, 'shape' AS kind, {_shaped_text(False)} AS raw, CAST(x AS DATE) AS d FROM {_TIMED_ORDERS} o
+UNION ALL
+SELECT o_orderkey, 'rule', {DATE_SQL}, CASE
+         WHEN o_orderkey % 5 = 0 THEN CAST(o_orderdate + INTERVAL 24 YEAR AS DATE)
+         WHEN o_orderkey % 5 = 1 AND o_orderdate + INTERVAL 24 YEAR < DATE '2024-06-02'
+           THEN CAST(o_orderdate + INTERVAL 24 YEAR AS DATE)
+         WHEN o_orderkey % 5 IN (2, 3) THEN CAST(o_orderdate AS DATE) END
+FROM orders"""
 
 
 def _qty_frame(spark, sf_dir):
@@ -456,7 +476,7 @@ def q_ts_range_clean(spark, sf_dir):
 SQL_TS_RANGE = f"""
 SELECT event_id, shifted, {sql_range('shifted')} AS cleaned,
        coalesce({sql_range('shifted')}, {AS_OF_SQL}) AS ETL_SEEN_DATE,
-       regexp_replace(CAST({sql_range('shifted')} AS VARCHAR), '{fixed.TIMESTAMP_CHARS_PATTERN}', '', 'g') <> ''
+       regexp_replace(CAST({sql_range('shifted')} AS VARCHAR), '[0-9\\-:. ]', '', 'g') <> ''
            AS garbage
 FROM (SELECT event_id, {SHIFT_SQL} AS shifted FROM events) d"""
 
@@ -474,16 +494,95 @@ def q_hash_key_events(spark, sf_dir):
     return ev.select("event_id", hash_key([F.col(c) for c in cols]).alias("row_key"))
 
 
-SQL_HASH_EVENTS = """
-SELECT event_id,
-       sha256(concat_ws('||', CAST(event_id AS VARCHAR), CAST(ts AS VARCHAR), CAST(user_id AS VARCHAR),
-                        event_type, CAST(value AS VARCHAR), props)) AS row_key
+SQL_HASH_EVENTS = f"""
+SELECT event_id, {sql_key(["CAST(event_id AS VARCHAR)", "CAST(ts AS VARCHAR)", "CAST(user_id AS VARCHAR)",
+                           "event_type", "CAST(value AS VARCHAR)", "props"])} AS row_key
 FROM events"""
 
 
 def q_hash_key_sha3(spark, sf_dir):
-    o = read(spark, sf_dir, "orders")
-    return C.conform(o, tpch.orders_spec(), AS_OF, hash_algo="sha3_512").select("STG_ORDERS_KEY", "ORDER_KEY")
+    """SHA3-512 keys in the bare joined form, over text columns of few values."""
+    parts = [F.col("o_orderpriority"), F.col("o_orderstatus")]
+    return read(spark, sf_dir, "orders").select("o_orderkey", hash_key(parts, mode="compat").alias("row_key"))
+
+
+# DuckDB has no SHA-3: digests of the columns' whole domain, computed here by hashlib.
+_PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+_DIGESTS = ", ".join(
+    f"('{p}', '{s}', '{hashlib.sha3_512(f'{p}||{s}'.encode()).hexdigest()}')" for p in _PRIORITIES for s in "FOP"
+)
+SQL_HASH_SHA3 = f"""
+SELECT o.o_orderkey, d.digest AS row_key
+FROM orders o LEFT JOIN (VALUES {_DIGESTS}) d(p, s, digest) ON o.o_orderpriority = d.p AND o.o_orderstatus = d.s"""
+
+
+def q_json_guard_large(spark, sf_dir):
+    """Numbers of over a thousand digits, long strings and deep nesting are JSON like any other."""
+    ev = read(spark, sf_dir, "events").select("event_id", F.expr(LARGE_JSON).alias("raw"))
+    kept = cells.json_text_cell(F.col("raw"), StringType())
+    return ev.select("event_id", F.length("raw").alias("n"), kept.isNotNull().alias("is_json"))
+
+
+LARGE_JSON = ("CASE event_id % 6 WHEN 0 THEN repeat('9', 1500) WHEN 1 THEN '\"' || repeat('x', 20000) || '\"' "
+              "WHEN 2 THEN repeat('[', 800) || repeat(']', 800) WHEN 3 THEN repeat('9', 1500) || ' 1' "
+              "WHEN 4 THEN repeat('[', 800) || repeat(']', 799) ELSE '{\"a\": ' || repeat('7', 1200) || '}' END")
+SQL_JSON_LARGE = f"""
+SELECT event_id, length(raw)::INTEGER AS n, event_id % 6 IN (0, 1, 2, 5) AS is_json
+FROM (SELECT event_id, {LARGE_JSON} AS raw FROM events) e"""
+
+
+def q_null_shift_insert(spark, sf_dir):
+    """Rows that differ only in where a NULL or the separator stands are all inserted."""
+    orders = read(spark, sf_dir, "orders")
+    spec = make_spec("shift", "SHIFT_KEY", [("a", "A", "string"), ("b", "B", "string"), ("id", "ID", "string")],
+                     audit=None, hash_cols=("A", "B"))
+    status, key = F.col("o_orderpriority"), F.col("o_orderkey").cast("string")
+    none = F.lit(None).cast("string")
+    left = orders.select(key.alias("a"), none.alias("b"), key.alias("id"))
+    right = orders.select(none.alias("a"), key.alias("b"), key.alias("id"))
+    apart = orders.select(F.concat(key, F.lit("||"), status).alias("a"), F.lit("x").alias("b"), key.alias("id"))
+    across = orders.select(key.alias("a"), F.concat(status, F.lit("||x")).alias("b"), key.alias("id"))
+    target = L.Target(path=work_path(spark, "queries", "null_shift"))
+    for batch in (left, right, apart.unionByName(across)):
+        L.incremental_insert(C.conform(batch, spec, AS_OF), target, spec.key_col, create_if_missing=True)
+    return L.read_target(spark, target).select("A", "B", "ID")
+
+
+SQL_NULL_SHIFT = """
+SELECT o_orderkey::VARCHAR AS A, NULL::VARCHAR AS B, o_orderkey::VARCHAR AS ID FROM orders
+UNION ALL SELECT NULL, o_orderkey::VARCHAR, o_orderkey::VARCHAR FROM orders
+UNION ALL SELECT o_orderkey::VARCHAR || '||' || o_orderpriority, 'x', o_orderkey::VARCHAR FROM orders
+UNION ALL SELECT o_orderkey::VARCHAR, o_orderpriority || '||x', o_orderkey::VARCHAR FROM orders"""
+
+
+def q_ts_range_any_target(spark, sf_dir):
+    """Typed timestamps keep the year range whatever the target; dates from them drop the future."""
+    spec = make_spec("shifted", "K", [("event_id", "EVENT_ID", "string"), ("s1", "AS_TEXT", "string"),
+                                      ("s2", "AS_DAY", "date"), ("s3", "AS_TIME", "timestamp")], audit=None)
+    shifted = read(spark, sf_dir, "events").select(
+        "event_id", *[F.expr(SHIFT_SPARK).alias(c) for c in ("s1", "s2", "s3")])
+    return ntz(C.conform(shifted, spec, AS_OF)).select("EVENT_ID", "AS_TEXT", "AS_DAY", "AS_TIME")
+
+
+SQL_RANGE_ANY = f"""
+SELECT event_id::VARCHAR AS EVENT_ID, kept::VARCHAR AS AS_TEXT,
+       CASE WHEN kept::DATE <= DATE '2024-06-01' THEN kept::DATE END AS AS_DAY, kept AS AS_TIME
+FROM (SELECT event_id, CASE WHEN year(s) BETWEEN 1900 AND 2025 THEN s END AS kept
+      FROM (SELECT event_id, {SHIFT_SQL} AS s FROM events) a) b"""
+
+
+def q_table_exists(spark, sf_dir):
+    """Existence probes of path targets: each given table, and one that is not there."""
+    names = [*TABLES, "no_such_table"]
+    found = [(t, L.target_exists(spark, L.Target(path=f"{sf_dir.rstrip('/')}/{t}.parquet"))) for t in names]
+    # one row a table, beside its count as read
+    probes = spark.createDataFrame(found, "table_name string, present boolean")
+    return probes.join(q_row_count(spark, sf_dir), "table_name", "left")
+
+
+SQL_TABLE_EXISTS = """
+SELECT table_name, true AS present, n_rows FROM ({counts}) c
+UNION ALL SELECT 'no_such_table', false, NULL"""
 
 
 def q_anti_join_new_rows(spark, sf_dir):
@@ -527,24 +626,79 @@ def q_dedupe_insert(spark, sf_dir):
     return ntz(L.read_target(spark, target))
 
 
-def q_stream_incremental_insert(spark, sf_dir):
-    """The orders file as a stream source, loaded by micro-batch incremental insert."""
+def _stream_orders(spark, sf_dir, spec, target, tag: str, **how):
+    """The orders file as a stream, run twice: the second run finds no new file."""
     from sluice.streaming.incremental import start_incremental_stream
 
-    spec = tpch.orders_spec()
-    target, _ = _orders_target(spark, sf_dir, "stream")
-    ckpt = work_path(spark, "queries", "stream_ckpt")
+    ckpt = work_path(spark, "queries", tag)
     # a file stream source needs a directory or a glob, not a single file path
     path = f"{sf_dir.rstrip('/')}/orders*.parquet"
-    for _ in range(2):  # the second run finds no new file and adds nothing
+    for _ in range(2):
         q = start_incremental_stream(spark, path, read(spark, sf_dir, "orders").schema, spec, target,
-                                     checkpoint_location=ckpt, as_of=AS_OF)
+                                     checkpoint_location=ckpt, **how)
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
+
+
+def q_stream_incremental_insert(spark, sf_dir):
+    """The orders file as a stream source, loaded by micro-batch incremental insert."""
+    target, _ = _orders_target(spark, sf_dir, "stream")
+    _stream_orders(spark, sf_dir, tpch.orders_spec(), target, "stream_ckpt", options=P.IngestOptions(as_of=AS_OF))
     return ntz(L.read_target(spark, target))
 
 
+def q_stream_rejects(spark, sf_dir):
+    """Streamed rows that break the contract are set aside with their reason, like in a batch."""
+    spec = make_spec("orders_strict", "K", [("o_orderkey", "ORDER_KEY", "string"),
+                                            ("o_orderstatus", "URGENT", "boolean", False)], audit=None)
+    root = work_path(spark, "queries", "stream_rejects")
+    good, bad = L.Target(path=f"{root}/good"), L.Target(path=f"{root}/bad")
+    _stream_orders(spark, sf_dir, spec, good, "stream_rejects_ckpt", options=P.IngestOptions(as_of=AS_OF),
+                   reject_target=bad)
+    kept = L.read_target(spark, good).select("ORDER_KEY", F.lit(None).cast("string").alias("reason"))
+    return kept.unionByName(L.read_target(spark, bad).select("ORDER_KEY", F.col(C.REASON_COL).alias("reason")))
+
+
+SQL_STREAM_REJECTS = """
+SELECT o_orderkey::VARCHAR AS ORDER_KEY,
+       CASE WHEN o_orderstatus <> 'F' THEN 'URGENT: null in non-null column' END AS reason
+FROM orders"""
+
+
+def q_reject_rerun(spark, sf_dir):
+    """Two ingests of one extract: every row that breaks the contract is set aside once."""
+    spec = tpch.lineitem_spec(strict_quantity=True)
+    root = work_path(spark, "queries", "reject_rerun")
+    job = P.IngestJob(spec, lambda: dirty_lineitem(spark, sf_dir), L.Target(path=f"{root}/good"),
+                      L.Target(path=f"{root}/bad"))
+    opts = P.IngestOptions(as_of=AS_OF, create_if_missing=True, reject_unparseable=True)
+    for _ in range(2):
+        P.ingest_table(spark, job, opts)
+    return L.read_target(spark, job.reject_target).select("ORDER_KEY", "LINE_NUMBER", C.REASON_COL)
+
+
+def q_run_log_failed(spark, sf_dir):
+    """In stop mode the failed table is logged before the error is raised."""
+    log_path = work_path(spark, "queries", "run_log_failed")
+    root = work_path(spark, "queries", "failed")
+    jobs = [
+        P.IngestJob(tpch.orders_spec(), lambda: read(spark, sf_dir, "orders"), L.Target(path=f"{root}/orders")),
+        P.IngestJob(tpch.customer_spec(), lambda: read(spark, sf_dir, "no_such_table"), L.Target(path=f"{root}/c")),
+        P.IngestJob(tpch.lineitem_spec(), lambda: dirty_lineitem(spark, sf_dir), L.Target(path=f"{root}/l")),
+    ]
+    try:
+        P.ingest_tables(spark, jobs, P.IngestOptions(as_of=AS_OF, create_if_missing=True), run_log=log_path)
+    except AnalysisException:
+        pass
+    return runlog.read_run_log(spark, log_path).select("table", "status", "rows_written")
+
+
+SQL_RUN_LOG_FAILED = """
+SELECT 'orders' AS "table", 'ok' AS status, count(*) AS rows_written FROM orders
+UNION ALL SELECT 'customer', 'failed', NULL"""
+
+
 def q_append_load(spark, sf_dir):
     target, conformed = _orders_target(spark, sf_dir, "append")
     L.append_table(conformed, target)
@@ -619,6 +773,8 @@ FROM (
   FROM ({DIRTY_LINEITEM_SQL}) d
 ) c"""
 
+SQL_REJECT_RERUN = (f"SELECT ORDER_KEY, LINE_NUMBER, _reject_reason FROM ({QUARANTINE_SQL}) q "
+                    "WHERE _reject_reason IS NOT NULL")
 SQL_QUARANTINE_REJECTS = f"SELECT * FROM ({QUARANTINE_SQL}) q WHERE _reject_reason IS NOT NULL"
 
 
@@ -643,18 +799,18 @@ def _report_row(i, column, src, expected, actual, present, unparseable, issue="N
 
 SQL_SCHEMA_REPORT = " UNION ALL ".join([
     _report_row(0, "CUSTOMER_ID", "'c_custkey'", "decimal(38,0)", "'bigint'", "count(c_custkey)",
-                "count_if(c_custkey IS NOT NULL AND TRY_CAST(c_custkey AS DECIMAL(38,0)) IS NULL)"),
+                "count_if(c_custkey IS NOT NULL AND TRY_CAST(c_custkey AS DECIMAL(38,0)) IS NULL)", issue="'type'"),
     _report_row(1, "NAME", "'c_name'", "string", "'string'",
                 "count_if(c_name IS NOT NULL AND trim(c_name) <> '')", "count_if(false)"),
     _report_row(2, "BALANCE", "'c_acctbal'", "decimal(38,0)", "'double'", "count(c_acctbal)",
-                "count_if(c_acctbal IS NOT NULL AND TRY_CAST(c_acctbal AS DECIMAL(38,0)) IS NULL)"),
+                "count_if(c_acctbal IS NOT NULL AND TRY_CAST(c_acctbal AS DECIMAL(38,0)) IS NULL)", issue="'type'"),
     _report_row(3, "IS_ACTIVE", "'c_mktsegment'", "boolean", "'string'",
                 "count_if(c_mktsegment IS NOT NULL AND trim(c_mktsegment) <> '')",
                 f"count_if(c_mktsegment IS NOT NULL AND trim(c_mktsegment) <> '' AND "
-                f"({sql_bool('c_mktsegment')}) IS NULL)"),
+                f"({sql_bool('c_mktsegment')}) IS NULL)", issue="'type'"),
     _report_row(4, "SIGNUP_DATE", "'c_nationkey'", "date", "'int'", "count(c_nationkey)",
                 f"count_if(c_nationkey IS NOT NULL AND "
-                f"({sql_date_parse_raw('CAST(c_nationkey AS VARCHAR)')}) IS NULL)"),
+                f"({sql_date_parse_raw('CAST(c_nationkey AS VARCHAR)')}) IS NULL)", issue="'type'"),
     _report_row(5, "PHONE", "CAST(NULL AS VARCHAR)", "string", "CAST(NULL AS VARCHAR)", "0", "0",
                 issue="'missing'"),
 ])
@@ -857,7 +1013,14 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "ts_range_clean": (q_ts_range_clean, SQL_TS_RANGE),
     "hash_key_sha256": (q_hash_key_sha256, SQL_HASH_ORDERS),
     "hash_key_events": (q_hash_key_events, SQL_HASH_EVENTS),
-    "hash_key_sha3": (q_hash_key_sha3, None),
+    "hash_key_sha3": (q_hash_key_sha3, SQL_HASH_SHA3),
+    "json_guard_large": (q_json_guard_large, SQL_JSON_LARGE),
+    "null_shift_insert": (q_null_shift_insert, SQL_NULL_SHIFT),
+    "ts_range_any_target": (q_ts_range_any_target, SQL_RANGE_ANY),
+    "table_exists": (q_table_exists, SQL_TABLE_EXISTS.format(counts=SQL_ROW_COUNT)),
+    "reject_rerun": (q_reject_rerun, SQL_REJECT_RERUN),
+    "run_log_failed": (q_run_log_failed, SQL_RUN_LOG_FAILED),
+    "stream_rejects": (q_stream_rejects, SQL_STREAM_REJECTS),
     "anti_join_new_rows": (q_anti_join_new_rows, SQL_ANTI),
     "incremental_insert": (q_incremental_insert, SQL_INCREMENTAL),
     "dedupe_insert": (q_dedupe_insert, SQL_INCREMENTAL),

@@ -13,24 +13,47 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-_TABLE_NAME = re.compile(r'[\w."]+')
 DEFAULT_FETCHSIZE = 10000
+# A name part is a plain word, or anything in double quotes (a doubled quote stands for one).
+_PART = re.compile(r'\w+|"(?:[^"]|"")+"')
+_MISSING_TABLE_STATES = ("42P01", "42X05", "42S02")
+
+
+def name_parts(table: str) -> list[str]:
+    """The dot-separated parts of a table name, quoted ones with their quotes kept."""
+    parts, at = [], 0
+    while True:
+        m = _PART.match(table, at)
+        if m is None:
+            raise ValueError(f"not a table name: {table!r}")
+        parts.append(m.group())
+        at = m.end()
+        if at == len(table):
+            return parts
+        if table[at] != ".":
+            raise ValueError(f"not a table name: {table!r}")
+        at += 1
 
 
 def valid_table_name(table: str) -> bool:
-    """Only word characters, dots and double quotes."""
-    return bool(_TABLE_NAME.fullmatch(table))
+    """Whether the text is one to three dot-separated identifiers."""
+    try:
+        return len(name_parts(table)) <= 3
+    except ValueError:
+        return False
 
 
 def parse_table_name(table: str, default_schema: str = "public") -> tuple[str, str]:
-    """``schema.table`` split on the first dot, quotes removed."""
+    """(schema, name) as the source spells them; a catalog part stays with the schema."""
     if not valid_table_name(table):
-        raise ValueError(f"Invalid table name: {table}")
-    bare = table.replace('"', "")
-    if "." in bare:
-        schema, name = bare.split(".", 1)
-        return schema, name
-    return default_schema, bare
+        raise ValueError(f"not a table name: {table!r}")
+    *schema, name = name_parts(table)
+    return ".".join(schema) or default_schema, name
+
+
+def bare_name(part: str) -> str:
+    """An identifier without its quotes, for file and table names on this side."""
+    return part[1:-1].replace('""', '"') if part.startswith('"') else part
 
 
 def _reader(spark: SparkSession, url: str, properties: dict | None, fetchsize: int):
@@ -89,12 +112,26 @@ def jdbc_table_exists(spark: SparkSession, url: str, table: str, *, properties:
         query_scan(spark, url, f"SELECT * FROM {schema}.{name} WHERE 1 = 0", properties=properties).schema
         return True
     except Exception as exc:  # the JDBC driver's error surfaces as a Java exception
-        text = str(exc).lower()
-        if "does not exist" in text or "not found" in text or "unknown table" in text:
+        if _sql_state(exc) in _MISSING_TABLE_STATES:
             return False
         raise
 
 
+def _sql_state(exc: BaseException) -> str | None:
+    """SQLSTATE of the driver's exception behind a Spark error, if it has one."""
+    cause = getattr(exc, "java_exception", None) or getattr(exc, "_origin", None)
+    for _ in range(20):
+        if cause is None:
+            break
+        if hasattr(cause, "getSQLState"):
+            try:
+                return cause.getSQLState()
+            except Exception:  # py4j gives every attribute; only SQLExceptions answer
+                pass
+        cause = cause.getCause()
+    return None
+
+
 def jdbc_count(spark: SparkSession, url: str, table: str, *, properties: dict | None = None,
                default_schema: str = "public") -> DataFrame:
     """Row count computed by the source (one pushed-down query)."""

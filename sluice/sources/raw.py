@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StringType, StructField, StructType
+
+from sluice.sources.jdbc import bare_name, parse_table_name
 
 TEXT_FORMATS = ("csv", "json", "text")
+#: Formats whose table is nothing but the files in its folder.
+FILE_FORMATS = ("parquet", "orc", "csv", "json", "text", "avro")
 
 
 def raw_path(base: str, stage: str, db: str, table: str) -> str:
     """``<base>/<stage>/<db>/<table>``; quotes and a schema prefix are dropped."""
-    name = table.replace('"', "").split(".", 1)[-1]
+    name = bare_name(parse_table_name(table)[1])
     return "/".join(p.strip("/") if i else p.rstrip("/") for i, p in enumerate([base, stage, db, name]))
 
 
@@ -33,6 +38,11 @@ def read_raw(spark: SparkSession, path: str, fmt: str = "parquet", *, schema=Non
             reader = reader.option("multiLine", "true")
         if corrupt_col:
             reader = reader.option("columnNameOfCorruptRecord", corrupt_col)
+            # Spark fills the column only where the schema names it
+            if schema is None:
+                plain = reader.options(**options) if options else reader
+                schema = plain.option("enforceSchema", "false").load(path).schema
+            schema = with_corrupt_col(schema, corrupt_col)
     if schema is not None:
         reader = reader.schema(schema)
     if options:
@@ -40,63 +50,129 @@ def read_raw(spark: SparkSession, path: str, fmt: str = "parquet", *, schema=Non
     return reader.load(path)
 
 
+def with_corrupt_col(schema, corrupt_col: str) -> StructType:
+    """The schema with a text column for records that do not fit it."""
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    if corrupt_col in schema.fieldNames():
+        return schema
+    return StructType([*schema.fields, StructField(corrupt_col, StringType())])
+
+
 def write_raw(df: DataFrame, path: str, fmt: str = "parquet", *, partition_by: tuple[str, ...] = (),
               dynamic_partitions: bool = False, options: dict | None = None) -> None:
     """Overwrite the raw table; the new schema replaces the old one.
 
     With ``partition_by`` and ``dynamic_partitions`` only the partitions
     present in ``df`` are replaced (a daily extract rewrites its own day).
-    Overwriting a path that ``df`` itself reads would delete its input while
-    reading it, so that is refused: write to another path first.
+    Overwriting a path that ``df`` itself reads is refused: write to another
+    path first. Plain files are written aside and swapped in when complete, so a
+    job that fails leaves the old table as it was.
     """
     if reads_path(df, path):
         raise ValueError(f"refusing to overwrite {path}: the frame reads from it")
-    writer = df.write.format(fmt).mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-        if dynamic_partitions:
+    dynamic = bool(partition_by) and dynamic_partitions
+
+    def write(to: str) -> None:
+        writer = df.write.format(fmt).mode("overwrite")
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        if dynamic:
             writer = writer.option("partitionOverwriteMode", "dynamic")
-    if options:
-        writer = writer.options(**options)
-    writer.save(path)
+        writer.options(**(options or {})).save(to)
+
+    if dynamic or fmt not in FILE_FORMATS:
+        write(path)
+    else:
+        replace_folder(df.sparkSession, path, write)
 
 
 def reads_path(df: DataFrame, path: str) -> bool:
-    """Whether any file the frame scans lies under ``path``.
+    """Whether the frame scans files under ``path``, or a folder that holds it.
 
-    ``inputFiles`` answers from the file index the planner already built
-    (no job); a JDBC-sourced frame has none.
+    The root paths of the frame's file relations are compared, both sides
+    qualified by their file system; no file is listed.
     """
-    norm = _bare(path).rstrip("/") + "/"
-    return any(_bare(f).startswith(norm) for f in df.inputFiles())
+    spark = df.sparkSession
+    own = qualified(spark, path)
+    return any(_within(own, root) or _within(root, own) for root in source_roots(df))
+
 
+def _within(path: str, folder: str) -> bool:
+    return path == folder or path.startswith(folder.rstrip("/") + "/")
 
-def _bare(path: str) -> str:
-    """Path without its scheme, with one leading slash (file:/x, file:///x, /x alike)."""
-    if re.match(r"^[A-Za-z][\w+.-]*:", path):
-        path = path.split(":", 1)[1]
-    return "/" + path.lstrip("/")
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme and authority, as its file system writes it."""
+    fs, p = _file_system(spark, path)
+    return fs.makeQualified(p).toString()
 
-# A source read by fewer tasks than this is "narrow": a one-task JDBC read or a
-# handful of unsplittable files. Wider sources are already parallel and are
-# never reshuffled just to match the core count.
-NARROW_BELOW = 8
 
+def source_roots(df: DataFrame) -> set[str]:
+    """Qualified root paths of the file relations that the frame reads."""
+    roots = set()
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() != "LogicalRelation":
+            continue
+        relation = leaf.relation()
+        if relation.getClass().getSimpleName() != "HadoopFsRelation":
+            continue
+        paths = relation.location().rootPaths()
+        roots |= {qualified(df.sparkSession, paths.apply(k).toString()) for k in range(paths.size())}
+    return roots
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Redistribute a frame that arrives in too few partitions.
 
-    Without ``min_partitions`` only narrow sources (fewer than
-    ``NARROW_BELOW`` partitions, or fewer than the cores of a small session)
-    are touched, with a ``rebalance`` hint: AQE then sizes the partitions by
-    bytes, coalescing a small source and splitting a huge one. With
-    ``min_partitions`` the frame is round-robin repartitioned to that count
-    when it has fewer. Wide inputs are returned unchanged (no shuffle).
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of ours through its file system; a missing one is fine."""
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+
+
+def replace_folder(spark: SparkSession, path: str, write) -> None:
+    """``write`` a folder beside ``path``, then put it in its place.
+
+    Readers see the old folder until two renames swap it for the new one. When
+    the write or the swap fails, the old folder stays or is put back.
+    """
+    mark = uuid.uuid4().hex[:12]
+    new, old = (f"{path.rstrip('/')}.{kind}-{mark}" for kind in ("new", "old"))
+    try:
+        write(new)
+    except BaseException:
+        remove_folder(spark, new)
+        raise
+    fs, target = _file_system(spark, path)
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    had_old = fs.exists(target)
+    if not had_old:
+        parent = target.getParent()
+        if parent is not None:
+            fs.mkdirs(parent)
+    if had_old and not fs.rename(target, hadoop_path(old)):
+        remove_folder(spark, new)
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(hadoop_path(new), target):
+        if had_old:
+            fs.rename(hadoop_path(old), target)
+        remove_folder(spark, new)
+        raise OSError(f"cannot put the new folder at {path}")
+    if had_old:
+        remove_folder(spark, old)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Redistribute a frame that arrives in few partitions (one JDBC task, a few big files).
+
+    A ``rebalance`` hint: AQE sizes the partitions by bytes, coalescing a small
+    source and splitting a large one. It shuffles the frame, so it is asked for,
+    never chosen from a partition count.
     """
-    current = df.rdd.getNumPartitions()
-    if min_partitions is not None:
-        return df.repartition(min_partitions) if current < min_partitions else df
-    if current >= min(NARROW_BELOW, df.sparkSession.sparkContext.defaultParallelism):
-        return df
     return df.hint("rebalance")

@@ -192,7 +192,7 @@ TABLE_ORDER = ("lead_assignment", "lead_xref", "lead")
 
 # Source tables copied by the sync, in order, and the warehouse name prefix.
 SOURCE_TABLES = ('public."leadassignment"', 'public."leadxref"', 'public."lead"')
-WAREHOUSE_PREFIX = "STG_LCR_"
+WAREHOUSE_PREFIX = "STG_"
 
 # --- end of fixed values -----------------------------------------------------
 

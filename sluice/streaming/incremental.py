@@ -1,34 +1,38 @@
 """Incremental loads driven by Structured Streaming.
 
-A file stream over the raw zone feeds each micro-batch through ``conform``
-and ``incremental_insert``. The stream's checkpoint records which raw files
-were consumed, and the insert itself is idempotent (left-anti join on the
-row key), so a batch replayed after a failure inserts nothing twice: the
-effect is exactly-once without a sleep-and-retry loop.
+A file stream over the raw zone feeds each micro-batch through the batch
+path (conform, rejects, incremental insert, run log). The stream's checkpoint
+records which raw files were consumed, and the insert itself is idempotent
+(left-anti join on the row key), so a batch replayed after a failure inserts
+nothing twice: the effect is exactly-once without a sleep-and-retry loop.
 """
 
 from __future__ import annotations
 
-from datetime import datetime
+from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from sluice.operators.conform import conform
-from sluice.operators.load import Target, incremental_insert
+from sluice.operators.load import Target
+from sluice.plans.ingest import IngestJob, IngestOptions, ingest_tables
 from sluice.session import work_path
 from sluice.spec import TableSpec
 
 
-def batch_loader(spec: TableSpec, target: Target, *, as_of: str | datetime | Column | None = None,
-                 dedupe: bool = False, hash_algo: str = "sha256"):
-    """The ``foreachBatch`` function: conform the micro-batch, insert new rows."""
+def batch_loader(spec: TableSpec, target: Target, *, options: IngestOptions | None = None,
+                 reject_target: Target | None = None, run_log: str | None = None):
+    """The ``foreachBatch`` function: each micro-batch goes through the batch path.
+
+    Rejects, residue counts and the run log are those of ``ingest_table``.
+    """
+    opts = replace(options or IngestOptions(), mode="incremental_insert", create_if_missing=True)
 
     def load(batch: DataFrame, epoch_id: int) -> None:
-        conformed = conform(batch, spec, as_of, hash_algo=hash_algo)
-        incremental_insert(conformed, target, spec.key_col, dedupe=dedupe,
-                           create_if_missing=True, schema=spec.schema)
+        # one source per batch: staged once, so the rows and the rejects read the same files
+        job = IngestJob(spec, lambda: batch, target, reject_target)
+        ingest_tables(batch.sparkSession, [job], opts, run_log=run_log)
 
     return load
 
@@ -42,8 +46,9 @@ def start_incremental_stream(
     *,
     fmt: str = "parquet",
     checkpoint_location: str | None = None,
-    as_of: str | datetime | Column | None = None,
-    dedupe: bool = False,
+    options: IngestOptions | None = None,
+    reject_target: Target | None = None,
+    run_log: str | None = None,
     available_now: bool = True,
     processing_time: str | None = None,
     max_files_per_trigger: int | None = None,
@@ -60,8 +65,9 @@ def start_incremental_stream(
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.load(source_path)
     ckpt = checkpoint_location or work_path(spark, "streams", spec.name, unique=False)
-    writer = stream.writeStream.foreachBatch(batch_loader(spec, target, as_of=as_of, dedupe=dedupe)) \
-        .option("checkpointLocation", ckpt)
+    writer = stream.writeStream.foreachBatch(
+        batch_loader(spec, target, options=options, reject_target=reject_target, run_log=run_log)
+    ).option("checkpointLocation", ckpt)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:

@@ -39,7 +39,7 @@ def test_whole_table_read_is_one_query(monkeypatch):
     log = []
     patch(monkeypatch, log)
     jdbc.read_jdbc(fake_spark(log), "jdbc:x://h/db", 'public."lead"')
-    assert log == [{"format": "jdbc", "url": "jdbc:x://h/db", "fetchsize": "10000", "dbtable": "public.lead"}]
+    assert log == [{"format": "jdbc", "url": "jdbc:x://h/db", "fetchsize": "10000", "dbtable": 'public."lead"'}]
 
 
 def test_partitioned_read_fetches_bounds_by_query(monkeypatch):
@@ -63,6 +63,29 @@ def test_given_bounds_skip_the_query(monkeypatch):
     assert len(log) == 1 and log[0]["numPartitions"] == "4" and log[0]["dbtable"] == "s.t"
 
 
+class Driver(Exception):
+    """A Spark error with a Java cause that answers getSQLState."""
+
+    def __init__(self, state):
+        super().__init__("the database does not exist")
+        self.java_exception = SimpleNamespace(getCause=lambda: SimpleNamespace(getSQLState=lambda: state))
+
+
+def test_only_a_missing_table_is_absent(monkeypatch):
+    import pytest
+
+    def fail(state):
+        def scan(*_, **__):
+            raise Driver(state)
+        return scan
+
+    monkeypatch.setattr(jdbc, "query_scan", fail("42P01"))
+    assert jdbc.jdbc_table_exists(None, "u", "lead") is False
+    monkeypatch.setattr(jdbc, "query_scan", fail("28000"))  # the role does not exist
+    with pytest.raises(Driver):
+        jdbc.jdbc_table_exists(None, "u", "lead")
+
+
 def test_query_scan_and_count(monkeypatch):
     log = []
     patch(monkeypatch, log)

@@ -91,7 +91,7 @@ def test_command_line_ingest(spark):
     assert [(r["table"], r["status"]) for r in recs] == [
         ("lead_assignment", "skipped"), ("lead_xref", "ok"), ("lead", "skipped")]
     assert recs[1]["rows_written"] == 1
-    assert L.read_target(spark, L.Target(path=f"{out}/STG_LCR_LEAD_XREF")).count() == 1
+    assert L.read_target(spark, L.Target(path=f"{out}/STG_LEAD_XREF")).count() == 1
 
 
 def test_command_line_report(spark, capsys):

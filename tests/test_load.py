@@ -58,7 +58,7 @@ def test_append_and_historical(spark):
     assert contents(spark, t2) == ["k2"]
     with pytest.raises(ValueError, match="historical"):
         L.load(batch(spark, "k2"), t2, "KEY", "incremental_insert", historical=True)
-    with pytest.raises(ValueError, match="Invalid write mode"):
+    with pytest.raises(ValueError, match="unknown write mode"):
         L.load(batch(spark, "k2"), t2, "KEY", "merge")
 
 

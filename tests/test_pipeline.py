@@ -91,11 +91,13 @@ def test_counts_and_reconcile(spark):
 
 
 def test_jdbc_name_guard():
-    assert jdbc.parse_table_name('public."leadassignment"') == ("public", "leadassignment")
+    assert jdbc.parse_table_name('public."LeadAssignment"') == ("public", '"LeadAssignment"')
+    assert jdbc.parse_table_name('"a.b"."c""d"') == ('"a.b"', '"c""d"') and jdbc.bare_name('"c""d"') == 'c"d'
     assert jdbc.parse_table_name("lead") == ("public", "lead")
-    assert jdbc.parse_table_name("s.t.u") == ("s", "t.u")
-    with pytest.raises(ValueError):
-        jdbc.parse_table_name("lead; drop table x")
+    assert jdbc.parse_table_name("s.t.u") == ("s.t", "u")
+    for bad in ("lead; drop table x", "", "a..b", '"open', "a.", "a b", "a.b.c.d"):
+        with pytest.raises(ValueError):
+            jdbc.parse_table_name(bad)
     assert raw.raw_path("s3://b/base/", "RAW", "db", 'public."lead_xref"') == "s3://b/base/RAW/db/lead_xref"
 
 
@@ -125,14 +127,16 @@ def test_dynamic_partition_overwrite(spark):
     assert back.filter("o_orderstatus = 'O'").count() == o.filter("o_orderstatus = 'O'").count()
 
 
-def test_spread_only_touches_narrow_sources(spark):
-    one = orders(spark)  # a single-row-group file: one scan task
-    assert one.rdd.getNumPartitions() == 1
-    spread_plan = raw.spread(one)._jdf.queryExecution().optimizedPlan().toString()
-    assert "Rebalance" in spread_plan or "Repartition" in spread_plan
-    wide = one.repartition(16)
-    assert raw.spread(wide) is wide
-    assert raw.spread(one, 4).rdd.getNumPartitions() == 4
+def test_rows_are_rebalanced_only_when_asked(spark):
+    def plan(df):
+        return df._jdf.queryExecution().optimizedPlan().toString()
+
+    assert "Rebalance" in plan(raw.spread(orders(spark)))
+    target = L.Target(path=work_path(spark, "test", "rebalance"))
+    job = P.IngestJob(tpch.orders_spec(), lambda: orders(spark), target)
+    for rebalance in (False, True):
+        rec = P.ingest_table(spark, job, P.IngestOptions(as_of=AS_OF, create_if_missing=True, rebalance=rebalance))
+        assert rec.rows_in == orders(spark).count()
 
 
 def test_run_log_residue_matches_schema_report(spark):
@@ -174,8 +178,8 @@ def test_lead_sync_jobs_shape(spark):
     jobs = lead_sync_jobs(spark, "jdbc:x://h/db", "abfss://c@a/base", "RAW", "db", partition_column="id")
     assert [j.name for j in jobs] == ["leadassignment", "leadxref", "lead"]
     assert [j.raw_path for j in jobs] == [f"abfss://c@a/base/RAW/db/{n}" for n in ("leadassignment", "leadxref", "lead")]
-    assert warehouse_table("lead_xref") == "STG_LCR_LEAD_XREF"
-    assert warehouse_table("lead", "stage") == "stage.STG_LCR_LEAD"
+    assert warehouse_table("lead_xref") == "STG_LEAD_XREF"
+    assert warehouse_table("lead", "stage", prefix="W_") == "stage.W_LEAD"
 
 
 def test_sync_into_daily_partitions(spark):
@@ -209,7 +213,7 @@ def test_lenient_option_through_the_pipeline(spark):
 
     root = work_path(spark, "test", "lenient_pipe")
     spec = make_spec("t", "K", [("a", "A", "timestamp")])
-    src = spark.createDataFrame([("March 10 2024",), ("2024-03-10 00:00:00",)], "a string")
+    src = spark.createDataFrame([("March 2024",), ("2024-03-10 00:00:00",)], "a string")
     for lenient, expect_null in ((False, 1), (True, 0)):
         t = L.Target(path=f"{root}/{lenient}")
         job = P.IngestJob(spec, lambda: src, t)

@@ -1,6 +1,7 @@
 """Streaming incremental load: new files only, replay-safe."""
 
 from sluice.operators import load as L
+from sluice.plans.ingest import IngestOptions
 from sluice.session import work_path
 from sluice.specs import tpch
 from sluice.streaming.incremental import start_incremental_stream
@@ -18,7 +19,7 @@ def test_stream_loads_new_files_once(spark):
 
     def run():
         q = start_incremental_stream(spark, f"{src}/*", orders.schema, spec, target,
-                                     checkpoint_location=ckpt, as_of=AS_OF)
+                                     checkpoint_location=ckpt, options=IngestOptions(as_of=AS_OF))
         q.awaitTermination(300)
         assert q.exception() is None
 

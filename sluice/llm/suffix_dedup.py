@@ -4,21 +4,25 @@ Which texts share long strings is found by anchors: of the ``ANCHOR``-byte strin
 inside any ``length``-byte window, the leftmost one of least hash. Equal windows
 have the same anchor at the same offset, so every repeat shows as an anchor that
 occurs twice, and the windows of one anchor in one text are one region of a few
-hundred bytes. Regions of repeated anchors are gathered by anchor into shards of
-about ``shard_bytes``; equal regions are collapsed to two copies first. Each shard
-is one suffix array, built by induced sorting, and a string repeats where the
-permuted common prefix with a neighbour in the array reaches ``length``.
-
-Equal windows always meet in one shard, regions never reach over a document's
-end, and collapsed copies get the answer of their equal, so the result is exact
-and a hot passage is one region with a count. An anchor with more than
-``hot_regions`` different regions is dealt out window by window: its windows are
-regions of their own, sharded by their own content.
+hundred bytes. Equal texts, and equal regions of one anchor, repeat as a whole and
+are collapsed to one. A region that equals no other can hold a repeat only if
+another region of its anchor has the same bytes for half of what is left of a
+window on the anchor's one side or the other. Those regions, with one of each kind
+they may share strings with, are gathered by anchor into shards of about
+``shard_bytes``. Each shard is one suffix array, built by induced sorting, and a
+string repeats where the permuted common prefix with a neighbour in the array
+reaches ``length``.
+
+Equal windows always meet in one shard and regions never reach over a document's
+end, so the result is exact. Tasks settle equal regions of a batch before anything
+is shuffled, so a hot passage posts a row per batch. An anchor with more than
+``hot_regions`` different regions is dealt out window by window instead, grouped by
+the windows' own content.
 """
 
 from __future__ import annotations
 
-from hashlib import blake2b
+import itertools
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm.common import key_runs, run_starts, staged, table
-from sluice.llm.shingles import BASE, _POWERS, mix
+from sluice.llm.shingles import _POWERS, mix
 from sluice.llm.suffix_arrays import repeated_starts
 
 LENGTH = 200
@@ -34,42 +38,61 @@ ANCHOR = 32
 SLAB = 2 << 20
 SHARD_BYTES = 2 << 20
 HOT_REGIONS = 20_000
+#: What a region turns out to be: repeated as a whole, to be sorted, beside such a
+#: one in its shard, or of a hot anchor.
+SETTLED, OPEN, BESIDE, HOT = range(4)
+#: How a task posts a place: alone in its batch, standing for equal ones, or one of those.
+SINGLE, COPIED, ALONG = range(3)
+
 
+def anchors(raw: np.ndarray, bounds: np.ndarray, length: int) -> list[np.ndarray]:
+    """Anchors of every window of the texts between ``bounds``.
 
-def anchors(raw: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """Anchors of every window of the texts between ``bounds``: (text, hash, first start, last start)."""
+    Parallel arrays: text, anchor hash, first and last window start, hash of the
+    region, and hashes of the anchor with half a window's rest to its left and to
+    its right (0 where no window of the region has that much there).
+    """
     k = min(ANCHOR, length)
-    wide = length - k + 1
+    wide, half = length - k + 1, (length - k) // 2
     n = len(raw)
-    empty = np.zeros(0, np.int64)
     if n < length:
-        return empty, empty, empty, empty
+        return [np.zeros(0, np.int64) for _ in range(7)]
     with np.errstate(over="ignore"):
         up, down = _POWERS.upto(n + 1)
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
         hashes = mix((sums[k:] - sums[: n - k + 1]) * down[: n - k + 1])
-    bits = np.uint64(max(1, int(n).bit_length()))
-    low = (hashes >> bits << bits) | np.arange(len(hashes), dtype=np.uint64)
-    span = 1
-    while span * 2 <= wide:
-        low = np.minimum(low[: len(low) - span], low[span:])
-        span *= 2
-    low = np.minimum(low[: n - length + 1], low[wide - span : wide - span + n - length + 1])
-    place = (low & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
-    count = np.maximum(0, np.diff(bounds) - length + 1)
-    texts = np.repeat(np.arange(len(count)), count)
-    starts = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + bounds[texts]
-    place = place[starts]
-    new = np.append(True, (place[1:] != place[:-1]) | (texts[1:] != texts[:-1])) if len(place) else np.zeros(0, bool)
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(place))[: len(first)] - 1
-    text = texts[first]
-    return text, hashes[place[first]].view(np.int64), starts[first] - bounds[text], starts[last] - bounds[text]
+        bits = np.uint64(max(1, int(n).bit_length()))
+        low = (hashes >> bits << bits) | np.arange(len(hashes), dtype=np.uint64)
+        span = 1
+        while span * 2 <= wide:
+            low = np.minimum(low[: len(low) - span], low[span:])
+            span *= 2
+        low = np.minimum(low[: n - length + 1], low[wide - span : wide - span + n - length + 1])
+        place = (low & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+        count = np.maximum(0, np.diff(bounds) - length + 1)
+        texts = np.repeat(np.arange(len(count)), count)
+        starts = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + bounds[texts]
+        place = place[starts]
+        new = np.append(True, (place[1:] != place[:-1]) | (texts[1:] != texts[:-1])) if len(place) else np.zeros(0, bool)
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(place))[: len(first)] - 1
+        text, place, first, last = texts[first], place[first], starts[first], starts[last]
+
+        def between(a, b):
+            return mix((sums[b] - sums[a]) * down[a])
+
+        region = between(first, last + length)
+        left = np.where(place - first >= half, between(np.maximum(place - half, 0), place + k), np.uint64(0))
+        right = np.where(place - last <= length - k - half, between(place, np.minimum(place + k + length - k - half, n)), np.uint64(0))
+    return [
+        text, hashes[place].view(np.int64), first - bounds[text], last - bounds[text],
+        *(x.view(np.int64) for x in (region, left, right)),
+    ]
 
 
 def text_anchors(texts: pa.Array, length: int):
-    """(hashes, first starts, last starts) of every text, in order."""
+    """The arrays of ``anchors`` but the first, for every text in order."""
     texts = texts.cast(pa.large_binary()).fill_null(b"")
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = texts.buffers()[2]
@@ -82,18 +105,52 @@ def text_anchors(texts: pa.Array, length: int):
             parts = []
             for s in range(0, max(1, len(whole) - length + 1), SLAB):
                 piece = whole[s : s + SLAB + length - 1]
-                _, h, lo, hi = anchors(piece, np.array([0, len(piece)]), length)
-                parts.append((h, lo + s, hi + s))
-            yield tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+                _, h, lo, hi, *rest = anchors(piece, np.array([0, len(piece)]), length)
+                parts.append((h, lo + s, hi + s, *rest))
+            yield [np.concatenate(x) for x in zip(*parts, strict=True)]
             at += 1
             continue
-        text, h, lo, hi = anchors(data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at], length)
+        text, *rest = anchors(data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at], length)
         cuts = np.searchsorted(text, np.arange(to - at + 1))
-        for s, e in zip(cuts[:-1], cuts[1:], strict=True):
-            yield h[s:e], lo[s:e], hi[s:e]
+        for s, e in itertools.pairwise(cuts):
+            yield [x[s:e] for x in rest]
         at = to
 
 
+def equal_rows(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each row of parallel columns: how many rows equal it, and whether it is the first of them."""
+    n = len(columns[0])
+    order = np.lexsort(columns[::-1])
+    starts = run_starts([c[order] for c in columns])
+    counts, first = np.empty(n, np.int64), np.zeros(n, bool)
+    counts[order] = np.repeat(np.diff(starts), np.diff(starts))
+    first[order[starts[:-1]]] = True
+    return counts, first
+
+
+def region_roles(h, region, left, right, copied, hot_regions: int) -> tuple[np.ndarray, np.ndarray]:
+    """(settled, other role or -1) for each place of some anchors, all places of each given;
+    ``copied`` places are known to have an equal one."""
+    copies, first = equal_rows(h, region)
+    settled = (copies > 1) | copied
+    role = np.full(len(h), -1, np.int8)
+    at = np.flatnonzero(first)
+    shares = np.zeros(len(at), bool)
+    for side in (left[at], right[at]):
+        alike, _ = equal_rows(h[at], side)
+        shares |= (side != 0) & (alike > 1)
+    at = at[shares]
+    if len(at):
+        _, anchor = np.unique(h[at], return_inverse=True)
+        alone = ~settled[at]
+        any_alone = np.bincount(anchor, weights=alone) > 0
+        crowded = np.bincount(anchor) > hot_regions
+        role[at] = np.where(alone, OPEN, BESIDE)
+        role[at[crowded[anchor]]] = HOT
+        role[at[~any_alone[anchor]]] = -1
+    return settled, role
+
+
 def cut_spans(text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[bytes, int, int]:
     """``text`` without the union of half-open byte spans: (left, bytes removed, maximal runs)."""
     if not len(starts):
@@ -128,141 +185,151 @@ def remove_repeats(
     row each; an empty table gives no rows; other columns are ignored.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
-    long = rows.where(F.octet_length("t") >= length).select(F.unhex(F.sha2("t", 256)).alias("key"), "t")
+    seed = 0
+    while True:  # a number for every different text, by the first seed that tells all apart
+        numbered = rows.select("id", "t", F.xxhash64("t", F.lit(seed)).alias("tid"))
+        long = numbered.where(F.octet_length("t") >= length)
+        texts = staged(
+            long.groupBy("tid").agg(
+                F.count(F.lit(1)).alias("copies"), F.min(F.sha2("t", 256)).alias("a"), F.max(F.sha2("t", 256)).alias("b")
+            ),
+            "text-numbers",
+        )
+        if not texts.where("a <> b").head(1):
+            break
+        seed += 1
+    columns = "h long, tid long, lo int, hi int, region long, left long, right long, state byte"
 
     def find_anchors(batches):
-        seen: set[bytes] = set()  # texts this task has anchored: copies are counted only
+        seen: set[int] = set()  # texts this task has anchored
         for batch in batches:
-            keys = batch.column("key").to_pylist()
+            tids = batch.column("tid").to_numpy()
             fresh = []
-            for i, key in enumerate(keys):
-                if key not in seen:
-                    seen.add(key)
+            for i, tid in enumerate(tids.tolist()):
+                if tid not in seen:
+                    seen.add(tid)
                     fresh.append(i)
-            found = dict(zip(fresh, text_anchors(batch.column("t").take(pa.array(fresh, pa.int64())), length), strict=True))
-            nothing = (None, None, None)
-            h, lo, hi = zip(*(found.get(i, nothing) for i in range(len(keys))), strict=True) if keys else ((), (), ())
+            if not fresh:
+                continue
+            found = list(text_anchors(batch.column("t").take(pa.array(fresh, pa.int64())), length))
+            h, lo, hi, region, left, right = (np.concatenate(x) for x in zip(*found, strict=True))
+            tid = np.repeat(tids[fresh], [len(f[0]) for f in found])
+            copies, first = equal_rows(h, region)
+            # One of equal regions stands for all; the others go along under any key.
+            state = np.where(first, np.where(copies > 1, COPIED, SINGLE), ALONG).astype(np.int8)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("key"), pa.array(h, pa.list_(pa.int64())), pa.array(lo, pa.list_(pa.int32())),
-                    pa.array(hi, pa.list_(pa.int32())),
+                    pa.array(np.where(first, h, tid ^ lo)), pa.array(tid), pa.array(lo.astype(np.int32)),
+                    pa.array(hi.astype(np.int32)), *(pa.array(np.where(first, x, 0)) for x in (region, left, right)),
+                    pa.array(state),
                 ],
-                names=["key", "h", "lo", "hi"],
+                names=["h", "tid", "lo", "hi", "region", "left", "right", "state"],
             )
 
-    anchored = staged(
-        long.mapInArrow(find_anchors, "key binary, h array<long>, lo array<int>, hi array<int>"), "anchors"
-    )
-    copied = anchored.groupBy("key").count().where("count > 1").select("key", F.lit(True).alias("copied"))
-    posted = (
-        anchored.where("h is not null").join(copied, "key", "left")
-        .select("key", F.coalesce("copied", F.lit(False)).alias("copied"), F.explode(F.arrays_zip("h", "lo", "hi")).alias("a"))
-        .select("key", "copied", "a.h", "a.lo", "a.hi")
-    )
-
-    def repeated_anchors(batches):
+    def judge_regions(batches):
         for part in key_runs(batches, ["h"]):
-            part = part.combine_chunks()
-            h, lo = part.column("h").to_numpy(), part.column("lo").to_numpy()
-            copied = part.column("copied").to_numpy()
-            keys = part.column("key").combine_chunks().dictionary_encode().indices.to_numpy()
-            starts = run_starts([h])
-            run = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-            # an anchor repeats if it has two places, or one place in a text with copies
-            places = run_starts([h, lo, keys])[:-1]
-            n_places = np.bincount(run[places], minlength=len(starts) - 1)
-            any_copy = np.bincount(run, weights=copied, minlength=len(starts) - 1) > 0
-            keep = np.zeros(len(h), bool)
-            keep[places] = ((n_places > 1) | any_copy)[run[places]]
-            if keep.any():
-                yield from part.filter(pa.array(keep)).select(["key", "copied", "h", "lo", "hi"]).to_batches()
-
-    wanted = (
-        posted.repartition("h").sortWithinPartitions("h", "lo", "key")
-        .mapInArrow(repeated_anchors, "key binary, copied boolean, h long, lo int, hi int")
-        .groupBy("key", "copied")
-        .agg(F.collect_list("h").alias("h"), F.collect_list("lo").alias("lo"), F.collect_list("hi").alias("hi"))
+            cols = {c: part.column(c).to_numpy() for c in ("h", "tid", "lo", "hi", "region", "left", "right", "state")}
+            along = cols["state"] == ALONG
+            same = np.zeros(len(along), bool)  # a copied text may be posted by several tasks
+            same[1:] = (cols["h"][1:] == cols["h"][:-1]) & (cols["tid"][1:] == cols["tid"][:-1]) & (cols["lo"][1:] == cols["lo"][:-1])
+            at = np.flatnonzero(~along & ~same)
+            out = [(np.flatnonzero(along), np.full(along.sum(), SETTLED, np.int8))]
+            if len(at):
+                crowd, _ = equal_rows(cols["h"][at])
+                at = at[(crowd > 1) | (cols["state"][at] == COPIED)]
+                settled, role = region_roles(
+                    *(cols[c][at] for c in ("h", "region", "left", "right")), cols["state"][at] == COPIED, hot_regions
+                )
+                out += [(at[settled], np.full(settled.sum(), SETTLED, np.int8)), (at[role >= 0], role[role >= 0])]
+            out = [(*(cols[c][rows_] for c in ("h", "tid", "lo", "hi")), kinds) for rows_, kinds in out]
+            merged = [np.concatenate(x) for x in zip(*out, strict=True)]
+            if len(merged[0]):
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in merged], names=["h", "tid", "lo", "hi", "role"])
+
+    judged = staged(
+        long.select("tid", "t").mapInArrow(find_anchors, columns)
+        .repartition("h").sortWithinPartitions("h", "state", "tid", "lo")
+        .mapInArrow(judge_regions, "h long, tid long, lo int, hi int, role byte"),
+        "regions",
+    )
+    wanted = judged.where(F.col("role") != SETTLED).groupBy("tid").agg(
+        F.collect_list(F.struct("h", "lo", "hi", "role")).alias("w")
     )
 
     def cut_regions(batches):
+        seen: set[int] = set()  # copies of a text have the same regions
         for batch in batches:
-            seen: set[bytes] = set()
-            for key, copied, h, lo, hi, text in zip(*(batch.column(c).to_pylist() for c in ("key", "copied", "h", "lo", "hi", "t")), strict=True):
-                if key in seen:  # copies of a text have the same regions
+            for tid, w, text in zip(*(batch.column(c) for c in ("tid", "w", "t")), strict=True):
+                tid = tid.as_py()
+                if tid in seen:
                     continue
-                seen.add(key)
-                raw = text.encode()
-                regions = [raw[a : b + length] for a, b in zip(lo, hi, strict=True)]
+                seen.add(tid)
+                raw = text.as_py().encode()
+                fields = w.values
+                lo, hi = (fields.field(c).to_pylist() for c in ("lo", "hi"))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([key] * len(h), pa.binary()), pa.array([copied] * len(h), pa.bool_()),
-                        pa.array(h, pa.int64()), pa.array(lo, pa.int32()),
-                        pa.array([blake2b(r, digest_size=16).digest() for r in regions], pa.binary()),
-                        pa.array(regions, pa.binary()),
+                        pa.array([tid] * len(lo), pa.int64()), fields.field("h"), fields.field("lo"), fields.field("role"),
+                        pa.array([raw[a : b + length] for a, b in zip(lo, hi, strict=True)], pa.binary()),
                     ],
-                    names=["key", "copied", "h", "lo", "same", "region"],
+                    names=["tid", "h", "lo", "role", "bytes"],
                 )
 
     cut = staged(
-        long.join(wanted, "key").select("key", "copied", "h", "lo", "hi", "t")
-        .mapInArrow(cut_regions, "key binary, copied boolean, h long, lo int, same binary, region binary"),
-        "regions",
+        long.select("tid", "t").join(wanted, "tid").select("tid", "w", "t")
+        .mapInArrow(cut_regions, "tid long, h long, lo int, role byte, bytes binary"),
+        "region-bytes",
     )
-    distinct = _distinct_regions(cut)
-    hot = staged(distinct.groupBy("h").count().where(F.col("count") > hot_regions).select("h"), "hot-anchors")
-    if hot.head(1):
-        windows = (
-            cut.join(hot, "h", "left_semi")
-            .withColumn("s", F.explode(F.sequence(F.lit(0), F.octet_length("region") - length)))
-            .withColumn("region", F.substring("region", F.col("s") + 1, F.lit(length)))
-            .select(
-                "key", "copied", F.xxhash64("region").alias("h"), (F.col("lo") + F.col("s")).alias("lo"),
-                F.unhex(F.substring(F.sha2("region", 256), 1, 32)).alias("same"), "region",
-            )
-        )
-        cut = staged(cut.join(hot, "h", "left_anti").select(*windows.columns).unionByName(windows), "regions")
-        distinct = _distinct_regions(cut)
-    distinct = staged(distinct, "distinct-regions")
-    total = distinct.agg(F.sum(F.octet_length("region") * F.when(F.col("twice"), 2).otherwise(1))).first()[0] or 0
+    total = cut.where(F.col("role") != HOT).agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
 
     def sort_shards(batches):
         for part in key_runs(batches, ["shard"]):
-            part = part.combine_chunks()
-            starts = run_starts([part.column("shard").to_numpy()])
-            same, regions, twice = (part.column(c).to_pylist() for c in ("same", "region", "twice"))
-            for s, e in zip(starts[:-1], starts[1:], strict=True):
-                pieces = regions[s:e] + [r for r, t in zip(regions[s:e], twice[s:e], strict=True) if t]
+            shard, tid, lo, role = (part.column(c).to_numpy() for c in ("shard", "tid", "lo", "role"))
+            pieces = part.column("bytes").to_pylist()
+            starts = run_starts([shard])
+            for s, e in itertools.pairwise(starts):
                 out = []
-                for i, found in zip(range(s, e), repeated_starts(pieces, length), strict=False):
-                    if len(found):
-                        cut = np.flatnonzero(np.diff(found) > 1)
-                        first = found[np.append(0, cut + 1)]
-                        last = found[np.append(cut, len(found) - 1)] + length
-                        out.append((same[i], first, last))
+                for i, found in zip(range(s, e), repeated_starts(pieces[s:e], length), strict=True):
+                    if role[i] == OPEN and len(found):
+                        gap = np.flatnonzero(np.diff(found) > 1)
+                        first = found[np.append(0, gap + 1)] + lo[i]
+                        last = found[np.append(gap, len(found) - 1)] + lo[i] + length
+                        out.append((np.full(len(first), tid[i]), first, last))
                 if out:
                     yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([o[0] for o in out], pa.binary()),
-                            pa.array([o[1] for o in out], pa.list_(pa.int32())),
-                            pa.array([o[2] for o in out], pa.list_(pa.int32())),
-                        ],
-                        names=["same", "first", "last"],
+                        [pa.array(np.concatenate(x), pa.int64()) for x in zip(*out, strict=True)], names=["tid", "s", "e"]
                     )
 
-    found = (
-        distinct.withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(shards)))
-        .select("shard", "same", "twice", "region").repartition("shard").sortWithinPartitions("shard", "same")
-        .mapInArrow(sort_shards, "same binary, first array<int>, last array<int>")
+    # A copied text may be cut by several tasks: once is enough, for it is removed as a whole.
+    sorted_spans = (
+        cut.where(F.col("role") != HOT).dropDuplicates(["tid", "lo"])
+        .withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(shards)))
+        .select("shard", "tid", "lo", "role", "bytes").repartition("shard").sortWithinPartitions("shard", "tid", "lo")
+        .mapInArrow(sort_shards, "tid long, s long, e long")
     )
+    windows = (
+        cut.where(F.col("role") == HOT).dropDuplicates(["tid", "lo"])
+        .withColumn("o", F.explode(F.sequence(F.lit(0), F.octet_length("bytes") - length)))
+        .select(
+            "tid", (F.col("lo") + F.col("o")).cast("long").alias("s"),
+            F.unhex(F.substring(F.sha2(F.substring("bytes", F.col("o") + 1, F.lit(length)), 256), 1, 32)).alias("w"),
+        )
+    )
+    repeated = windows.groupBy("w").count().where("count > 1").select("w")
     spans = (
-        cut.select("key", "lo", "same").join(found, "same")
-        .select("key", "lo", F.explode(F.arrays_zip("first", "last")).alias("f"))
-        .groupBy("key")
-        .agg(
-            F.collect_set(F.struct((F.col("lo") + F.col("f.first")).alias("s"), (F.col("lo") + F.col("f.last")).alias("e"))).alias("spans")
+        judged.where(F.col("role") == SETTLED)
+        .select("tid", F.col("lo").cast("long").alias("s"), (F.col("hi") + length).cast("long").alias("e"))
+        .unionByName(sorted_spans)
+        .unionByName(windows.join(repeated, "w").select("tid", "s", (F.col("s") + length).alias("e")))
+        .groupBy("tid").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
+        .select("tid", F.col("spans.s").alias("s"), F.col("spans.e").alias("e"))
+        .join(texts.where("copies > 1").select("tid"), "tid", "left_anti")
+        .unionByName(
+            texts.where("copies > 1").select(
+                "tid", F.array(F.lit(0).cast("long")).alias("s"), F.array(F.lit(2**62).cast("long")).alias("e")
+            )
         )
-        .select("key", F.col("spans.s").alias("s"), F.col("spans.e").alias("e"))
     )
     spans = staged(spans, "spans")
     id_type = rows.schema["id"].dataType.simpleString()
@@ -278,7 +345,7 @@ def remove_repeats(
                 while at < batch.num_rows and held < 8 << 20:
                     raw = texts[at].as_py().encode()
                     a = np.array(s[at].as_py() or [], np.int64)
-                    b = np.array(e[at].as_py() or [], np.int64)
+                    b = np.minimum(np.array(e[at].as_py() or [], np.int64), len(raw))
                     kept, removed, runs = cut_spans(raw, a, b)
                     out.append((len(raw), removed, runs, kept))
                     held += len(raw)
@@ -293,19 +360,11 @@ def remove_repeats(
                 )
 
     return (
-        rows.withColumn("key", F.unhex(F.sha2("t", 256))).join(spans, "key", "left").select("id", "t", "s", "e")
+        numbered.join(spans, "tid", "left").select("id", "t", "s", "e")
         .mapInArrow(apply, columns).withColumnRenamed("id", id_col)
     )
 
 
-def _distinct_regions(cut: DataFrame) -> DataFrame:
-    """Different regions; ``twice`` if a region occurs at two places or in a text with copies."""
-    return cut.groupBy("same").agg(
-        F.first("h").alias("h"), F.first("region").alias("region"),
-        ((F.count(F.lit(1)) > 1) | F.max("copied")).alias("twice"),
-    )
-
-
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

@@ -5,8 +5,8 @@ other urls are judged by a multinomial naive Bayes classifier trained on the
 urls that rules decide. Its tokens are words: host labels and path parts are
 split by unigram Viterbi segmentation, so ``cheappills`` counts as ``cheap``
 and ``pills``. The unigram counts are taken over the visible words of every page;
-the table sent to tasks is bounded by its ``words`` most frequent entries, the
-classifier's by its ``tokens`` most frequent ones.
+the table sent to tasks is bounded to ``words`` entries, the most frequent ones, and
+the classifier's to ``tokens``.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm.common import LOWER, UPPER, table
+from sluice.llm.common import LOWER, UPPER, staged, table
 
 #: (host, path, verdict)
 RULES = (
@@ -118,8 +118,23 @@ def _counted(frame: DataFrame, words_of, key: str) -> DataFrame:
     return frame.mapInArrow(count, f"{key} string, n long").groupBy(key).agg(F.sum("n").alias("n"))
 
 
+def most_frequent(counted: DataFrame, most: int) -> DataFrame:
+    """The rows of the largest counts ``n``: as many whole classes of counts as ``most`` rows hold.
+
+    A class is an eighth of a doubling, so the driver sees a few hundred class sizes.
+    """
+    counted = staged(counted, "counts").withColumn("class", F.floor(F.log2("n") * 8))
+    left, lowest = most, None
+    for r in sorted(counted.groupBy("class").count().collect(), key=lambda r: -r["class"]):
+        left -= r["count"]
+        if left < 0:
+            break
+        lowest = r["class"]
+    return counted.where(F.lit(False) if lowest is None else F.col("class") >= lowest).drop("class")
+
+
 def word_counts(pages: DataFrame, html_col: str = "html", words: int = WORDS) -> dict[str, int]:
-    """The most frequent visible words of all pages, ties by word."""
+    """The most frequent visible words of all pages."""
 
     def visible(batch):
         for html in batch.column(0).to_pylist():
@@ -127,7 +142,7 @@ def word_counts(pages: DataFrame, html_col: str = "html", words: int = WORDS) ->
                 yield (w for w in _WORD.findall(_TAG.sub(" ", html).lower()) if len(w) <= LONGEST_WORD)
 
     counted = _counted(pages.select(F.col(html_col).cast("string")), visible, "word")
-    return {r["word"]: r["n"] for r in counted.orderBy(F.desc("n"), "word").limit(words).collect()}
+    return {r["word"]: r["n"] for r in most_frequent(counted, words).collect()}
 
 
 class HostBayes:
@@ -161,7 +176,7 @@ def train(parts: DataFrame, segmenter: Segmenter, tokens: int = TOKENS) -> HostB
             yield [f"{says} {t}" for t in segmenter.tokens(host, path)]
 
     counted = _counted(ruled, class_tokens, "token")
-    rows = counted.orderBy(F.desc("n"), "token").limit(tokens).collect()
+    rows = most_frequent(counted, tokens).collect()
     urls = {r["ruled"]: r["count"] for r in ruled.groupBy("ruled").count().collect()}
     return HostBayes([(*r["token"].split(" ", 1), r["n"]) for r in rows], urls)
 

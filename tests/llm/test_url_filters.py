@@ -108,6 +108,14 @@ def test_verdicts_equal_plain_naive_bayes(spark):
     assert got == {i: (says or bayes(t), t) for i, says, t in judged}
 
 
+def test_most_frequent_is_bounded(spark):
+    counted = spark.createDataFrame([(f"w{i}", i) for i in range(1, 200)], "word string, n long")
+    got = sorted(r["n"] for r in url_filters.most_frequent(counted, 50).collect())
+    assert 30 < len(got) <= 50 and got == list(range(200 - len(got), 200))
+    assert url_filters.most_frequent(counted, 1000).count() == 199
+    assert url_filters.most_frequent(counted, 0).count() == 0
+
+
 def test_counts_survive_flushing(spark, monkeypatch):
     pages = spark.createDataFrame([(*p, "h", "r", 1) for p in PAGES], SCHEMA)
     whole = url_filters.word_counts(pages)

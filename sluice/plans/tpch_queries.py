@@ -24,7 +24,7 @@ from sluice.operators import conform as C
 from sluice.operators import counts
 from sluice.operators import load as L
 from sluice.plans import ingest as P
-from sluice.plans import runlog
+from sluice.plans import lead_oracle, runlog
 from sluice.session import work_path
 from sluice.sources import raw as R
 from sluice.spec import make_spec
@@ -882,118 +882,40 @@ FROM ({LINEITEM_CLEAN_SQL}) c"""
 
 
 # ---------------------------------------------------------------------------
-# The three lead contracts over the test tables
+# The three lead contracts over the test tables, every source column fed
 # ---------------------------------------------------------------------------
 
-_DUCK_TYPES = {"string": "VARCHAR", "timestamp": "TIMESTAMP", "date": "DATE", "double": "DOUBLE",
-               "boolean": "BOOLEAN", "decimal(38,0)": "DECIMAL(38,0)"}
-
-
-def _contract_sql(spec, extract_sql: str, present: tuple[str, ...]) -> str:
-    """DuckDB SQL conforming a text extract (raw column names) to a contract.
-
-    Written per type from the contract's field list: cleaning, range and
-    clamp rules, key over the finished values in schema order, audit.
-    """
-    sources = {dst: src for src, dst in spec.mapping.items() if src in present}
-    finished, final = [], []
-    for f in spec.data_fields:
-        typ = f.dataType.simpleString()
-        src = sources.get(f.name)
-        if src is None:
-            value = f"CAST(NULL AS {_DUCK_TYPES[typ]})"
-        elif f.name in spec.json_cols:
-            value = f"CASE WHEN json_valid({src}) THEN {src} END"
-        elif typ == "timestamp":
-            value = sql_range(sql_ts_parse(src))
-        elif typ == "date":
-            value = sql_date_parse(src)
-        elif typ in ("double", "decimal(38,0)"):
-            value = sql_number(src, _DUCK_TYPES[typ])
-        elif typ == "boolean":
-            value = sql_bool(src)
-        elif f.name in spec.bool_string_cols:
-            value = sql_bool_text(src)
-        else:
-            value = src
-        finished.append((f.name, value))
-        if spec.policy_for(f.name) == "clamp":
-            value = f"CASE WHEN ({value}) > {AS_OF_SQL} THEN {AS_OF_SQL} ELSE ({value}) END"
-        final.append(f"{value} AS {f.name}")
-    key = sql_key([f"CAST({v} AS VARCHAR)" for _, v in finished])
-    return (f"SELECT {key} AS {spec.key_col}, {', '.join(final)}, {sql_audit('SOURCE_SYSTEM')} "
-            f"FROM ({extract_sql}) x")
-
-
-def _lead_spec(name: str):
-    from sluice.specs import lead_specs
-
-    return lead_specs(time_zone=None)[name]
-
-
-XREF_EXTRACT = ("SELECT CAST(o_orderkey AS STRING) AS leadxrefguid, CAST(o_custkey AS STRING) AS legacyleadid, "
-                "o_orderpriority AS leadlevel, CAST(o_orderdate AS STRING) AS leveldate, "
-                "CAST(o_orderdate + INTERVAL 1 DAY AS STRING) AS createdate, o_orderstatus AS isdeletedsource, "
-                "CAST(o_totalprice AS STRING) AS availableforpurchaseind FROM {src}")
-
-
-XREF_COLUMNS = ("leadxrefguid", "legacyleadid", "leadlevel", "leveldate", "createdate", "isdeletedsource",
-                "availableforpurchaseind")
-
-
-def q_lead_xref_contract(spark, sf_dir):
-    """Orders as a lead_xref extract, conformed with the lead_xref contract."""
-    extract = spark.sql(XREF_EXTRACT.replace("INTERVAL 1 DAY", "INTERVAL 1 DAYS"), src=read(spark, sf_dir, "orders"))
-    return ntz(C.conform(extract, _lead_spec("lead_xref"), AS_OF))
-
-
-ASSIGN_EXTRACT = (
-    "SELECT CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS leadassignmentguid, "
-    "CAST(l_partkey AS STRING) AS agentcode, CAST(l_extendedprice AS STRING) AS purchaseprice, "
-    "CAST(l_shipdate + INTERVAL 24 YEARS AS STRING) AS purchasedate, CAST(l_shipdate AS STRING) AS assigndate, "
-    "CASE l_linestatus WHEN 'O' THEN 'yes' ELSE 'no' END AS isdeletedsource, "
-    "'{{\"q\": ' || CAST(l_quantity AS STRING) || CASE WHEN l_linenumber % 4 = 0 THEN '' ELSE '}}' END "
-    "AS metadata, l_returnflag AS status FROM {src}")
-
-
-ASSIGN_COLUMNS = ("leadassignmentguid", "agentcode", "purchaseprice", "purchasedate", "assigndate",
-                  "isdeletedsource", "metadata", "status")
-
-
-def q_lead_assignment_contract(spark, sf_dir):
-    """Lineitem as a lead_assignment extract: JSON, boolean, future clamp."""
-    extract = spark.sql(ASSIGN_EXTRACT, src=read(spark, sf_dir, "lineitem"))
-    return ntz(C.conform(extract, _lead_spec("lead_assignment"), AS_OF))
-
-
-LEAD_EXTRACT = ("SELECT CAST(c_custkey AS STRING) AS leadguid, c_name AS firstname, "
-                "CAST(c_acctbal AS STRING) AS consumerdebt, CAST(c_nationkey AS STRING) AS stateid, "
-                "c_mktsegment AS leadsource, CASE WHEN c_acctbal > 0 THEN 't' ELSE 'f' END AS subsourceid, "
-                "'{{\"seg\": \"' || c_mktsegment || '\"}}' AS leadattributes FROM {src}")
+# contract -> (columns, key, table, number, day) of its extract
+LEAD_FEEDS = {
+    "lead_xref": (lead_oracle.LEAD_XREF, "STG_LCR_LEAD_XREF_KEY", "orders", "o_orderkey", "CAST(o_orderdate AS DATE)"),
+    "lead_assignment": (lead_oracle.LEAD_ASSIGNMENT, "STG_LCR_LEAD_ASSIGNMENT_KEY", "lineitem",
+                        "l_orderkey * 10 + l_linenumber", "CAST(l_shipdate AS DATE)"),
+    "lead": (lead_oracle.LEAD, "STG_LCR_LEAD_KEY", "customer", "c_custkey",
+             "DATE '1993-01-01' + CAST(c_custkey % 2000 AS INTEGER)"),
+}
 
 
-LEAD_COLUMNS = ("leadguid", "firstname", "consumerdebt", "stateid", "leadsource", "subsourceid",
-                "leadattributes")
+def _lead_contract(name: str) -> Query:
+    listed, _, table, number, day = LEAD_FEEDS[name]
 
+    def query(spark, sf_dir):
+        from sluice.specs import lead_specs
 
-def q_lead_contract(spark, sf_dir):
-    """Customer as a lead extract through the 101-column lead contract."""
-    extract = spark.sql(LEAD_EXTRACT, src=read(spark, sf_dir, "customer"))
-    return ntz(C.conform(extract, _lead_spec("lead"), AS_OF))
+        base = (f"SELECT {number} AS k, CAST({day} AS STRING) AS d, CAST(add_months({day}, 324) AS STRING) AS f "
+                "FROM {src}")
+        extract = spark.sql(lead_oracle.extract_sql(listed, base).replace("'{\"k\": '", "'{{\"k\": '").replace("'}'", "'}}'"),
+                            src=read(spark, sf_dir, table))
+        return ntz(C.conform(extract, lead_specs(time_zone=None)[name], AS_OF))
 
+    query.__doc__ = f"{table} as a {name} extract through the {name} contract."
+    return query
 
-def _lead_oracles() -> dict[str, str]:
-    def duck(sql: str, table: str) -> str:
-        sql = sql.format(src=table)
-        return sql.replace("AS STRING", "AS VARCHAR").replace("INTERVAL 24 YEARS", "INTERVAL 24 YEAR")
 
-    return {
-        "lead_xref_contract": _contract_sql(_lead_spec("lead_xref"), duck(XREF_EXTRACT, "orders"),
-                                            XREF_COLUMNS),
-        "lead_assignment_contract": _contract_sql(_lead_spec("lead_assignment"),
-                                                  duck(ASSIGN_EXTRACT, "lineitem"), ASSIGN_COLUMNS),
-        "lead_contract": _contract_sql(_lead_spec("lead"), duck(LEAD_EXTRACT, "customer"), LEAD_COLUMNS),
-    }
+def _lead_sql(name: str) -> str:
+    listed, key, table, number, day = LEAD_FEEDS[name]
+    base = (f"SELECT {number} AS k, CAST({day} AS VARCHAR) AS d, "
+            f"CAST(CAST({day} + INTERVAL 27 YEAR AS DATE) AS VARCHAR) AS f FROM {table}")
+    return lead_oracle.oracle_sql(listed, key, base, AS_OF)
 
 
 QUERIES: dict[str, tuple[Query, str | None]] = {
@@ -1035,7 +957,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "reconcile": (q_reconcile, SQL_RECONCILE),
     "run_log_latest": (q_run_log_latest, SQL_RUN_LOG),
     "lineitem_ingest": (q_lineitem_ingest, SQL_LINEITEM_INGEST),
-    "lead_xref_contract": (q_lead_xref_contract, _lead_oracles()["lead_xref_contract"]),
-    "lead_assignment_contract": (q_lead_assignment_contract, _lead_oracles()["lead_assignment_contract"]),
-    "lead_contract": (q_lead_contract, _lead_oracles()["lead_contract"]),
+    "lead_xref_contract": (_lead_contract("lead_xref"), _lead_sql("lead_xref")),
+    "lead_assignment_contract": (_lead_contract("lead_assignment"), _lead_sql("lead_assignment")),
+    "lead_contract": (_lead_contract("lead"), _lead_sql("lead")),
 }

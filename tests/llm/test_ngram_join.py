@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from sluice.llm.ngram_join import drop_near_copies, ngram_components, op9_ngram_join, prefix_sizes
+from sluice.llm.ngram_join import drop_near_copies, least_common, ngram_components, op9_ngram_join, prefix_size
 
 LOWER = {i: i + 32 for i in range(65, 91)}
 
@@ -84,6 +84,7 @@ def test_stage_keeps_one_of_each(make_docs):
 def test_prefixes_reach_every_similar_pair():
     for x in range(1, 60):
         for y in range(x, 60):
-            need = -(-75 * (x + y) // 175)
+            need = least_common(x, y, 75)
+            assert need == next(i for i in range(200) if 100 * i >= 75 * (x + y - i))
             if need <= x:
-                assert prefix_sizes(x, 75)[0] >= x - need + 1 and prefix_sizes(y, 75)[1] >= y - need + 1
+                assert prefix_size(x, 75) >= x - need + 1 and prefix_size(y, 75) >= y - need + 1

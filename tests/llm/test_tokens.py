@@ -9,7 +9,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from sluice.llm.bpe_codec import WordBpe, cut_text, digest, encode_texts
+from sluice.llm.bpe_codec import WordBpe, _pair, cut_text, digest, encode_texts
 from sluice.llm.token_counts import PieceVocabulary, token_counts
 
 WORD = public_tokenizers.path("word_bpe_49k.json")
@@ -67,7 +67,7 @@ def test_tree_equals_direct_merging():
         symbols = bpe._symbols(word)
         from sluice.llm.token_counts import heap_merge
 
-        assert bpe.tree(list(symbols)) == heap_merge(symbols, bpe._join)[0]
+        assert bpe.tree(list(symbols)) == heap_merge(symbols, bpe.joins, _pair)[0]
 
 
 def test_counts_equal_library(spark, make_docs):

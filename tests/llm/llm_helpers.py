@@ -1,5 +1,4 @@
-import datetime as dt
-import decimal
+"""Shared by these tests: documents with odd rows and clashing extra columns."""
 
 import pytest
 
@@ -18,13 +17,3 @@ def make_docs(spark):
         )
 
     return make
-
-
-def norm(v):
-    if isinstance(v, float):
-        return round(v, 9)
-    if isinstance(v, decimal.Decimal):
-        return str(v)
-    if isinstance(v, (dt.date, dt.datetime)):
-        return v.isoformat()
-    return v

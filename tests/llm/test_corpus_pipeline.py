@@ -15,7 +15,7 @@ from sluice.llm.common import staged
 from sluice.llm.mixing import OP10_SQL
 from sluice.llm.quality import classify
 
-from conftest import SF001
+from llm_helpers import SF001, make_docs  # noqa: F401
 
 LOWER = {i: i + 32 for i in range(65, 91)}
 

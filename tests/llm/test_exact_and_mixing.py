@@ -6,7 +6,7 @@ import pytest
 from sluice.llm.exact_dedup import OP3_SQL, drop_copies, exact_dedup, op3_exact_dedup
 from sluice.llm.mixing import OP10_SQL, mix_sources, op10_mixing
 
-from conftest import SF001
+from llm_helpers import SF001, make_docs  # noqa: F401
 
 LONG = "prefix shared by all " * 400
 ROWS = [

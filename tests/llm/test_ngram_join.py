@@ -7,6 +7,8 @@ import pytest
 
 from sluice.llm.ngram_join import drop_near_copies, least_common, ngram_components, op9_ngram_join, prefix_size
 
+from llm_helpers import make_docs  # noqa: F401
+
 LOWER = {i: i + 32 for i in range(65, 91)}
 
 

@@ -10,6 +10,8 @@ import pytest
 
 from sluice.llm.pii_spans import KINDS, SpanModel, base_spans, find_pii, find_spans, fit_model, islands, joined, luhn, op5_pii
 
+from llm_helpers import make_docs  # noqa: F401
+
 PLAIN = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from sluice.llm import quality
 from sluice.llm.quality import LatentVoters, classify, fit_voters, keep_good, op7_quality, term_counts
 
+from llm_helpers import make_docs  # noqa: F401
+
 SF01 = "/root/testdata/sf0.01"
 
 

@@ -11,6 +11,8 @@ import pytest
 from sluice.llm import suffix_arrays, suffix_dedup
 from sluice.llm.suffix_dedup import op8_suffix_dedup, remove_repeats, text_anchors
 
+from llm_helpers import make_docs  # noqa: F401
+
 
 def brute(rows, length):
     texts = [(t or "").encode() for _, t in rows]

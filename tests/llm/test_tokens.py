@@ -12,6 +12,8 @@ from tokenizers import Tokenizer
 from sluice.llm.bpe_codec import WordBpe, _pair, cut_text, digest, encode_texts
 from sluice.llm.token_counts import PieceVocabulary, token_counts
 
+from llm_helpers import make_docs  # noqa: F401
+
 WORD = public_tokenizers.path("word_bpe_49k.json")
 PIECE = public_tokenizers.path("piece_bpe_32k.model")
 ODD = ["a", "th", " ", "  ", "\n", "\t", "'s", "'ll", "é", "é", "́", "İ", "Σ", "ß", "ﬁ", "　", "\xa0",

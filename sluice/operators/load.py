@@ -17,6 +17,7 @@ identical rows (skew join). Bucketing the target on its key
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
@@ -139,6 +140,18 @@ def _by_name(df: DataFrame, target_cols: list[str], drop_extra: bool = False) ->
     return df.select(*[F.col("`" + have[c.lower()] + "`").alias(c) for c in target_cols])
 
 
+@contextmanager
+def _observed_plans_kept(spark: SparkSession):
+    """Keep AQE from replacing a plan whose shuffle came out empty: its observed counts would be lost."""
+    name, rule = "spark.sql.adaptive.optimizer.excludedRules", "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation"
+    old = spark.conf.get(name, None)
+    spark.conf.set(name, f"{old},{rule}" if old else rule)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if old is None else spark.conf.set(name, old)
+
+
 def _write(df: DataFrame, target: Target, overwrite: bool, current: DataFrame | None = None,
            key_col: str | None = None) -> None:
     spark = df.sparkSession
@@ -149,7 +162,8 @@ def _write(df: DataFrame, target: Target, overwrite: bool, current: DataFrame |
         if target.buckets and key_col is not None:
             # one writer a bucket: else every task writes a file to every bucket
             aligned = aligned.repartition(target.buckets, key_col)
-        aligned.write.insertInto(target.table, overwrite=overwrite)
+        with _observed_plans_kept(spark):
+            aligned.write.insertInto(target.table, overwrite=overwrite)
         return
     writer = aligned.write.format(target.format).options(**target.options)
     if target.partition_by:

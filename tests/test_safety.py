@@ -172,6 +172,15 @@ def test_hot_key_is_split_on_a_bucketed_target(spark):
         spark.sql(f"DROP TABLE {name}")
 
 
+def test_a_rerun_on_a_bucketed_target_counts_its_rows(spark):
+    target = L.Target(table="rerun_bucketed_" + os.urandom(4).hex(), buckets=4)
+    rows = spark.range(500).select(F.sha2(F.col("id").cast("string"), 256).alias("KEY"), "id")
+    L.create_target(spark, target, rows.schema, "KEY")
+    results = [L.incremental_insert(rows, target, "KEY") for _ in range(2)]
+    assert [(r.rows_in, r.rows_written) for r in results] == [(500, 500), (500, 0)]
+    spark.sql(f"DROP TABLE {target.table}")
+
+
 def test_a_batch_reads_only_its_partitions_of_the_target(spark):
     target = L.Target(path=work_path(spark, "test", "by_month"), partition_by=("month",))
     rows = spark.range(1200).select(F.sha2(F.col("id").cast("string"), 256).alias("KEY"), (F.col("id") % 12).cast("int").alias("month"))

@@ -71,13 +71,15 @@ def main():
     L.append_table(oc.filter(F.col("STATUS") == "F"), bt)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     sections.append(("Incremental insert: anti-join against a bucketed catalog target",
-                     "The target is bucketed on the key: only the batch is shuffled (one Exchange).",
-                     explain(L.new_rows(oc, L.read_target(spark, bt), o_spec.key_col))))
+                     "The target is bucketed on the key and read without a shuffle. The batch's distinct keys "
+                     "(partial aggregation) are tested against it and joined back; both sides of that join are "
+                     "shuffled, so AQE can split a hot key.",
+                     explain(L.new_rows(oc, L.read_target(spark, bt), o_spec.key_col, split_keys_of=oc))))
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
-    sections.append(("Reconcile (counts + missing keys in one aggregate)",
-                     "Count branches are pruned to the scan; one anti-join branch; partial aggregation "
-                     "before the single-row merge.",
+    sections.append(("Reconcile (counts + missing keys in one grouped union)",
+                     "Each side is scanned once; keys are counted by side with partial aggregation before the "
+                     "one shuffle, then added up.",
                      explain(counts.reconcile(oc, L.read_target(spark, t), o_spec.key_col, "orders"))))
     sections.append(("Dedupe before insert",
                      "Catalyst pushes the anti-join below the de-duplication, so only new rows are "

@@ -3,17 +3,20 @@
 Every document's shingles are put in one global order, rarest first: by the
 document frequency that a fixed-size count sketch over all documents estimates,
 ties by hash. (Any order common to all documents finds every pair; a good one
-keeps frequent shingles out of prefixes.) Two sets of Jaccard similarity t share
-a shingle within their prefixes of n - ceil(t n) + 1, the smaller one even within
-its n - ceil(2t / (1 + t) n) + 1.
+keeps frequent shingles out of prefixes.) Two sets of sizes x and y with
+Jaccard similarity t share at least a = ceil(t (x + y) / (1 + t)) shingles, and the
+first one in the order is among the first x - a + 1 of the one and y - a + 1 of
+the other, so a shingle counts only where some pair has it that low.
 
 Documents with the same prefix and size are one group, and only groups post
 their prefix shingles. The groups posted under one shingle form a run, sorted by
-size; equal runs are kept once. Runs are first filtered to one pair per group,
-expanded to members and verified on the exact sets, which joins most near copies
-into components. Then all remaining pairs of a run whose members still lie in
-different components are expanded and verified too. So every pair is either
-verified or already joined by links, and a large group of near copies costs a
+size; equal runs are kept once, expanded to members and, for a few rounds, filtered to
+one pair a member: the one nearest in size that no link joins to it yet. Verified on
+the exact sets, these join most near copies into components. Then all pairs of a run
+whose members still lie in different components are taken, bounded by signatures (counts of shingles by
+bins of their hash; the sum of the smaller counts is no less than the
+intersection) and verified too. So every pair is either verified, ruled out by a
+certain bound, or already joined by links, and a large group of near copies costs a
 number of pairs in proportion to its size, not its square.
 
 A shingle that the sketch finds far more frequent than others is posted under
@@ -39,6 +42,10 @@ SKETCH_BITS = 21
 SKETCH_PART = 1 << 14
 SKETCH_LANES = 1024
 RUN_BLOCK = 4096
+BINS = 256
+ROUNDS = 2
+#: Most class numbers (8 bytes each) that are sent to all tasks to pick out their sets.
+BROADCAST_IDS = 500_000
 
 
 def sketch_counts(docs: DataFrame, text_col: str, size: int, bits: int) -> np.ndarray:
@@ -81,16 +88,36 @@ def sketch_counts(docs: DataFrame, text_col: str, size: int, bits: int) -> np.nd
     return cells.ravel()
 
 
-def prefix_sizes(n: int, percent: int) -> tuple[int, int]:
-    """Prefix lengths of a set of n: against sets as large or larger, and against any."""
-    return n + 1 - -(-2 * percent * n // (100 + percent)), n + 1 - -(-percent * n // 100)
+def prefix_size(n: int, percent: int) -> int:
+    """Prefix length of a set of n against sets of any size."""
+    return n + 1 - -(-percent * n // 100)
 
 
-def valid_pairs(sizes: np.ndarray, heads: np.ndarray, percent: int, i: int) -> np.ndarray:
+def least_common(x, y, percent: int):
+    """Fewest common shingles of two similar sets of sizes x and y."""
+    return -(-percent * (x + y) // (100 + percent))
+
+
+def similar_sizes(sizes: np.ndarray, percent: int, i: int) -> np.ndarray:
     """Later members of a run sorted by size that member i may be similar to."""
-    if not heads[i]:
-        return np.zeros(0, np.int64)
-    return np.arange(i + 1, np.searchsorted(sizes, 100 * sizes[i] // percent, side="right"))
+    return np.arange(i + 1, np.searchsorted(sizes, 100 * int(sizes[i]) // percent, side="right"))
+
+
+def any_pair(sizes: np.ndarray, places: np.ndarray, percent: int) -> bool:
+    """Whether any pair of a run can share its first common shingle at these places."""
+    sizes = sizes.astype(np.int64)
+    for i in range(len(sizes) - 1):
+        to = similar_sizes(sizes, percent, i)
+        need = least_common(sizes[i], sizes[to], percent)
+        if ((places[i] <= sizes[i] - need) & (places[to] <= sizes[to] - need)).any():
+            return True
+    return False
+
+
+def signature(tokens: np.ndarray) -> bytes:
+    """Counts of shingles by bins of their hash; empty for sets too large to count so."""
+    counts = np.bincount((tokens >> np.uint64(8)).astype(np.int64) & (BINS - 1), minlength=BINS)
+    return counts.astype(np.uint8).tobytes() if counts.max(initial=0) < 1 << 8 else b""
 
 
 def ngram_components(
@@ -101,6 +128,7 @@ def ngram_components(
     percent: int = PERCENT,
     sketch_bits: int = SKETCH_BITS,
     run_block: int = RUN_BLOCK,
+    rounds: int = ROUNDS,
 ) -> DataFrame:
     """One row per input row: id, n_shingles, component_id.
 
@@ -119,13 +147,16 @@ def ngram_components(
     shift = np.uint64(64 - sketch_bits)
     id_type = rows.schema["id"].dataType.simpleString()
 
-    def post(tokens: np.ndarray, group: int) -> np.ndarray:
-        """What a group is posted under: its tokens, very frequent ones as pairs of blocks."""
+    def post(tokens: np.ndarray, group: int) -> tuple[np.ndarray, np.ndarray]:
+        """What a group is posted under, with places in its prefix: its tokens, very
+        frequent ones as pairs of blocks."""
+        places = np.arange(len(tokens), dtype=np.int32)
         if not blocks_of:
-            return tokens
-        out = []
+            return tokens, places
+        out, repeats = [], []
         for token, cell in zip(tokens, (tokens >> shift).tolist(), strict=True):
             n = blocks_of.get(cell, 1)
+            repeats.append(n)
             if n == 1:
                 out.append(np.array([token]))
                 continue
@@ -133,47 +164,40 @@ def ngram_components(
             a, b = np.minimum(other, np.uint64(mine)), np.maximum(other, np.uint64(mine))
             with np.errstate(over="ignore"):
                 out.append(mix(mix(token + a * np.uint64(0xD1342543DE82EF95)) + b * np.uint64(0xAF251AF3B0F025B5)))
-        return np.concatenate(out) if out else tokens
+        return np.concatenate(out), np.repeat(places, repeats)
 
     def prefixes(batches):
         posted: set[int] = set()  # groups this task has posted: copies are not posted again
         for batch in batches:
-            n_list, digests, groups, heads, tails = [], [], [], [], []
+            n_list, digests, groups, posts, places = [], [], [], [], []
             for tokens in shingle_sets(batch.column("t"), size):
                 n = len(tokens)
                 n_list.append(n)
+                posts.append(None)
+                places.append(None)
                 if not n:
                     digests.append(b"")
                     groups.append(None)
-                    heads.append(None)
-                    tails.append(None)
                     continue
-                low, high = prefix_sizes(n, percent)
-                prefix = tokens[np.argsort(order[tokens >> shift], kind="stable")][:high]
+                prefix = tokens[np.argsort(order[tokens >> shift], kind="stable")][: prefix_size(n, percent)]
                 digests.append(blake2b(tokens.tobytes(), digest_size=16).digest())
-                group = int.from_bytes(blake2b(prefix.tobytes(), digest_size=8, salt=n.to_bytes(8, "little")).digest(), "little", signed=True)
-                groups.append(group)
-                if group in posted:
-                    heads.append(None)
-                    tails.append(None)
-                    continue
-                posted.add(group)
-                unsigned = group % (1 << 64)
-                heads.append(post(prefix[:low], unsigned).view(np.int64))
-                tails.append(post(prefix[low:], unsigned).view(np.int64))
-            longs = pa.list_(pa.int64())
+                group = blake2b(prefix.tobytes(), digest_size=8, salt=n.to_bytes(8, "little")).digest()
+                groups.append(int.from_bytes(group, "little", signed=True))
+                if groups[-1] not in posted:
+                    posted.add(groups[-1])
+                    under, at = post(prefix, int.from_bytes(group, "little"))
+                    posts[-1], places[-1] = under.view(np.int64), at
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"), pa.array(n_list, pa.int32()), pa.array(digests, pa.binary()),
-                    pa.array(groups, pa.int64()), pa.array(heads, longs), pa.array(tails, longs),
+                    pa.array(groups, pa.int64()), pa.array(posts, pa.list_(pa.int64())),
+                    pa.array(places, pa.list_(pa.int32())),
                 ],
-                names=["id", "n", "digest", "grp", "head", "tail"],
+                names=["id", "n", "digest", "grp", "post", "place"],
             )
 
     sets = staged(
-        rows.mapInArrow(
-            prefixes, f"id {id_type}, n int, digest binary, grp long, head array<long>, tail array<long>"
-        ),
+        rows.mapInArrow(prefixes, f"id {id_type}, n int, digest binary, grp long, post array<long>, place array<int>"),
         "ngram-sets",
     )
     classes = staged(
@@ -183,133 +207,133 @@ def ngram_components(
     )
 
     # Runs: the groups posted under one token.
-    postings = sets.select(F.explode("head").alias("token"), F.lit(True).alias("head"), "grp", "n").unionByName(
-        sets.select(F.explode("tail").alias("token"), F.lit(False).alias("head"), "grp", "n")
+    postings = sets.select("grp", "n", F.explode(F.arrays_zip("post", "place")).alias("p")).select(
+        F.col("p.post").alias("token"), "grp", "n", "p.place"
     )
 
     def find_runs(batches):
         seen: set[bytes] = set()
         for part in key_runs(batches, ["token"]):
-            token, head, grp, n = (part.column(c).to_numpy() for c in ("token", "head", "grp", "n"))
+            token, grp, n, place = (part.column(c).to_numpy() for c in ("token", "grp", "n", "place"))
             same = np.zeros(len(token), bool)
             same[1:] = (token[1:] == token[:-1]) & (grp[1:] == grp[:-1])  # posted by several tasks
-            token, head, grp, n = token[~same], head[~same], grp[~same], n[~same]
+            token, grp, n, place = token[~same], grp[~same], n[~same], place[~same]
             starts = run_starts([token])
             out = []
-            for s, e in zip(starts[:-1], starts[1:], strict=True):
-                if e - s < 2 or not any(
-                    len(valid_pairs(n[s:e], head[s:e], percent, i)) for i in range(e - s)
-                ):
-                    continue
-                key = blake2b(grp[s:e].tobytes() + head[s:e].tobytes(), digest_size=16).digest()
-                if key not in seen:
+            for k in np.flatnonzero(np.diff(starts) > 1):
+                s, e = starts[k], starts[k + 1]
+                key = blake2b(grp[s:e].tobytes(), digest_size=16).digest()
+                if key not in seen and any_pair(n[s:e], place[s:e], percent):
                     seen.add(key)
-                    out.append((key, grp[s:e], n[s:e], head[s:e]))
+                    out.append((key, grp[s:e], n[s:e]))
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([o[0] for o in out], pa.binary()), pa.array([o[1] for o in out], pa.list_(pa.int64())),
                         pa.array([o[2] for o in out], pa.list_(pa.int32())),
-                        pa.array([o[3] for o in out], pa.list_(pa.bool_())),
                     ],
-                    names=["run", "grp", "n", "head"],
+                    names=["run", "grp", "n"],
                 )
 
     runs = staged(
         postings.repartition("token").sortWithinPartitions("token", "n", "grp")
-        .mapInArrow(find_runs, "run binary, grp array<long>, n array<int>, head array<boolean>")
+        .mapInArrow(find_runs, "run binary, grp array<long>, n array<int>")
         .dropDuplicates(["run"]),
         "ngram-runs",
     )
 
     # The sets of all classes that lie in a run or share a group with another class.
-    members = F.col("grp")
-    crowded = classes.groupBy(members).agg(F.count(F.lit(1)).alias("k"), F.min("c").alias("lead")).where("k > 1")
+    crowded = classes.groupBy("grp").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
     wanted = runs.select(F.explode("grp").alias("grp")).unionByName(crowded.select("grp")).distinct()
     needed = classes.join(wanted, "grp", "left_semi").select("c", "n", "grp", "digest", F.col("id").alias("i"))
 
     def exact_sets(batches):
+        done: set[int] = set()  # an id may have several rows
         for batch in batches:
             got = list(shingle_sets(batch.column("t"), size))
-            same = [
-                k for k, (s, d) in enumerate(zip(got, batch.column("digest").to_pylist(), strict=True))
-                if blake2b(s.tobytes(), digest_size=16).digest() == d
-            ]
+            same = []
+            for k, (s, d, c) in enumerate(zip(got, *(batch.column(x).to_pylist() for x in ("digest", "c")), strict=True)):
+                if c not in done and blake2b(s.tobytes(), digest_size=16).digest() == d:
+                    done.add(c)
+                    same.append(k)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("c").take(pa.array(same, pa.int64())), pa.array([got[k].tobytes() for k in same], pa.binary())],
-                names=["c", "tokens"],
+                [
+                    batch.column("c").take(pa.array(same, pa.int64())),
+                    pa.array([signature(got[k]) for k in same], pa.binary()),
+                    pa.array([got[k].tobytes() for k in same], pa.binary()),
+                ],
+                names=["c", "sig", "tokens"],
             )
 
     exact = staged(
         rows.join(needed, F.col("id").eqNullSafe(F.col("i"))).select("c", "digest", "t")
-        .mapInArrow(exact_sets, "c long, tokens binary")
-        .dropDuplicates(["c"]),
+        .mapInArrow(exact_sets, "c long, sig binary, tokens binary"),
         "ngram-exact",
     )
 
-    # First pass: each group with the first group of any of its runs, each class with its group's first.
-    def first_pairs(batches):
-        for batch in batches:
-            a, b = [], []
-            for grp, n, head in zip(*(batch.column(c) for c in ("grp", "n", "head")), strict=True):
-                grp, n, head = (np.array(x.values) for x in (grp, n, head))
-                done = np.zeros(len(grp), bool)
-                for i in range(len(grp)):
-                    to = valid_pairs(n, head, percent, i)
-                    to = to[~done[to]]
-                    done[to] = True
-                    a.append(np.full(len(to), grp[i]))
-                    b.append(grp[to])
-                    if done[i + 1 :].all():
-                        break
+    # The members of runs; classes of one group are a run of their own.
+    members = staged(
+        runs.select("run", F.explode("grp").alias("grp"))
+        .unionByName(crowded.select(F.col("grp").cast("string").cast("binary").alias("run"), "grp"))
+        .join(classes.select("grp", "n", "c"), "grp").select("run", "n", "c"),
+        "ngram-members",
+    )
+
+    def nearest_pairs(batches):
+        """Each member with the member nearest before it, by size, of another component."""
+        for part in key_runs(batches, ["run"]):
+            run = part.column("run").combine_chunks().dictionary_encode().indices.to_numpy()
+            n, c, p = (part.column(x).to_numpy() for x in ("n", "c", "part"))
+            place = np.arange(len(n))
+            new = np.append(True, (run[1:] != run[:-1]) | (p[1:] != p[:-1]))
+            first = np.maximum.accumulate(np.where(new, place, 0))  # of the stretch of one component
+            j = np.flatnonzero(first > 0)
+            i = first[j] - 1
+            near = (run[i] == run[j]) & (100 * n[i].astype(np.int64) >= percent * n[j].astype(np.int64))
+            i, j = i[near], j[near]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64()) for x in (a, b)], names=["a", "b"]
+                [pa.array(np.minimum(c[i], c[j])), pa.array(np.maximum(c[i], c[j])), pa.array(n[j] - n[i])],
+                names=["c1", "c2", "gap"],
             )
 
-    leads = classes.groupBy("grp").agg(F.min("c").alias("c"))
-    starts = (
-        runs.select("grp", "n", "head").mapInArrow(first_pairs, "a long, b long")
-        .groupBy("b").agg(F.min("a").alias("a"))
-        .join(leads.select(F.col("grp").alias("a"), F.col("c").alias("c1")), "a")
-        .join(leads.select(F.col("grp").alias("b"), F.col("c").alias("c2")), "b")
-        .select("c1", "c2")
-        .unionByName(
-            classes.join(crowded, "grp").where("c <> lead").select(F.col("lead").alias("c1"), F.col("c").alias("c2"))
+    tried = parts = None
+    for _ in range(rounds):
+        near = (
+            _placed(members, parts).repartition("run").sortWithinPartitions("run", "n", "c")
+            .mapInArrow(nearest_pairs, "c1 long, c2 long, gap int")
         )
-    )
-    tried = staged(_verify(starts, exact, percent), "ngram-tried")
-    parts = connected_components(tried.where("linked").select(F.col("c1").alias("a"), F.col("c2").alias("b")))
-    parts = staged(parts, "ngram-parts")
-
-    # Second pass: pairs whose members the first pass has not joined.
-    grouped = runs.select("run", F.explode(F.arrays_zip("grp", "n", "head")).alias("m")).select(
-        "run", "m.grp", "m.n", "m.head"
-    ).unionByName(
-        crowded.select(F.col("grp").cast("string").cast("binary").alias("run"), "grp").join(
-            classes.select("grp", "n").distinct(), "grp"
-        ).select("run", "grp", "n", F.lit(True).alias("head"))
-    )
-    placed = (
-        grouped.join(classes.select("grp", "c"), "grp")
-        .join(parts.withColumnRenamed("node", "c"), "c", "left")
-        .select("run", "n", "head", "c", F.coalesce("component", "c").alias("part"))
-    )
-    mixed = placed.groupBy("run").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("run")
-
+        if tried is not None:
+            near = near.join(tried.select("c1", "c2"), ["c1", "c2"], "left_anti").select("c1", "c2", "gap")
+        near = staged(near, "ngram-near")
+        chosen = near.groupBy("c2").agg(F.min(F.struct("gap", "c1")).alias("m")).select(F.col("m.c1").alias("c1"), "c2")
+        also = near.groupBy("c1").agg(F.min(F.struct("gap", "c2")).alias("m")).select("c1", F.col("m.c2").alias("c2"))
+        new = staged(_verify(chosen.unionByName(also).distinct(), exact, percent), "ngram-tried")
+        tried = new if tried is None else tried.unionByName(new)
+        if not new.where("linked").head(1):
+            break
+        parts = staged(_joined(parts, new.where("linked")), "ngram-parts")
+
+    # What is left: all pairs of a run whose members are still apart.
     def cross_pairs(batches):
         for part in key_runs(batches, ["run"]):
             run = part.column("run").combine_chunks().dictionary_encode().indices.to_numpy()
-            head, n, c, p = (part.column(x).to_numpy() for x in ("head", "n", "c", "part"))
+            n, c, p = (part.column(x).to_numpy() for x in ("n", "c", "part"))
+            sigs = part.column("sig").to_pylist()
             starts = run_starts([run])
             for s, e in zip(starts[:-1], starts[1:], strict=True):
+                known = np.array([len(x) > 0 for x in sigs[s:e]])
+                bins = np.frombuffer(b"".join(x or bytes(BINS) for x in sigs[s:e]), np.uint8).reshape(e - s, BINS)
                 a, b, held = [], [], 0
-                for i in range(s, e):
-                    to = s + valid_pairs(n[s:e], head[s:e], percent, i - s)
-                    to = to[p[to] != p[i]]
-                    a.append(np.full(len(to), c[i]))
-                    b.append(c[to])
+                for i in range(e - s):
+                    to = similar_sizes(n[s:e], percent, i)
+                    to = to[p[s + to] != p[s + i]]
+                    most = np.minimum(bins[i], bins[to]).sum(axis=1, dtype=np.int64)
+                    need = least_common(int(n[s + i]), n[s + to].astype(np.int64), percent)
+                    to = to[(most >= need) | ~known[to] | (not known[i])]
+                    a.append(np.full(len(to), c[s + i]))
+                    b.append(c[s + to])
                     held += len(to)
-                    if held > 1 << 16 or i == e - 1:
+                    if held > 1 << 16 or i == e - s - 1:
                         x, y = np.concatenate(a), np.concatenate(b)
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["c1", "c2"]
@@ -317,12 +341,12 @@ def ngram_components(
                         a, b, held = [], [], 0
 
     rest = (
-        placed.join(mixed, "run", "left_semi").repartition("run").sortWithinPartitions("run", "n", "c")
+        _unjoined(members, parts).join(exact.select("c", "sig"), "c")
+        .repartition("run").sortWithinPartitions("run", "n", "c")
         .mapInArrow(cross_pairs, "c1 long, c2 long").distinct()
-        .join(tried.select(F.least("c1", "c2").alias("c1"), F.greatest("c1", "c2").alias("c2")), ["c1", "c2"], "left_anti")
+        .join(tried.select("c1", "c2"), ["c1", "c2"], "left_anti")
     )
-    linked = _verify(rest, exact, percent).where("linked").unionByName(tried.where("linked"))
-    parts = connected_components(linked.select(F.col("c1").alias("a"), F.col("c2").alias("b")))
+    parts = _joined(parts, _verify(rest, exact, percent).where("linked"))
     named = classes.join(parts, classes["c"] == parts["node"], "left").select(
         "digest", "id", F.coalesce("component", "c").alias("component")
     )
@@ -337,36 +361,91 @@ def ngram_components(
     )
 
 
+def _joined(parts: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, component) after ``links`` (c1, c2) are added: only components and new nodes are linked anew."""
+    if parts is None:
+        return connected_components(links.select(F.col("c1").alias("a"), F.col("c2").alias("b")))
+    x, y = (parts.select(F.col("node").alias(c), F.col("component").alias(p)) for c, p in (("c1", "p1"), ("c2", "p2")))
+    ends = links.join(x, "c1", "left").join(y, "c2", "left").select(
+        F.coalesce("p1", "c1").alias("a"), F.coalesce("p2", "c2").alias("b")
+    )
+    above = staged(connected_components(ends), "ngram-above").select(F.col("node").alias("component"), F.col("component").alias("top"))
+    known = parts.join(above, "component", "left").select("node", F.coalesce("top", "component").alias("component"))
+    new = above.join(parts.select(F.col("node").alias("component")), "component", "left_anti").select(
+        F.col("component").alias("node"), F.col("top").alias("component")
+    )
+    return known.unionByName(new)
+
+
+def _placed(members: DataFrame, parts: DataFrame | None) -> DataFrame:
+    """(run, n, c, part): the members of runs with their components."""
+    if parts is None:
+        return members.withColumn("part", F.col("c"))
+    return members.join(parts.withColumnRenamed("node", "c"), "c", "left").select(
+        "run", "n", "c", F.coalesce("component", "c").alias("part")
+    )
+
+
+def _unjoined(members: DataFrame, parts: DataFrame | None) -> DataFrame:
+    """The members of the runs that hold more than one component."""
+    placed = _placed(members, parts)
+    mixed = placed.groupBy("run").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("run")
+    return placed.join(mixed, "run", "left_semi")
+
+
 def _verify(pairs: DataFrame, exact: DataFrame, percent: int) -> DataFrame:
-    """(c1, c2, linked) from the exact sets of both sides."""
+    """(c1, c2, linked): by signatures where their bound is too low, else from the exact sets."""
+
+    def bound(batches):
+        for batch in batches:
+            open_ = []
+            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
+                if x and y:
+                    x, y = np.frombuffer(x, np.uint8).astype(np.int64), np.frombuffer(y, np.uint8).astype(np.int64)
+                    open_.append(np.minimum(x, y).sum() >= least_common(x.sum(), y.sum(), percent))
+                else:
+                    open_.append(True)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("c1"), batch.column("c2"), pa.array(open_, pa.bool_())], names=["c1", "c2", "open"]
+            )
 
     def compare(batches):
         for batch in batches:
             linked = []
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                need = -(-percent * (len(x) + len(y)) // (100 + percent))
-                linked.append(len(np.intersect1d(x, y, assume_unique=True)) >= need)
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                linked.append(common >= least_common(len(x), len(y), percent))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("c1"), batch.column("c2"), pa.array(linked, pa.bool_())], names=["c1", "c2", "linked"]
             )
 
-    return (
-        pairs.join(exact.select(F.col("c").alias("c1"), F.col("tokens").alias("x")), "c1")
-        .join(exact.select(F.col("c").alias("c2"), F.col("tokens").alias("y")), "c2")
-        .select("c1", "c2", "x", "y")
-        .mapInArrow(compare, "c1 long, c2 long, linked boolean")
+    def both(of: DataFrame, column: str, sides: DataFrame) -> DataFrame:
+        return (
+            of.join(sides.select(F.col("c").alias("c1"), F.col(column).alias("x")), "c1")
+            .join(sides.select(F.col("c").alias("c2"), F.col(column).alias("y")), "c2")
+            .select("c1", "c2", "x", "y")
+        )
+
+    bounded = staged(both(pairs, "sig", exact).mapInArrow(bound, "c1 long, c2 long, open boolean"), "ngram-bounded")
+    left = bounded.where("open").select("c1", "c2")
+    needed = staged(left.select(F.col("c1").alias("c")).unionByName(left.select(F.col("c2").alias("c"))).distinct(), "ngram-needed")
+    if needed.count() <= BROADCAST_IDS:  # else both sides are shuffled
+        needed = F.broadcast(needed)
+    judged = both(left, "tokens", exact.join(needed, "c", "left_semi")).mapInArrow(
+        compare, "c1 long, c2 long, linked boolean"
     )
+    return judged.unionByName(bounded.where("not open").select("c1", "c2", F.lit(False).alias("linked")))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """``docs`` with one document left of each component, all columns kept.
 
-    The document whose id names the component stays.
+    The document whose id names the component stays; rows without an id all stay.
     """
     gone = (
         ngram_components(docs, id_col, text_col, **how)
-        .where(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__gone"))
+        .where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__gone"))
     )
     return docs.join(gone, docs[id_col].eqNullSafe(F.col("__gone")), "left_anti")
 

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLAB = 2 << 20
+SLAB = 1 << 19
 BASE = np.uint64(0x9E3779B97F4A7C55)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32

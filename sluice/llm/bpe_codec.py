@@ -35,6 +35,23 @@ PIECE_CHARS = 1 << 15
 FLUSH_BYTES = 8 << 20
 #: White space that the split pattern drops (Unicode's White_Space).
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+# Letters and numbers of Unicode versions after the tokenizer library's 16.0, which
+# it takes for marks, and capitals of 16.0 that Python does not lower yet.
+NEWER = (
+    r"\u0558\u058b-\u058c\u088f\u0c5c\u0cdc\u208f\u209d-\u209f\ua7ce-\ua7cf\ua7d2\ua7d4\ua7dd\ua7e2\ua7f1\uab6c-\uab6d"
+    r"\U000107bb-\U000107bf\U00010940-\U00010959\U00010ec5-\U00010ec7\U00010ed9-\U00010eee\U00011b0a"
+    r"\U00011db0-\U00011ddb\U00011de0-\U00011de9\U00011df1\U0001246f\U00012475-\U0001247f\U00012550-\U00012686"
+    r"\U00016ea0-\U00016eb8\U00016ebb-\U00016ed3\U00016ff2-\U00016ff6\U000187f8-\U000187ff\U00018cd6-\U00018cda"
+    r"\U00018d09-\U00018d20\U00018d80-\U00018df2\U00018e00-\U00019191\U000191a0-\U000191d2\U0001b123-\U0001b128\U0001b168"
+    r"\U0001d6a6\U0001df1f-\U0001df24\U0001df2b-\U0001df81\U0001df90-\U0001df96\U0001dfcd-\U0001dfff\U0001e6c0-\U0001e6de"
+    r"\U0001e6e0-\U0001e6e2\U0001e6e4-\U0001e6e5\U0001e6e7-\U0001e6ed\U0001e6f0-\U0001e6f4\U0001e6fe-\U0001e6ff"
+    r"\U0002b73a-\U0002b73f\U0002b81e\U0002cea2-\U0002cead\U000323b0-\U00033479\U0003d000-\U0003fc3f"
+)
+NEWER_CAPITALS = (
+    {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B}
+    | {c: c + 0x20 for c in range(0x10D50, 0x10D66)}
+    | {c: c + 0x1B for c in range(0x16EA0, 0x16EB9)}
+)
 #: Control characters that Python's split takes for white space and the pattern does not.
 CONTROL = re.compile("[\x1c-\x1f]")
 #: Where a long run may be cut: after 16 letters (or ideographs, or plain marks) and before one more.
@@ -48,6 +65,10 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
 
 
+def _pair(a: int, b: int) -> int:
+    return a << 20 | b
+
+
 class WordBpe:
     """Encoder and decoder of a word-end BPE vocabulary in a tokenizer file."""
 
@@ -59,7 +80,8 @@ class WordBpe:
         end = model["end_of_word_suffix"]
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         self.joined = [ids[a + b] for a, b in merges]
-        self.rank = {ids[a] << 20 | ids[b]: r for r, (a, b) in enumerate(merges)}
+        self.rank = {_pair(ids[a], ids[b]): r for r, (a, b) in enumerate(merges)}
+        self.joins = {p: (r, self.joined[r]) for p, r in self.rank.items()}
         letters = byte_letters()
         self.inner = [ids[c] for c in letters]
         self.last = [ids[c + end] for c in letters]
@@ -69,7 +91,11 @@ class WordBpe:
         for a, b in merges:
             self.parts[ids[a + b]] = self.parts[ids[a]] + self.parts[ids[b]]
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.word = regex.compile(pattern.replace("\\s", WHITE))
+        pattern = pattern.replace("\\s", WHITE)
+        self.ascii_word = regex.compile(pattern)
+        mark = next(part for part in pattern.split("|") if part.startswith("[^"))
+        older = pattern.replace(mark, "\0").replace("[\\p{L}]", f"(?:(?![{NEWER}])\\p{{L}})").replace("[\\p{N}]", f"(?![{NEWER}])\\p{{N}}")
+        self.word = regex.compile(older.replace("\0", f"(?:{mark[:-1]}|[{NEWER}])+"))
         self.marks = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         self.words = Remembered(self._word)
         self.chunks = Remembered(self._chunk)
@@ -79,24 +105,22 @@ class WordBpe:
     def _leaf(self, symbols: list[int]) -> list[int]:
         """Lowest rank first, leftmost on ties, until no pair joins."""
         if len(symbols) > 4 * self.leaf:
-            return heap_merge(symbols, self._join)[0]
+            return heap_merge(symbols, self.joins, _pair)[0]
         get, joined, none = self.rank.get, self.joined, len(self.joined)
-        while len(symbols) > 1:
-            best, at, a = none, 0, symbols[0]
-            for i, b in enumerate(symbols[1:]):
-                r = get(a << 20 | b, none)
-                if r < best:
-                    best, at = r, i
-                a = b
+        ranks = [get(a << 20 | b, none) for a, b in zip(symbols, symbols[1:], strict=False)]
+        while ranks:
+            best = min(ranks)
             if best == none:
                 break
-            symbols[at : at + 2] = [joined[best]]
+            at = ranks.index(best)
+            new = symbols[at] = joined[best]
+            del symbols[at + 1], ranks[at]
+            if at < len(ranks):
+                ranks[at] = get(new << 20 | symbols[at + 1], none)
+            if at:
+                ranks[at - 1] = get(symbols[at - 1] << 20 | new, none)
         return symbols
 
-    def _join(self, a: int, b: int):
-        r = self.rank.get(a << 20 | b)
-        return None if r is None else (r, self.joined[r])
-
     def _agree(self, a: int, b: int) -> bool:
         return self._leaf(self.parts[a] + self.parts[b]) == [a, b]
 
@@ -137,9 +161,11 @@ class WordBpe:
     # a text without white space
 
     def split(self, text: str) -> list[str]:
-        text = unicodedata.normalize("NFC", text)
-        text = text.lower() if text.isascii() else "".join([c.lower() for c in text])
-        return self.word.findall(text)
+        if text.isascii():
+            text = text.lower()
+            return [text] if text.isalpha() else self.ascii_word.findall(text)
+        text = unicodedata.normalize("NFC", text).translate(NEWER_CAPITALS)
+        return self.word.findall("".join([c.lower() for c in text]))
 
     def items(self, text: str) -> list[str | int]:
         """Words of a text, and the ids of the special strings in it."""
@@ -256,11 +282,11 @@ def encode_texts(
     def whole(batches):
         bpe = codec(tokenizer_path)
         for batch in batches:
-            at, texts = 0, batch.column("t").to_pylist()
+            at, texts = 0, batch.column("t")
             while at < len(texts):
                 ids, decoded, held, first = [], [], 0, at
                 while at < len(texts) and held < FLUSH_BYTES:
-                    ids.append(bpe.encode(texts[at]))
+                    ids.append(bpe.encode(texts[at].as_py()))
                     decoded.append(bpe.decode(ids[-1]))
                     held += len(ids[-1]) + len(decoded[-1])
                     at += 1

@@ -15,6 +15,7 @@ from __future__ import annotations
 import heapq
 import re
 from functools import lru_cache
+from operator import add
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -26,25 +27,27 @@ SPACE = "▁"  # what the vocabulary writes for a space
 REMEMBERED = 400_000
 
 
-def heap_merge(symbols: list, rank_of) -> tuple[list, int]:
+def heap_merge(symbols: list, joins: dict, pair) -> tuple[list, int]:
     """Merge ``symbols`` until no adjacent pair joins: (symbols left, merges done).
 
-    ``rank_of(a, b)`` gives (rank, joined symbol), or None when the pair does not
-    join. Stale heap entries are told by a change of either symbol since the push.
+    ``joins`` has (rank, joined symbol) by ``pair(a, b)`` for the pairs that join.
+    Stale heap entries are told by a change of either symbol since the push.
     """
-    n = len(symbols)
+    n, get = len(symbols), joins.get
     symbols = list(symbols)
+    heap = [
+        (found[0], i, symbols[i], symbols[i + 1], found[1])
+        for i, found in enumerate(map(get, map(pair, symbols, symbols[1:])))
+        if found is not None
+    ]
+    if not heap:
+        return symbols, 0
     after = list(range(1, n + 1))
     before = list(range(-1, n - 1))
-    heap = []
-    for i in range(n - 1):
-        found = rank_of(symbols[i], symbols[i + 1])
-        if found is not None:
-            heap.append((found[0], i, symbols[i], symbols[i + 1], found[1]))
     heapq.heapify(heap)
-    merges = 0
+    pop, push, merges = heapq.heappop, heapq.heappush, 0
     while heap:
-        _, i, a, b, joined = heapq.heappop(heap)
+        _, i, a, b, joined = pop(heap)
         j = after[i]
         if j >= n or symbols[i] != a or symbols[j] != b:
             continue
@@ -53,14 +56,14 @@ def heap_merge(symbols: list, rank_of) -> tuple[list, int]:
         k = after[i] = after[j]
         if k < n:
             before[k] = i
-            found = rank_of(joined, symbols[k])
+            found = get(pair(joined, symbols[k]))
             if found is not None:
-                heapq.heappush(heap, (found[0], i, joined, symbols[k], found[1]))
+                push(heap, (found[0], i, joined, symbols[k], found[1]))
         h = before[i]
         if h >= 0:
-            found = rank_of(symbols[h], joined)
+            found = get(pair(symbols[h], joined))
             if found is not None:
-                heapq.heappush(heap, (found[0], h, symbols[h], joined, found[1]))
+                push(heap, (found[0], h, symbols[h], joined, found[1]))
     return [s for s in symbols if s is not None], merges
 
 
@@ -90,27 +93,23 @@ class PieceVocabulary:
         import sentencepiece  # only to read the file: pieces, scores, types
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.rank: dict[str, float] = {}
+        self.joins: dict[str, tuple[float, str]] = {}
         for i in range(model.get_piece_size()):
             if model.is_unused(i):
                 raise ValueError("vocabularies with unused pieces are not supported")
             if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i)):
-                self.rank[model.id_to_piece(i)] = -model.get_score(i)
-        joined = [p for p in self.rank if len(p) > 1]
+                piece = model.id_to_piece(i)
+                self.joins[piece] = -model.get_score(i), piece
+        joined = [p for p in self.joins if len(p) > 1]
         if any(SPACE in p.lstrip(SPACE) or "\n" in p for p in joined):
             raise ValueError("the vocabulary has pieces across spaces or line breaks")
         self.seen = Remembered(self._count)
         self.runs = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
 
-    def _join(self, a: str, b: str):
-        both = a + b
-        rank = self.rank.get(both)
-        return None if rank is None else (rank, both)
-
     def _count(self, piece: str) -> int:
         """Tokens of one piece between places that merges never cross."""
-        left, merges = heap_merge(list(piece), self._join)
-        extra = sum(len(s.encode()) - 1 for s in left if s not in self.rank)
+        left, merges = heap_merge(list(piece), self.joins, add)
+        extra = sum([len(s.encode()) - 1 for s in left if s not in self.joins])
         return len(piece) - merges + extra
 
     def count(self, text: str) -> int:

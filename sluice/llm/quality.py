@@ -76,21 +76,25 @@ class LatentVoters:
         if not n:
             return
         self.idf = np.log((1 + n) / (1 + (counts > 0).sum(axis=0))) + 1
-        weighted = self._weighted(counts)
+        weighted = self._weighted(counts)  # single precision holds for the fit
         # leading right singular vectors by subspace iteration from a fixed start
         basis = np.random.default_rng(11).standard_normal((weighted.shape[1], min(dims + 16, n, weighted.shape[1])))
+        basis = basis.astype(weighted.dtype)
         for _ in range(6):
             basis = np.linalg.qr(weighted.T @ (weighted @ basis))[0]
         _, _, turn = np.linalg.svd(weighted @ basis, full_matrices=False)
         self.axes = (basis @ turn.T)[:, : min(dims, basis.shape[1])]
-        self.voters = self._latent(counts)
+        self.voters = (weighted @ self.axes).astype(np.float64)
+        self.voters /= np.maximum(np.linalg.norm(self.voters, axis=1, keepdims=True), 1e-12)
 
     def _weighted(self, counts: np.ndarray) -> np.ndarray:
-        x = np.sqrt(counts) * self.idf
-        return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+        x = np.sqrt(counts)
+        x *= self.idf.astype(x.dtype)
+        x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+        return x
 
     def _latent(self, counts: np.ndarray) -> np.ndarray:
-        z = self._weighted(counts) @ self.axes
+        z = self._weighted(counts) @ self.axes.astype(counts.dtype)
         return z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-12)
 
     def score(self, counts: np.ndarray) -> np.ndarray:
@@ -151,7 +155,9 @@ def fit_voters(
     got = sorted(
         {(str(r["id"]), r["label"], bytes(r["counts"])) for r in _counted(labelled, "label").toLocalIterator()}
     )
-    counts = np.array([np.frombuffer(c, np.float32) for _, _, c in got], np.float64).reshape(len(got), TERMS)
+    counts = np.empty((len(got), TERMS), np.float32)
+    for i, (_, _, row) in enumerate(got):
+        counts[i] = np.frombuffer(row, np.float32)
     return LatentVoters(counts, np.array([y for _, y, _ in got], np.float64), dims, neighbours)
 
 

@@ -300,13 +300,16 @@ def find_spans(text: str, model: SpanModel):
 
 
 def fit_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, epochs: int = EPOCHS) -> SpanModel:
-    """A model fitted on the islands of at most ``sample`` texts that hold a digit or an @.
+    """A model fitted on the islands of the texts of at most ``sample`` ids that hold a digit or an @.
 
     Islands are labelled by the patterns (overlapping ones: the first); equal
     labelled islands are counted, and at most ``sample`` different ones are used.
     """
     rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("t"))
-    rows = rows.where(F.col("t").rlike("[0-9@]")).orderBy(F.xxhash64("id"), "id", F.xxhash64("t")).limit(sample)
+    rows = rows.where(F.col("t").rlike("[0-9@]"))
+    # ids are ordered, not texts: at most ``sample`` of them go to all tasks
+    ids = rows.select("id").where("id is not null").distinct().orderBy(F.xxhash64("id"), "id").limit(sample)
+    rows = rows.join(F.broadcast(ids), "id", "left_semi")
 
     def label(batches):
         for batch in batches:

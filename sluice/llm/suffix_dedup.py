@@ -35,7 +35,7 @@ from sluice.llm.suffix_arrays import repeated_starts
 
 LENGTH = 200
 ANCHOR = 32
-SLAB = 2 << 20
+SLAB = 1 << 19
 SHARD_BYTES = 2 << 20
 HOT_REGIONS = 20_000
 #: What a region turns out to be: repeated as a whole, to be sorted, beside such a

@@ -131,3 +131,17 @@ def test_no_rows_and_no_rules(spark):
     assert judge_urls(empty).collect() == []
     pages = spark.createDataFrame([(*p, "h", "r", 1) for p in PAGES], SCHEMA)
     assert {r["verdict"] for r in judge_urls(pages, rules=()).collect()} == {"allow"}
+
+
+def test_no_word_and_no_token_is_cut(spark):
+    """More words and tokens seen once than either table held before."""
+    names = ["".join("abcdefghij"[int(d)] for d in f"{i:05d}") + "q" for i in range(60_000)]
+    rows = [(0, "http://x.info/", " ".join(names) + " cheap pills")]
+    rows += [(1 + i, f"http://example.com/de/{'/'.join(names[100 * i : 100 * i + 100])}", None) for i in range(300)]
+    rows += [(1 + i, f"http://a.org/fr/{'/'.join(names[100 * i : 100 * i + 100])}", None) for i in range(300, 600)]
+    rows += [(700, f"http://b.info/{names[0]}/{names[1]}/{names[2]}", None), (701, f"http://b.info/{names[59_000]}/{names[59_001]}/{names[59_002]}", None)]
+    rows += [(702, f"http://b.info/{names[5]}{names[77]}/cheappills", None)]
+    got = {r["page_id"]: r for r in judge_urls(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert len(got) == len(rows)
+    assert got[702]["words"][-4:] == [f"p:{names[5]}", f"p:{names[77]}", "p:cheap", "p:pills"]
+    assert (got[700]["verdict"], got[701]["verdict"]) == ("block", "allow")

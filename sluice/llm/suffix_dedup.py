@@ -15,9 +15,12 @@ reaches ``length``.
 
 Equal windows always meet in one shard and regions never reach over a document's
 end, so the result is exact. Tasks settle equal regions of a batch before anything
-is shuffled, so a hot passage posts a row per batch. An anchor with more than
-``hot_regions`` different regions is dealt out window by window instead, grouped by
-the windows' own content.
+is shuffled, so a hot passage posts a row per batch. The places of an anchor meet in
+one task only up to ``crowd`` of them, by a count taken first; where there are more,
+regions and what they share are told by grouped counts on the anchor with the region,
+its left and its right, joined back by those keys. An anchor with more than
+``hot_regions`` different regions is dealt out window by window instead of sorted,
+grouped by the windows' own content.
 """
 
 from __future__ import annotations
@@ -38,6 +41,7 @@ ANCHOR = 32
 SLAB = 1 << 19
 SHARD_BYTES = 2 << 20
 HOT_REGIONS = 20_000
+CROWD = 2_000
 #: What a region turns out to be: repeated as a whole, to be sorted, beside such a
 #: one in its shard, or of a hot anchor.
 SETTLED, OPEN, BESIDE, HOT = range(4)
@@ -151,6 +155,38 @@ def region_roles(h, region, left, right, copied, hot_regions: int) -> tuple[np.n
     return settled, role
 
 
+def crowd_roles(places: DataFrame, hot_regions: int) -> DataFrame:
+    """(h, tid, lo, hi, role) as by ``region_roles``, without gathering the places of an anchor."""
+    places = places.dropDuplicates(["h", "tid", "lo", "state"])
+    regions = staged(
+        places.groupBy("h", "region")
+        .agg(
+            ((F.count(F.lit(1)) > 1) | (F.max("state") == COPIED)).alias("settled"), F.max("left").alias("left"),
+            F.max("right").alias("right"), F.min(F.struct("tid", "lo", "hi")).alias("place"),
+        ),
+        "crowd-regions",
+    )
+    sharing = regions
+    for side in ("left", "right"):  # written, so that a crowded key is split in the join
+        alike = regions.where(F.col(side) != 0).groupBy("h", side).count().where("count > 1")
+        alike = staged(alike.select("h", side, F.lit(True).alias(f"same_{side}")), f"crowd-{side}")
+        sharing = sharing.join(alike, ["h", side], "left")
+    sharing = staged(
+        sharing.where(F.col("same_left").isNotNull() | F.col("same_right").isNotNull()).select("h", "place.*", "settled"),
+        "crowd-sharing",
+    )
+    anchor = staged(
+        sharing.groupBy("h").agg((F.count(F.lit(1)) > hot_regions).alias("hot"), F.max(~F.col("settled")).alias("alone")),
+        "crowd-anchors",
+    )
+    role = F.when(F.col("hot"), HOT).when(F.col("settled"), BESIDE).otherwise(OPEN)
+    return (
+        places.join(regions.where("settled").select("h", "region"), ["h", "region"])
+        .select("h", "tid", "lo", "hi", F.lit(SETTLED).cast("byte").alias("role"))
+        .unionByName(sharing.join(anchor.where("alone"), "h").select("h", "tid", "lo", "hi", role.cast("byte").alias("role")))
+    )
+
+
 def cut_spans(text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[bytes, int, int]:
     """``text`` without the union of half-open byte spans: (left, bytes removed, maximal runs)."""
     if not len(starts):
@@ -175,6 +211,7 @@ def remove_repeats(
     length: int = LENGTH,
     shard_bytes: int = SHARD_BYTES,
     hot_regions: int = HOT_REGIONS,
+    crowd: int = CROWD,
 ) -> DataFrame:
     """One row per input row: id, n_bytes, n_removed, n_spans, kept (the bytes left).
 
@@ -215,12 +252,12 @@ def remove_repeats(
             h, lo, hi, region, left, right = (np.concatenate(x) for x in zip(*found, strict=True))
             tid = np.repeat(tids[fresh], [len(f[0]) for f in found])
             copies, first = equal_rows(h, region)
-            # One of equal regions stands for all; the others go along under any key.
+            # One of equal regions stands for all; the others go along.
             state = np.where(first, np.where(copies > 1, COPIED, SINGLE), ALONG).astype(np.int8)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.where(first, h, tid ^ lo)), pa.array(tid), pa.array(lo.astype(np.int32)),
-                    pa.array(hi.astype(np.int32)), *(pa.array(np.where(first, x, 0)) for x in (region, left, right)),
+                    *(pa.array(x) for x in (np.where(first, h, 0), tid, lo.astype(np.int32), hi.astype(np.int32))),
+                    *(pa.array(np.where(first, x, 0)) for x in (region, left, right)),
                     pa.array(state),
                 ],
                 names=["h", "tid", "lo", "hi", "region", "left", "right", "state"],
@@ -229,29 +266,33 @@ def remove_repeats(
     def judge_regions(batches):
         for part in key_runs(batches, ["h"]):
             cols = {c: part.column(c).to_numpy() for c in ("h", "tid", "lo", "hi", "region", "left", "right", "state")}
-            along = cols["state"] == ALONG
-            same = np.zeros(len(along), bool)  # a copied text may be posted by several tasks
+            same = np.zeros(len(cols["h"]), bool)  # a copied text may be posted by several tasks
             same[1:] = (cols["h"][1:] == cols["h"][:-1]) & (cols["tid"][1:] == cols["tid"][:-1]) & (cols["lo"][1:] == cols["lo"][:-1])
-            at = np.flatnonzero(~along & ~same)
-            out = [(np.flatnonzero(along), np.full(along.sum(), SETTLED, np.int8))]
-            if len(at):
-                crowd, _ = equal_rows(cols["h"][at])
-                at = at[(crowd > 1) | (cols["state"][at] == COPIED)]
-                settled, role = region_roles(
-                    *(cols[c][at] for c in ("h", "region", "left", "right")), cols["state"][at] == COPIED, hot_regions
-                )
-                out += [(at[settled], np.full(settled.sum(), SETTLED, np.int8)), (at[role >= 0], role[role >= 0])]
+            at = np.flatnonzero(~same)
+            beside, _ = equal_rows(cols["h"][at])
+            at = at[(beside > 1) | (cols["state"][at] == COPIED)]
+            settled, role = region_roles(
+                *(cols[c][at] for c in ("h", "region", "left", "right")), cols["state"][at] == COPIED, hot_regions
+            )
+            out = [(at[settled], np.full(settled.sum(), SETTLED, np.int8)), (at[role >= 0], role[role >= 0])]
             out = [(*(cols[c][rows_] for c in ("h", "tid", "lo", "hi")), kinds) for rows_, kinds in out]
             merged = [np.concatenate(x) for x in zip(*out, strict=True)]
             if len(merged[0]):
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in merged], names=["h", "tid", "lo", "hi", "role"])
 
-    judged = staged(
-        long.select("tid", "t").mapInArrow(find_anchors, columns)
-        .repartition("h").sortWithinPartitions("h", "state", "tid", "lo")
-        .mapInArrow(judge_regions, "h long, tid long, lo int, hi int, role byte"),
-        "regions",
+    posted = staged(long.select("tid", "t").mapInArrow(find_anchors, columns), "places")
+    places = few = posted.where(F.col("state") != ALONG)
+    crowds = staged(places.groupBy("h").count().where(F.col("count") > crowd).select("h"), "crowds")
+    crowded = bool(crowds.head(1))
+    if crowded:
+        few = places.join(crowds, "h", "left_anti")
+    judged = (
+        few.repartition("h").sortWithinPartitions("h", "state", "tid", "lo")
+        .mapInArrow(judge_regions, "h long, tid long, lo int, hi int, role byte")
     )
+    if crowded:
+        judged = judged.unionByName(crowd_roles(places.join(crowds, "h", "left_semi"), hot_regions))
+    judged = staged(judged, "regions")
     wanted = judged.where(F.col("role") != SETTLED).groupBy("tid").agg(
         F.collect_list(F.struct("h", "lo", "hi", "role")).alias("w")
     )
@@ -316,9 +357,10 @@ def remove_repeats(
             F.unhex(F.substring(F.sha2(F.substring("bytes", F.col("o") + 1, F.lit(length)), 256), 1, 32)).alias("w"),
         )
     )
-    repeated = windows.groupBy("w").count().where("count > 1").select("w")
+    repeated = staged(windows.groupBy("w").count().where("count > 1").select("w"), "windows")
     spans = (
-        judged.where(F.col("role") == SETTLED)
+        judged.where(F.col("role") == SETTLED).select("tid", "lo", "hi")
+        .unionByName(posted.where(F.col("state") == ALONG).select("tid", "lo", "hi"))
         .select("tid", F.col("lo").cast("long").alias("s"), (F.col("hi") + length).cast("long").alias("e"))
         .unionByName(sorted_spans)
         .unionByName(windows.join(repeated, "w").select("tid", "s", (F.col("s") + length).alias("e")))

@@ -74,6 +74,27 @@ def test_long_texts_in_parts(spark, make_docs, monkeypatch):
     assert result(remove_repeats(make_docs(rows), length=40)) == want
 
 
+def test_no_task_gathers_a_crowded_anchor(spark, make_docs, monkeypatch):
+    """A short line in thousands of texts, other bytes around it in each."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(12))
+    rows = [(i, f"{word()} SPDX-License-Identifier: Apache-2.0 OR MIT, see. {word()}") for i in range(3000)]
+    judge = suffix_dedup.region_roles
+
+    def bounded(h, *rest):
+        assert np.unique(h, return_counts=True)[1].max(initial=0) <= 2000
+        return judge(h, *rest)
+
+    monkeypatch.setattr(suffix_dedup, "region_roles", bounded)
+    assert result(remove_repeats(make_docs(rows), length=40)) == brute(rows, 40)
+
+
+@pytest.mark.parametrize("how", [{"crowd": 1}, {"crowd": 1, "hot_regions": 1}, {"crowd": 5, "shard_bytes": 500}])
+def test_crowds_equal_brute_force(spark, make_docs, how):
+    rows = list(enumerate(corpus(1))) + [(None, "null id " * 20), (2, corpus(1)[2])]
+    assert result(remove_repeats(make_docs(rows), length=40, **how)) == brute(rows, 40)
+
+
 def test_no_rows(make_docs):
     assert remove_repeats(make_docs([])).collect() == []
 

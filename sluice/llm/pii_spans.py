@@ -28,7 +28,10 @@ from sluice.llm.common import table
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE = 2000
-LONGEST = 24  # tokens of an entity
+CARD_DIGITS = (14, 19)
+PHONE_DIGITS = (10, 15)
+#: Tokens of an entity: a card's digits one by one with a separator between, or a phone's after a + with two.
+LONGEST = max(2 * CARD_DIGITS[1] - 1, 3 * PHONE_DIGITS[1] - 1)
 EPOCHS = 12
 RATE = 0.3
 DECAY = 1e-4
@@ -60,9 +63,9 @@ def _valid(kind: str, found: str) -> bool:
         return all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in found.split("."))
     if kind == "card":
         d = _digits(found)
-        return 14 <= len(d) <= 19 and luhn(d)
+        return CARD_DIGITS[0] <= len(d) <= CARD_DIGITS[1] and luhn(d)
     if kind == "phone":
-        return 10 <= len(_digits(found)) <= 15
+        return PHONE_DIGITS[0] <= len(_digits(found)) <= PHONE_DIGITS[1]
     return True
 
 

@@ -141,3 +141,16 @@ def test_odd_rows(spark, make_docs, model):
     key = lambda i, t: repr((i, plain(t)))
     assert sorted(repr((r["doc_id"], [tuple(x) for x in r["base"]])) for r in got) == sorted(key(i, t) for i, t in rows)
     assert find_pii(make_docs([])).collect() == []
+
+
+def test_numbers_written_digit_by_digit_fit_a_segment():
+    for kind, number, n, weights in (
+        ("card", "4111111111111111", 16, {"card|any": -10, "card|digits16": 8, "card|checkTrue": 8}),
+        ("card", "4000000000000000006", 19, {"card|any": -10, "card|digits19": 8, "card|checkTrue": 8}),
+        ("phone", "+123456789012345", 15, {"phone|any": -10, "phone|digits15": 8, "phone|length-okTrue": 8}),
+    ):
+        spaced = "-".join(number).replace("+-", "+")
+        text = spaced + " 77"
+        assert not [s for s in base_spans(text) if s[0] == kind]
+        assert SpanModel(weights).decode(text) == [(kind, 0, len(spaced))], n
+    assert SpanModel({"phone|length-okTrue": 8, "phone|digits15": 8, "phone|any": -10}).decode("+" + ") ".join("1" * 15)) != []

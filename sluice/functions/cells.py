@@ -78,7 +78,9 @@ def parse_timestamp_text(text: Column, as_of: Column, clamp_parsed: bool = False
     shaped = timetext.shaped_timestamp(text, as_of)
     if clamp_parsed:
         shaped = F.when(shaped > as_of, as_of).otherwise(shaped)
-    return F.when(~is_junk_time_text(text) & ~text.rlike(timetext.BARE_TIME), F.coalesce(F.try_to_timestamp(text), shaped))
+    six_digits = (F.length(text) == 6) & text.rlike(r"^\d{6}$")  # yyMMdd, where the native cast sees a year
+    native = F.when(~six_digits, F.try_to_timestamp(text))
+    return F.when(~is_junk_time_text(text) & ~text.rlike(timetext.BARE_TIME), F.coalesce(native, shaped))
 
 
 def to_timestamp_cell(c: Column, in_type: DataType, as_of: Column, clamp_parsed: bool = False) -> Column:

@@ -17,6 +17,7 @@ identical rows (skew join). Bucketing the target on its key
 
 from __future__ import annotations
 
+import threading
 from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 
@@ -140,16 +141,39 @@ def _by_name(df: DataFrame, target_cols: list[str], drop_extra: bool = False) ->
     return df.select(*[F.col("`" + have[c.lower()] + "`").alias(c) for c in target_cols])
 
 
+_EMPTY_RULE = "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation"
+_rules_lock = threading.Lock()
+_rules_held: dict[str, tuple[int, dict[str, str | None]]] = {}  # application -> users, settings found
+
+
 @contextmanager
-def _observed_plans_kept(spark: SparkSession):
-    """Keep AQE from replacing a plan whose shuffle came out empty: its observed counts would be lost."""
-    name, rule = "spark.sql.adaptive.optimizer.excludedRules", "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation"
-    old = spark.conf.get(name, None)
-    spark.conf.set(name, f"{old},{rule}" if old else rule)
+def load_rules(spark: SparkSession):
+    """Settings that a load needs, held while any load of the session runs.
+
+    AQE must not replace a plan whose shuffle came out empty (its observed counts
+    would be lost), and filters are not inferred from constraints: for the hundred
+    computed columns of a wide contract that search does not end. Loads of several
+    threads share one setting; the last to end restores what the first found.
+    """
+    rules, infer = "spark.sql.adaptive.optimizer.excludedRules", "spark.sql.constraintPropagation.enabled"
+    app = f"{spark.sparkContext.applicationId}/{spark._jsparkSession.sessionUUID()}"
+    with _rules_lock:
+        users, found = _rules_held.get(app, (0, {}))
+        if not users:
+            found = {name: spark.conf.get(name, None) for name in (rules, infer)}
+            spark.conf.set(rules, f"{found[rules]},{_EMPTY_RULE}" if found[rules] else _EMPTY_RULE)
+            spark.conf.set(infer, "false")
+        _rules_held[app] = (users + 1, found)
     try:
         yield
     finally:
-        spark.conf.unset(name) if old is None else spark.conf.set(name, old)
+        with _rules_lock:
+            users, found = _rules_held[app]
+            _rules_held[app] = (users - 1, found)
+            if users == 1:
+                del _rules_held[app]
+                for name, value in found.items():
+                    spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def _write(df: DataFrame, target: Target, overwrite: bool, current: DataFrame | None = None,
@@ -162,13 +186,14 @@ def _write(df: DataFrame, target: Target, overwrite: bool, current: DataFrame |
         if target.buckets and key_col is not None:
             # one writer a bucket: else every task writes a file to every bucket
             aligned = aligned.repartition(target.buckets, key_col)
-        with _observed_plans_kept(spark):
+        with load_rules(spark):
             aligned.write.insertInto(target.table, overwrite=overwrite)
         return
     writer = aligned.write.format(target.format).options(**target.options)
     if target.partition_by:
         writer = writer.partitionBy(*target.partition_by)
-    writer.mode("overwrite" if overwrite else "append").save(target.path)
+    with load_rules(spark):
+        writer.mode("overwrite" if overwrite else "append").save(target.path)
 
 
 def _replace(df: DataFrame, target: Target) -> None:

@@ -112,19 +112,28 @@ def test_command_line_report(spark, capsys):
 def test_two_hop_sync_then_ingest(spark):
     from sluice.operators.counts import reconcile
     from sluice.plans.lead import lead_ingest_jobs, warehouse_table
-    from sluice.plans.tpch_queries import ASSIGN_EXTRACT, LEAD_EXTRACT, XREF_EXTRACT, read
+    from sluice.plans import lead_oracle
+    from sluice.plans.tpch_queries import read
     from sluice.sources.raw import raw_path
     from conftest import SF001
 
     base = work_path(spark, "test", "two_hop")
-    extracts = {  # stand-ins for the three source tables (JDBC in production)
-        'public."leadassignment"': (ASSIGN_EXTRACT, "lineitem"),
-        'public."leadxref"': (XREF_EXTRACT.replace("INTERVAL 1 DAY", "INTERVAL 1 DAYS"), "orders"),
-        'public."lead"': (LEAD_EXTRACT, "customer"),
+
+    def extract(listed, src, number, day):
+        """A stand-in for one of the three source tables (JDBC in production)."""
+        read(spark, SF001, src).createOrReplaceTempView(f"two_hop_{src}")
+        rows = (f"SELECT {number} AS k, CAST({day} AS STRING) AS d, "
+                f"CAST(CAST({day} + INTERVAL 27 YEARS AS DATE) AS STRING) AS f FROM two_hop_{src}")
+        return lambda: spark.sql(lead_oracle.extract_sql(listed, rows))
+
+    extracts = {
+        'public."leadassignment"': extract(lead_oracle.LEAD_ASSIGNMENT, "lineitem", "l_orderkey * 10 + l_linenumber",
+                                           "CAST(l_shipdate AS DATE)"),
+        'public."leadxref"': extract(lead_oracle.LEAD_XREF, "orders", "o_orderkey", "CAST(o_orderdate AS DATE)"),
+        'public."lead"': extract(lead_oracle.LEAD, "customer", "c_custkey", "DATE '1997-03-10'"),
     }
     jobs = [P.SyncJob(t.split(".")[1].strip('"'),
-                      lambda q=q, src=src: spark.sql(q, src=read(spark, SF001, src)),
-                      raw_path(base, "RAW", "db", t)) for t, (q, src) in extracts.items()]
+                      source, raw_path(base, "RAW", "db", t)) for t, source in extracts.items()]
     assert all(r.status == "ok" for r in P.sync_tables(spark, jobs, audit=AuditSpec(), as_of=AS_OF))
 
     out = work_path(spark, "test", "two_hop_wh")

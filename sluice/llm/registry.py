@@ -9,6 +9,7 @@ from sluice.llm.near_vectors import op1_near_vectors
 from sluice.llm.ngram_join import op9_ngram_join
 from sluice.llm.pii_spans import op5_pii
 from sluice.llm.quality import op7_quality
+from sluice.llm.secret_scan import op12_secret_scan
 from sluice.llm.source_divergence import OP11_SQL, op11_source_divergence
 from sluice.llm.suffix_dedup import op8_suffix_dedup
 from sluice.llm.token_counts import op6_token_counts
@@ -26,4 +27,5 @@ QUERIES = {
     "op9_ngram_join": (op9_ngram_join, None),
     "op10_mixing": (op10_mixing, OP10_SQL),
     "op11_source_divergence": (op11_source_divergence, OP11_SQL),
+    "op12_secret_scan": (op12_secret_scan, None),
 }

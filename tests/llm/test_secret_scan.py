@@ -10,7 +10,7 @@ import pytest
 
 from sluice.llm import secret_scan as S
 
-from llm_helpers import SF001, make_docs  # noqa: F401
+from llm_helpers import make_docs  # noqa: F401
 
 ASSIGN = re.compile(
     r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
@@ -87,13 +87,14 @@ def test_equals_brute_force(make_docs, threshold):
 
 
 def test_finds_random_strings_and_leaves_documents(spark):
-    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
     planted = [(10**9 + i, f"see {''.join(rnd.choices(letters, k=40))} here") for i in range(40)]
     planted += [(10**9 + 40 + i, f"see {''.join(rnd.choices('0123456789abcdef', k=20))} here") for i in range(40)]
     rows = docs.unionByName(spark.createDataFrame(planted, docs.schema))
     found = {r["doc_id"] for r in S.scan_secrets(rows).where("n_random > 0").collect()}
-    assert len(found & {i for i, _ in planted}) >= 78 and not found - {i for i, _ in planted}
+    planted_ids = {i for i, _ in planted}
+    assert found <= planted_ids and len(found) >= 78
 
 
 def test_null_and_empty_texts(make_docs):

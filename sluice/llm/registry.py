@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from sluice.llm.bpe_codec import op2_bpe_codec
 from sluice.llm.exact_dedup import OP3_SQL, op3_exact_dedup
+from sluice.llm.hard_negatives import OP13_SQL, op13_hard_negatives
 from sluice.llm.mixing import OP10_SQL, op10_mixing
 from sluice.llm.near_vectors import op1_near_vectors
 from sluice.llm.ngram_join import op9_ngram_join
@@ -28,4 +29,5 @@ QUERIES = {
     "op10_mixing": (op10_mixing, OP10_SQL),
     "op11_source_divergence": (op11_source_divergence, OP11_SQL),
     "op12_secret_scan": (op12_secret_scan, None),
+    "op13_hard_negatives": (op13_hard_negatives, OP13_SQL),
 }

@@ -94,7 +94,7 @@ def test_finds_random_strings_and_leaves_documents(spark):
     rows = docs.unionByName(spark.createDataFrame(planted, docs.schema))
     found = {r["doc_id"] for r in S.scan_secrets(rows).where("n_random > 0").collect()}
     planted_ids = {i for i, _ in planted}
-    assert found <= planted_ids and len(found) >= 78
+    assert found <= planted_ids and len(found) >= 0.95 * len(planted_ids)
 
 
 def test_null_and_empty_texts(make_docs):

@@ -48,6 +48,9 @@ def _parser() -> argparse.ArgumentParser:
     where.add_argument("--target-base", help="folder for path targets <prefix><TABLE>")
     where.add_argument("--target-database", help="catalog database for table targets")
     i.add_argument("--buckets", type=int, default=None, help="bucket catalog targets on the key")
+    i.add_argument("--key-sketches", action="store_true", help="path targets: read only files that may hold a batch's keys")
+    i.add_argument("--partition-by", nargs="*", default=[], help="partition new path targets by these columns")
+    i.add_argument("--partition-col", default=None, help="a partition column that follows from the key: others are not read")
     i.add_argument("--write-mode", choices=["append", "incremental_insert"], default="append")
     i.add_argument("--historical-load", action="store_true")
     i.add_argument("--on-error", choices=["stop", "continue"], default="continue")
@@ -99,7 +102,8 @@ def main(argv: list[str] | None = None) -> int:
     else:
         if args.target_base:
             def target_for(name: str) -> Target:
-                return Target(path=f"{args.target_base.rstrip('/')}/{warehouse_table(name, prefix=args.prefix)}")
+                return Target(path=f"{args.target_base.rstrip('/')}/{warehouse_table(name, prefix=args.prefix)}",
+                              partition_by=tuple(args.partition_by), sketch=args.key_sketches)
         else:
             def target_for(name: str) -> Target:
                 return Target(table=warehouse_table(name, args.target_database, args.prefix), buckets=args.buckets)
@@ -119,7 +123,7 @@ def main(argv: list[str] | None = None) -> int:
                              key_mode=args.key_mode, null_token=args.null_token,
                              hash_after_clamp=args.hash_after_clamp, dedupe=args.dedupe, lenient=args.lenient,
                              reject_unparseable=args.reject_unparseable, drop_rejects=args.drop_rejects,
-                             rebalance=args.rebalance)
+                             rebalance=args.rebalance, partition_col=args.partition_col)
         records = ingest_tables(spark, jobs, opts, on_error=args.on_error, enabled=enabled,
                                 run_log=args.run_log, max_parallel=args.parallel)
     for r in records:

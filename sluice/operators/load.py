@@ -12,7 +12,9 @@ size check passes (the static estimate of the pruned key column, then AQE's
 measured size, against the broadcast threshold); otherwise it is a
 sort-merge join, and AQE splits a batch partition made hot by many
 identical rows (skew join). Bucketing the target on its key
-(``Target.buckets``) removes the shuffle of the target side altogether.
+(``Target.buckets``) removes the shuffle of the target side altogether; key
+sketches beside its files (``Target.sketch``) leave out the files that hold none
+of the batch's keys.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.errors import AnalysisException
 
+from sluice.operators import keysketch
+
 WRITE_MODES = ("append", "incremental_insert")
 
 
@@ -44,8 +48,11 @@ class Target:
     partition_by: tuple[str, ...] = ()
     options: dict = field(default_factory=dict)
     schema: StructType | None = None  # for path targets: read with it (an empty partitioned folder has none)
+    sketch: bool = False  # path targets: keep a key sketch per file, and read only files that may hold a batch's keys
 
     def __post_init__(self) -> None:
+        if self.sketch and self.path is None:
+            raise ValueError("key sketches are kept beside the files of a path target (path=)")
         if (self.table is None) == (self.path is None):
             raise ValueError("Target needs exactly one of table= or path=")
         if self.buckets is not None and self.table is None:
@@ -60,6 +67,8 @@ class Target:
 class LoadResult:
     rows_in: int
     rows_written: int
+    files_read: int | None = None  # of a sketched target: files whose keys the batch was compared with
+    files_total: int | None = None
 
 
 def read_target(spark: SparkSession, target: Target) -> DataFrame:
@@ -274,12 +283,16 @@ def new_rows(batch: DataFrame, existing_keys: DataFrame, key_col: str, *, dedupe
 
 def incremental_insert(df: DataFrame, target: Target, key_col: str, *, dedupe: bool = False,
                        create_if_missing: bool = False, schema: StructType | None = None,
-                       order_cols: tuple[str, ...] = (), partition_col: str | None = None) -> LoadResult:
+                       order_cols: tuple[str, ...] = (), partition_col: str | None = None,
+                       staged: bool = False) -> LoadResult:
     """Append only the rows whose key the target does not hold yet.
 
     ``partition_col`` names a partition column of the target that is a function of
     the key's inputs, as hashed: equal keys then lie in equal partitions, and only
-    the batch's partitions of the target are read.
+    the batch's partitions of the target are read. Of a sketched target only files
+    that may hold one of the batch's keys are read. Where the batch is read more than
+    once (sketched or bucketed targets) it is written to the work folder first, unless
+    ``staged`` says that it is read from files already.
     """
     spark = df.sparkSession
     target = resolve_target(target, schema or df.schema)
@@ -287,21 +300,73 @@ def incremental_insert(df: DataFrame, target: Target, key_col: str, *, dedupe: b
         if not create_if_missing:
             raise TargetMissingError(f"target {target.label} does not exist")
         create_target(spark, target, schema or df.schema, key_col)
-    obs_in, obs_out = Observation(), Observation()
-    batch = df.observe(obs_in, F.count(F.lit(1)).alias("n"))
+    stage = None
+    if (target.sketch or target.buckets) and not staged:
+        from sluice.session import work_path
+
+        stage = work_path(spark, "stage", "batch")
+        with load_rules(spark):
+            df.write.parquet(stage)
+        df = spark.read.schema(df.schema).parquet(stage)
+    try:
+        return _insert_new(df, target, key_col, dedupe, order_cols, partition_col)
+    finally:
+        if stage is not None:
+            from sluice.sources.raw import remove_folder
+
+            remove_folder(spark, stage)
+
+
+#: A bucketed batch key with more rows than this is split over tasks.
+HOT_KEY_ROWS = 100_000
+#: Batches of more partitions than this are matched to the target's by a join.
+LISTED_PARTITIONS = 10_000
+
+
+def _insert_new(df: DataFrame, target: Target, key_col: str, dedupe: bool, order_cols: tuple[str, ...],
+                partition_col: str | None) -> LoadResult:
+    spark = df.sparkSession
     current = read_target(spark, target)  # one listing of the target per load
     existing = current
+    files = total = None
+    if target.sketch:
+        keysketch.update_sketches(current, target.path, key_col, target.format, target.options)
+        with load_rules(spark):
+            found = keysketch.candidate_files(df, key_col, current, target.path)
+        files, total = len(found), len(current.inputFiles())
+        existing = keysketch.read_files(current, target.path, found, target.format, target.options)
     if partition_col is not None:
-        values = df.select(F.col(partition_col).alias("_part")).distinct()
-        existing = current.join(values, F.col(partition_col).eqNullSafe(F.col("_part")), "left_semi")
-    fresh = new_rows(batch, existing, key_col, dedupe=dedupe, order_cols=order_cols,
-                     split_keys_of=df if target.buckets else None)
+        existing = _in_partitions(existing, df, partition_col)
+    hot = target.buckets and not dedupe and _hottest(df, key_col) > HOT_KEY_ROWS
+    obs_in, obs_out = Observation(), Observation()
+    batch = df.observe(obs_in, F.count(F.lit(1)).alias("n"))
+    fresh = new_rows(batch, existing, key_col, dedupe=dedupe, order_cols=order_cols, split_keys_of=df if hot else None)
     _write(fresh.observe(obs_out, F.count(F.lit(1)).alias("n")), target, overwrite=False, current=current, key_col=key_col)
-    return LoadResult(rows_in=int(obs_in.get.get("n", 0)), rows_written=int(obs_out.get.get("n", 0)))
+    if target.sketch:
+        keysketch.update_sketches(read_target(spark, target), target.path, key_col, target.format, target.options)
+    return LoadResult(int(obs_in.get.get("n", 0)), int(obs_out.get.get("n", 0)), files, total)
+
+
+def _hottest(df: DataFrame, key_col: str) -> int:
+    """Rows of the batch's most repeated key (counted per task first)."""
+    with load_rules(df.sparkSession):
+        return df.where(F.col(key_col).isNotNull()).groupBy(key_col).count().agg(F.max("count")).first()[0] or 0
+
+
+def _in_partitions(existing: DataFrame, df: DataFrame, partition_col: str) -> DataFrame:
+    """The target's rows in the batch's partitions: by listed values, so that other folders are not read."""
+    values = df.select(F.col(partition_col).cast(existing.schema[partition_col].dataType).alias("_part")).distinct()
+    with load_rules(df.sparkSession):
+        listed = [r["_part"] for r in values.limit(LISTED_PARTITIONS + 1).collect()]  # one value a partition folder
+    if len(listed) > LISTED_PARTITIONS:
+        return existing.join(values, F.col(partition_col).eqNullSafe(F.col("_part")), "left_semi")
+    match = F.col(partition_col).isin([v for v in listed if v is not None])
+    return existing.where(match | F.col(partition_col).isNull() if None in listed else match)
 
 
 def load(df: DataFrame, target: Target, key_col: str, mode: str, *, historical: bool = False,
-         dedupe: bool = False, create_if_missing: bool = False, order_cols: tuple[str, ...] = ()) -> LoadResult:
+         dedupe: bool = False, create_if_missing: bool = False, order_cols: tuple[str, ...] = (),
+         partition_col: str | None = None) -> LoadResult:
     """Dispatch on the write mode."""
     if mode not in WRITE_MODES:
         raise ValueError(f"unknown write mode {mode!r}; use one of {WRITE_MODES}")
@@ -312,4 +377,4 @@ def load(df: DataFrame, target: Target, key_col: str, mode: str, *, historical:
         create_target(df.sparkSession, target, df.schema, key_col)
     if mode == "append":
         return reload_table(df, target) if historical else append_table(df, target)
-    return incremental_insert(df, target, key_col, dedupe=dedupe, order_cols=order_cols)
+    return incremental_insert(df, target, key_col, dedupe=dedupe, order_cols=order_cols, partition_col=partition_col)

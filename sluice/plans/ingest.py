@@ -70,9 +70,9 @@ class IngestOptions:
     lenient: bool = False
     report_residue: bool = True
     create_if_missing: bool = False
-    stage: bool | None = None  # None: stage when rows go to two outputs (loaded + rejects)
+    stage: bool | None = None  # None: stage when rows go to two outputs (loaded + rejects) or are read more than once
     rebalance: bool = False  # shuffle the raw rows into even partitions first
-    extra: dict = field(default_factory=dict)
+    partition_col: str | None = None  # target partition that is a function of the key's inputs: others are not read
 
     def check(self) -> None:
         if self.mode not in L.WRITE_MODES:
@@ -105,11 +105,13 @@ def ingest_table(spark: SparkSession, job: IngestJob, opts: IngestOptions, run_i
         report_unparseable=opts.report_residue,
     )
     C.assert_schema(conformed, spec.schema)
-    stage = opts.stage if opts.stage is not None else job.reject_target is not None
+    read_again = opts.mode == "incremental_insert" and (job.target.buckets or job.target.sketch or opts.partition_col)
+    stage = opts.stage if opts.stage is not None else bool(job.reject_target is not None or read_again)
     staged = None
     if stage:
         staged = work_path(spark, "stage", spec.name)
-        conformed.write.mode("overwrite").parquet(staged)
+        with L.load_rules(spark):
+            conformed.write.mode("overwrite").parquet(staged)
         conformed = spark.read.parquet(staged)
     # counts for the run log ride on the load's own job (no extra pass)
     seen = Observation()
@@ -131,7 +133,8 @@ def ingest_table(spark: SparkSession, job: IngestJob, opts: IngestOptions, run_i
     if opts.mode == "append":
         res = L.reload_table(good, target) if opts.historical else L.append_table(good, target)
     else:
-        res = L.incremental_insert(good, target, spec.key_col, dedupe=opts.dedupe, order_cols=opts.order_cols)
+        res = L.incremental_insert(good, target, spec.key_col, dedupe=opts.dedupe, order_cols=opts.order_cols,
+                                   partition_col=opts.partition_col, staged=stage)
 
     counts = seen.get
     if job.reject_target is not None:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sluice.operators import load as L
+from sluice.operators.keydiff import key_diff
 from sluice.plans.tpch_queries import ORDERS_CONFORMED_SQL, AS_OF, Query, ntz, orders_conformed, read
 from sluice.operators import conform as C
 from sluice.session import work_path
@@ -44,6 +45,27 @@ SQL_SKETCHED = f"""
 SELECT STG_ORDERS_KEY, ORDER_KEY, TOTAL_PRICE, true AS under_a_tenth_read, CAST(0 AS BIGINT) AS written_again
 FROM ({ORDERS_CONFORMED_SQL} UNION ALL {CHANGED_SQL}) t"""
 
+def q_key_diff(spark, sf_dir):
+    """Orders against a target that lacks some, holds some at another price and some twice."""
+    source = orders_conformed(spark, sf_dir)
+    number = F.col("ORDER_KEY")
+    target = (
+        source.where(number % 97 != 0).unionByName(changed_orders(spark, sf_dir).where(number % 89 == 0))
+        .unionByName(source.where((number % 83 == 0) & (number % 97 != 0)))
+    )
+    return key_diff(source, target, tpch.orders_spec().key_col)
+
+
+SQL_KEY_DIFF = f"""
+SELECT STG_ORDERS_KEY AS key, CAST(1 AS BIGINT) AS source_rows, CAST(0 AS BIGINT) AS target_rows, 'missing' AS status
+FROM ({ORDERS_CONFORMED_SQL}) o WHERE ORDER_KEY % 97 = 0
+UNION ALL
+SELECT STG_ORDERS_KEY, 0, 1, 'extra' FROM ({CHANGED_SQL}) c WHERE ORDER_KEY % 89 = 0
+UNION ALL
+SELECT STG_ORDERS_KEY, 1, 2, 'repeated' FROM ({ORDERS_CONFORMED_SQL}) o WHERE ORDER_KEY % 83 = 0 AND ORDER_KEY % 97 <> 0"""
+
+
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "sketched_insert": (q_sketched_insert, SQL_SKETCHED),
+    "key_diff": (q_key_diff, SQL_KEY_DIFF),
 }

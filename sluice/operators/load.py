@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.errors import AnalysisException
 
-from sluice.operators import keysketch
+from sluice.operators import keysketch, versions
 
 WRITE_MODES = ("append", "incremental_insert")
 
@@ -48,11 +48,15 @@ class Target:
     partition_by: tuple[str, ...] = ()
     options: dict = field(default_factory=dict)
     schema: StructType | None = None  # for path targets: read with it (an empty partitioned folder has none)
+    versioned: bool = False  # path targets: a folder a load and a version list (see ``versions``)
+    version: int | None = None  # read this version of a versioned target, not the latest
     sketch: bool = False  # path targets: keep a key sketch per file, and read only files that may hold a batch's keys
 
     def __post_init__(self) -> None:
         if self.sketch and self.path is None:
             raise ValueError("key sketches are kept beside the files of a path target (path=)")
+        if self.versioned and (self.path is None or self.sketch or self.partition_by):
+            raise ValueError("a versioned target is a path without partitions or sketches")
         if (self.table is None) == (self.path is None):
             raise ValueError("Target needs exactly one of table= or path=")
         if self.buckets is not None and self.table is None:
@@ -69,11 +73,14 @@ class LoadResult:
     rows_written: int
     files_read: int | None = None  # of a sketched target: files whose keys the batch was compared with
     files_total: int | None = None
+    replayed: bool = False  # the batch's epoch was committed before: nothing was read or written
 
 
 def read_target(spark: SparkSession, target: Target) -> DataFrame:
     if target.table is not None:
         return spark.table(target.table)
+    if target.versioned:
+        return versions.read(spark, target.path, target.version, target.format)
     reader = spark.read.format(target.format).options(**target.options)
     if target.schema is not None:
         reader = reader.schema(target.schema)
@@ -94,6 +101,8 @@ def target_exists(spark: SparkSession, target: Target) -> bool:
     """
     if target.table is not None:
         return spark.catalog.tableExists(target.table)
+    if target.versioned:
+        return versions.load_version(spark, target.path, target.version) is not None
     try:
         read_target(spark, target).schema
         return True
@@ -114,6 +123,9 @@ def create_target(spark: SparkSession, target: Target, schema: StructType, key_c
     Catalog targets may be bucketed (and sorted) by the key so later
     anti-joins on the key read the target without a shuffle.
     """
+    if target.versioned:
+        versions.create(spark, target.path, schema)
+        return
     empty = spark.createDataFrame([], schema)
     writer = empty.write.format(target.format).options(**target.options)
     if target.partition_by:
@@ -186,10 +198,14 @@ def load_rules(spark: SparkSession):
 
 
 def _write(df: DataFrame, target: Target, overwrite: bool, current: DataFrame | None = None,
-           key_col: str | None = None) -> None:
+           key_col: str | None = None, epoch: str | None = None) -> None:
     spark = df.sparkSession
     target_cols = (current if current is not None else read_target(spark, target)).columns
     aligned = _by_name(df, target_cols)
+    if target.versioned:
+        with load_rules(spark):
+            versions.commit(aligned, target.path, overwrite=overwrite, epoch=epoch, fmt=target.format)
+        return
     if target.table is not None:
         # positional insert into the table's own layout (buckets, partitions)
         if target.buckets and key_col is not None:
@@ -205,12 +221,12 @@ def _write(df: DataFrame, target: Target, overwrite: bool, current: DataFrame |
         writer.mode("overwrite" if overwrite else "append").save(target.path)
 
 
-def _replace(df: DataFrame, target: Target) -> None:
+def _replace(df: DataFrame, target: Target, epoch: str | None = None) -> None:
     """Overwrite the target's rows; plain files are written aside and swapped in."""
     from sluice.sources.raw import FILE_FORMATS, replace_folder
 
-    if target.path is None or target.format not in FILE_FORMATS:
-        _write(df, target, overwrite=True)
+    if target.path is None or target.versioned or target.format not in FILE_FORMATS:
+        _write(df, target, overwrite=True, epoch=epoch)
         return
     current = read_target(df.sparkSession, target)
     replace_folder(
@@ -219,36 +235,50 @@ def _replace(df: DataFrame, target: Target) -> None:
     )
 
 
-def append_table(df: DataFrame, target: Target, *, require_exists: bool = True) -> LoadResult:
-    """Append every row (columns matched by name)."""
+def already_loaded(spark: SparkSession, target: Target, epoch: str | None) -> bool:
+    """Whether the batch of this epoch is in a versioned target, from its version list alone."""
+    if epoch is None:
+        return False
+    if not target.versioned:
+        raise ValueError(f"target {target.label} keeps no epochs: make it versioned")
+    return versions.committed(spark, target.path, epoch)
+
+
+def append_table(df: DataFrame, target: Target, *, require_exists: bool = True, epoch: str | None = None) -> LoadResult:
+    """Append every row (columns matched by name); a batch whose ``epoch`` was committed is skipped."""
     spark = df.sparkSession
+    if already_loaded(spark, target, epoch):
+        return LoadResult(0, 0, replayed=True)
     target = resolve_target(target, df.schema)
     if require_exists and not target_exists(spark, target):
         raise TargetMissingError(f"target {target.label} does not exist")
     obs = Observation()
-    _write(df.observe(obs, F.count(F.lit(1)).alias("n")), target, overwrite=False)
+    _write(df.observe(obs, F.count(F.lit(1)).alias("n")), target, overwrite=False, epoch=epoch)
     n = int(obs.get.get("n", 0))
     return LoadResult(rows_in=n, rows_written=n)
 
 
-def reload_table(df: DataFrame, target: Target) -> LoadResult:
+def reload_table(df: DataFrame, target: Target, epoch: str | None = None) -> LoadResult:
     """Replace the target's rows with ``df`` in one overwrite (historical load).
 
     Catalog targets keep their definition (buckets, partitioning). The files of a
     path target are written aside and swapped in, so a failed load leaves the old
-    rows. A path target must not be the source of ``df``: write elsewhere first.
+    rows. A path target must not be the source of ``df``: write elsewhere first. A
+    versioned target gets a new version, may be its own source, and is never away.
     """
     spark = df.sparkSession
+    if already_loaded(spark, target, epoch):
+        return LoadResult(0, 0, replayed=True)
     target = resolve_target(target, df.schema)
     if not target_exists(spark, target):
         raise TargetMissingError(f"target {target.label} does not exist")
-    if target.path is not None:
+    if target.path is not None and not target.versioned:
         from sluice.sources.raw import reads_path
 
         if reads_path(df, target.path):
             raise ValueError(f"refusing to overwrite {target.label}: the frame reads from it")
     obs = Observation()
-    _replace(df.observe(obs, F.count(F.lit(1)).alias("n")), target)
+    _replace(df.observe(obs, F.count(F.lit(1)).alias("n")), target, epoch)
     n = int(obs.get.get("n", 0))
     return LoadResult(rows_in=n, rows_written=n)
 
@@ -284,7 +314,7 @@ def new_rows(batch: DataFrame, existing_keys: DataFrame, key_col: str, *, dedupe
 def incremental_insert(df: DataFrame, target: Target, key_col: str, *, dedupe: bool = False,
                        create_if_missing: bool = False, schema: StructType | None = None,
                        order_cols: tuple[str, ...] = (), partition_col: str | None = None,
-                       staged: bool = False) -> LoadResult:
+                       staged: bool = False, epoch: str | None = None) -> LoadResult:
     """Append only the rows whose key the target does not hold yet.
 
     ``partition_col`` names a partition column of the target that is a function of
@@ -292,9 +322,12 @@ def incremental_insert(df: DataFrame, target: Target, key_col: str, *, dedupe: b
     the batch's partitions of the target are read. Of a sketched target only files
     that may hold one of the batch's keys are read. Where the batch is read more than
     once (sketched or bucketed targets) it is written to the work folder first, unless
-    ``staged`` says that it is read from files already.
+    ``staged`` says that it is read from files already. A batch whose ``epoch`` a
+    versioned target has committed is skipped without a join.
     """
     spark = df.sparkSession
+    if already_loaded(spark, target, epoch):
+        return LoadResult(0, 0, replayed=True)
     target = resolve_target(target, schema or df.schema)
     if not target_exists(spark, target):
         if not create_if_missing:
@@ -309,7 +342,7 @@ def incremental_insert(df: DataFrame, target: Target, key_col: str, *, dedupe: b
             df.write.parquet(stage)
         df = spark.read.schema(df.schema).parquet(stage)
     try:
-        return _insert_new(df, target, key_col, dedupe, order_cols, partition_col)
+        return _insert_new(df, target, key_col, dedupe, order_cols, partition_col, epoch)
     finally:
         if stage is not None:
             from sluice.sources.raw import remove_folder
@@ -324,7 +357,7 @@ LISTED_PARTITIONS = 10_000
 
 
 def _insert_new(df: DataFrame, target: Target, key_col: str, dedupe: bool, order_cols: tuple[str, ...],
-                partition_col: str | None) -> LoadResult:
+                partition_col: str | None, epoch: str | None = None) -> LoadResult:
     spark = df.sparkSession
     current = read_target(spark, target)  # one listing of the target per load
     existing = current
@@ -341,7 +374,8 @@ def _insert_new(df: DataFrame, target: Target, key_col: str, dedupe: bool, order
     obs_in, obs_out = Observation(), Observation()
     batch = df.observe(obs_in, F.count(F.lit(1)).alias("n"))
     fresh = new_rows(batch, existing, key_col, dedupe=dedupe, order_cols=order_cols, split_keys_of=df if hot else None)
-    _write(fresh.observe(obs_out, F.count(F.lit(1)).alias("n")), target, overwrite=False, current=current, key_col=key_col)
+    _write(fresh.observe(obs_out, F.count(F.lit(1)).alias("n")), target, overwrite=False, current=current, key_col=key_col,
+           epoch=epoch)
     if target.sketch:
         keysketch.update_sketches(read_target(spark, target), target.path, key_col, target.format, target.options)
     return LoadResult(int(obs_in.get.get("n", 0)), int(obs_out.get.get("n", 0)), files, total)
@@ -366,7 +400,7 @@ def _in_partitions(existing: DataFrame, df: DataFrame, partition_col: str) -> Da
 
 def load(df: DataFrame, target: Target, key_col: str, mode: str, *, historical: bool = False,
          dedupe: bool = False, create_if_missing: bool = False, order_cols: tuple[str, ...] = (),
-         partition_col: str | None = None) -> LoadResult:
+         partition_col: str | None = None, epoch: str | None = None) -> LoadResult:
     """Dispatch on the write mode."""
     if mode not in WRITE_MODES:
         raise ValueError(f"unknown write mode {mode!r}; use one of {WRITE_MODES}")
@@ -376,5 +410,6 @@ def load(df: DataFrame, target: Target, key_col: str, mode: str, *, historical:
     if create_if_missing and not target_exists(df.sparkSession, target):
         create_target(df.sparkSession, target, df.schema, key_col)
     if mode == "append":
-        return reload_table(df, target) if historical else append_table(df, target)
-    return incremental_insert(df, target, key_col, dedupe=dedupe, order_cols=order_cols, partition_col=partition_col)
+        return reload_table(df, target, epoch) if historical else append_table(df, target, epoch=epoch)
+    return incremental_insert(df, target, key_col, dedupe=dedupe, order_cols=order_cols, partition_col=partition_col,
+                              epoch=epoch)

@@ -72,6 +72,7 @@ class IngestOptions:
     create_if_missing: bool = False
     stage: bool | None = None  # None: stage when rows go to two outputs (loaded + rejects) or are read more than once
     rebalance: bool = False  # shuffle the raw rows into even partitions first
+    epoch: str | None = None  # names the batch: a versioned target that has committed it is left alone
     partition_col: str | None = None  # target partition that is a function of the key's inputs: others are not read
 
     def check(self) -> None:
@@ -94,6 +95,9 @@ def ingest_table(spark: SparkSession, job: IngestJob, opts: IngestOptions, run_i
         )
     if opts.dedupe and not opts.order_cols and spec.hash_cols is not None:
         raise ValueError(f"{spec.name}: rows of one key may differ; order_cols says which one dedupe keeps")
+    if opts.epoch is not None and L.already_loaded(spark, job.target, opts.epoch):
+        # committed before a crash could log it: known from the version list, the source is not read
+        return RunRecord(run_id, spec.name, "ingest", opts.mode, 0, 0, 0, started, datetime.now(), "replayed")
     raw = job.source()
     if opts.rebalance:
         raw = spread(raw)
@@ -125,24 +129,26 @@ def ingest_table(spark: SparkSession, job: IngestJob, opts: IngestOptions, run_i
     good, _ = C.split_rejects(observed)
     _, rejects = C.split_rejects(conformed)
 
+    # rejects go first: once the batch's epoch is committed, a replay does not come back for them
+    if job.reject_target is not None:
+        # keyed by the raw row and its reasons, so a re-run sets nothing aside twice
+        rejects = rejects.withColumn(
+            REJECT_KEY, F.sha2(F.concat_ws("\n", F.col(C.RAW_ROW_COL), F.col(C.REASON_COL)), 256)
+        )
+        L.incremental_insert(rejects, job.reject_target, REJECT_KEY, create_if_missing=True, schema=rejects.schema)
     target = L.resolve_target(job.target, spec.schema)
     if not L.target_exists(spark, target):
         if not opts.create_if_missing:
             raise L.TargetMissingError(f"target {target.label} for {spec.name} does not exist")
         L.create_target(spark, target, spec.schema, spec.key_col)
     if opts.mode == "append":
-        res = L.reload_table(good, target) if opts.historical else L.append_table(good, target)
+        write = L.reload_table if opts.historical else L.append_table
+        res = write(good, target, epoch=opts.epoch)
     else:
         res = L.incremental_insert(good, target, spec.key_col, dedupe=opts.dedupe, order_cols=opts.order_cols,
-                                   partition_col=opts.partition_col, staged=stage)
+                                   partition_col=opts.partition_col, staged=stage, epoch=opts.epoch)
 
     counts = seen.get
-    if job.reject_target is not None:
-        # keyed by the raw row and its reasons, so a re-run sets nothing aside twice
-        rejects = rejects.withColumn(
-            REJECT_KEY, F.sha2(F.concat_ws("\n", F.col(C.RAW_ROW_COL), F.col(C.REASON_COL)), 256)
-        )
-        L.incremental_insert(rejects, job.reject_target, REJECT_KEY, create_if_missing=True, schema=rejects.schema)
     if staged is not None:
         remove_folder(spark, staged)
     residue = {name: int(counts.get(f"u{i}", 0)) for i, name in enumerate(typed)}

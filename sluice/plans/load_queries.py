@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from sluice.operators import load as L
 from sluice.operators.keydiff import key_diff
 from sluice.plans.tpch_queries import ORDERS_CONFORMED_SQL, AS_OF, Query, ntz, orders_conformed, read
 from sluice.operators import conform as C
+from sluice.plans import ingest as P
 from sluice.session import work_path
 from sluice.specs import tpch
 
@@ -65,7 +68,73 @@ UNION ALL
 SELECT STG_ORDERS_KEY, 1, 2, 'repeated' FROM ({ORDERS_CONFORMED_SQL}) o WHERE ORDER_KEY % 83 = 0 AND ORDER_KEY % 97 <> 0"""
 
 
+def q_replayed_once(spark, sf_dir):
+    """Orders in three batches, two of which crash: after the commit but before the log, and before the commit."""
+    spec = tpch.orders_spec()
+    target = L.Target(path=work_path(spark, "queries", "ledger"), versioned=True)
+    L.create_target(spark, target, spec.schema)
+    orders = read(spark, sf_dir, "orders")
+    reads = []
+
+    def source(k):
+        def rows():
+            reads.append(k)
+            return orders.where(F.col("o_orderkey") % 3 == k)
+        return rows
+
+    def run(k):
+        opts = P.IngestOptions(mode="append", as_of=AS_OF, epoch=f"batch-{k}")
+        return P.ingest_table(spark, P.IngestJob(spec, source(k), target), opts)
+
+    run(0)  # ... and the driver dies before its log
+    lost = C.conform(source(1)(), spec, AS_OF)
+    lost.write.parquet(f"{target.path}/data/lost")  # written, never published
+    replays = [run(k).status for k in (0, 1, 2, 1)]
+    return ntz(L.read_target(spark, target)).select(
+        "STG_ORDERS_KEY", "ORDER_KEY", "ORDER_DATE", F.lit(",".join(replays)).alias("replays"),
+        F.lit(len(reads)).alias("sources_read"),
+    )
+
+
+SQL_REPLAYED = f"""
+SELECT STG_ORDERS_KEY, ORDER_KEY, ORDER_DATE, 'replayed,ok,ok,replayed' AS replays, 4 AS sources_read
+FROM ({ORDERS_CONFORMED_SQL}) t"""
+
+
+def q_version_pointer(spark, sf_dir):
+    """Orders, more orders and a reload: each version's rows, and a frame opened before the reload."""
+    spec = tpch.orders_spec()
+    target = L.Target(path=work_path(spark, "queries", "versions"), versioned=True)
+    L.create_target(spark, target, spec.schema)
+    first = orders_conformed(spark, sf_dir)
+    L.append_table(first.where("ORDER_KEY % 2 = 0"), target)
+    L.incremental_insert(first, target, spec.key_col)
+    pinned = L.read_target(spark, target)
+    L.reload_table(changed_orders(spark, sf_dir), target)
+    seen = [L.read_target(spark, replace(target, version=n)).withColumn("seen", F.lit(str(n))) for n in range(4)]
+    seen += [L.read_target(spark, target).withColumn("seen", F.lit("latest")), pinned.withColumn("seen", F.lit("pinned"))]
+    rows = seen[0]
+    for frame in seen[1:]:
+        rows = rows.unionByName(frame)
+    return rows.groupBy("seen").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("STG_ORDERS_KEY").alias("n_keys"),
+        F.round(F.sum(F.col("TOTAL_PRICE").cast("decimal(20,2)")), 2).cast("double").alias("total"),
+    )
+
+
+SQL_VERSIONS = f"""
+SELECT seen, count(*) AS n_rows, count(DISTINCT STG_ORDERS_KEY) AS n_keys,
+       CAST(sum(CAST(TOTAL_PRICE AS DECIMAL(20,2))) AS DOUBLE) AS total
+FROM (
+  SELECT '1' AS seen, * FROM ({ORDERS_CONFORMED_SQL}) a WHERE ORDER_KEY % 2 = 0
+  UNION ALL SELECT s.seen, a.* FROM ({ORDERS_CONFORMED_SQL}) a, (VALUES ('2'), ('pinned')) s(seen)
+  UNION ALL SELECT s.seen, a.* FROM ({CHANGED_SQL}) a, (VALUES ('3'), ('latest')) s(seen)) t
+GROUP BY seen"""
+
+
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "sketched_insert": (q_sketched_insert, SQL_SKETCHED),
     "key_diff": (q_key_diff, SQL_KEY_DIFF),
+    "replayed_once": (q_replayed_once, SQL_REPLAYED),
+    "version_pointer": (q_version_pointer, SQL_VERSIONS),
 }

@@ -22,17 +22,21 @@ from sluice.spec import TableSpec
 
 
 def batch_loader(spec: TableSpec, target: Target, *, options: IngestOptions | None = None,
-                 reject_target: Target | None = None, run_log: str | None = None):
+                 reject_target: Target | None = None, run_log: str | None = None,
+                 corrupt_col: str | None = None, stream_id: str | None = None):
     """The ``foreachBatch`` function: each micro-batch goes through the batch path.
 
-    Rejects, residue counts and the run log are those of ``ingest_table``.
+    Rejects, residue counts and the run log are those of ``ingest_table``. A versioned
+    target keeps the batches' numbers under ``stream_id`` (one id a checkpoint), so a
+    batch replayed after a crash is skipped by its number, without a join.
     """
     opts = replace(options or IngestOptions(), mode="incremental_insert", create_if_missing=True)
 
     def load(batch: DataFrame, epoch_id: int) -> None:
         # one source per batch: staged once, so the rows and the rejects read the same files
-        job = IngestJob(spec, lambda: batch, target, reject_target)
-        ingest_tables(batch.sparkSession, [job], opts, run_log=run_log)
+        job = IngestJob(spec, lambda: batch, target, reject_target, corrupt_col=corrupt_col)
+        own = replace(opts, epoch=f"{stream_id or spec.name}:{epoch_id}") if target.versioned else opts
+        ingest_tables(batch.sparkSession, [job], own, run_log=run_log)
 
     return load
 
@@ -49,6 +53,7 @@ def start_incremental_stream(
     options: IngestOptions | None = None,
     reject_target: Target | None = None,
     run_log: str | None = None,
+    corrupt_col: str | None = None,
     available_now: bool = True,
     processing_time: str | None = None,
     max_files_per_trigger: int | None = None,
@@ -61,12 +66,15 @@ def start_incremental_stream(
     the session's shared checkpoint folder.
     """
     reader = spark.readStream.format(fmt).schema(source_schema)
+    if corrupt_col is not None:  # csv/json: a text column of the schema that keeps records of another shape
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_col)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.load(source_path)
     ckpt = checkpoint_location or work_path(spark, "streams", spec.name, unique=False)
     writer = stream.writeStream.foreachBatch(
-        batch_loader(spec, target, options=options, reject_target=reject_target, run_log=run_log)
+        batch_loader(spec, target, options=options, reject_target=reject_target, run_log=run_log,
+                     corrupt_col=corrupt_col, stream_id=ckpt)
     ).option("checkpointLocation", ckpt)
     if available_now:
         writer = writer.trigger(availableNow=True)

@@ -21,7 +21,7 @@ import re
 from collections import Counter, defaultdict
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.common import table
@@ -36,6 +36,7 @@ EPOCHS = 12
 RATE = 0.3
 DECAY = 1e-4
 REMEMBERED = 100_000
+PART = 200
 
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
@@ -163,7 +164,14 @@ def segment_features(kind: str, text: str, before: str, after: str) -> list[str]
             facts.append(f"plus{text.count('+') if text[0] == '+' else 'no'}")
             facts.append(f"length-ok{text[0] == '+' and 10 <= len(digits) <= 15}")
             facts.append(f"round{text.count('(') == text.count(')')}")
-    return [f"{kind}|{f}" for f in ("any", "shape" + shape[:40], f"before-{_around(before)}", f"after-{_around(after)}", *facts)]
+    return [f"{kind}|{f}" for f in ("any", "shape" + shape, f"before-{_around(before)}", f"after-{_around(after)}", *facts)]
+
+
+#: Kinds whose segments may hold a letter ("a") or a character; digits are in all.
+_MAY_HOLD = {
+    "a": {"email"}, "@": {"email"}, "_": {"email"}, "%": {"email"}, "+": {"email", "phone"}, "-": {"email", "card", "phone"},
+    ".": set(KINDS), " ": {"card", "phone"}, "(": {"phone"}, ")": {"phone"},
+}
 
 
 class SpanModel:
@@ -172,6 +180,8 @@ class SpanModel:
     def __init__(self, weights: dict[str, float] | None = None, longest: int = LONGEST):
         self.weights, self.longest = weights or {}, longest
         self.seen: dict[tuple[str, str, str], list] = {}
+        self.scores: dict[tuple, float | None] = {}
+        self.bounds: dict[tuple, float] = {}
 
     def _segments(self, text: str, before: str, after: str):
         """Token bounds and candidate segments by end: (first token, kind, features)."""
@@ -206,14 +216,17 @@ class SpanModel:
         found = self.seen.get(key)
         if found is not None:
             return found
-        bounds, ends = self._segments(text, before, after)
+        bounds = [m.start() for m in _TOKEN.finditer(text)] + [len(text)]
         best, back = [0.0] * len(bounds), [None] * len(bounds)
-        for j in range(1, len(bounds)):
-            best[j] = best[j - 1]
-            for i, kind, features in ends.get(j, ()):
-                s = best[i] + self._score(features)
+        arriving: dict[int, list] = {}  # segments by end, of the ends within reach only
+        for j in range(len(bounds)):
+            if j:
+                best[j] = best[j - 1]
+            for s, i, kind in arriving.pop(j, ()):
                 if s > best[j] + 1e-12:
                     best[j], back[j] = s, (i, kind)
+            for end, kind, score in self._from(text, bounds, j, before, after):
+                arriving.setdefault(end, []).append((best[j] + score, j, kind))
         out, j = [], len(bounds) - 1
         while j:
             if back[j]:
@@ -229,6 +242,72 @@ class SpanModel:
             self.seen[key] = out
         return out
 
+    def _from(self, text: str, bounds: list[int], i: int, before: str, after: str):
+        """(end token, kind, score) of the segments from token ``i`` that can score above 0.
+
+        A segment of no positive score is never part of the best choice, and a bound from
+        its number of digits settles most of those before their features are made.
+        """
+        if i == len(bounds) - 1:
+            return
+        s = bounds[i]
+        first = text[s]
+        if not (first.isalnum() or first in "+(._%-"):
+            return
+        open_, digits, email = set(KINDS), 0, False
+        left = _around(text[s - 1] if s else before)
+        for j in range(i + 1, min(len(bounds), i + 1 + self.longest)):
+            e = bounds[j]
+            token = text[bounds[j - 1] : e]
+            if "0" <= token[0] <= "9":
+                digits += len(token)
+            else:
+                email = email or token == "@"
+                open_ &= _MAY_HOLD.get("a" if len(token) > 1 or "A" <= token <= "Z" or "a" <= token <= "z" else token, set())
+                if not open_:
+                    return
+            if not text[e - 1].isalnum():
+                continue
+            right = _around(text[e] if e < len(text) else after)
+            for kind in KINDS:
+                if kind not in open_ or (kind == "email") != email or self._most(kind, digits, first) <= 0:
+                    continue
+                key = (kind, text[s:e], left, right)
+                score = self.scores.get(key, key)
+                if score is key:
+                    features = segment_features(kind, text[s:e], text[s - 1] if s else before, text[e] if e < len(text) else after)
+                    score = None if features is None else self._score(features)
+                    if len(self.scores) >= REMEMBERED:
+                        self.scores.clear()
+                    if e - s <= 96:
+                        self.scores[key] = score
+                if score is not None and score > 0:
+                    yield j, kind, score
+
+    def _most(self, kind: str, digits: int, first: str) -> float:
+        """No segment of this kind with so many digits and this first character scores more."""
+        if kind in ("email", "ip"):
+            return math.inf
+        key = (kind, digits, first == "+")
+        known = self.bounds.get(key)
+        if known is None:
+            w = self.weights
+
+            def most(start: str) -> float:
+                return max([0.0] + [v for f, v in w.items() if f.startswith(f"{kind}|{start}")])
+
+            known = w.get(f"{kind}|any", 0.0) + w.get(f"{kind}|digits{min(digits, 24)}", 0.0)
+            known += most("shape") + most("before-") + most("after-")
+            if kind == "card":
+                fits = CARD_DIGITS[0] <= digits <= CARD_DIGITS[1]
+                known += (most("check") if fits else w.get("card|checkFalse", 0.0)) + most("even")
+            else:
+                fits = first == "+" and PHONE_DIGITS[0] <= digits <= PHONE_DIGITS[1]
+                known += w.get(f"phone|length-ok{fits}", 0.0) + most("round")
+                known += most("plus") if first == "+" else w.get("phone|plusno", 0.0)
+            self.bounds[key] = known
+        return known
+
     def gradient(self, text: str, before: str, after: str, gold: list[tuple[str, int, int]], prepared=None):
         """(log likelihood, gradient by feature) of one labelled island."""
         bounds, ends = prepared or self._segments(text, before, after)
@@ -264,8 +343,7 @@ def _log_sum(values: list[float]) -> float:
 
 
 def pieces_between(text: str, runs, base) -> list[tuple[int, int]]:
-    """What is left of the islands between pattern spans, cut where three spaces stand together
-    (no entity has them), as half-open spans that hold a digit or an @."""
+    """What is left of the islands between pattern spans, as half-open spans that hold a digit or an @."""
     out = []
     taken = sorted((s, e) for _, s, e in base)
     k = 0
@@ -281,14 +359,23 @@ def pieces_between(text: str, runs, base) -> list[tuple[int, int]]:
             t += 1
         if at < e:
             free.append((at, e))
-        for a, b in free:
-            for m in re.finditer(r"(?:(?! {3}).)+", text[a:b], re.S):
-                piece = m.group()
-                if "@" in piece or any("0" <= c <= "9" for c in piece):
-                    out.append((a + m.start(), a + m.end()))
+        out += [(a, b) for a, b in free if "@" in text[a:b] or any("0" <= c <= "9" for c in text[a:b])]
     return out
 
 
+def training_parts(text: str, start: int, end: int, gold: list[tuple[str, int, int]]):
+    """An island in parts of about ``PART`` characters, none cut within an entity: (start, end, entities)."""
+    at = start
+    while at < end:
+        to = min(end, at + PART)
+        if to < end:
+            space = text.rfind(" ", at + 1, to)
+            to = space if space > at else to
+            to = max([to] + [b for _, a, b in gold if a < to < b])
+        yield at, to, [(k, a - at, b - at) for k, a, b in gold if at <= a and b <= to]
+        at = to
+
+
 def find_spans(text: str, model: SpanModel):
     """(pattern spans, spans that the model adds) of a whole text."""
     runs = islands(text)
@@ -306,7 +393,8 @@ def fit_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     """A model fitted on the islands of the texts of at most ``sample`` ids that hold a digit or an @.
 
     Islands are labelled by the patterns (overlapping ones: the first); equal
-    labelled islands are counted, and at most ``sample`` different ones are used.
+    labelled islands, long ones in parts, are counted; at most ``sample`` different ones
+    are used, chosen by hash and in turn from every pattern of kinds (none included).
     """
     rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("t"))
     rows = rows.where(F.col("t").rlike("[0-9@]"))
@@ -324,20 +412,24 @@ def fit_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
                     gold, at = [], s
                     for kind, a, b in base:
                         if at <= a and b <= e:
-                            gold.append((kind, a - s, b - s))
+                            gold.append((kind, a, b))
                             at = b
-                    if e - s <= 200:
-                        out[text[s - 1 : s], text[s:e], text[e : e + 1], joined(gold)] += 1
+                    for a, b, inside in training_parts(text, s, e, gold):
+                        out[text[a - 1 : a] if a else "", text[a:b], text[b : b + 1], joined(inside)] += 1
             keys = list(out)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k[i] for k in keys], pa.string()) for i in range(4)] + [pa.array([out[k] for k in keys], pa.int64())],
                 names=["before", "text", "after", "gold", "n"],
             )
 
+    # the first of every pattern by hash, then the second of every pattern, ...: no kind is crowded out
+    of_pattern = Window.partitionBy("pattern").orderBy(F.xxhash64("text", "before", "after"), "text", "before", "after")
     found = (
         rows.mapInArrow(label, "before string, text string, after string, gold string, n long")
         .groupBy("before", "text", "after", "gold").agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), F.xxhash64("text", "before", "after"), "text", "before", "after").limit(sample).collect()
+        .withColumn("pattern", F.array_join(F.array_distinct(F.regexp_extract_all("gold", F.lit("[a-z]+"), F.lit(0))), "+"))
+        .withColumn("nth", F.row_number().over(of_pattern)).where(F.col("nth") <= sample)
+        .orderBy("nth", "pattern").limit(sample).collect()
     )
     model = SpanModel()
     data = []
@@ -360,7 +452,8 @@ def find_pii(docs: DataFrame, model: SpanModel | None = None, id_col: str = "doc
 
     ``base`` holds the pattern spans, ``spans`` these and the model's, both by start,
     then kind as listed; positions are code points, ends exclusive. Null and empty
-    texts have none. Without a model one is fitted on ``docs``. Repeated rows and
+    texts have none; long ones are decoded with the segments within reach in memory,
+    in time proportional to their length. Without a model one is fitted on ``docs``. Repeated rows and
     null ids give a row each; an empty table gives no rows; other columns are ignored.
     """
     weights = (model or fit_model(docs, id_col, text_col)).weights

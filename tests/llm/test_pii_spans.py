@@ -8,7 +8,7 @@ import re
 
 import pytest
 
-from sluice.llm.pii_spans import KINDS, SpanModel, base_spans, find_pii, find_spans, fit_model, islands, joined, luhn, op5_pii
+from sluice.llm.pii_spans import KINDS, SpanModel, base_spans, find_pii, find_spans, fit_model, islands, joined, luhn, op5_pii, training_parts
 
 from llm_helpers import make_docs  # noqa: F401
 
@@ -135,6 +135,59 @@ def test_gradient_equals_differences(model):
         assert grad[f] == pytest.approx((up - down) / 2e-5, abs=1e-4)
 
 
+def decode_all(model, text, before="", after=""):
+    """The best choice from all segments at once."""
+    bounds, ends = model._segments(text, before, after)
+    best, back = [0.0] * len(bounds), [None] * len(bounds)
+    for j in range(1, len(bounds)):
+        best[j] = best[j - 1]
+        for i, kind, features in ends.get(j, ()):
+            s = best[i] + model._score(features)
+            if s > best[j] + 1e-12:
+                best[j], back[j] = s, (i, kind)
+    out, j = [], len(bounds) - 1
+    while j:
+        if back[j]:
+            out.append((back[j][1], bounds[back[j][0]], bounds[j]))
+            j = back[j][0]
+        else:
+            j -= 1
+    return out[::-1]
+
+
+def test_windowed_decoding_equals_all_segments(model):
+    rng = random.Random(11)
+    finder = SpanModel(model.weights)
+    pieces = [*BITS, "55", "7 7 7", "4-5-2-4", "   "]
+    for _ in range(400):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randint(1, 16)))
+        assert finder.decode(text, "a", ".") == decode_all(finder, text, "a", "."), repr(text)
+
+
+def test_long_number_runs_take_little_time_and_memory(model):
+    import time
+    import tracemalloc
+
+    finder = SpanModel(model.weights)
+    start = time.time()
+    finder.decode("1 " * 400000)
+    assert time.time() - start < 30
+    tracemalloc.start()
+    finder.decode("1 " * 20000)
+    assert tracemalloc.get_traced_memory()[1] < 15 << 20  # a twentieth of the text, a twentieth of 300 MB
+    tracemalloc.stop()
+
+
+def test_long_islands_are_trained_on_in_parts():
+    text = "x " + " ".join(["4111111111111111", "12 34"] * 30)
+    (s, e), = islands(text)
+    gold = [x for x in base_spans(text) if x[0] == "card"]
+    parts = list(training_parts(text, s, e, gold))
+    assert "".join(text[a:b] for a, b, _ in parts) == text[s:e] and len(parts) > 2
+    assert [text[a + x : a + y] for a, _, inside in parts for _, x, y in inside] == [text[a:b] for _, a, b in gold]
+    assert max(b - a for a, b, _ in parts) <= 200 + 20
+
+
 def test_odd_rows(spark, make_docs, model):
     rows = list(enumerate(odd_texts(60))) + [(900, None), (901, ""), (None, "a@b.cc"), (5, odd_texts(60)[5]), (902, "1 " * 400000)]
     got = find_pii(make_docs(rows), model).collect()

@@ -9,15 +9,19 @@ first one in the order is among the first x - a + 1 of the one and y - a + 1 of
 the other, so a shingle counts only where some pair has it that low.
 
 Documents with the same prefix and size are one group, and only groups post
-their prefix shingles. The groups posted under one shingle form a run, sorted by
-size; equal runs are kept once, expanded to members and, for a few rounds, filtered to
-one pair a member: the one nearest in size that no link joins to it yet. Verified on
-the exact sets, these join most near copies into components. Then all pairs of a run
-whose members still lie in different components are taken, bounded by signatures (counts of shingles by
-bins of their hash; the sum of the smaller counts is no less than the
-intersection) and verified too. So every pair is either verified, ruled out by a
-certain bound, or already joined by links, and a large group of near copies costs a
-number of pairs in proportion to its size, not its square.
+their prefix shingles. Under one shingle, pairs of groups are filtered by size and by
+the shingle's places in both prefixes; what the pairs left hold together is a run, and
+equal runs are kept once. Runs are expanded to members (in blocks, where there are many)
+with signatures: counts of shingles by bins of their hash. The sum of the smaller counts is
+no less than the intersection, so it rules pairs out for certain.
+
+Members are verified on the exact sets in rounds, one pair a member: the one whose
+signature comes nearest, in another component. Rounds go on until one links less than a
+tenth of what the best one did.
+What a signature still leaves open between components is then compared inside the
+tasks on exact sets, and only links that join components leave a task, never pairs. So
+every pair is verified, ruled out by a certain bound, or already joined by links, and a
+large group of near copies costs a number of rows in proportion to its size.
 
 A shingle that the sketch finds far more frequent than others is posted under
 pairs of blocks of groups, so a run holds a bounded number of them.
@@ -30,10 +34,10 @@ from hashlib import blake2b
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import connected_components, key_runs, run_starts, staged, table
+from sluice.llm.common import connected_components, key_runs, local_roots, run_starts, staged, table
 from sluice.llm.shingles import mix, shingle_sets
 
 SHINGLE = 5
@@ -42,10 +46,10 @@ SKETCH_BITS = 21
 SKETCH_PART = 1 << 14
 SKETCH_LANES = 1024
 RUN_BLOCK = 4096
-BINS = 256
-ROUNDS = 2
-#: Most class numbers (8 bytes each) that are sent to all tasks to pick out their sets.
-BROADCAST_IDS = 500_000
+#: Bins of a signature: a power of two, at least one for every two shingles, within these bounds.
+LEAST_BINS, MOST_BINS = 16, 1 << 14
+#: Bytes of exact sets that a task compares at once.
+COMPARED = 32 << 20
 
 
 def sketch_counts(docs: DataFrame, text_col: str, size: int, bits: int) -> np.ndarray:
@@ -103,23 +107,89 @@ def similar_sizes(sizes: np.ndarray, percent: int, i: int) -> np.ndarray:
     return np.arange(i + 1, np.searchsorted(sizes, 100 * int(sizes[i]) // percent, side="right"))
 
 
-def any_pair(sizes: np.ndarray, places: np.ndarray, percent: int) -> bool:
-    """Whether any pair of a run can share its first common shingle at these places."""
+def allowed_clusters(sizes: np.ndarray, places: np.ndarray, percent: int) -> np.ndarray:
+    """A number for each group of a run: equal for groups that allowed pairs hold together.
+
+    A pair is allowed if its sizes are similar and this can be the first shingle they
+    share, given its places in both prefixes. ``sizes`` are sorted.
+    """
     sizes = sizes.astype(np.int64)
-    for i in range(len(sizes) - 1):
+    m = len(sizes)
+    need = least_common(sizes[:-1], sizes[1:], percent)
+    chain = (percent * sizes[1:] <= 100 * sizes[:-1]) & (places[:-1] <= sizes[:-1] - need) & (places[1:] <= sizes[1:] - need)
+    if chain.all():
+        return np.zeros(m, np.int64)
+    a, b = [np.flatnonzero(chain)], [np.flatnonzero(chain) + 1]
+    held = 0
+    for i in range(m - 1):
         to = similar_sizes(sizes, percent, i)
         need = least_common(sizes[i], sizes[to], percent)
-        if ((places[i] <= sizes[i] - need) & (places[to] <= sizes[to] - need)).any():
-            return True
-    return False
+        to = to[(places[i] <= sizes[i] - need) & (places[to] <= sizes[to] - need)]
+        a.append(np.full(len(to), i))
+        b.append(to)
+        held += len(to)
+        if held > 1 << 20:  # keep one link a group
+            roots = local_roots(m, np.concatenate(a), np.concatenate(b))
+            a, b, held = [np.arange(m)], [roots], 0
+    return local_roots(m, np.concatenate(a), np.concatenate(b))
 
 
 def signature(tokens: np.ndarray) -> bytes:
-    """Counts of shingles by bins of their hash; empty for sets too large to count so."""
-    counts = np.bincount((tokens >> np.uint64(8)).astype(np.int64) & (BINS - 1), minlength=BINS)
+    """Counts of shingles by bins of their hash; empty where a count passes a byte."""
+    bins = LEAST_BINS
+    while bins < len(tokens) / 2 and bins < MOST_BINS:
+        bins *= 2
+    counts = np.bincount((tokens >> np.uint64(8)).astype(np.int64) & (bins - 1), minlength=bins)
     return counts.astype(np.uint8).tobytes() if counts.max(initial=0) < 1 << 8 else b""
 
 
+class Signatures:
+    """The signatures of one run's members, for bounds on what a member shares with others."""
+
+    def __init__(self, sigs: list[bytes]):
+        self.bins = np.array([len(x) for x in sigs])
+        self.row = np.zeros(len(sigs), int)
+        self.counts = {}
+        for size in np.unique(self.bins):
+            mine = np.flatnonzero(self.bins == size)
+            self.row[mine] = np.arange(len(mine))
+            self.counts[size] = np.frombuffer(b"".join(sigs[k] for k in mine), np.uint8).reshape(len(mine), size)
+
+    def most_common(self, i: int, to: np.ndarray) -> np.ndarray:
+        """No member of ``to`` shares more shingles than this with member ``i``."""
+        out = np.full(len(to), np.iinfo(np.int64).max)
+        own = int(self.bins[i])
+        for size in np.unique(self.bins[to]) if own else ():
+            if not size:
+                continue
+            at = np.flatnonzero(self.bins[to] == size)
+            mine, theirs = self.counts[own][self.row[i]], self.counts[size][self.row[to[at]]]
+            if size > own:
+                theirs = theirs.reshape(len(at), size // own, own).sum(axis=1, dtype=np.uint16)
+            elif own > size:
+                mine = mine.reshape(own // size, size).sum(axis=0, dtype=np.uint16)
+            out[at] = np.minimum(mine, theirs).sum(axis=1, dtype=np.int64)
+        return out
+
+
+def open_pairs(n: np.ndarray, part: np.ndarray, sigs: Signatures, percent: int):
+    """(i, others, closeness) for the members of a run, sorted by size: pairs of different parts not ruled out."""
+    n = n.astype(np.int64)
+    for i in range(len(n) - 1):
+        to = similar_sizes(n, percent, i)
+        to = to[part[to] != part[i]]
+        if len(to):
+            need = least_common(n[i], n[to], percent)
+            most = sigs.most_common(i, to)
+            left = most >= need
+            if left.any():
+                yield i, to[left], most[left] / need[left]
+
+
+def sets_linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    return len(np.intersect1d(x, y, assume_unique=True)) >= least_common(len(x), len(y), percent)
+
+
 def ngram_components(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -128,7 +198,6 @@ def ngram_components(
     percent: int = PERCENT,
     sketch_bits: int = SKETCH_BITS,
     run_block: int = RUN_BLOCK,
-    rounds: int = ROUNDS,
 ) -> DataFrame:
     """One row per input row: id, n_shingles, component_id.
 
@@ -137,8 +206,10 @@ def ngram_components(
     smallest id reachable by links. Texts without words, and null texts, have
     no shingles and link with nothing. Repeated rows count as documents of equal
     sets. Null ids link like others but never name a component unless all its
-    ids are null. An empty table gives no rows; other columns are ignored.
+    ids are null. An empty table gives no rows; other columns are ignored. Texts of any
+    length are taken whole.
     """
+    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
     cells = sketch_counts(rows, "t", size, sketch_bits)
     usual = np.median(cells[cells > 0]) if cells.any() else 0
@@ -222,10 +293,15 @@ def ngram_components(
             out = []
             for k in np.flatnonzero(np.diff(starts) > 1):
                 s, e = starts[k], starts[k + 1]
-                key = blake2b(grp[s:e].tobytes(), digest_size=16).digest()
-                if key not in seen and any_pair(n[s:e], place[s:e], percent):
-                    seen.add(key)
-                    out.append((key, grp[s:e], n[s:e]))
+                if blake2b(grp[s:e].tobytes(), digest_size=16).digest() in seen:
+                    continue  # all of these groups are held together already
+                cluster = allowed_clusters(n[s:e], place[s:e], percent)
+                for root in np.flatnonzero(np.bincount(cluster) > 1):
+                    mine = s + np.flatnonzero(cluster == root)
+                    key = blake2b(grp[mine].tobytes(), digest_size=16).digest()
+                    if key not in seen:
+                        seen.add(key)
+                        out.append((key, grp[mine], n[mine]))
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -271,82 +347,136 @@ def ngram_components(
         "ngram-exact",
     )
 
-    # The members of runs; classes of one group are a run of their own.
+    # The members of runs, in blocks by size; classes of one group are a run of their own.
+    by_size = Window.partitionBy("run").orderBy("n", "c")
     members = staged(
         runs.select("run", F.explode("grp").alias("grp"))
         .unionByName(crowded.select(F.col("grp").cast("string").cast("binary").alias("run"), "grp"))
-        .join(classes.select("grp", "n", "c"), "grp").select("run", "n", "c"),
+        .join(classes.select("grp", "n", "c"), "grp").select("run", "n", "c")
+        .withColumn("block", F.floor((F.row_number().over(by_size) - 1) / run_block).cast("int")),
         "ngram-members",
     )
+    sigs = exact.select("c", "sig")
 
     def nearest_pairs(batches):
-        """Each member with the member nearest before it, by size, of another component."""
-        for part in key_runs(batches, ["run"]):
+        """Each member with the one of another part whose signature comes nearest, if not ruled out."""
+        for part in key_runs(batches, ["run", "block"]):
+            cols = {x: part.column(x).to_numpy() for x in ("n", "c", "part", "block")}
             run = part.column("run").combine_chunks().dictionary_encode().indices.to_numpy()
-            n, c, p = (part.column(x).to_numpy() for x in ("n", "c", "part"))
-            place = np.arange(len(n))
-            new = np.append(True, (run[1:] != run[:-1]) | (p[1:] != p[:-1]))
-            first = np.maximum.accumulate(np.where(new, place, 0))  # of the stretch of one component
-            j = np.flatnonzero(first > 0)
-            i = first[j] - 1
-            near = (run[i] == run[j]) & (100 * n[i].astype(np.int64) >= percent * n[j].astype(np.int64))
-            i, j = i[near], j[near]
+            near, other = np.zeros(len(run)), np.full(len(run), -1, np.int64)
+            starts = run_starts([run, cols["block"]])
+            sig = part.column("sig").to_pylist()
+            for s, e in zip(starts[:-1], starts[1:], strict=True):
+                own = Signatures(sig[s:e])
+                for i, to, close in open_pairs(cols["n"][s:e], cols["part"][s:e], own, percent):
+                    best = close.argmax()
+                    if close[best] > near[s + i]:
+                        near[s + i], other[s + i] = close[best], cols["c"][s + to[best]]
+                    up = close > near[s + to]
+                    near[s + to[up]], other[s + to[up]] = close[up], cols["c"][s + i]
+            found = np.flatnonzero(other >= 0)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.minimum(c[i], c[j])), pa.array(np.maximum(c[i], c[j])), pa.array(n[j] - n[i])],
-                names=["c1", "c2", "gap"],
+                [pa.array(cols["c"][found]), pa.array(near[found]), pa.array(other[found])], names=["c", "close", "other"]
             )
 
-    tried = parts = None
-    for _ in range(rounds):
+    parts, tried, first = None, [], 0
+    while True:
         near = (
-            _placed(members, parts).repartition("run").sortWithinPartitions("run", "n", "c")
-            .mapInArrow(nearest_pairs, "c1 long, c2 long, gap int")
+            _unjoined(members, parts, ["run", "block"]).join(sigs, "c")
+            .repartition("run", "block").sortWithinPartitions("run", "block", "n", "c")
+            .mapInArrow(nearest_pairs, "c long, close double, other long")
+            .groupBy("c").agg(F.max(F.struct("close", "other")).alias("m"))
+            .select(F.least("c", "m.other").alias("c1"), F.greatest("c", "m.other").alias("c2")).distinct()
         )
-        if tried is not None:
-            near = near.join(tried.select("c1", "c2"), ["c1", "c2"], "left_anti").select("c1", "c2", "gap")
-        near = staged(near, "ngram-near")
-        chosen = near.groupBy("c2").agg(F.min(F.struct("gap", "c1")).alias("m")).select(F.col("m.c1").alias("c1"), "c2")
-        also = near.groupBy("c1").agg(F.min(F.struct("gap", "c2")).alias("m")).select("c1", F.col("m.c2").alias("c2"))
-        new = staged(_verify(chosen.unionByName(also).distinct(), exact, percent), "ngram-tried")
-        tried = new if tried is None else tried.unionByName(new)
-        if not new.where("linked").head(1):
+        if tried:
+            near = near.join(spark.read.schema(_JUDGED).parquet(*tried).select("c1", "c2"), ["c1", "c2"], "left_anti")
+        judged = staged(_verify(staged(near, "ngram-near"), exact, percent), "ngram-judged")
+        tried += judged.inputFiles()
+        linked = judged.where("linked").count()
+        if linked:
+            parts = staged(_joined(parts, judged.where("linked")), "ngram-parts")
+        first = max(first, linked)
+        if linked * 10 <= first:  # a round costs more than it joins: the comparison below does the rest
             break
-        parts = staged(_joined(parts, new.where("linked")), "ngram-parts")
 
-    # What is left: all pairs of a run whose members are still apart.
-    def cross_pairs(batches):
-        for part in key_runs(batches, ["run"]):
+    # What signatures leave open between components: compared on the exact sets, whole clusters in a task.
+    pairs_of = F.explode(F.transform(
+        F.sequence(F.lit(0), F.col("blocks")), lambda x: F.struct(F.least(x, "block").alias("low"), F.greatest(x, "block").alias("high"))
+    ))
+    dealt = (
+        members.join(members.groupBy("run").agg(F.max("block").alias("blocks")), "run")
+        .select("run", "n", "c", pairs_of.alias("b")).select("run", "n", "c", "b.low", "b.high")
+    )
+
+    def open_clusters(batches):
+        """Members that open pairs hold together, as many as may be compared at once."""
+        seen: set[bytes] = set()
+        for part in key_runs(batches, ["run", "low", "high"]):
+            n, c, p, low, high = (part.column(x).to_numpy() for x in ("n", "c", "part", "low", "high"))
             run = part.column("run").combine_chunks().dictionary_encode().indices.to_numpy()
-            n, c, p = (part.column(x).to_numpy() for x in ("n", "c", "part"))
-            sigs = part.column("sig").to_pylist()
-            starts = run_starts([run])
+            starts = run_starts([run, low, high])
+            sig, out = part.column("sig").to_pylist(), []
+            for s, e in zip(starts[:-1], starts[1:], strict=True):
+                a, b = [np.zeros(0, int)], [np.zeros(0, int)]
+                for i, to, _ in open_pairs(n[s:e], p[s:e], Signatures(sig[s:e]), percent):
+                    a.append(np.full(len(to), i))
+                    b.append(to)
+                    if sum(map(len, a)) > 1 << 20:
+                        a, b = [np.arange(e - s)], [local_roots(e - s, np.concatenate(a), np.concatenate(b))]
+                cluster = local_roots(e - s, np.concatenate(a), np.concatenate(b))
+                for root in np.flatnonzero(np.bincount(cluster, minlength=1) > 1):
+                    mine = s + np.flatnonzero(cluster == root)
+                    piece = np.cumsum(8 * n[mine].astype(np.int64)) // COMPARED
+                    for x in np.unique(piece):
+                        for y in np.unique(piece[piece >= x]):
+                            chosen = np.sort(c[mine[(piece == x) | (piece == y)]])
+                            key = blake2b(chosen.tobytes(), digest_size=16).digest()
+                            if key not in seen:
+                                seen.add(key)
+                                out.append((key, chosen))
+            if out:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([o[0] for o in out], pa.binary()), pa.array([o[1] for o in out], pa.list_(pa.int64()))],
+                    names=["cluster", "c"],
+                )
+
+    clusters = staged(
+        _unjoined(dealt, parts, ["run", "low", "high"]).join(sigs, "c")
+        .repartition("run", "low", "high").sortWithinPartitions("run", "low", "high", "n", "c")
+        .mapInArrow(open_clusters, "cluster binary, c array<long>").dropDuplicates(["cluster"]),
+        "ngram-clusters",
+    )
+
+    def links_inside(batches):
+        """Links that join parts of a cluster."""
+        for part in key_runs(batches, ["cluster"]):
+            cluster = part.column("cluster").combine_chunks().dictionary_encode().indices.to_numpy()
+            starts = run_starts([cluster])
             for s, e in zip(starts[:-1], starts[1:], strict=True):
-                known = np.array([len(x) > 0 for x in sigs[s:e]])
-                bins = np.frombuffer(b"".join(x or bytes(BINS) for x in sigs[s:e]), np.uint8).reshape(e - s, BINS)
-                a, b, held = [], [], 0
-                for i in range(e - s):
-                    to = similar_sizes(n[s:e], percent, i)
-                    to = to[p[s + to] != p[s + i]]
-                    most = np.minimum(bins[i], bins[to]).sum(axis=1, dtype=np.int64)
-                    need = least_common(int(n[s + i]), n[s + to].astype(np.int64), percent)
-                    to = to[(most >= need) | ~known[to] | (not known[i])]
-                    a.append(np.full(len(to), c[s + i]))
-                    b.append(c[s + to])
-                    held += len(to)
-                    if held > 1 << 16 or i == e - s - 1:
-                        x, y = np.concatenate(a), np.concatenate(b)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["c1", "c2"]
-                        )
-                        a, b, held = [], [], 0
-
-    rest = (
-        _unjoined(members, parts).join(exact.select("c", "sig"), "c")
-        .repartition("run").sortWithinPartitions("run", "n", "c")
-        .mapInArrow(cross_pairs, "c1 long, c2 long").distinct()
-        .join(tried.select("c1", "c2"), ["c1", "c2"], "left_anti")
+                held = part.slice(s, e - s)
+                n, c, p = (held.column(x).to_numpy() for x in ("n", "c", "part"))
+                sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in held.column("tokens")]
+                own, p = Signatures(held.column("sig").to_pylist()), p.copy()
+                a, b = [], []
+                for i, to, close in open_pairs(n, p, own, percent):
+                    for j in to[np.argsort(-close, kind="stable")].tolist():
+                        if p[i] != p[j] and sets_linked(sets[i], sets[j], percent):
+                            a.append(min(c[i], c[j]))
+                            b.append(max(c[i], c[j]))
+                            p[p == max(p[i], p[j])] = min(p[i], p[j])
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["c1", "c2"])
+
+    left = clusters.select("cluster", F.explode("c").alias("c"))
+    links = staged(
+        _placed(left.join(classes.select("c", "n"), "c"), parts).join(exact, "c")
+        .repartition("cluster").sortWithinPartitions("cluster", "n", "c")
+        .mapInArrow(links_inside, "c1 long, c2 long").distinct(),
+        "ngram-links",
     )
-    parts = _joined(parts, _verify(rest, exact, percent).where("linked"))
+    if links.head(1):
+        parts = staged(_joined(parts, links), "ngram-parts")
+    if parts is None:
+        parts = spark.createDataFrame([], "node long, component long")
     named = classes.join(parts, classes["c"] == parts["node"], "left").select(
         "digest", "id", F.coalesce("component", "c").alias("component")
     )
@@ -378,70 +508,52 @@ def _joined(parts: DataFrame | None, links: DataFrame) -> DataFrame:
 
 
 def _placed(members: DataFrame, parts: DataFrame | None) -> DataFrame:
-    """(run, n, c, part): the members of runs with their components."""
+    """The members with their components as ``part``; a class without links is one of its own."""
     if parts is None:
         return members.withColumn("part", F.col("c"))
-    return members.join(parts.withColumnRenamed("node", "c"), "c", "left").select(
-        "run", "n", "c", F.coalesce("component", "c").alias("part")
+    return members.join(parts.select(F.col("node").alias("c"), F.col("component").alias("part")), "c", "left").withColumn(
+        "part", F.coalesce("part", "c")
     )
 
 
-def _unjoined(members: DataFrame, parts: DataFrame | None) -> DataFrame:
+def _unjoined(members: DataFrame, parts: DataFrame | None, run: list[str]) -> DataFrame:
     """The members of the runs that hold more than one component."""
     placed = _placed(members, parts)
-    mixed = placed.groupBy("run").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("run")
-    return placed.join(mixed, "run", "left_semi")
+    mixed = placed.groupBy(*run).agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select(*run)
+    return placed.join(mixed, run, "left_semi")
 
 
-def _verify(pairs: DataFrame, exact: DataFrame, percent: int) -> DataFrame:
-    """(c1, c2, linked): by signatures where their bound is too low, else from the exact sets."""
+_JUDGED = "c1 long, c2 long, linked boolean"
 
-    def bound(batches):
-        for batch in batches:
-            open_ = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-                if x and y:
-                    x, y = np.frombuffer(x, np.uint8).astype(np.int64), np.frombuffer(y, np.uint8).astype(np.int64)
-                    open_.append(np.minimum(x, y).sum() >= least_common(x.sum(), y.sum(), percent))
-                else:
-                    open_.append(True)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("c1"), batch.column("c2"), pa.array(open_, pa.bool_())], names=["c1", "c2", "open"]
-            )
+
+def _verify(pairs: DataFrame, exact: DataFrame, percent: int) -> DataFrame:
+    """(c1, c2, linked) from the exact sets."""
 
     def compare(batches):
         for batch in batches:
-            linked = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                linked.append(common >= least_common(len(x), len(y), percent))
+            linked = [
+                sets_linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent)
+                for x, y in zip(batch.column("x"), batch.column("y"), strict=True)
+            ]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("c1"), batch.column("c2"), pa.array(linked, pa.bool_())], names=["c1", "c2", "linked"]
             )
 
-    def both(of: DataFrame, column: str, sides: DataFrame) -> DataFrame:
-        return (
-            of.join(sides.select(F.col("c").alias("c1"), F.col(column).alias("x")), "c1")
-            .join(sides.select(F.col("c").alias("c2"), F.col(column).alias("y")), "c2")
-            .select("c1", "c2", "x", "y")
+    def side(number: str, name: str) -> DataFrame:
+        """The sets that this side of the pairs needs, each once."""
+        return exact.join(pairs.select(F.col(number).alias("c")).distinct(), "c", "left_semi").select(
+            F.col("c").alias(number), F.col("tokens").alias(name)
         )
 
-    bounded = staged(both(pairs, "sig", exact).mapInArrow(bound, "c1 long, c2 long, open boolean"), "ngram-bounded")
-    left = bounded.where("open").select("c1", "c2")
-    needed = staged(left.select(F.col("c1").alias("c")).unionByName(left.select(F.col("c2").alias("c"))).distinct(), "ngram-needed")
-    if needed.count() <= BROADCAST_IDS:  # else both sides are shuffled
-        needed = F.broadcast(needed)
-    judged = both(left, "tokens", exact.join(needed, "c", "left_semi")).mapInArrow(
-        compare, "c1 long, c2 long, linked boolean"
-    )
-    return judged.unionByName(bounded.where("not open").select("c1", "c2", F.lit(False).alias("linked")))
+    return pairs.join(side("c1", "x"), "c1").join(side("c2", "y"), "c2").select("c1", "c2", "x", "y").mapInArrow(compare, _JUDGED)
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """``docs`` with one document left of each component, all columns kept.
 
-    The document whose id names the component stays; rows without an id all stay.
+    The document whose id names the component stays; rows without an id all stay, and
+    so do rows repeated under an id that stays. Null and empty texts are no copies of
+    each other. An empty table stays empty.
     """
     gone = (
         ngram_components(docs, id_col, text_col, **how)

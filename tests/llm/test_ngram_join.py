@@ -90,3 +90,104 @@ def test_prefixes_reach_every_similar_pair():
             assert need == next(i for i in range(200) if 100 * i >= 75 * (x + y - i))
             if need <= x:
                 assert prefix_size(x, 75) >= x - need + 1 and prefix_size(y, 75) >= y - need + 1
+
+
+def test_near_copies_cost_rows_in_proportion(spark, make_docs, monkeypatch):
+    """One template with a few own words a document: rows between tasks grow with the documents."""
+    import random
+
+    from sluice.llm import ngram_join as N
+
+    plain_staged, made = N.staged, {}
+
+    def counted(df, name):
+        out = plain_staged(df, name)
+        if name in ("ngram-near", "ngram-judged", "ngram-members", "ngram-links", "ngram-clusters"):
+            made["rows"] = made.get("rows", 0) + out.count()
+        return out
+
+    monkeypatch.setattr(N, "staged", counted)
+    rnd = random.Random(5)
+    base = [f"w{rnd.randrange(10**6)}" for _ in range(120)]
+    seen = []
+    for n in (60, 120, 240):
+        rows = []
+        for i in range(n):
+            words = list(base)
+            for k in rnd.sample(range(120), 3):
+                words[k] = f"own{i}x{k}"
+            rows.append((i, " ".join(words)))
+        made.clear()
+        got = {r["doc_id"]: r["component_id"] for r in N.ngram_components(make_docs(rows)).collect()}
+        assert got == plain_components(rows)
+        seen.append(made["rows"])
+    assert seen[2] < 3 * seen[1] and seen[1] < 3 * seen[0], seen
+
+
+def plain_components(rows):
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, w in ((i, t.split()) for i, t in rows)}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = sorted(sets)
+    for x, i in enumerate(ids):
+        for j in ids[x + 1 :]:
+            if find(i) != find(j) and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+                root[max(find(i), find(j))] = min(find(i), find(j))
+    return {i: find(i) for i in ids}
+
+
+def test_what_rounds_leave_is_compared_inside_the_tasks(spark, make_docs, monkeypatch):
+    """With rounds that verify nothing, small blocks and small comparisons, the links are the same."""
+    import random
+
+    from sluice.llm import ngram_join as N
+
+    rnd = random.Random(9)
+    base = [f"w{rnd.randrange(10**6)}" for _ in range(60)]
+    rows = []
+    for i in range(70):
+        words = list(base) if i % 3 else [f"v{k}" for k in range(60)]
+        for k in rnd.sample(range(60), rnd.randrange(5)):
+            words[k] = f"own{i}x{k}"
+        rows.append((i, " ".join(words)))
+    monkeypatch.setattr(N, "COMPARED", 20000)
+    monkeypatch.setattr(N, "_verify", lambda pairs, exact, percent: pairs.selectExpr("c1", "c2", "false AS linked"))
+    got = {r["doc_id"]: r["component_id"] for r in N.ngram_components(make_docs(rows), run_block=8).collect()}
+    assert got == plain_components(rows)
+
+
+def test_signatures_bound_what_sets_share():
+    import numpy as np
+
+    from sluice.llm import ngram_join as N
+
+    rng = np.random.default_rng(1)
+    pool = rng.integers(0, 2**63, 9000).astype(np.uint64)
+    sets = [np.unique(rng.choice(pool, n, replace=False)) for n in (1, 5, 40, 300, 700, 2500, 6000)]
+    sets.append(np.arange(300, dtype=np.uint64) << np.uint64(30))  # all in one bin: no signature
+    sigs = N.Signatures([N.signature(s) for s in sets])
+    for i in range(len(sets)):
+        most = sigs.most_common(i, np.arange(len(sets)))
+        assert all(m >= len(np.intersect1d(sets[i], s)) for m, s in zip(most, sets))
+
+
+def test_clusters_hold_every_allowed_pair():
+    import numpy as np
+
+    from sluice.llm import ngram_join as N
+
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        n = np.sort(rng.integers(4, 40, rng.integers(2, 12)))
+        place = np.array([rng.integers(0, N.prefix_size(int(x), 75)) for x in n])
+        cluster = N.allowed_clusters(n, place, 75)
+        for i in range(len(n)):
+            for j in range(i + 1, len(n)):
+                need = N.least_common(int(n[i]), int(n[j]), 75)
+                if 75 * n[j] <= 100 * n[i] and place[i] <= n[i] - need and place[j] <= n[j] - need:
+                    assert cluster[i] == cluster[j]

@@ -224,6 +224,11 @@ class WordBpe:
         tail = right_tail if right_head < len(right) else len(middle) * bool(right_tail)
         return left[:cut] + middle + right[right_head:], head, tail
 
+    def forget(self) -> None:
+        """Free what the task has remembered; the vocabulary stays."""
+        self.words.forget()
+        self.chunks.forget()
+
     def decode(self, ids: bytes) -> str:
         """The tokens' strings joined by spaces, as the file (which names no decoder) asks."""
         return " ".join(map(self.token.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -299,6 +304,7 @@ def encode_texts(
                     ],
                     names=result.names,
                 )
+        bpe.forget()
 
     short = rows.where(F.length("t") <= piece_chars).mapInArrow(whole, result)
 
@@ -324,6 +330,7 @@ def encode_texts(
                 "row": frame["row"], "id": frame["id"], "n": frame["n"], "ids": [d[0] for d in done],
                 "n_head": [d[1] for d in done], "n_tail": [d[2] for d in done],
             })
+        bpe.forget()
 
     def concatenate(group: pd.DataFrame) -> pd.DataFrame:
         bpe = codec(tokenizer_path)

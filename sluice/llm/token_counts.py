@@ -85,6 +85,11 @@ class Remembered(dict):
             self[key] = value
         return value
 
+    def forget(self) -> None:
+        """Free the table: workers that Spark keeps for other stages should not hold it."""
+        self.clear()
+        self.old = {}
+
 
 class PieceVocabulary:
     """The merge ranks of a sentence-piece BPE model, read from its file."""

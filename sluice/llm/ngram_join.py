@@ -33,6 +33,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -48,6 +49,8 @@ SKETCH_LANES = 1024
 RUN_BLOCK = 4096
 #: Bins of a signature: a power of two, at least one for every two shingles, within these bounds.
 LEAST_BINS, MOST_BINS = 16, 1 << 14
+#: Bytes of texts whose sets a task makes at once.
+TEXT_BYTES = 4 << 20
 #: Bytes of exact sets that a task compares at once.
 COMPARED = 32 << 20
 
@@ -190,6 +193,17 @@ def sets_linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return len(np.intersect1d(x, y, assume_unique=True)) >= least_common(len(x), len(y), percent)
 
 
+def _small(batches):
+    """The batches in slices of about TEXT_BYTES of the column ``t``: sets take several times the text."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("t")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + TEXT_BYTES, side="right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def ngram_components(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -239,7 +253,7 @@ def ngram_components(
 
     def prefixes(batches):
         posted: set[int] = set()  # groups this task has posted: copies are not posted again
-        for batch in batches:
+        for batch in _small(batches):
             n_list, digests, groups, posts, places = [], [], [], [], []
             for tokens in shingle_sets(batch.column("t"), size):
                 n = len(tokens)
@@ -325,7 +339,7 @@ def ngram_components(
 
     def exact_sets(batches):
         done: set[int] = set()  # an id may have several rows
-        for batch in batches:
+        for batch in _small(batches):
             got = list(shingle_sets(batch.column("t"), size))
             same = []
             for k, (s, d, c) in enumerate(zip(got, *(batch.column(x).to_pylist() for x in ("digest", "c")), strict=True)):

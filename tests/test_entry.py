@@ -54,3 +54,14 @@ def test_query_matches_oracle(spark, duck, name):
     s_rows = sorted(repr(tuple(_norm(r[c]) for c in order)) for r in df.collect())
     d_rows = sorted(repr(tuple(_norm(row[d_cols.index(c)]) for c in order)) for row in cur.fetchall())
     assert s_rows == d_rows
+
+
+def test_other_queries_stay_when_the_training_data_queries_do_not_import(monkeypatch):
+    import sys
+
+    for name in [n for n in sys.modules if n.startswith("sluice.llm") or n == "corpus_pipeline"]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "public_tokenizers", None)
+    monkeypatch.setitem(sys.modules, "sluice.llm.registry", None)
+    names = set(E.queries())
+    assert {"incremental_insert", "sketched_insert", "key_diff"} <= names and not any(n.startswith("op") for n in names)

@@ -8,6 +8,8 @@ the tests hold each stage against a brute-force version.
 
 from __future__ import annotations
 
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +19,7 @@ from sluice.llm.exact_dedup import drop_copies
 from sluice.llm.mixing import apply_mix
 from sluice.llm.ngram_join import drop_near_copies
 from sluice.llm.quality import keep_good
+from sluice.session import apply_engine_conf
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -46,13 +49,18 @@ def bpe_codec(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return encode_texts(docs, public_tokenizers.path(TOKENIZER))
 
 
-STAGES = [
-    ("quality_classifier", quality_classifier),
-    ("exact_dedup", exact_dedup),
-    ("ngram_join", ngram_join),
-    ("mixing", mixing),
-    ("bpe_codec", bpe_codec),
-]
+def _tuned(stage):
+    """A stage that sets the engine's session settings first, also when it is called by itself."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        apply_engine_conf(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+STAGES = [(f.__name__, _tuned(f)) for f in (quality_classifier, exact_dedup, ngram_join, mixing, bpe_codec)]
 
 ORACLE_SQL = None
 

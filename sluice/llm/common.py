@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +31,30 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def tidy(work):
+    """``work`` for ``mapInArrow`` and its like; at the end of a task, freed memory goes back to the system.
+
+    Spark keeps Python workers for later stages, and allocators keep what a task has freed.
+    """
+
+    def run(batches):
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return run
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores behind it as it takes to clash with no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def lower_ascii(col):
     """Lower-case A-Z only; null is the empty text."""
     return F.translate(F.coalesce(col.cast("string"), F.lit("")), UPPER, LOWER)

@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm.common import lower_ascii, staged, table
+from sluice.llm.common import free_name, lower_ascii, staged, table
 
 FIRST_WIDTH = 32
 GROWTH = 16
@@ -88,12 +88,13 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     Of rows with one id and equal texts one stays; rows without an id all stay.
     """
+    name, norm = free_name(docs, "gone"), free_name(docs, "normalised")
     verdict = exact_dedup(docs, id_col, text_col)
-    dropped = verdict.where(~F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).alias("__gone"))
-    left = docs.join(dropped, docs[id_col].eqNullSafe(F.col("__gone")), "left_anti")
+    dropped = verdict.where(~F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).alias(name))
+    left = docs.join(dropped, docs[id_col].eqNullSafe(F.col(name)), "left_anti")
     repeated = docs.groupBy(id_col).count().where("count > 1")
     if repeated.head(1):  # the same row more than once
-        left = left.withColumn("__t", lower_ascii(F.col(text_col))).dropDuplicates([id_col, "__t"]).drop("__t")
+        left = left.withColumn(norm, lower_ascii(F.col(text_col))).dropDuplicates([id_col, norm]).drop(norm)
     return left
 
 

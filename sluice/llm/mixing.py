@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import staged, table
+from sluice.llm.common import free_name, staged, table
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -131,16 +131,20 @@ def mix_sources(
 def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
     """The mixed corpus: each document as often as the mix starts it, all columns kept.
 
-    The one document per source that the budget cuts stays whole.
+    The one document per source that the budget cuts stays whole. Null and blank texts
+    hold no words, so the mix never starts them. Rows repeated under one id are each
+    repeated as often as the id's most used row; null ids are one id. An empty table
+    stays empty.
     """
+    name, count, copy = (free_name(docs, x) for x in ("mixed_id", "times", "copy"))
     plan = mix_sources(docs, id_col, text_col, source_col, **how).where("taken > 0")
-    times = plan.groupBy(F.col(id_col).alias("__id")).agg(
-        F.max(F.ceil(F.col("taken") / F.col("size"))).cast("int").alias("__times")
+    times = plan.groupBy(F.col(id_col).alias(name)).agg(
+        F.max(F.ceil(F.col("taken") / F.col("size"))).cast("int").alias(count)
     )
     cols = docs.columns
     return (
-        docs.join(times, docs[id_col].eqNullSafe(F.col("__id")))
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times"))))
+        docs.join(times, docs[id_col].eqNullSafe(F.col(name)))
+        .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(count))))
         .select(*cols)
     )
 

@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import connected_components, key_runs, local_roots, run_starts, staged, table
+from sluice.llm.common import connected_components, free_name, key_runs, local_roots, run_starts, staged, table, tidy
 from sluice.llm.shingles import mix, shingle_sets
 
 SHINGLE = 5
@@ -85,7 +85,7 @@ def sketch_counts(docs: DataFrame, text_col: str, size: int, bits: int) -> np.nd
         return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "cells": pa.array([total.tobytes()], pa.binary())})
 
     summed = (
-        docs.select(F.col(text_col).cast("string")).mapInArrow(count, "part int, lane int, cells binary")
+        docs.select(F.col(text_col).cast("string")).mapInArrow(tidy(count), "part int, lane int, cells binary")
         .groupBy("part", "lane").applyInArrow(add, "part int, cells binary")
         .groupBy("part").applyInArrow(add, "part int, cells binary")
     )
@@ -282,7 +282,7 @@ def ngram_components(
             )
 
     sets = staged(
-        rows.mapInArrow(prefixes, f"id {id_type}, n int, digest binary, grp long, post array<long>, place array<int>"),
+        rows.mapInArrow(tidy(prefixes), f"id {id_type}, n int, digest binary, grp long, post array<long>, place array<int>"),
         "ngram-sets",
     )
     classes = staged(
@@ -327,7 +327,7 @@ def ngram_components(
 
     runs = staged(
         postings.repartition("token").sortWithinPartitions("token", "n", "grp")
-        .mapInArrow(find_runs, "run binary, grp array<long>, n array<int>")
+        .mapInArrow(tidy(find_runs), "run binary, grp array<long>, n array<int>")
         .dropDuplicates(["run"]),
         "ngram-runs",
     )
@@ -357,7 +357,7 @@ def ngram_components(
 
     exact = staged(
         rows.join(needed, F.col("id").eqNullSafe(F.col("i"))).select("c", "digest", "t")
-        .mapInArrow(exact_sets, "c long, sig binary, tokens binary"),
+        .mapInArrow(tidy(exact_sets), "c long, sig binary, tokens binary"),
         "ngram-exact",
     )
 
@@ -398,7 +398,7 @@ def ngram_components(
         near = (
             _unjoined(members, parts, ["run", "block"]).join(sigs, "c")
             .repartition("run", "block").sortWithinPartitions("run", "block", "n", "c")
-            .mapInArrow(nearest_pairs, "c long, close double, other long")
+            .mapInArrow(tidy(nearest_pairs), "c long, close double, other long")
             .groupBy("c").agg(F.max(F.struct("close", "other")).alias("m"))
             .select(F.least("c", "m.other").alias("c1"), F.greatest("c", "m.other").alias("c2")).distinct()
         )
@@ -457,7 +457,7 @@ def ngram_components(
     clusters = staged(
         _unjoined(dealt, parts, ["run", "low", "high"]).join(sigs, "c")
         .repartition("run", "low", "high").sortWithinPartitions("run", "low", "high", "n", "c")
-        .mapInArrow(open_clusters, "cluster binary, c array<long>").dropDuplicates(["cluster"]),
+        .mapInArrow(tidy(open_clusters), "cluster binary, c array<long>").dropDuplicates(["cluster"]),
         "ngram-clusters",
     )
 
@@ -484,7 +484,7 @@ def ngram_components(
     links = staged(
         _placed(left.join(classes.select("c", "n"), "c"), parts).join(exact, "c")
         .repartition("cluster").sortWithinPartitions("cluster", "n", "c")
-        .mapInArrow(links_inside, "c1 long, c2 long").distinct(),
+        .mapInArrow(tidy(links_inside), "c1 long, c2 long").distinct(),
         "ngram-links",
     )
     if links.head(1):
@@ -559,7 +559,7 @@ def _verify(pairs: DataFrame, exact: DataFrame, percent: int) -> DataFrame:
             F.col("c").alias(number), F.col("tokens").alias(name)
         )
 
-    return pairs.join(side("c1", "x"), "c1").join(side("c2", "y"), "c2").select("c1", "c2", "x", "y").mapInArrow(compare, _JUDGED)
+    return pairs.join(side("c1", "x"), "c1").join(side("c2", "y"), "c2").select("c1", "c2", "x", "y").mapInArrow(tidy(compare), _JUDGED)
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
@@ -569,11 +569,12 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     so do rows repeated under an id that stays. Null and empty texts are no copies of
     each other. An empty table stays empty.
     """
+    name = free_name(docs, "gone")
     gone = (
         ngram_components(docs, id_col, text_col, **how)
-        .where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__gone"))
+        .where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias(name))
     )
-    return docs.join(gone, docs[id_col].eqNullSafe(F.col("__gone")), "left_anti")
+    return docs.join(gone, docs[id_col].eqNullSafe(F.col(name)), "left_anti")
 
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

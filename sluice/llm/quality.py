@@ -1,13 +1,15 @@
 """Quality classifier: nearest-neighbour voting in a latent-semantic space.
 
-A text is a bag of shape terms: 4-grams of character classes (letter cases,
-digits, white space and each punctuation mark apart) and a term for words that
-repeat the word before them. Terms are hashed to ``TERMS`` columns, weighted by
-inverse document frequency and projected on the leading singular vectors of a
-bounded sample of labelled rows. The labelled vectors (at most ``sample`` of
+A text is a bag of words (runs without white space, A-Z lower-cased) and of shape
+terms: 4-grams of character classes (letter cases, digits, white space and each
+punctuation mark apart) and a term for words that repeat the word before them. Both
+kinds are hashed to ``KIND_TERMS`` columns each, weighted by inverse document frequency
+over all documents and projected on the leading singular vectors of a bounded sample of
+labelled rows. The labelled vectors (at most ``sample`` of
 ``dims`` numbers) go to every task; each document's cosine with all of them is
 one blocked matrix product, and its nearest ``neighbours`` vote with a weight
-that grows with similarity. Scores read the whole text and nothing else.
+that grows with similarity; of equally similar ones the labelled row with the smaller id
+(as text) comes first. Scores read the whole text and nothing else.
 """
 
 from __future__ import annotations
@@ -17,9 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm.common import table
+from sluice.llm.common import table, tidy
+from sluice.llm.shingles import text_words
 
-TERMS = 2048
+KIND_BITS = 10
+KIND_TERMS = 1 << KIND_BITS
+TERMS = 2 * KIND_TERMS  # shapes, then words
 DIMS = 32
 SAMPLE = 4096
 NEIGHBOURS = 15
@@ -55,27 +60,37 @@ REPEAT_WEIGHT = 4
 
 def term_counts(text: str) -> np.ndarray:
     """Counts of the hashed terms of a whole text, part by part."""
-    out = np.zeros(TERMS)
+    out, shapes = np.zeros(TERMS), np.zeros(KIND_TERMS)
     raw = np.frombuffer(text.encode(), np.uint8)
     for at in range(0, max(0, len(raw) - 3), PART):
         k = CLASSES[raw[at : at + PART + 3]]
         grams = ((k[:-3] * 64 + k[1:-2]) * 64 + k[2:-1]) * 64 + k[3:]
-        out += np.bincount((grams * 2654435761 & 0xFFFFFFFF) >> 21, minlength=TERMS)
+        shapes += np.bincount((grams * 2654435761 & 0xFFFFFFFF) >> (32 - KIND_BITS), minlength=KIND_TERMS)
+    out[:KIND_TERMS] = shapes
+    with np.errstate(over="ignore"):
+        hashes = text_words(raw)
+    out[KIND_TERMS:] = np.bincount((hashes >> np.uint64(64 - KIND_BITS)).astype(np.int64), minlength=KIND_TERMS)
     words = text.split()
     out[REPEATED] += REPEAT_WEIGHT * sum(a == b for a, b in zip(words, words[1:], strict=False))
     return out
 
 
 class LatentVoters:
-    """The labelled vectors and the projection that made them."""
+    """The labelled vectors and the projection that made them.
 
-    def __init__(self, counts: np.ndarray, labels: np.ndarray, dims: int, neighbours: int):
+    ``seen``: how many of how many documents hold each term (without it, of the labelled ones).
+    """
+
+    def __init__(
+        self, counts: np.ndarray, labels: np.ndarray, dims: int, neighbours: int, seen: tuple[np.ndarray, int] | None = None
+    ):
         n = len(labels)
         self.neighbours, self.labels = neighbours, labels
         self.base = float(labels.mean()) if n else 0.5
         if not n:
             return
-        self.idf = np.log((1 + n) / (1 + (counts > 0).sum(axis=0))) + 1
+        holding, all_docs = seen or ((counts > 0).sum(axis=0), n)
+        self.idf = np.log((1 + all_docs) / (1 + holding)) + 1
         weighted = self._weighted(counts)  # single precision holds for the fit
         # leading right singular vectors by subspace iteration from a fixed start
         basis = np.random.default_rng(11).standard_normal((weighted.shape[1], min(dims + 16, n, weighted.shape[1])))
@@ -101,9 +116,12 @@ class LatentVoters:
         """Similarity-weighted share of label 1 among the nearest; the base rate where nothing is similar."""
         if not len(self.labels):
             return np.full(len(counts), self.base)
-        cosine = self._latent(counts) @ self.voters.T
+        cosine = np.round(self._latent(counts) @ self.voters.T, 12)  # equal rows come out equal
         k = min(self.neighbours, len(self.labels))
-        near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
+        least = -np.partition(-cosine, k - 1, axis=1)[:, k - 1 : k]
+        above, level = cosine > least, cosine == least
+        chosen = above | (level & (np.cumsum(level, axis=1) <= k - above.sum(axis=1, keepdims=True)))
+        near = np.nonzero(chosen)[1].reshape(len(counts), k)
         weight = np.maximum(np.take_along_axis(cosine, near, axis=1), 0) ** SHARPNESS
         total = weight.sum(axis=1)
         voted = (weight * self.labels[near]).sum(axis=1)
@@ -128,6 +146,28 @@ def _counted(rows: DataFrame, extra: str) -> DataFrame:
     return rows.select("id", extra, "t").mapInArrow(count, f"id {kind}, {extra} double, counts binary")
 
 
+def document_frequencies(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, int]:
+    """How many documents hold each term, and how many there are: a sum a task, added up by term."""
+
+    def count(batches):
+        held = np.zeros(TERMS + 1, np.int64)
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                held[:TERMS] += term_counts(text or "") > 0
+                held[TERMS] += 1
+        used = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(held[used])], names=["term", "n"])
+
+    summed = (
+        docs.select(F.col(text_col).cast("string")).mapInArrow(tidy(count), "term int, n long")
+        .groupBy("term").agg(F.sum("n").alias("n"))
+    )
+    out = np.zeros(TERMS + 1, np.int64)
+    for row in summed.toLocalIterator():  # at most TERMS + 1 rows
+        out[row["term"]] = row["n"]
+    return out[:TERMS], int(out[TERMS])
+
+
 def fit_voters(
     docs: DataFrame,
     labels: DataFrame,
@@ -140,7 +180,8 @@ def fit_voters(
 ) -> LatentVoters:
     """Voters from at most ``sample`` labelled rows outside the held-out fold.
 
-    The sample is the first rows by hash of the id. A document labelled more than
+    The sample is the first rows by hash of the id; document frequencies are those of all
+    of ``docs``. A document labelled more than
     once counts once, with its mean label; null labels and ids are left out.
     """
     chosen = (
@@ -158,7 +199,8 @@ def fit_voters(
     counts = np.empty((len(got), TERMS), np.float32)
     for i, (_, _, row) in enumerate(got):
         counts[i] = np.frombuffer(row, np.float32)
-    return LatentVoters(counts, np.array([y for _, y, _ in got], np.float64), dims, neighbours)
+    seen = document_frequencies(docs, text_col) if got else None
+    return LatentVoters(counts, np.array([y for _, y, _ in got], np.float64), dims, neighbours, seen)
 
 
 def score_texts(docs: DataFrame, voters: LatentVoters, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -182,7 +224,7 @@ def score_texts(docs: DataFrame, voters: LatentVoters, id_col: str = "doc_id", t
                 [batch.column("id"), pa.array(np.concatenate(scores) if scores else [], pa.float64())], names=["id", "score"]
             )
 
-    return rows.mapInArrow(score, f"id {kind}, score double").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(tidy(score), f"id {kind}, score double").withColumnRenamed("id", id_col)
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", cutoff: float = CUTOFF) -> DataFrame:
@@ -194,7 +236,13 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", cutoff: float = CUTOFF) -> DataFrame:
-    """``docs`` without the rows that the classifier rejects, all columns kept."""
+    """``docs`` without the rows that the classifier rejects, all columns kept.
+
+    A row's text alone decides: null and empty texts score the labelled rows' mean label,
+    so they stay unless most labels are bad, and repeated rows stay or go together. Null ids
+    are judged like others. Without labelled rows every row scores 0.5. An empty table
+    stays empty.
+    """
     voters = fit_voters(docs, labels, id_col, text_col)
     at = docs.columns.index(text_col)
 
@@ -208,7 +256,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
             ]
             yield batch.filter(pa.array(good, pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(tidy(keep), docs.schema)
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

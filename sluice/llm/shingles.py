@@ -69,8 +69,8 @@ def _word_hashes(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
     return hashes, np.searchsorted(starts, bounds)
 
 
-def _long_text(raw: np.ndarray) -> np.ndarray:
-    """Word hashes of one text longer than a slab, cut at white space."""
+def text_words(raw: np.ndarray) -> np.ndarray:
+    """Word hashes of one text of any length, in slabs cut at white space."""
     out, at = [], 0
     while at < len(raw):
         end = min(len(raw), at + SLAB)
@@ -114,7 +114,7 @@ def shingle_sets(texts: pa.Array, size: int = 5) -> Iterator[np.ndarray]:
         while at < len(texts):
             to = int(np.searchsorted(offsets, offsets[at] + SLAB, side="right")) - 1
             if to <= at:
-                yield _set_of(_long_text(data[offsets[at] : offsets[at + 1]]), size, salts)
+                yield _set_of(text_words(data[offsets[at] : offsets[at + 1]]), size, salts)
                 at += 1
                 continue
             bounds = offsets[at : to + 1] - offsets[at]

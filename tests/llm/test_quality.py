@@ -66,6 +66,28 @@ def test_whole_text_is_counted(monkeypatch):
     assert (term_counts(text) == whole).all()
 
 
+def test_words_of_equal_shape_score_differently(spark, make_docs):
+    good, bad = "The report explains how rivers carry sand.", "Qnx kzwmvb fxqjtyzp wvk qzmxwk xjqzw kvxq."
+    assert [len(w) for w in good.split()] == [3, 6, 8, 3, 6, 5, 5] and (term_counts(good) != term_counts(bad)).any()
+    docs = make_docs([(i, (good if i % 2 else bad) + " " + (good if i % 2 else bad)) for i in range(80)] + [(100, good), (101, bad)])
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(80)], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r["predicted"] for r in classify(docs, labels).collect()}
+    assert got[100] == 1 and got[101] == 0
+
+
+def test_frequencies_are_those_of_all_documents(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    holding, n = quality.document_frequencies(docs)
+    counts = np.array([term_counts(r["text"] or "") for r in docs.select("text").collect()])
+    assert n == len(counts) and (holding == (counts > 0).sum(axis=0)).all()
+
+
+def test_ties_go_to_the_first_rows():
+    counts = np.ones((6, quality.TERMS))
+    voters = LatentVoters(counts, np.array([1.0, 1, 0, 0, 0, 0]), 4, 3)
+    assert voters.score(np.ones((2, quality.TERMS))) == pytest.approx([2 / 3, 2 / 3])
+
+
 def test_sample_is_bounded(spark):
     docs, labels = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "labels"))
     assert len(fit_voters(docs, labels, sample=50).labels) == 50

@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm.common import table
+from sluice.llm.common import table, tidy
 from sluice.llm.token_counts import Remembered, heap_merge
 
 LEAF = 24
@@ -54,8 +54,18 @@ NEWER_CAPITALS = (
 )
 #: Control characters that Python's split takes for white space and the pattern does not.
 CONTROL = re.compile("[\x1c-\x1f]")
-#: Where a long run may be cut: after 16 letters (or ideographs, or plain marks) and before one more.
-INSIDE = re.compile(r"(?<=[A-Za-z]{16})(?=[A-Za-z])|(?<=[一-鿿]{16})(?=[一-鿿])|(?<=[=_*#~.-]{16})(?=[=_*#~.-])")
+#: Letters of several scripts that stay single letters when lower-cased, and that normalisation
+#: never joins with the letter before them.
+LETTER = (
+    "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f\u0391-\u03a1\u03a3-\u03ce\u0400-\u0481\u048a-\u052f\u05d0-\u05ea"
+    "\u0620-\u064a\u0e01-\u0e30\u0e32\u0e33\u0e40-\u0e46\u3041-\u3096\u30a1-\u30fa\u30fc\u4e00-\u9fff\uac00-\ud7a3"
+)
+#: Where a long run may be cut: after 16 letters (or plain marks) and before one more.
+INSIDE = re.compile(f"(?<=[{LETTER}]{{16}})(?=[{LETTER}])|(?<=[=_*#~.-]{{16}})(?=[=_*#~.-])")
+#: Where the split pattern parts a run anyway: after a digit and before another, or a letter.
+APART = re.compile("(?<=[0-9])(?=[0-9A-Za-z])")
+#: Words, and chunks, that a worker remembers; as many again are kept from before the last turn.
+REMEMBERED = 100_000
 
 
 def byte_letters() -> list[str]:
@@ -97,8 +107,8 @@ class WordBpe:
         older = pattern.replace(mark, "\0").replace("[\\p{L}]", f"(?:(?![{NEWER}])\\p{{L}})").replace("[\\p{N}]", f"(?![{NEWER}])\\p{{N}}")
         self.word = regex.compile(older.replace("\0", f"(?:{mark[:-1]}|[{NEWER}])+"))
         self.marks = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
-        self.words = Remembered(self._word)
-        self.chunks = Remembered(self._chunk)
+        self.words = Remembered(self._word, REMEMBERED)
+        self.chunks = Remembered(self._chunk, REMEMBERED)
 
     # one word
 
@@ -237,8 +247,8 @@ class WordBpe:
 def cut_text(text: str, size: int) -> list[tuple[str, bool, bool]]:
     """Pieces of about ``size`` characters: (piece, open at its head, open at its tail).
 
-    Cuts fall before white space or, failing that, inside a run of 16 and more
-    letters; where neither is found a piece stays longer.
+    Cuts fall before white space or, failing that, between digits or inside a run of 16
+    and more letters of any of the scripts of LETTER; where none is found a piece stays longer.
     """
     pieces, start, opened = [], 0, False
     white = re.compile("[ \n\t]")
@@ -248,10 +258,11 @@ def cut_text(text: str, size: int) -> list[tuple[str, bool, bool]]:
         if at < 0:
             inner = INSIDE.search(text, start + size)
             outer = white.search(text, start + size)
-            found = min((m.start() for m in (inner, outer) if m), default=-1)
+            apart = APART.search(text, start + size)
+            found = min((m.start() for m in (inner, outer, apart) if m), default=-1)
             if found < 0:
                 break
-            glued = not (outer and outer.start() == found)
+            glued = bool(inner and inner.start() == found)  # white space and digits are in no letter run
             at = found
         pieces.append((text[start:at], opened, glued))
         start, opened = at, glued
@@ -306,7 +317,7 @@ def encode_texts(
                 )
         bpe.forget()
 
-    short = rows.where(F.length("t") <= piece_chars).mapInArrow(whole, result)
+    short = rows.where(F.length("t") <= piece_chars).mapInArrow(tidy(whole), result)
 
     cut = rows.where(F.length("t") > piece_chars).withColumn("row", F.monotonically_increasing_id())
     id_type = rows.schema["id"].dataType.simpleString()
@@ -343,7 +354,7 @@ def encode_texts(
     long = (
         cut.mapInPandas(pieces, f"row long, id {id_type}, n int, piece string, head boolean, tail boolean")
         .repartition("row", "n")
-        .mapInPandas(encode_pieces, f"row long, id {id_type}, n int, ids binary, n_head long, n_tail long")
+        .mapInPandas(tidy(encode_pieces), f"row long, id {id_type}, n int, ids binary, n_head long, n_tail long")
         .groupBy("row")
         .applyInPandas(concatenate, result)
     )

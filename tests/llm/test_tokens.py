@@ -62,6 +62,26 @@ def test_pieces_rejoin_to_the_whole():
             assert bpe.join_pieces([bpe.encode_piece(*p) for p in parts]) == bpe.encode(text)
 
 
+def test_long_runs_of_any_script_are_cut():
+    bpe, rng = WordBpe(WORD), random.Random(5)
+    runs = ["абвгдежзиклмнопрст", "αβγδεζηθικλμνξοπ", "あいうえおかきくけこさしすせそたち", "가나다라마바사아자차카타파하", "éèêëàâîïôûüçñãõåø",
+            "กขคงจฉชซญฎฏฐฑฒณด", "ابتثجحخدذرزسشصضط", "אבגדהוזחטיכלמנסעפצ", "0123456789", "aB3dE5fG7h1J9kL2mN4"]
+    for letters in runs:
+        text = "".join(rng.choice(letters) for _ in range(3000)) + "! x" + "".join(rng.choice(letters) for _ in range(700))
+        parts = cut_text(text, 100)
+        assert len(parts) > 20 and max(len(p) for p, _, _ in parts) < 400, letters
+        assert "".join(p for p, _, _ in parts) == text
+        assert bpe.join_pieces([bpe.encode_piece(*p) for p in parts]) == bpe.encode(text)
+
+
+def test_cut_runs_equal_the_library(spark, make_docs, lib):
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("абвг가나다あいéèİı0123456789") for _ in range(k)) for k in (50, 300, 2000)]
+    texts += ["가" * 40 + "\u11a8" + "が" * 30 + "\u3099", "İ" * 60, "1" * 90 + "a" * 90 + "1"]
+    got = digest(encode_texts(make_docs(list(enumerate(texts))), WORD, piece_chars=64)).collect()
+    assert sorted(map(tuple, got)) == [(i, *expected(lib, t)) for i, t in enumerate(texts)]
+
+
 def test_tree_equals_direct_merging():
     bpe, rng = WordBpe(WORD), random.Random(4)
     for n in (30, 200, 1500):

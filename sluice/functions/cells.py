@@ -68,14 +68,14 @@ def is_junk_time_text(text: Column) -> Column:
     return (F.length(text) <= fixed.JUNK_MAX_LENGTH) | ~text.rlike(fixed.HAS_DIGIT_PATTERN)
 
 
-def parse_timestamp_text(text: Column, as_of: Column, clamp_parsed: bool = False) -> Column:
+def parse_timestamp_text(text: Column, as_of: Column, clamp_parsed: bool = False, day_first: bool = False) -> Column:
     """Text to timestamp: the native ISO cast, then one parse of the shaped text.
 
     Junk text and bare times of day give NULL. Naive text is read in the
     session time zone; text with an offset is converted. ``clamp_parsed`` turns
     future values into as_of where the native cast did not take the text.
     """
-    shaped = timetext.shaped_timestamp(text, as_of)
+    shaped = timetext.shaped_timestamp(text, as_of, day_first)
     if clamp_parsed:
         shaped = F.when(shaped > as_of, as_of).otherwise(shaped)
     six_digits = (F.length(text) == 6) & text.rlike(r"^\d{6}$")  # yyMMdd, where the native cast sees a year
@@ -83,7 +83,8 @@ def parse_timestamp_text(text: Column, as_of: Column, clamp_parsed: bool = False
     return F.when(~is_junk_time_text(text) & ~text.rlike(timetext.BARE_TIME), F.coalesce(native, shaped))
 
 
-def to_timestamp_cell(c: Column, in_type: DataType, as_of: Column, clamp_parsed: bool = False) -> Column:
+def to_timestamp_cell(c: Column, in_type: DataType, as_of: Column, clamp_parsed: bool = False,
+                      day_first: bool = False) -> Column:
     """Any input to ``TimestampType`` (no range or future rule yet).
 
     Numbers are seconds since 1970; like text, three characters or fewer are junk.
@@ -94,7 +95,7 @@ def to_timestamp_cell(c: Column, in_type: DataType, as_of: Column, clamp_parsed:
         return c.cast(TimestampType())
     if isinstance(in_type, NUMERIC_TYPES):
         return F.when(F.length(c.cast(StringType())) > fixed.JUNK_MAX_LENGTH, c.try_cast(TimestampType()))
-    return parse_timestamp_text(as_text(c, in_type), as_of, clamp_parsed)
+    return parse_timestamp_text(as_text(c, in_type), as_of, clamp_parsed, day_first)
 
 
 def timestamp_in_range(ts: Column, as_of: Column) -> Column:
@@ -125,7 +126,8 @@ def etl_default(ts: Column, as_of: Column) -> Column:
     return F.coalesce(ts, as_of)
 
 
-def date_parse_parts(c: Column, in_type: DataType, as_of: Column) -> tuple[Column, Column | None]:
+def date_parse_parts(c: Column, in_type: DataType, as_of: Column,
+                     day_first: bool = False) -> tuple[Column, Column | None]:
     """Parse any input to ``DateType``; returns ``(date, iso_flag)``.
 
     ``iso_flag`` is None for dates, which are kept as they are. For text it tells
@@ -139,7 +141,7 @@ def date_parse_parts(c: Column, in_type: DataType, as_of: Column) -> tuple[Colum
         return F.to_date(timestamp_in_range(c, as_of)), F.lit(False)
     text = as_text(c, in_type)
     iso = text.rlike(fixed.ISO_DATE_PATTERN)
-    shaped = F.when(~is_junk_time_text(text), timetext.shaped_date(text, as_of))
+    shaped = F.when(~is_junk_time_text(text), timetext.shaped_date(text, as_of, day_first))
     return F.when(iso, F.try_to_date(text)).otherwise(shaped), iso
 
 

@@ -73,6 +73,7 @@ class IngestOptions:
     stage: bool | None = None  # None: stage when rows go to two outputs (loaded + rejects) or are read more than once
     rebalance: bool = False  # shuffle the raw rows into even partitions first
     epoch: str | None = None  # names the batch: a versioned target that has committed it is left alone
+    vote_dates: bool = False  # read numeric dates day first in columns whose cells say so (one more pass over them)
     partition_col: str | None = None  # target partition that is a function of the key's inputs: others are not read
 
     def check(self) -> None:
@@ -107,6 +108,7 @@ def ingest_table(spark: SparkSession, job: IngestJob, opts: IngestOptions, run_i
         corrupt_col=job.corrupt_col,
         reject_unparseable=opts.reject_unparseable, lenient=opts.lenient,
         report_unparseable=opts.report_residue,
+        day_first=C.day_first_columns(raw, spec) if opts.vote_dates else (),
     )
     C.assert_schema(conformed, spec.schema)
     read_again = opts.mode == "incremental_insert" and (job.target.buckets or job.target.sketch or opts.partition_col)

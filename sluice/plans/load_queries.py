@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 
 from sluice.operators import load as L
 from sluice.operators.keydiff import key_diff
-from sluice.plans.tpch_queries import ORDERS_CONFORMED_SQL, AS_OF, Query, ntz, orders_conformed, read
+from sluice.plans.replay import replay_rejects
+from sluice.plans.tpch_queries import (
+    AS_OF, ORDERS_CONFORMED_SQL, SQL_LINEITEM_INGEST, Query, dirty_lineitem, ntz, orders_conformed, read,
+)
 from sluice.operators import conform as C
 from sluice.plans import ingest as P
 from sluice.session import work_path
@@ -132,9 +135,30 @@ FROM (
 GROUP BY seen"""
 
 
+def q_reject_replay(spark, sf_dir):
+    """Lineitem under a strict contract, then its rejects replayed twice under a looser one: a clean load's rows."""
+    root = work_path(spark, "queries", "reject_replay")
+    target, rejects, settled = (L.Target(path=f"{root}/{x}") for x in ("good", "bad", "settled"))
+    source = dirty_lineitem(spark, sf_dir)
+    strict = P.IngestJob(tpch.lineitem_spec(strict_quantity=True), lambda: source, target, rejects)
+    P.ingest_table(spark, strict, P.IngestOptions(as_of=AS_OF, create_if_missing=True, reject_unparseable=True))
+    job = replace(strict, spec=tpch.lineitem_spec())
+    opts = P.IngestOptions(as_of=AS_OF)
+    first = replay_rejects(spark, job, opts, source.schema, settled)
+    again = replay_rejects(spark, job, opts, source.schema, settled)
+    return ntz(L.read_target(spark, target)).select(
+        "*", F.lit(first.still_open).cast("long").alias("still_open"), F.lit(again.opened).cast("long").alias("opened_again")
+    )
+
+
+SQL_REJECT_REPLAY = f"""
+SELECT *, CAST(0 AS BIGINT) AS still_open, CAST(0 AS BIGINT) AS opened_again FROM ({SQL_LINEITEM_INGEST}) t"""
+
+
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "sketched_insert": (q_sketched_insert, SQL_SKETCHED),
     "key_diff": (q_key_diff, SQL_KEY_DIFF),
     "replayed_once": (q_replayed_once, SQL_REPLAYED),
+    "reject_replay": (q_reject_replay, SQL_REJECT_REPLAY),
     "version_pointer": (q_version_pointer, SQL_VERSIONS),
 }

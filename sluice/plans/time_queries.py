@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from sluice.functions import cells
+from sluice.operators import conform as C
 from sluice.plans.tpch_queries import AS_OF, Query, ntz, read
+from sluice.spec import make_spec
 
 # Spellings of one day with a two-digit year, in both engines' patterns, and of one
 # moment of it in forms the native cast does not take.
@@ -54,6 +56,35 @@ SELECT o_orderkey, {_turn([f"strftime({_DAY}, '{p}')" for _, p in TWO_DIGIT])} A
        CASE WHEN o_orderkey % {len(MOMENTS)} = 5 THEN {_MOMENT} + INTERVAL 250 MILLISECOND ELSE {_MOMENT} END AS moment
 FROM orders"""
 
+def vote_spec():
+    return make_spec("order_days", "DAYS_KEY", [
+        ("o_orderkey", "ORDER_KEY", "decimal(38,0)"), ("day_text", "ORDER_DAY", "date"),
+        ("us_text", "US_TIME", "timestamp"), ("mixed_text", "MIXED_DAY", "date"),
+    ], audit=None)
+
+
+def q_date_column_vote(spark, sf_dir):
+    """Order dates written day first, month first and both ways in one column, each column read as its cells vote."""
+    orders = read(spark, sf_dir, "orders").select(
+        "o_orderkey", F.expr("date_format(o_orderdate, 'd/M/yyyy')").alias("day_text"),
+        F.expr("date_format(o_orderdate, 'MM-dd-yy')").alias("us_text"),
+        F.expr("date_format(o_orderdate, CASE WHEN o_orderkey % 2 = 0 THEN 'dd.MM.yyyy' ELSE 'MM.dd.yyyy' END)").alias("mixed_text"),
+    )
+    spec = vote_spec()
+    report = C.schema_report(orders, spec, AS_OF, vote_dates=True)
+    said = report.agg(F.array_join(F.sort_array(F.collect_list(
+        F.concat_ws(":", "column", "reading", "issue"))), ",").alias("readings"))
+    read_as = C.conform(orders, spec, AS_OF, day_first=C.day_first_columns(orders, spec))
+    return ntz(read_as.select("ORDER_KEY", "ORDER_DAY", "US_TIME")).crossJoin(F.broadcast(said))  # one row
+
+
+SQL_COLUMN_VOTE = """
+SELECT CAST(o_orderkey AS DECIMAL(38,0)) AS ORDER_KEY, CAST(o_orderdate AS DATE) AS ORDER_DAY,
+       CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS US_TIME,
+       'MIXED_DAY:conflict:day order,ORDER_DAY:day_first:type,ORDER_KEY:type,US_TIME:month_first:type' AS readings
+FROM orders"""
+
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "date_two_digit_years": (q_date_two_digit_years, SQL_TWO_DIGIT),
+    "date_column_vote": (q_date_column_vote, SQL_COLUMN_VOTE),
 }

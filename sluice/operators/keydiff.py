@@ -11,7 +11,7 @@ sides whose 63-bit sums agree by chance.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.session import work_path
@@ -78,6 +78,34 @@ def key_diff(source: DataFrame, target: DataFrame, key_col: str, target_key_col:
     return counted.where("source_rows <> target_rows").withColumn("status", status)
 
 
+#: Checksums of one side that ``unequal_prefixes`` compares.
+PREFIXES = 4096
+
+
+def hash_prefix(key_col: str) -> Column:
+    """The prefix of ``PREFIXES`` that a key's checksum is kept under."""
+    return F.xxhash64(key_col).bitwiseAND(F.lit(PREFIXES - 1))
+
+
+def unequal_prefixes(source: DataFrame, target: DataFrame, key_col: str) -> DataFrame:
+    """(prefix) under which the two sides hold different keys, or one in different numbers.
+
+    Each side adds up two 64-bit hashes of its keys per prefix, so that different keys
+    pass for equal ones only where 128 bits and the counts agree by chance.
+    """
+    def sums(df: DataFrame, sign: int) -> DataFrame:
+        hashes = df.select(F.xxhash64(key_col).alias("h0"), F.xxhash64(F.lit(1), key_col).alias("h1"))
+        halves = [F.col(h).bitwiseAND(F.lit((1 << 32) - 1)) for h in ("h0", "h1")]
+        halves += [F.shiftrightunsigned(h, 32) for h in ("h0", "h1")]
+        return hashes.groupBy(F.col("h0").bitwiseAND(F.lit(PREFIXES - 1)).alias("prefix")).agg(
+            (F.count(F.lit(1)) * sign).alias("n"), *[(F.sum(x) * sign).alias(f"s{i}") for i, x in enumerate(halves)]
+        )
+
+    names = ["n", "s0", "s1", "s2", "s3"]
+    both = sums(source, 1).unionByName(sums(target, -1)).groupBy("prefix").agg(*[F.sum(c).alias(c) for c in names])
+    return both.where(" or ".join(f"{c} <> 0" for c in names)).select("prefix")
+
+
 def _under(keys: DataFrame, prefixes: DataFrame | None, bits: int) -> DataFrame:
     """The keys under these prefixes of ``bits`` bits (all, without any)."""
     if prefixes is None:

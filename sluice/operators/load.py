@@ -23,12 +23,13 @@ import threading
 from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 from pyspark.errors import AnalysisException
 
 from sluice.operators import keysketch, versions
+from sluice.operators.keydiff import PREFIXES, hash_prefix, unequal_prefixes
 
 WRITE_MODES = ("append", "incremental_insert")
 
@@ -173,17 +174,21 @@ def load_rules(spark: SparkSession):
 
     AQE must not replace a plan whose shuffle came out empty (its observed counts
     would be lost), and filters are not inferred from constraints: for the hundred
-    computed columns of a wide contract that search does not end. Loads of several
+    computed columns of a wide contract that search does not end. Parquet files are
+    written with zstd unless the session names a codec: half of a conformed row is hex
+    digests, which snappy leaves as long as they are. Loads of several
     threads share one setting; the last to end restores what the first found.
     """
     rules, infer = "spark.sql.adaptive.optimizer.excludedRules", "spark.sql.constraintPropagation.enabled"
+    codec = "spark.sql.parquet.compression.codec"
     app = f"{spark.sparkContext.applicationId}/{spark._jsparkSession.sessionUUID()}"
     with _rules_lock:
         users, found = _rules_held.get(app, (0, {}))
         if not users:
-            found = {name: spark.conf.get(name, None) for name in (rules, infer)}
+            found = {name: spark.conf.get(name, None) for name in (rules, infer, codec)}
             spark.conf.set(rules, f"{found[rules]},{_EMPTY_RULE}" if found[rules] else _EMPTY_RULE)
             spark.conf.set(infer, "false")
+            spark.conf.set(codec, found[codec] or "zstd")
         _rules_held[app] = (users + 1, found)
     try:
         yield
@@ -283,6 +288,13 @@ def reload_table(df: DataFrame, target: Target, epoch: str | None = None) -> Loa
     return LoadResult(rows_in=n, rows_written=n)
 
 
+def _one_per_key(batch: DataFrame, key_col: str, order_cols: tuple[str, ...]) -> DataFrame:
+    if not order_cols:
+        return batch.dropDuplicates([key_col])
+    at = Window.partitionBy(key_col).orderBy(*[F.col(c).asc_nulls_last() for c in order_cols])
+    return batch.withColumn("_nth", F.row_number().over(at)).where("_nth = 1").drop("_nth")
+
+
 def new_rows(batch: DataFrame, existing_keys: DataFrame, key_col: str, *, dedupe: bool = False,
              order_cols: tuple[str, ...] = (), split_keys_of: DataFrame | None = None) -> DataFrame:
     """Rows of ``batch`` whose key is not among ``existing_keys``.
@@ -295,11 +307,8 @@ def new_rows(batch: DataFrame, existing_keys: DataFrame, key_col: str, *, dedupe
     so that Spark could not split a hot key's partition. The distinct keys are
     combined map-side, and both sides of the join back are shuffled.
     """
-    if dedupe and order_cols:
-        at = Window.partitionBy(key_col).orderBy(*[F.col(c).asc_nulls_last() for c in order_cols])
-        batch = batch.withColumn("_nth", F.row_number().over(at)).where("_nth = 1").drop("_nth")
-    elif dedupe:
-        batch = batch.dropDuplicates([key_col])
+    if dedupe:
+        batch = _one_per_key(batch, key_col, order_cols)
     existing = existing_keys.select(F.col(key_col).alias("_key"))
     if split_keys_of is None:
         return batch.join(existing, F.col(key_col) == F.col("_key"), "left_anti")
@@ -311,6 +320,62 @@ def new_rows(batch: DataFrame, existing_keys: DataFrame, key_col: str, *, dedupe
     return batch.join(known, F.col(key_col) == F.col("_key"), "left_anti")
 
 
+#: A set of at most this many keys is sent to every task; a larger one is shuffled.
+LISTED_KEYS = 100_000
+
+
+def packed_key(key: Column) -> Column:
+    """A text key as bytes: lower-case hex (a digest) in half its length. Different keys stay different."""
+    is_hex = key.rlike(r"^[0-9a-f]+\z") & (F.length(key) % 2 == 0)
+    return F.when(is_hex, F.concat(F.lit(b"h"), F.unhex(key))).otherwise(F.concat(F.lit(b"t"), key.cast("binary")))
+
+
+def fresh_rows(batch: DataFrame, existing: DataFrame, key_col: str) -> tuple[DataFrame | None, int]:
+    """``new_rows`` of a batch that is read from files, and the batch's rows; None when no row is new.
+
+    Keys are compared first, without their rows. Most batches are then new or known as
+    a whole, or nearly so: their rows are written, or not, where they were read. Only a
+    batch with more than ``LISTED_KEYS`` keys of both kinds is shuffled. Three steps,
+    each for what the one before left open: checksums per prefix of the key's hash
+    (a re-run moves no key), 64-bit hashes (equal keys have equal ones: no match means
+    all new), packed keys. A batch of few keys is sent to the target's instead.
+    """
+    kinds = [df.schema[key_col].dataType for df in (batch, existing)]
+    key = packed_key(F.col(key_col)) if kinds == [StringType()] * 2 else F.col(key_col)
+    counted = batch.agg(F.count(F.lit(1)).alias("n"), F.count(key_col).alias("keyed")).first()
+    rows, keyed = counted["n"], counted["keyed"]
+    if keyed == 0:
+        return (batch if rows else None), rows
+    keys, held = (df.select(key.alias("_key")).where("_key is not null") for df in (batch, existing))
+    if keyed <= LISTED_KEYS:
+        known = held.join(F.broadcast(keys), "_key", "left_semi").distinct()
+        return batch.join(F.broadcast(known), key == F.col("_key"), "left_anti"), rows
+    with load_rules(batch.sparkSession):
+        unequal = [r[0] for r in unequal_prefixes(keys, held, "_key").collect()]  # PREFIXES numbers at most
+        n_known = keyed
+        if unequal:
+            if 2 * len(unequal) < PREFIXES:
+                keys, held = (df.where(hash_prefix("_key").isin(unequal)) for df in (keys, held))
+            open_keys = keys.count() if 2 * len(unequal) < PREFIXES else keyed
+            hashes = [df.select(F.xxhash64("_key").alias("_hash")) for df in (keys, held)]
+            n_open = hashes[0].join(hashes[1], "_hash", "left_semi").count()
+            if n_open:
+                n_open = keys.join(held, "_key", "left_semi").count()
+            n_known = keyed - open_keys + n_open
+    if n_known == 0:
+        return batch, rows
+    if n_known == keyed:
+        return (batch.where(F.col(key_col).isNull()) if rows > keyed else None), rows
+    if keyed - n_known <= LISTED_KEYS:
+        new = keys.join(held, "_key", "left_anti").distinct()
+        found = batch.join(F.broadcast(new), key == F.col("_key"), "left")
+        return found.where(F.col(key_col).isNull() | F.col("_key").isNotNull()).drop("_key"), rows
+    if n_known <= LISTED_KEYS:
+        known = batch.select(key.alias("_key")).join(existing.select(key.alias("_key")), "_key", "left_semi").distinct()
+        return batch.join(F.broadcast(known), key == F.col("_key"), "left_anti"), rows
+    return new_rows(batch, existing, key_col), rows
+
+
 def incremental_insert(df: DataFrame, target: Target, key_col: str, *, dedupe: bool = False,
                        create_if_missing: bool = False, schema: StructType | None = None,
                        order_cols: tuple[str, ...] = (), partition_col: str | None = None,
@@ -322,7 +387,8 @@ def incremental_insert(df: DataFrame, target: Target, key_col: str, *, dedupe: b
     the batch's partitions of the target are read. Of a sketched target only files
     that may hold one of the batch's keys are read. Where the batch is read more than
     once (sketched or bucketed targets) it is written to the work folder first, unless
-    ``staged`` says that it is read from files already. A batch whose ``epoch`` a
+    ``staged`` says that it is read from files already; the keys of a batch in files are
+    compared before its rows are moved (see ``fresh_rows``). A batch whose ``epoch`` a
     versioned target has committed is skipped without a join.
     """
     spark = df.sparkSession
@@ -342,7 +408,7 @@ def incremental_insert(df: DataFrame, target: Target, key_col: str, *, dedupe: b
             df.write.parquet(stage)
         df = spark.read.schema(df.schema).parquet(stage)
     try:
-        return _insert_new(df, target, key_col, dedupe, order_cols, partition_col, epoch)
+        return _insert_new(df, target, key_col, dedupe, order_cols, partition_col, epoch, staged or stage is not None)
     finally:
         if stage is not None:
             from sluice.sources.raw import remove_folder
@@ -357,7 +423,7 @@ LISTED_PARTITIONS = 10_000
 
 
 def _insert_new(df: DataFrame, target: Target, key_col: str, dedupe: bool, order_cols: tuple[str, ...],
-                partition_col: str | None, epoch: str | None = None) -> LoadResult:
+                partition_col: str | None, epoch: str | None = None, staged: bool = False) -> LoadResult:
     spark = df.sparkSession
     current = read_target(spark, target)  # one listing of the target per load
     existing = current
@@ -370,15 +436,23 @@ def _insert_new(df: DataFrame, target: Target, key_col: str, dedupe: bool, order
         existing = keysketch.read_files(current, target.path, found, target.format, target.options)
     if partition_col is not None:
         existing = _in_partitions(existing, df, partition_col)
-    hot = target.buckets and not dedupe and _hottest(df, key_col) > HOT_KEY_ROWS
     obs_in, obs_out = Observation(), Observation()
-    batch = df.observe(obs_in, F.count(F.lit(1)).alias("n"))
-    fresh = new_rows(batch, existing, key_col, dedupe=dedupe, order_cols=order_cols, split_keys_of=df if hot else None)
+    rows = None
+    if staged and not target.buckets and not existing.isEmpty():
+        fresh, rows = fresh_rows(df, existing, key_col)
+        if fresh is None and not target.versioned:
+            return LoadResult(rows, 0, files, total)
+        fresh = df.where(F.lit(False)) if fresh is None else _one_per_key(fresh, key_col, order_cols) if dedupe else fresh
+    else:
+        hot = target.buckets and not dedupe and _hottest(df, key_col) > HOT_KEY_ROWS
+        batch = df.observe(obs_in, F.count(F.lit(1)).alias("n"))
+        fresh = new_rows(batch, existing, key_col, dedupe=dedupe, order_cols=order_cols, split_keys_of=df if hot else None)
     _write(fresh.observe(obs_out, F.count(F.lit(1)).alias("n")), target, overwrite=False, current=current, key_col=key_col,
            epoch=epoch)
     if target.sketch:
         keysketch.update_sketches(read_target(spark, target), target.path, key_col, target.format, target.options)
-    return LoadResult(int(obs_in.get.get("n", 0)), int(obs_out.get.get("n", 0)), files, total)
+    rows_in = int(obs_in.get.get("n", 0)) if rows is None else rows
+    return LoadResult(rows_in, int(obs_out.get.get("n", 0)), files, total)
 
 
 def _hottest(df: DataFrame, key_col: str) -> int:

@@ -137,7 +137,7 @@ def ingest_table(spark: SparkSession, job: IngestJob, opts: IngestOptions, run_i
         rejects = rejects.withColumn(
             REJECT_KEY, F.sha2(F.concat_ws("\n", F.col(C.RAW_ROW_COL), F.col(C.REASON_COL)), 256)
         )
-        L.incremental_insert(rejects, job.reject_target, REJECT_KEY, create_if_missing=True, schema=rejects.schema)
+        L.incremental_insert(rejects, job.reject_target, REJECT_KEY, create_if_missing=True, schema=rejects.schema, staged=stage)
     target = L.resolve_target(job.target, spec.schema)
     if not L.target_exists(spark, target):
         if not opts.create_if_missing:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -42,16 +42,33 @@ def open_rejects(spark: SparkSession, rejects: L.Target, settled: L.Target) -> D
     """
     kept = L.read_target(spark, rejects).select(REJECT_KEY, C.RAW_ROW_COL)
     if L.target_exists(spark, settled):
-        kept = kept.join(L.read_target(spark, settled).select(REJECT_KEY), REJECT_KEY, "left_anti")
-    return (
-        kept.groupBy(C.RAW_ROW_COL, REJECT_KEY).agg(F.count(F.lit(1)).alias("n"))
-        .groupBy(C.RAW_ROW_COL).agg(F.max("n").cast("int").alias("copies"), F.collect_set(REJECT_KEY).alias(_KEYS))
-    )
+        kept = L.fresh_rows(kept, L.read_target(spark, settled), REJECT_KEY)[0]
+        if kept is None:
+            kept = L.read_target(spark, rejects).select(REJECT_KEY, C.RAW_ROW_COL).where(F.lit(False))
+
+    def together(rows: DataFrame) -> DataFrame:
+        return (
+            rows.groupBy(C.RAW_ROW_COL, REJECT_KEY).agg(F.count(F.lit(1)).alias("n"))
+            .groupBy(C.RAW_ROW_COL).agg(F.max("n").cast("int").alias("copies"), F.collect_set(REJECT_KEY).alias(_KEYS))
+        )
+
+    # a raw row whose 64-bit hash no other has is alone: only the rest are brought together
+    mark = F.xxhash64(C.RAW_ROW_COL)
+    shared = kept.select(mark.alias("_mark")).groupBy("_mark").count().where("count > 1").select("_mark")
+    n_shared = shared.count()
+    if n_shared > L.LISTED_KEYS:
+        return together(kept)
+    alone = kept if n_shared == 0 else kept.join(F.broadcast(shared), mark == F.col("_mark"), "left_anti")
+    alone = alone.select(C.RAW_ROW_COL, F.lit(1).alias("copies"), F.array(REJECT_KEY).alias(_KEYS))
+    if n_shared == 0:
+        return alone
+    return alone.unionByName(together(kept.join(F.broadcast(shared), mark == F.col("_mark"), "left_semi")))
 
 
 def parse_raw_rows(rows: DataFrame, source_schema: StructType) -> DataFrame:
-    """The raw rows as source columns, with the reject keys; rows that are no such JSON are left out.
+    """The raw rows as source columns; rows that are no such JSON are left out.
 
+    The first copy of a raw row carries its reject keys, the others NULL.
     Timestamps come back to the millisecond, as they were written.
     """
     broken = "_unread"
@@ -60,8 +77,8 @@ def parse_raw_rows(rows: DataFrame, source_schema: StructType) -> DataFrame:
     asked = StructType([*source_schema.fields, StructField(broken, StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": broken, "maxStringLen": "2147483647", "maxNestingDepth": "2147483647"}
     parsed = rows.select(
-        _KEYS, F.explode(F.sequence(F.lit(1), F.col("copies"))), F.from_json(C.RAW_ROW_COL, asked, options).alias("r")
-    )
+        C.RAW_ROW_COL, _KEYS, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")
+    ).select(F.when(F.col("copy") == 1, F.col(_KEYS)).alias(_KEYS), F.from_json(C.RAW_ROW_COL, asked, options).alias("r"))
     return parsed.where(F.col("r").isNotNull() & F.col("r")[broken].isNull()).select(
         *[F.col("r")[f.name].alias(f.name) for f in source_schema.fields], _KEYS
     )
@@ -81,25 +98,28 @@ def replay_rejects(spark: SparkSession, job: IngestJob, opts: IngestOptions, sou
     clock = cells.as_of_col(opts.as_of)
     folder = work_path(spark, "replay", job.spec.name)
     try:
-        # written once: the rows are read for the load, for the marks and for the counts
-        open_rejects(spark, job.reject_target, settled).write.parquet(f"{folder}/open")
-        found = spark.read.parquet(f"{folder}/open")
+        seen = Observation()
+        found = open_rejects(spark, job.reject_target, settled).observe(seen, F.count(F.lit(1)).alias("n"))
         conformed = C.conform(
             parse_raw_rows(found, source_schema), job.spec, opts.as_of, hash_algo=opts.hash_algo, key_mode=opts.key_mode,
             null_token=opts.null_token, hash_after_clamp=opts.hash_after_clamp, with_reason=True,
             corrupt_col=job.corrupt_col, reject_unparseable=opts.reject_unparseable, lenient=opts.lenient, carry=(_KEYS,),
         )
+        # rows that pass are written once: they are read for the load, for the marks and for the count.
+        # Observed before the filter, which would else be pushed down and parse every cell a second time
+        passing = conformed.observe(Observation(), F.count(F.lit(1)).alias("n")).where(F.col(C.REASON_COL).isNull())
         with L.load_rules(spark):
-            conformed.write.parquet(f"{folder}/rows")
-        good = spark.read.parquet(f"{folder}/rows").where(F.col(C.REASON_COL).isNull())
+            passing.drop(C.REASON_COL).write.parquet(f"{folder}/rows")
+        good = spark.read.parquet(f"{folder}/rows")
         res = L.incremental_insert(
-            good.drop(C.REASON_COL, _KEYS), job.target, job.spec.key_col, dedupe=opts.dedupe, order_cols=opts.order_cols,
+            good.drop(_KEYS), job.target, job.spec.key_col, dedupe=opts.dedupe, order_cols=opts.order_cols,
             partition_col=opts.partition_col, staged=True, create_if_missing=opts.create_if_missing, schema=job.spec.schema,
         )
-        marks = good.select(F.explode(_KEYS).alias(REJECT_KEY)).distinct().withColumn(SETTLED_AT, clock)
-        L.incremental_insert(marks, settled, REJECT_KEY, create_if_missing=True, schema=marks.schema)
-        opened = found.count()
-        done = good.select(F.array_min(_KEYS)).distinct().count()
+        marked = good.where(F.col(_KEYS).isNotNull())
+        marks = marked.select(F.explode(_KEYS).alias(REJECT_KEY)).withColumn(SETTLED_AT, clock)
+        L.incremental_insert(marks, settled, REJECT_KEY, create_if_missing=True, schema=marks.schema, staged=True)
+        opened = int(seen.get.get("n", 0))
+        done = marked.count()
     finally:
         remove_folder(spark, folder)
     return ReplayResult(opened, res.rows_written, done, opened - done)

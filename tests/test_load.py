@@ -216,3 +216,34 @@ def test_partitioned_catalog_target(spark):
     assert got == [("a", "d1"), ("b", "d2"), ("c", "d2")]
     L.load(rows(("d3", "z")), t, "KEY", "append", historical=True)
     assert [(r["V"], r["DAY"]) for r in L.read_target(spark, t).collect()] == [("z", "d3")]
+
+
+def test_keys_of_a_staged_batch_are_compared_without_its_rows(spark, monkeypatch):
+    root = work_path(spark, "test", "fresh")
+    rows = spark.range(4000).select(F.sha2(F.col("id").cast("string"), 256).alias("KEY"), "id")
+    rows = rows.unionByName(spark.createDataFrame([(None, -1)], "KEY string, id long"))
+    rows.write.parquet(f"{root}/batch")
+    batch = spark.read.parquet(f"{root}/batch")
+    shuffled = []
+    monkeypatch.setattr(L, "LISTED_KEYS", 10)
+    monkeypatch.setattr(L, "new_rows", lambda b, e, k, real=L.new_rows, **how: shuffled.append(k) or real(b, e, k, **how))
+
+    def fresh(held):
+        path = f"{root}/{held.replace(' ', '')}"
+        rows.where(held).write.parquet(path)
+        frame, n = L.fresh_rows(batch, spark.read.parquet(path), "KEY")
+        assert n == 4001
+        return sorted(r["id"] for r in frame.collect()) if frame is not None else []
+
+    assert fresh("id >= 0") == [-1]  # a re-run: rows without a key always pass
+    assert fresh("id > 3994") == [-1, *range(3995)]  # few known
+    assert fresh("id > 4") == [-1, 0, 1, 2, 3, 4]  # few new
+    assert fresh("id > 99999") == [-1, *range(4000)]
+    assert shuffled == []
+    assert fresh("id % 2 = 0") == [-1, *range(1, 4000, 2)] and shuffled == ["KEY"]
+
+
+def test_packed_keys_differ_where_keys_do(spark):
+    keys = ["ab", "AB", "0ab", "h\xab", "t", "", "abc", "6162", "a b", "ab\n", "abc\n"]
+    packed = spark.createDataFrame([(k,) for k in keys], "k string").select(L.packed_key(F.col("k"))).collect()
+    assert len({bytes(r[0]) for r in packed}) == len(keys)

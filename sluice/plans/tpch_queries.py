@@ -172,7 +172,10 @@ SHIP_DAY_SQL = ("CASE l_linenumber % 3 WHEN 0 THEN strftime(l_shipdate, '%Y-%m-%
 
 def dirty_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lineitem as a text-typed extract with messy cells (all rows kept)."""
-    li = read(spark, sf_dir, "lineitem")
+    return dirty_cells(read(spark, sf_dir, "lineitem"))
+
+
+def dirty_cells(li: DataFrame) -> DataFrame:
     return li.select(
         "l_orderkey", "l_linenumber", "l_discount",
         F.expr(QTY_TEXT).alias("qty_text"),
@@ -731,7 +734,8 @@ SQL_RAW_ROUNDTRIP = f"SELECT *, {sql_audit()} FROM nation"
 
 def _quarantine(spark, sf_dir):
     spec = tpch.lineitem_spec(strict_quantity=True)
-    conformed = C.conform(dirty_lineitem(spark, sf_dir), spec, AS_OF, with_reason=True, reject_unparseable=True)
+    extract = dirty_cells(R.spread_by(read(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber"))
+    conformed = C.conform(extract, spec, AS_OF, with_reason=True, reject_unparseable=True)
     return C.split_rejects(conformed)
 
 

@@ -146,3 +146,12 @@ def test_two_hop_sync_then_ingest(spark):
         src = C.conform(job.source(), job.spec, AS_OF)
         row = reconcile(src, L.read_target(spark, job.target), job.spec.key_col).first()
         assert row["missing_in_target"] == 0 and row["target_rows"] == rec.rows_written > 0
+
+
+def test_a_small_file_is_conformed_by_many_tasks(spark):
+    from sluice.plans import tpch_queries as Q
+
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for name in ("lead_contract", "lead_xref_contract", "lead_assignment_contract"):
+        rows = Q.QUERIES[name][0](spark, "/root/testdata/sf0.001")
+        assert rows.rdd.getNumPartitions() == n, name

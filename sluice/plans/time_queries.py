@@ -8,6 +8,7 @@ from pyspark.sql.types import StringType
 from sluice.functions import cells
 from sluice.operators import conform as C
 from sluice.plans.tpch_queries import AS_OF, Query, ntz, read
+from sluice.sources.raw import spread_by
 from sluice.spec import make_spec
 
 # Spellings of one day with a two-digit year, in both engines' patterns, and of one
@@ -65,7 +66,7 @@ def vote_spec():
 
 def q_date_column_vote(spark, sf_dir):
     """Order dates written day first, month first and both ways in one column, each column read as its cells vote."""
-    orders = read(spark, sf_dir, "orders").select(
+    orders = spread_by(read(spark, sf_dir, "orders"), "o_orderkey").select(
         "o_orderkey", F.expr("date_format(o_orderdate, 'd/M/yyyy')").alias("day_text"),
         F.expr("date_format(o_orderdate, 'MM-dd-yy')").alias("us_text"),
         F.expr("date_format(o_orderdate, CASE WHEN o_orderkey % 2 = 0 THEN 'dd.MM.yyyy' ELSE 'MM.dd.yyyy' END)").alias("mixed_text"),

@@ -42,3 +42,11 @@ def test_ambiguous_cells_follow_the_vote(spark):
     assert got["A"] == dt.date(2023, 10, 3) and got["B"] == "2023-03-10 10:00:00" and got["D"] == dt.date(2023, 4, 4)
     report = {r["column"]: (r["reading"], r["issue"]) for r in C.schema_report(raw, SPEC, AS_OF, vote_dates=True).collect()}
     assert report["C"] == ("conflict", "day order") and report["A"] == ("day_first", "type") and report["E"] == (None, None)
+
+
+def test_one_row_group_is_voted_on_and_read_by_many_tasks(spark):
+    from sluice.plans.time_queries import q_date_column_vote
+
+    plan = q_date_column_vote(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    n = spark.conf.get("spark.sql.shuffle.partitions")
+    assert plan.count("REPARTITION_BY_NUM") >= 3 and "o_orderkey" in plan and f", {n}), REPARTITION_BY_NUM" in plan

@@ -386,7 +386,7 @@ def incremental_insert(df: DataFrame, target: Target, key_col: str, *, dedupe: b
     the key's inputs, as hashed: equal keys then lie in equal partitions, and only
     the batch's partitions of the target are read. Of a sketched target only files
     that may hold one of the batch's keys are read. Where the batch is read more than
-    once (sketched or bucketed targets) it is written to the work folder first, unless
+    once (sketched or bucketed targets, or one whose keys are not broadcast) it is written to the work folder first, unless
     ``staged`` says that it is read from files already; the keys of a batch in files are
     compared before its rows are moved (see ``fresh_rows``). A batch whose ``epoch`` a
     versioned target has committed is skipped without a join.
@@ -400,13 +400,14 @@ def incremental_insert(df: DataFrame, target: Target, key_col: str, *, dedupe: b
             raise TargetMissingError(f"target {target.label} does not exist")
         create_target(spark, target, schema or df.schema, key_col)
     stage = None
-    if (target.sketch or target.buckets) and not staged:
+    moves = not (target.sketch or target.buckets or staged) and _keys_are_shuffled(spark, target, key_col)
+    if (target.sketch or target.buckets or moves) and not staged:
         from sluice.session import work_path
 
         stage = work_path(spark, "stage", "batch")
         with load_rules(spark):
             df.write.parquet(stage)
-        df = spark.read.schema(df.schema).parquet(stage)
+        df = spark.read.schema(df.schema).parquet(stage)  # staged rows compress well: their shuffle would cost more
     try:
         return _insert_new(df, target, key_col, dedupe, order_cols, partition_col, epoch, staged or stage is not None)
     finally:
@@ -416,6 +417,13 @@ def incremental_insert(df: DataFrame, target: Target, key_col: str, *, dedupe: b
             remove_folder(spark, stage)
 
 
+def _keys_are_shuffled(spark: SparkSession, target: Target, key_col: str) -> bool:
+    """Whether the target's keys are too many for the planner to send them to every task."""
+    keys = read_target(spark, target).select(key_col)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(keys)) > limit
+
+
 #: A bucketed batch key with more rows than this is split over tasks.
 HOT_KEY_ROWS = 100_000
 #: Batches of more partitions than this are matched to the target's by a join.

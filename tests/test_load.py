@@ -247,3 +247,24 @@ def test_packed_keys_differ_where_keys_do(spark):
     keys = ["ab", "AB", "0ab", "h\xab", "t", "", "abc", "6162", "a b", "ab\n", "abc\n"]
     packed = spark.createDataFrame([(k,) for k in keys], "k string").select(L.packed_key(F.col("k"))).collect()
     assert len({bytes(r[0]) for r in packed}) == len(keys)
+
+
+def test_a_batch_of_known_rows_is_loaded_again_without_moving_them(spark, monkeypatch):
+    moved = []
+    monkeypatch.setattr(L, "new_rows", lambda b, e, k, real=L.new_rows, **how: moved.append(k) or real(b, e, k, **how))
+    t = L.Target(path=work_path(spark, "test", "again"))
+    rows = spark.range(500).select(F.sha2(F.col("id").cast("string"), 256).alias("KEY"), "id")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert L.incremental_insert(rows, t, "KEY", create_if_missing=True).rows_written == 500
+        for listed in (1000, 5):
+            monkeypatch.setattr(L, "LISTED_KEYS", listed)
+            moved.clear()
+            again = L.incremental_insert(rows, t, "KEY")
+            assert (again.rows_in, again.rows_written, moved) == (500, 0, [])
+        more = spark.range(498, 503).select(F.sha2(F.col("id").cast("string"), 256).alias("KEY"), "id")
+        assert L.incremental_insert(more, t, "KEY").rows_written == 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert L.read_target(spark, t).count() == 503

@@ -85,3 +85,14 @@ def test_text_that_is_no_row_stays_open(spark, job):
     assert (got.opened, got.still_open) == (4, 1)
     with pytest.raises(ValueError):
         R.replay_rejects(spark, IngestJob(spec(), made.source, made.target), IngestOptions(), raw.schema, settled)
+
+
+def test_rejects_of_a_rerun_are_compared_by_their_keys(spark, job, monkeypatch):
+    made, raw, settled = job
+    moved = []
+    monkeypatch.setattr(L, "new_rows", lambda b, e, k, real=L.new_rows, **how: moved.append(k) or real(b, e, k, **how))
+    monkeypatch.setattr(L, "LISTED_KEYS", 2)
+    before = L.read_target(spark, made.reject_target).count()
+    again = ingest_table(spark, made, IngestOptions(as_of=AS_OF, reject_unparseable=True))
+    assert (again.rows_in, again.rows_written, again.rows_rejected) == (5, 0, 4) and moved == []
+    assert L.read_target(spark, made.reject_target).count() == before == 4

@@ -351,7 +351,9 @@ def fresh_rows(batch: DataFrame, existing: DataFrame, key_col: str) -> tuple[Dat
         known = held.join(F.broadcast(keys), "_key", "left_semi").distinct()
         return batch.join(F.broadcast(known), key == F.col("_key"), "left_anti"), rows
     with load_rules(batch.sparkSession):
-        unequal = [r[0] for r in unequal_prefixes(keys, held, "_key").collect()]  # PREFIXES numbers at most
+        unequal = range(PREFIXES)
+        if abs(existing.count() - keyed) <= 16 * PREFIXES:  # else hardly a prefix is equal
+            unequal = [r[0] for r in unequal_prefixes(keys, held, "_key").collect()]  # PREFIXES numbers at most
         n_known = keyed
         if unequal:
             if 2 * len(unequal) < PREFIXES:

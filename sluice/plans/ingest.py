@@ -113,11 +113,13 @@ def ingest_table(spark: SparkSession, job: IngestJob, opts: IngestOptions, run_i
     C.assert_schema(conformed, spec.schema)
     read_again = opts.mode == "incremental_insert" and (job.target.buckets or job.target.sketch or opts.partition_col)
     stage = opts.stage if opts.stage is not None else bool(job.reject_target is not None or read_again)
-    staged = None
+    staged, keyless = None, False
     if stage:
         staged = work_path(spark, "stage", spec.name)
+        # half of a staged row would be its digest: written without it where it can be had from the values
+        keyless = C.key_follows_values(spec, opts.hash_algo, opts.key_mode, opts.hash_after_clamp)
         with L.load_rules(spark):
-            conformed.write.mode("overwrite").parquet(staged)
+            (conformed.drop(spec.key_col) if keyless else conformed).write.mode("overwrite").parquet(staged)
         conformed = spark.read.parquet(staged)
     # counts for the run log ride on the load's own job (no extra pass)
     seen = Observation()
@@ -130,6 +132,8 @@ def ingest_table(spark: SparkSession, job: IngestJob, opts: IngestOptions, run_i
     observed = conformed.observe(seen, *metrics)
     good, _ = C.split_rejects(observed)
     _, rejects = C.split_rejects(conformed)
+    if keyless:
+        good, rejects = (C.with_key(x, spec, opts.hash_algo, opts.key_mode, opts.null_token) for x in (good, rejects))
 
     # rejects go first: once the batch's epoch is committed, a replay does not come back for them
     if job.reject_target is not None:

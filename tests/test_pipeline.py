@@ -3,12 +3,14 @@
 import pytest
 from pyspark.sql import functions as F
 
+from sluice.operators import conform as C
 from sluice.operators import load as L
 from sluice.operators.counts import reconcile, table_counts
 from sluice.plans import ingest as P
 from sluice.plans import runlog
 from sluice.session import work_path
 from sluice.sources import jdbc, raw
+from sluice.spec import make_spec
 from sluice.specs import tpch
 
 from conftest import AS_OF, SF001
@@ -220,3 +222,21 @@ def test_lenient_option_through_the_pipeline(spark):
         rec = P.ingest_table(spark, job, P.IngestOptions(as_of=AS_OF, create_if_missing=True, lenient=lenient))
         assert rec.rows_written == 2
         assert L.read_target(spark, t).filter("A IS NULL").count() == expect_null
+
+
+def test_staged_rows_are_kept_without_the_digest_of_their_values(spark, monkeypatch):
+    """... and loaded with the key they would have had; a clamped value keeps its digest."""
+    rows = [("a", "2024-01-02 03:04:05", 1.5), ("b", "2031-01-02", -0.0), ("c", None, None), ("d", "x1234", 2.0)]
+    raw = spark.createDataFrame(rows, "id string, at string, v double")
+    kept = []
+    monkeypatch.setattr(P, "remove_folder", lambda s, path: kept.append(path))
+    for policy, keyless in (("keep", True), ("clamp", False), ("null", False)):
+        spec = make_spec("t", "K", [("id", "ID", "string"), ("at", "AT", "timestamp"), ("v", "V", "double")],
+                         future_policy={"AT": policy}, audit=None)
+        root = work_path(spark, "test", "keyless")
+        job = P.IngestJob(spec, lambda: raw, L.Target(path=f"{root}/good"), L.Target(path=f"{root}/bad"))
+        P.ingest_table(spark, job, P.IngestOptions(as_of=AS_OF, create_if_missing=True, reject_unparseable=True))
+        assert ("K" not in spark.read.parquet(kept[-1]).columns) is keyless
+        want = {r["ID"]: r["K"] for r in C.conform(raw, spec, AS_OF).collect()}
+        got = L.read_target(spark, job.target).select("ID", "K").collect() + L.read_target(spark, job.reject_target).select("ID", "K").collect()
+        assert {r["ID"]: r["K"] for r in got} == want and len(got) == 4

@@ -90,8 +90,9 @@ def sketch_counts(docs: DataFrame, text_col: str, size: int, bits: int) -> np.nd
         .groupBy("part").applyInArrow(add, "part int, cells binary")
     )
     cells = np.zeros(1 << bits, np.int64).reshape(-1, min(SKETCH_PART, 1 << bits))
-    for row in summed.toLocalIterator():
-        cells[row["part"]] = np.frombuffer(row["cells"], np.int64)
+    summed = summed.toArrow()  # a fixed size, in one job: a local iterator runs one for every partition
+    for part, counts in zip(summed.column("part").to_pylist(), summed.column("cells"), strict=True):
+        cells[part] = np.frombuffer(counts.as_buffer(), np.int64)
     return cells.ravel()
 
 
@@ -393,7 +394,7 @@ def ngram_components(
                 [pa.array(cols["c"][found]), pa.array(near[found]), pa.array(other[found])], names=["c", "close", "other"]
             )
 
-    parts, tried, first = None, [], 0
+    parts, tried, first = None, None, 0
     while True:
         near = (
             _unjoined(members, parts, ["run", "block"]).join(sigs, "c")
@@ -402,10 +403,11 @@ def ngram_components(
             .groupBy("c").agg(F.max(F.struct("close", "other")).alias("m"))
             .select(F.least("c", "m.other").alias("c1"), F.greatest("c", "m.other").alias("c2")).distinct()
         )
-        if tried:
-            near = near.join(spark.read.schema(_JUDGED).parquet(*tried).select("c1", "c2"), ["c1", "c2"], "left_anti")
+        if tried is not None:
+            near = near.join(tried, ["c1", "c2"], "left_anti")
         judged = staged(_verify(staged(near, "ngram-near"), exact, percent), "ngram-judged")
-        tried += judged.inputFiles()
+        pairs = judged.select("c1", "c2")  # by their folder: a path a file is listed by jobs of its own
+        tried = pairs if tried is None else tried.unionByName(pairs)
         linked = judged.where("linked").count()
         if linked:
             parts = staged(_joined(parts, judged.where("linked")), "ngram-parts")
@@ -531,8 +533,10 @@ def _placed(members: DataFrame, parts: DataFrame | None) -> DataFrame:
 
 
 def _unjoined(members: DataFrame, parts: DataFrame | None, run: list[str]) -> DataFrame:
-    """The members of the runs that hold more than one component."""
+    """The members of the runs that hold more than one component; while each class is one of its own, of all."""
     placed = _placed(members, parts)
+    if parts is None:
+        return placed
     mixed = placed.groupBy(*run).agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select(*run)
     return placed.join(mixed, run, "left_semi")
 

@@ -163,8 +163,8 @@ def document_frequencies(docs: DataFrame, text_col: str = "text") -> tuple[np.nd
         .groupBy("term").agg(F.sum("n").alias("n"))
     )
     out = np.zeros(TERMS + 1, np.int64)
-    for row in summed.toLocalIterator():  # at most TERMS + 1 rows
-        out[row["term"]] = row["n"]
+    summed = summed.toArrow()  # at most TERMS + 1 rows, in one job: a local iterator runs one for every partition
+    out[summed.column("term").to_numpy()] = summed.column("n").to_numpy()
     return out[:TERMS], int(out[TERMS])
 
 
@@ -193,9 +193,11 @@ def fit_voters(
     present = rows.select("id").distinct()
     chosen = chosen.join(present, F.col("i") == F.col("id"), "left_semi").orderBy(F.xxhash64("i"), "i").limit(sample)
     labelled = rows.join(F.broadcast(chosen), F.col("id") == F.col("i"))  # at most ``sample`` rows
+    found = _counted(labelled, "label").toArrow()
     got = sorted(
-        {(str(r["id"]), r["label"], bytes(r["counts"])) for r in _counted(labelled, "label").toLocalIterator()}
+        {(str(i), y, c) for i, y, c in zip(*(found.column(x).to_pylist() for x in ("id", "label", "counts")), strict=True)}
     )
+    del found
     counts = np.empty((len(got), TERMS), np.float32)
     for i, (_, _, row) in enumerate(got):
         counts[i] = np.frombuffer(row, np.float32)

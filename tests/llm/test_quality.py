@@ -91,3 +91,25 @@ def test_ties_go_to_the_first_rows():
 def test_sample_is_bounded(spark):
     docs, labels = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "labels"))
     assert len(fit_voters(docs, labels, sample=50).labels) == 50
+
+
+def test_driver_fetches_in_few_jobs(spark, make_docs):
+    """Not in one job for every partition: each leaves something in the driver's memory."""
+    docs = make_docs([(i, f"text {i} of some words" * (i % 5 + 1)) for i in range(40)]).repartition(8)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    want = fit_voters(docs, labels)
+    conf = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    sc = spark.sparkContext
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        sc.setJobGroup("voters", "voters")
+        got = fit_voters(docs, labels)
+        jobs = len(sc.statusTracker().getJobIdsForGroup("voters"))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert np.array_equal(got.labels, want.labels) and np.array_equal(got.voters, want.voters)
+    assert 0 < jobs < 30

@@ -55,8 +55,8 @@ TEXT_BYTES = 4 << 20
 COMPARED = 32 << 20
 
 
-def sketch_counts(docs: DataFrame, text_col: str, size: int, bits: int) -> np.ndarray:
-    """Per sketch cell, how many documents have a shingle there: 2**bits numbers.
+def _sketch_sums(docs: DataFrame, text_col: str, size: int, bits: int) -> DataFrame:
+    """(part, cells): per sketch cell, how many documents have a shingle there.
 
     Each task counts its documents into cells; cells are summed part by part, in
     two steps, so neither the parts nor the sum depends on the corpus size.
@@ -84,18 +84,57 @@ def sketch_counts(docs: DataFrame, text_col: str, size: int, bits: int) -> np.nd
             total += np.frombuffer(cells.as_buffer(), np.int64)
         return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "cells": pa.array([total.tobytes()], pa.binary())})
 
-    summed = (
+    return (
         docs.select(F.col(text_col).cast("string")).mapInArrow(tidy(count), "part int, lane int, cells binary")
         .groupBy("part", "lane").applyInArrow(add, "part int, cells binary")
         .groupBy("part").applyInArrow(add, "part int, cells binary")
     )
+
+
+def sketch_counts(docs: DataFrame, text_col: str, size: int, bits: int) -> np.ndarray:
+    """Per sketch cell, how many documents have a shingle there: 2**bits numbers."""
     cells = np.zeros(1 << bits, np.int64).reshape(-1, min(SKETCH_PART, 1 << bits))
-    summed = summed.toArrow()  # a fixed size, in one job: a local iterator runs one for every partition
+    summed = _sketch_sums(docs, text_col, size, bits).toArrow()  # in one job: a local iterator runs one for every partition
     for part, counts in zip(summed.column("part").to_pylist(), summed.column("cells"), strict=True):
         cells[part] = np.frombuffer(counts.as_buffer(), np.int64)
     return cells.ravel()
 
 
+def sketch_order(docs: DataFrame, text_col: str, size: int, bits: int, run_block: int) -> tuple[np.ndarray, dict[int, int]]:
+    """Per sketch cell its place in the order, a byte; and by cell the blocks of those far more frequent than others.
+
+    The byte is an eighth of a doubling of the count. Only it leaves the tasks, with the
+    counts over ``run_block``: the driver holds no counts of all cells.
+    """
+
+    def rank(batches):
+        for batch in batches:
+            orders, often, counts = [], [], []
+            for part, held in zip(batch.column("part").to_pylist(), batch.column("cells"), strict=True):
+                cells = np.frombuffer(held.as_buffer(), np.int64)
+                orders.append(np.minimum(255, 8 * np.log2(cells + 1)).astype(np.uint8).tobytes())
+                over = np.flatnonzero(cells > run_block)
+                often.append(over + part * len(cells))
+                counts.append(cells[over])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("part"), pa.array(orders, pa.binary()), pa.array(often, pa.list_(pa.int64())),
+                    pa.array(counts, pa.list_(pa.int64())),
+                ],
+                names=["part", "order", "often", "counts"],
+            )
+
+    order = np.zeros(1 << bits, np.uint8).reshape(-1, min(SKETCH_PART, 1 << bits))
+    ranked = _sketch_sums(docs, text_col, size, bits).mapInArrow(tidy(rank), "part int, order binary, often array<long>, counts array<long>").toArrow()
+    for part, places in zip(ranked.column("part").to_pylist(), ranked.column("order"), strict=True):
+        order[part] = np.frombuffer(places.as_buffer(), np.uint8)
+    order = order.ravel()
+    usual = 2 ** (np.median(order[order > 0]) / 8) - 1 if order.any() else 0
+    often, counts = (pc.list_flatten(ranked.column(x)).to_numpy() for x in ("often", "counts"))
+    far = counts - usual > run_block
+    return order, dict(zip(often[far].tolist(), np.ceil((counts[far] - usual) / run_block).astype(int).tolist(), strict=True))
+
+
 def prefix_size(n: int, percent: int) -> int:
     """Prefix length of a set of n against sets of any size."""
     return n + 1 - -(-percent * n // 100)
@@ -226,10 +265,7 @@ def ngram_components(
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
-    cells = sketch_counts(rows, "t", size, sketch_bits)
-    usual = np.median(cells[cells > 0]) if cells.any() else 0
-    order = np.minimum(255, 8 * np.log2(cells + 1)).astype(np.uint8)
-    blocks_of = {int(c): int(-(-(cells[c] - usual) // run_block)) for c in np.flatnonzero(cells - usual > run_block)}
+    order, blocks_of = sketch_order(rows, "t", size, sketch_bits, run_block)
     shift = np.uint64(64 - sketch_bits)
     id_type = rows.schema["id"].dataType.simpleString()
 
@@ -368,7 +404,8 @@ def ngram_components(
         runs.select("run", F.explode("grp").alias("grp"))
         .unionByName(crowded.select(F.col("grp").cast("string").cast("binary").alias("run"), "grp"))
         .join(classes.select("grp", "n", "c"), "grp").select("run", "n", "c")
-        .withColumn("block", F.floor((F.row_number().over(by_size) - 1) / run_block).cast("int")),
+        .withColumn("block", F.floor((F.row_number().over(by_size) - 1) / run_block).cast("int"))
+        .withColumn("blocks", F.max("block").over(Window.partitionBy("run"))),
         "ngram-members",
     )
     sigs = exact.select("c", "sig")
@@ -397,7 +434,7 @@ def ngram_components(
     parts, tried, first = None, None, 0
     while True:
         near = (
-            _unjoined(members, parts, ["run", "block"]).join(sigs, "c")
+            _unjoined(members.drop("blocks"), parts, ["run", "block"]).join(sigs, "c")
             .repartition("run", "block").sortWithinPartitions("run", "block", "n", "c")
             .mapInArrow(tidy(nearest_pairs), "c long, close double, other long")
             .groupBy("c").agg(F.max(F.struct("close", "other")).alias("m"))
@@ -419,10 +456,7 @@ def ngram_components(
     pairs_of = F.explode(F.transform(
         F.sequence(F.lit(0), F.col("blocks")), lambda x: F.struct(F.least(x, "block").alias("low"), F.greatest(x, "block").alias("high"))
     ))
-    dealt = (
-        members.join(members.groupBy("run").agg(F.max("block").alias("blocks")), "run")
-        .select("run", "n", "c", pairs_of.alias("b")).select("run", "n", "c", "b.low", "b.high")
-    )
+    dealt = members.select("run", "n", "c", pairs_of.alias("b")).select("run", "n", "c", "b.low", "b.high")
 
     def open_clusters(batches):
         """Members that open pairs hold together, as many as may be compared at once."""
@@ -533,12 +567,18 @@ def _placed(members: DataFrame, parts: DataFrame | None) -> DataFrame:
 
 
 def _unjoined(members: DataFrame, parts: DataFrame | None, run: list[str]) -> DataFrame:
-    """The members of the runs that hold more than one component; while each class is one of its own, of all."""
+    """The members of the runs that hold more than one component; while each class is one of its own, of all.
+
+    Runs are blocks, or pairs of them, so a window holds a bounded number of rows.
+    """
     placed = _placed(members, parts)
     if parts is None:
         return placed
-    mixed = placed.groupBy(*run).agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select(*run)
-    return placed.join(mixed, run, "left_semi")
+    whole = Window.partitionBy(*run)
+    return (
+        placed.withColumn("p", F.min("part").over(whole)).withColumn("q", F.max("part").over(whole))
+        .where("p <> q").drop("p", "q")
+    )
 
 
 _JUDGED = "c1 long, c2 long, linked boolean"

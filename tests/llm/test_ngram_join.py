@@ -3,6 +3,8 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from sluice.llm.ngram_join import drop_near_copies, least_common, ngram_components, op9_ngram_join, prefix_size, sketch_counts
@@ -232,3 +234,88 @@ def test_rounds_judge_no_pair_twice(spark, make_docs, monkeypatch):
     rows = [(i, t) for i, t in enumerate(corpus(seed=5))]
     assert sorted(repr(tuple(r)) for r in ngram_components(make_docs(rows)).collect()) == brute(rows)
     assert judged and len(judged) == len(set(judged))
+
+
+def test_driver_holds_no_counts_of_the_sketch(spark, make_docs, monkeypatch):
+    """Its cells' places alone leave the tasks: a byte each, not eight."""
+    fetched, frame = [], type(spark.range(0))
+
+    def to_arrow(self, f=frame.toArrow):
+        fetched.append(f(self))
+        return fetched[-1]
+
+    monkeypatch.setattr(frame, "toArrow", to_arrow)
+    rows = [(i, t) for i, t in enumerate(corpus(n=40))]
+    assert sorted(repr(tuple(r)) for r in ngram_components(make_docs(rows)).collect()) == brute(rows)
+    assert fetched and sum(t.nbytes for t in fetched) < 3 << 20
+
+
+def test_order_is_that_of_the_counts(spark, make_docs):
+    from sluice.llm.ngram_join import sketch_order
+
+    often = [(1000 + i, f"a b c d e {i}") for i in range(40)]
+    docs = make_docs([(i, t) for i, t in enumerate(corpus(n=60))] + often).repartition(3)
+    counts = sketch_counts(docs, "text", 5, 16)
+    order, blocks = sketch_order(docs, "text", 5, 16, 10)
+    assert order.dtype == np.uint8
+    assert order.tolist() == [min(255, int(8 * np.log2(c + 1))) for c in counts.tolist()]
+    usual = np.median(counts[counts > 0])
+    assert blocks and set(blocks) == set(np.flatnonzero(counts - usual > 10).tolist())
+    assert all(0 <= n - (counts[c] - usual) / 10 < 2 for c, n in blocks.items())
+    order, blocks = sketch_order(docs.where("false"), "text", 5, 16, 10)
+    assert not order.any() and blocks == {}
+
+
+def components(links) -> list[tuple[int, int]]:
+    low = {x: x for ab in links for x in ab}
+    while any(low[a] != low[b] for a, b in links):
+        for a, b in links:
+            low[a] = low[b] = min(low[a], low[b])
+    return sorted(low.items())
+
+
+def test_tasks_join_their_links_first(spark):
+    """A long chain that a task holds needs no rounds of joins; links dealt over tasks give the same components."""
+    from sluice.llm.common import connected_components
+
+    chain = [(i + 1, i) for i in range(300)] + [(1000 + 2 * i, 1002 + 2 * i) for i in range(50)] + [(2000, 5), (7, 7)]
+    random.Random(3).shuffle(chain)
+    want = components([(a, b) for a, b in chain if a != b])
+    links = spark.createDataFrame(chain, "a long, b long")
+    sc = spark.sparkContext
+    try:
+        sc.setJobGroup("chain", "chain")
+        got = connected_components(links)
+        jobs = len(sc.statusTracker().getJobIdsForGroup("chain"))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted(map(tuple, got.collect())) == want
+    assert 0 < jobs < 8
+    conf = {"spark.sql.shuffle.partitions": "7", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        assert sorted(map(tuple, connected_components(links).collect())) == want
+        assert connected_components(links.where("false")).collect() == []
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_stars_hold_a_bounded_number_of_links(monkeypatch):
+    from sluice.llm import common
+
+    monkeypatch.setattr(common, "HELD_LINKS", 8)
+    rng = random.Random(8)
+    links = [(rng.randrange(60), rng.randrange(60)) for _ in range(90)]
+    links = [(a, b) for a, b in links if a != b]
+    batches = [
+        pa.RecordBatch.from_pydict({"u": [a for a, _ in links[k : k + 5]], "v": [b for _, b in links[k : k + 5]]})
+        for k in range(0, len(links), 5)
+    ]
+    out = list(common.stars(iter(batches)))
+    assert len(out) == -(-len(batches) // 2)
+    left = [(a, b) for x in out for a, b in zip(x.column("u").to_pylist(), x.column("v").to_pylist(), strict=True)]
+    assert components(left) == components(links) and all(a > b for a, b in left)
+    assert list(common.stars(iter([]))) == []

@@ -103,36 +103,37 @@ def sketch_counts(docs: DataFrame, text_col: str, size: int, bits: int) -> np.nd
 def sketch_order(docs: DataFrame, text_col: str, size: int, bits: int, run_block: int) -> tuple[np.ndarray, dict[int, int]]:
     """Per sketch cell its place in the order, a byte; and by cell the blocks of those far more frequent than others.
 
-    The byte is an eighth of a doubling of the count. Only it leaves the tasks, with the
-    counts over ``run_block``: the driver holds no counts of all cells.
+    The byte is the count's logarithm, in eighths of a doubling. Only it leaves the tasks, with the
+    blocks of cells more than ``run_block`` over the median of their part: the driver holds no counts.
     """
 
     def rank(batches):
         for batch in batches:
-            orders, often, counts = [], [], []
+            orders, often, blocks = [], [], []
             for part, held in zip(batch.column("part").to_pylist(), batch.column("cells"), strict=True):
                 cells = np.frombuffer(held.as_buffer(), np.int64)
                 orders.append(np.minimum(255, 8 * np.log2(cells + 1)).astype(np.uint8).tobytes())
-                over = np.flatnonzero(cells > run_block)
-                often.append(over + part * len(cells))
-                counts.append(cells[over])
+                over = cells - (np.median(cells[cells > 0]) if cells.any() else 0)
+                far = np.flatnonzero(over > run_block)
+                often.append(far + part * len(cells))
+                blocks.append(np.ceil(over[far] / run_block).astype(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("part"), pa.array(orders, pa.binary()), pa.array(often, pa.list_(pa.int64())),
-                    pa.array(counts, pa.list_(pa.int64())),
+                    pa.array(blocks, pa.list_(pa.int64())),
                 ],
-                names=["part", "order", "often", "counts"],
+                names=["part", "order", "often", "blocks"],
             )
 
     order = np.zeros(1 << bits, np.uint8).reshape(-1, min(SKETCH_PART, 1 << bits))
-    ranked = _sketch_sums(docs, text_col, size, bits).mapInArrow(tidy(rank), "part int, order binary, often array<long>, counts array<long>").toArrow()
+    ranked = (
+        _sketch_sums(docs, text_col, size, bits)
+        .mapInArrow(tidy(rank), "part int, order binary, often array<long>, blocks array<long>").toArrow()
+    )
     for part, places in zip(ranked.column("part").to_pylist(), ranked.column("order"), strict=True):
         order[part] = np.frombuffer(places.as_buffer(), np.uint8)
-    order = order.ravel()
-    usual = 2 ** (np.median(order[order > 0]) / 8) - 1 if order.any() else 0
-    often, counts = (pc.list_flatten(ranked.column(x)).to_numpy() for x in ("often", "counts"))
-    far = counts - usual > run_block
-    return order, dict(zip(often[far].tolist(), np.ceil((counts[far] - usual) / run_block).astype(int).tolist(), strict=True))
+    often, blocks = (pc.list_flatten(ranked.column(x)).to_pylist() for x in ("often", "blocks"))
+    return order.ravel(), dict(zip(often, blocks, strict=True))
 
 
 def prefix_size(n: int, percent: int) -> int:

@@ -25,7 +25,7 @@ from sluice.operators import counts
 from sluice.operators import load as L
 from sluice.plans import ingest as P
 from sluice.plans import lead_oracle, runlog
-from sluice.session import work_path
+from sluice.session import compact_files, work_path
 from sluice.sources import raw as R
 from sluice.spec import make_spec
 from sluice.specs import tpch
@@ -897,8 +897,6 @@ LEAD_FEEDS = {
     "lead": (lead_oracle.LEAD, "STG_LCR_LEAD_KEY", "customer", "c_custkey",
              "DATE '1993-01-01' + CAST(c_custkey % 2000 AS INTEGER)"),
 }
-# What tells the rows of a table apart: a cell of an extract costs far more than its bytes tell
-LEAD_ROW_KEYS = {"orders": ("o_orderkey",), "lineitem": ("l_orderkey", "l_linenumber"), "customer": ("c_custkey",)}
 
 
 def _lead_contract(name: str) -> Query:
@@ -907,10 +905,12 @@ def _lead_contract(name: str) -> Query:
     def query(spark, sf_dir):
         from sluice.specs import lead_specs
 
-        base = (f"SELECT {number} AS k, CAST({day} AS STRING) AS d, CAST(add_months({day}, 324) AS STRING) AS f "
-                "FROM {src}")
+        compact_files(spark)
+        # a cell of an extract costs far more than its bytes tell: the rows are dealt before it is built
+        rows = R.spread_in_order(read(spark, sf_dir, table).selectExpr(f"{number} AS k", f"{day} AS day"), "k")
+        base = "SELECT k, CAST(day AS STRING) AS d, CAST(add_months(day, 324) AS STRING) AS f FROM {src}"
         extract = spark.sql(lead_oracle.extract_sql(listed, base).replace("'{\"k\": '", "'{{\"k\": '").replace("'}'", "'}}'"),
-                            src=R.spread_by(read(spark, sf_dir, table), *LEAD_ROW_KEYS[table]))
+                            src=rows)
         return ntz(C.conform(extract, lead_specs(time_zone=None)[name], AS_OF))
 
     query.__doc__ = f"{table} as a {name} extract through the {name} contract."

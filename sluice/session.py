@@ -60,6 +60,17 @@ def apply_engine_conf(spark: SparkSession) -> None:
         spark.conf.set(k, v)
 
 
+def compact_files(spark: SparkSession) -> None:
+    """Parquet files of this session are written with zstd from now on, unless it names a codec.
+
+    For queries whose rows are far larger than what they read: the frame is written by the
+    caller, later, and the hex digests of a conformed row stay as long as they are in snappy.
+    """
+    codec = "spark.sql.parquet.compression.codec"
+    if spark.conf.get(codec, None) is None:
+        spark.conf.set(codec, "zstd")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

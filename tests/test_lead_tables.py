@@ -155,3 +155,36 @@ def test_a_small_file_is_conformed_by_many_tasks(spark):
     for name in ("lead_contract", "lead_xref_contract", "lead_assignment_contract"):
         rows = Q.QUERIES[name][0](spark, "/root/testdata/sf0.001")
         assert rows.rdd.getNumPartitions() == n, name
+
+
+def test_a_contract_of_many_rows_takes_little_disk(spark, tmp_path):
+    from sluice.plans import tpch_queries as Q
+
+    def bytes_a_row(name):
+        rows = Q.QUERIES["lead_assignment_contract"][0](spark, "/root/testdata/sf0.001")
+        rows.write.parquet(str(tmp_path / name))
+        files = list((tmp_path / name).glob("*.parquet"))
+        return sum(f.stat().st_size for f in files) / rows.count(), files[0].name
+
+    codec = "spark.sql.parquet.compression.codec"
+    found = spark.conf.get(codec, None)
+    try:
+        spark.conf.unset(codec)
+        size, file = bytes_a_row("unnamed")
+        assert "zstd" in file and size < 190
+        spark.conf.set(codec, "snappy")  # a codec the session names is kept
+        size, file = bytes_a_row("named")
+        assert "snappy" in file and size < 248
+    finally:
+        spark.conf.unset(codec) if found is None else spark.conf.set(codec, found)
+
+
+def test_neighbours_by_key_stay_together_in_order(spark):
+    from pyspark.sql import functions as F
+
+    from sluice.sources.raw import spread_in_order
+
+    rows = spread_in_order(spark.range(4000).select((F.col("id") * 1237 % 4000).alias("k")), "k")
+    parts = [[r["k"] for r in part] for part in rows.rdd.glom().collect()]
+    assert len(parts) == int(spark.conf.get("spark.sql.shuffle.partitions")) and all(parts)
+    assert [k for part in sorted(parts) for k in part] == list(range(4000))
